@@ -117,9 +117,9 @@ def best_match(
     problem = F.raise_error(F.lit(f"more than {max_references} references; use topk_similar")).cast(packed.schema["r"].dataType)
     checked = packed.select(F.when(F.size("r") > max_references, problem).otherwise(F.array_sort("r")).alias("r")).scalar()
     scored = F.transform(
-        checked, lambda r, i: F.struct(cosine(F.col(vector), r["v"]).alias("score"), (-i).alias("place"), r["id"].alias("id"))
+        "_refs", lambda r, i: F.struct(cosine(F.col(vector), r["v"]).alias("score"), (-i).alias("place"), r["id"].alias("id"))
     )
     top = F.array_max(F.filter(scored, lambda s: s["score"] > floor))
-    return df.withColumn("_top", top).withColumns(
+    return df.withColumn("_refs", checked).withColumn("_top", top).withColumns(
         {"matched": F.col("_top.id"), "similarity_score": F.coalesce(F.col("_top.score"), F.lit(float(floor)))}
-    ).drop("_top")
+    ).drop("_top", "_refs")

@@ -56,6 +56,11 @@ def near(column: Column | str, digits: int = 6) -> Column:
     return F.round((F.col(column) if isinstance(column, str) else column) + 1e-9, digits)
 
 
+def day_text(df: DataFrame, column: str) -> DataFrame:
+    """Date column as YYYY-MM-DD text, which reads the same from either engine."""
+    return df.withColumn(column, F.col(column).cast("string"))
+
+
 def sql_near(expression: str, digits: int = 6) -> str:
     return f"round({expression} + 1e-9, {digits})"
 

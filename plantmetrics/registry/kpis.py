@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from plantmetrics.operators import anomaly, governance, quality
 from plantmetrics.plans import kpi, medallion
-from plantmetrics.registry.base import Inputs, near, query, sql_near
+from plantmetrics.registry.base import Inputs, day_text, near, query, sql_near
 from plantmetrics.sources.fixtures import AS_OF, AS_OF_PRODUCTION
 
 PREVIOUS_DAY = "2024-01-30"
@@ -16,13 +16,13 @@ LAST_7_PRODUCTION = "production_date >= '1998-12-24'"
 
 
 @query("k1_daily_equipment", f"""
-SELECT CAST(event_time AS DATE) AS oee_date, line_id, equipment_id, {sql_near('avg(temperature_c)')} AS avg_temp,
+SELECT CAST(CAST(event_time AS DATE) AS STRING) AS oee_date, line_id, equipment_id, {sql_near('avg(temperature_c)')} AS avg_temp,
        max(temperature_c) AS max_temp, {sql_near('avg(vibration_ms2)')} AS avg_vib, max(vibration_ms2) AS max_vib,
        {sql_near('avg(quality_score)')} AS avg_quality, count(CASE WHEN is_anomaly THEN 1 END) AS anomaly_count,
        count(*) AS record_count
 FROM sensor_clean GROUP BY 1, 2, 3""", ["sensor_clean"])
 def daily_equipment(t: Inputs):
-    daily = medallion.equipment_daily(t.clean())
+    daily = day_text(medallion.equipment_daily(t.clean()), "oee_date")
     return daily.withColumns({c: near(c) for c in ("avg_temp", "avg_vib", "avg_quality")})
 
 
@@ -38,15 +38,18 @@ def oee_from_logs(t: Inputs):
 
 
 @query("k3_hourly", f"""
-SELECT * REPLACE ({sql_near('avg_temp')} AS avg_temp, {sql_near('avg_current')} AS avg_current) FROM hourly""", ["hourly"])
+SELECT * REPLACE ({sql_near('avg_temp')} AS avg_temp, {sql_near('avg_current')} AS avg_current,
+                  CAST(production_date AS STRING) AS production_date) FROM hourly""", ["hourly"])
 def hourly(t: Inputs):
-    view = kpi.equipment_hourly(t.silver())
+    view = day_text(kpi.equipment_hourly(t.silver()), "production_date")
     return view.withColumns({c: near(c) for c in ("avg_temp", "avg_current")})
 
 
-@query("k4_oee_from_sensors", f"SELECT * REPLACE ({sql_near('running_hours')} AS running_hours) FROM oee_daily", ["oee_daily"])
+@query("k4_oee_from_sensors", f"""
+SELECT * REPLACE ({sql_near('running_hours')} AS running_hours, CAST(production_date AS STRING) AS production_date) FROM oee_daily""",
+       ["oee_daily"])
 def oee_from_sensors(t: Inputs):
-    return t.oee().withColumn("running_hours", near("running_hours"))
+    return day_text(t.oee(), "production_date").withColumn("running_hours", near("running_hours"))
 
 
 @query("k5_loss_decomposition", f"""
@@ -68,16 +71,17 @@ def oee_alerts(t: Inputs):
     return kpi.oee_alerts(t.oee(), PREVIOUS_DAY)
 
 
-@query("k7_heatmap", f"SELECT equipment_id, production_date, oee_pct FROM oee_daily WHERE {LAST_30}", ["oee_daily"])
+@query("k7_heatmap", f"""
+SELECT equipment_id, CAST(production_date AS STRING) AS production_date, oee_pct FROM oee_daily WHERE {LAST_30}""", ["oee_daily"])
 def heatmap(t: Inputs):
-    return kpi.oee_heatmap(t.oee(), AS_OF)
+    return day_text(kpi.oee_heatmap(t.oee(), AS_OF), "production_date")
 
 
 @query("k8_line_trend", f"""
-SELECT production_date, line_id, round(avg(oee_pct), 1) AS avg_oee_pct FROM oee_daily
+SELECT CAST(production_date AS STRING) AS production_date, line_id, round(avg(oee_pct), 1) AS avg_oee_pct FROM oee_daily
 WHERE {LAST_30} AND line_id IN ('LINE01', 'LINE02', 'LINE03') GROUP BY 1, 2""", ["oee_daily"])
 def line_trend(t: Inputs):
-    return kpi.oee_trend(t.oee(), AS_OF, ["LINE01", "LINE02", "LINE03"])
+    return day_text(kpi.oee_trend(t.oee(), AS_OF, ["LINE01", "LINE02", "LINE03"]), "production_date")
 
 
 @query("k9_loss_distribution", " UNION ALL ".join(
@@ -237,10 +241,10 @@ def table_health(t: Inputs):
 
 
 @query("k22_rows_per_day", """
-SELECT CAST(event_time AS DATE) AS day, count(*) AS row_count FROM sensor_events
+SELECT CAST(CAST(event_time AS DATE) AS STRING) AS day, count(*) AS row_count FROM sensor_events
 WHERE event_time >= TIMESTAMP '2024-01-24' GROUP BY 1""", ["sensor_events"])
 def rows_per_day(t: Inputs):
-    return kpi.rows_per_day(t.view("sensor_events"), "event_time", AS_OF)
+    return day_text(kpi.rows_per_day(t.view("sensor_events"), "event_time", AS_OF), "day")
 
 
 @query("n1_rolling_zscore", f"""
@@ -346,10 +350,10 @@ def night_access(t: Inputs):
 
 
 @query("g4_table_access", """
-SELECT CAST(event_time AS DATE) AS access_date, user_email, count(*) AS query_count FROM audit_log
+SELECT CAST(CAST(event_time AS DATE) AS STRING) AS access_date, user_email, count(*) AS query_count FROM audit_log
 WHERE table_name = 'ml.t1' AND event_date >= DATE '2024-01-01' GROUP BY 1, 2""", ["audit_log"])
 def table_access(t: Inputs):
-    return governance.table_access(t.view("audit_log"), "ml.t1", AS_OF)
+    return day_text(governance.table_access(t.view("audit_log"), "ml.t1", AS_OF), "access_date")
 
 
 @query("g5_contract", """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plantmetrics.operators import features, models
 from plantmetrics.operators.ordered import dedup
-from plantmetrics.registry.base import FEATURES, Inputs, near, query, sql_near
+from plantmetrics.registry.base import DERIVED, FEATURES, Inputs, day_text, near, query, sql_near
 from plantmetrics.session import cut_lineage
 from plantmetrics.sources.fixtures import AS_OF
 
@@ -38,11 +38,11 @@ def _training(t: Inputs) -> DataFrame:
 
 
 def _shown(names) -> list:
-    return [F.col(n) if n in WHOLE else near(n, digits(n)).alias(n) for n in names]
+    return [F.col(n).cast("double").alias(n) if n in WHOLE else near(n, digits(n)).alias(n) for n in names]
 
 
 def _shown_sql(names, prefix: str = "") -> str:
-    return ", ".join(f"{prefix}{n} AS {n}" if n in WHOLE else f"{sql_near(prefix + n, digits(n))} AS {n}" for n in names)
+    return ", ".join(f"CAST({prefix}{n} AS DOUBLE) AS {n}" if n in WHOLE else f"{sql_near(prefix + n, digits(n))} AS {n}" for n in names)
 
 
 @query("f1_rolling_features", f"SELECT event_id, {_shown_sql(FEATURES)} FROM features", ["features"])
@@ -245,16 +245,17 @@ def psi_open(t: Inputs):
     return models.psi_report(reference, current, RAW).withColumn("psi", near("psi"))
 
 
-BEFORE = "event_time < TIMESTAMP '2024-01-16'"
+BEFORE, AFTER = "event_time < TIMESTAMP '2024-01-16'", "event_time >= TIMESTAMP '2024-01-16'"
+DERIVED["shown_features"] = (("features",), f"SELECT event_time, {_shown_sql(features.MODEL_FEATURES)} FROM features")
 
 
-@query("f15_drift_report", _psi_sql("features", features.MODEL_FEATURES, BEFORE, "event_time >= TIMESTAMP '2024-01-16'", False)
-       .replace(sql_near("sum((c - r) * ln(c / r))"), "round(sum((c - r) * ln(c / r)), 4)"), ["features"])
+@query("f15_drift_report", _psi_sql("shown_features", features.MODEL_FEATURES, BEFORE, AFTER, False), ["shown_features"])
 def drift_report(t: Inputs):
-    made = _features(t)
+    """On rounded features: a mean that equals a bin edge has to fall on the same side in both engines."""
+    made = _features(t).select("event_time", *_shown(features.MODEL_FEATURES))
     old = made.filter("event_time < TIMESTAMP_NTZ '2024-01-16'")
     new = made.filter("event_time >= TIMESTAMP_NTZ '2024-01-16'")
-    return models.psi_report(old, new, features.MODEL_FEATURES).withColumn("psi", F.round("psi", 4))
+    return models.psi_report(old, new, features.MODEL_FEATURES).withColumn("psi", near("psi"))
 
 
 @query("f15_drift_count", f"""
@@ -284,7 +285,7 @@ def risk(t: Inputs):
 
 
 @query("f18_inference_stats", f"""
-SELECT CAST(requested_at AS DATE) AS day, count(*) AS request_count, {sql_near('avg(execution_duration_ms)')} AS avg_latency_ms,
+SELECT CAST(CAST(requested_at AS DATE) AS STRING) AS day, count(*) AS request_count, {sql_near('avg(execution_duration_ms)')} AS avg_latency_ms,
        count(*) FILTER (WHERE status_code <> 200) AS error_count,
        {sql_near('CAST(count(*) FILTER (WHERE status_code <> 200) AS DOUBLE) / count(*)')} AS error_rate,
        CAST(count(*) FILTER (WHERE status_code <> 200) AS DOUBLE) / count(*) > 0.05 AS error_alarm,
@@ -292,5 +293,5 @@ SELECT CAST(requested_at AS DATE) AS day, count(*) AS request_count, {sql_near('
 FROM inference_log WHERE requested_at >= TIMESTAMP '2024-01-24' GROUP BY 1""", ["inference_log"])
 def inference_stats(t: Inputs):
     log = t.view("inference_log").withColumn("timestamp_ms", F.unix_millis(F.col("requested_at").cast("timestamp")))
-    found = models.inference_stats(log, AS_OF)
+    found = day_text(models.inference_stats(log, AS_OF), "day")
     return found.withColumns({c: near(c) for c in ("avg_latency_ms", "error_rate")})

@@ -9,7 +9,7 @@ from plantmetrics.functions.sizing import join_back
 from plantmetrics.operators import quality
 from plantmetrics.operators.ordered import dedup
 from plantmetrics.plans import medallion
-from plantmetrics.registry.base import Inputs, near, query, sql_near
+from plantmetrics.registry.base import Inputs, day_text, near, query, sql_near
 from plantmetrics.session import scratch_path
 from plantmetrics.sources import tables
 from plantmetrics.streaming import ingest
@@ -17,8 +17,13 @@ from plantmetrics.streaming import ingest
 EVENTS = "SELECT * FROM events"
 
 
+def _events_source(t: Inputs) -> str:
+    """A glob, so that a table kept in one file streams like a folder of files."""
+    return f"{t.root}/events.parque[t]"
+
+
 def _events_stream(t: Inputs, **options):
-    return ingest.file_stream(t.spark, f"{t.root}/events.parquet", **options)
+    return ingest.file_stream(t.spark, _events_source(t), **options)
 
 
 def _sensor_stream(t: Inputs):
@@ -56,7 +61,7 @@ def write_landing(t: Inputs):
 @query("a4_ingest_files", EVENTS)
 def ingest_files(t: Inputs):
     out, mark = scratch_path(t.spark, "bronze"), scratch_path(t.spark, "bronze-mark")
-    source = f"{t.root}/events.parquet"
+    source = _events_source(t)
     for _ in range(2):  # The second run finds nothing new.
         ingest.ingest_files(t.spark, source, out, mark, schema=t.table("events").schema).awaitTermination()
     return t.spark.read.parquet(out).drop("_ingestion_time", "_source_file")
@@ -74,7 +79,7 @@ def lineage(t: Inputs):
 @query("a6_ingest_inferred", EVENTS)
 def ingest_inferred(t: Inputs):
     out, mark = scratch_path(t.spark, "bronze"), scratch_path(t.spark, "bronze-mark")
-    ingest.ingest_files(t.spark, f"{t.root}/events.parquet", out, mark).awaitTermination()
+    ingest.ingest_files(t.spark, _events_source(t), out, mark).awaitTermination()
     return t.spark.read.parquet(out).drop("_ingestion_time", "_source_file")
 
 
@@ -152,7 +157,7 @@ def quarantine(t: Inputs):
 
 
 @query("i1b_rescue", """
-SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) END AS reading,
+SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) END AS reading,
        CASE WHEN event_type = 'error' THEN concat('{"reading":"E', regexp_extract(props, '([0-9]+)', 1), '"}') END AS _rescued_data
 FROM events""")
 def rescue(t: Inputs):
@@ -160,7 +165,8 @@ def rescue(t: Inputs):
     raw = t.table("events").select(
         "event_id", F.when(F.col("event_type") == "error", F.concat(F.lit("E"), k)).otherwise(k).alias("reading")
     )
-    return quality.rescue(raw, StructType([StructField("reading", LongType())]))
+    fitted = quality.rescue(raw, StructType([StructField("reading", LongType())]))
+    return fitted.withColumn("reading", F.col("reading").cast("double"))
 
 
 @query("i2_expect_kept", """
@@ -185,29 +191,29 @@ def expect_metrics(t: Inputs):
     return quality.expect(t.view("sensor_events"))[1]
 
 
-CLEAN_EVENTS = """SELECT event_id, equipment_id, CAST(event_time AS DATE) AS event_date FROM sensor_events
+CLEAN_EVENTS = """SELECT event_id, equipment_id, CAST(CAST(event_time AS DATE) AS STRING) AS event_date FROM sensor_events
 WHERE equipment_id IS NOT NULL"""
 
 
 @query("i3_clean_batch", CLEAN_EVENTS, ["sensor_events"])
 def clean_batch(t: Inputs):
-    return quality.clean_events(t.view("sensor_events")).select("event_id", "equipment_id", "event_date")
+    return day_text(quality.clean_events(t.view("sensor_events")).select("event_id", "equipment_id", "event_date"), "event_date")
 
 
 @query("i3_clean_stream", CLEAN_EVENTS, ["sensor_events"])
 def clean_stream(t: Inputs):
     out, mark = scratch_path(t.spark, "clean"), scratch_path(t.spark, "clean-mark")
     ingest.write_stream(quality.clean_events(_sensor_stream(t)), out, mark).awaitTermination()
-    return t.spark.read.parquet(out).select("event_id", "equipment_id", "event_date")
+    return day_text(t.spark.read.parquet(out).select("event_id", "equipment_id", "event_date"), "event_date")
 
 
 @query("i4_sensor_daily", f"""
-SELECT equipment_id, line_id, CAST(event_time AS DATE) AS event_date, {sql_near('avg(temperature_c)')} AS avg_temperature_c,
+SELECT equipment_id, line_id, CAST(CAST(event_time AS DATE) AS STRING) AS event_date, {sql_near('avg(temperature_c)')} AS avg_temperature_c,
        max(vibration_ms2) AS max_vibration_ms2, count(*) AS event_count
 FROM sensor_events GROUP BY 1, 2, 3""", ["sensor_events"])
 def sensor_daily(t: Inputs):
     daily = medallion.sensor_daily(quality.clean_events(t.view("sensor_events")))
-    return daily.withColumn("avg_temperature_c", near("avg_temperature_c"))
+    return day_text(daily, "event_date").withColumn("avg_temperature_c", near("avg_temperature_c"))
 
 
 @query("i5_alert_stream", """
