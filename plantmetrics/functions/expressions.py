@@ -15,8 +15,9 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return numerator.cast("double") / F.when(bottom != 0, bottom)
 
 
-def pct(share: Column, digits: int) -> Column:
-    return F.round(share * 100, digits)
+def pct(share: Column, digits: int | None) -> Column:
+    """Share as a percentage; unrounded without `digits`."""
+    return share * 100 if digits is None else F.round(share * 100, digits)
 
 
 def count_where(condition: Column) -> Column:

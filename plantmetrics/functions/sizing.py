@@ -1,4 +1,4 @@
-"""Size-checked broadcasts and null-safe joins on per-key statistics."""
+"""Stored per-key sides that Spark broadcasts by size, and null-safe joins on them."""
 
 from __future__ import annotations
 
@@ -7,25 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantmetrics.session import cut_lineage
+from plantmetrics.session import scratch_path
 
-BROADCAST_BYTES = 64 * 1024 * 1024
 
+def stored(df: DataFrame, label: str = "side") -> DataFrame:
+    """`df` written once below the shared folder and read back.
 
-def counted_bytes(df: DataFrame) -> int:
-    """Size of the rows written out as JSON; an upper guide for their in-memory size."""
-    width = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))
-    return df.agg(F.coalesce(width, F.lit(0)).alias("bytes")).first()["bytes"]
+    The rows are computed one time however often the result is used, survive lost executors, and have a size that
+    Spark knows from the files when it plans.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Store a per-key side once and ask for a broadcast only when its counted size allows it.
+def small_side(df: DataFrame) -> DataFrame:
+    """A per-key side for a join with the full table.
 
-    The side is computed one time (checkpointed), so the check costs no second scan of the source. A side that is too
-    large stays an ordinary join input: Spark shuffles both sides and splits hot keys with its adaptive skew join.
+    Without this, a side that comes out of an aggregate has no known size, so the plan shuffles the full table before
+    adaptive execution can learn that the side was small. Stored, it is broadcast when its files are below
+    spark.sql.autoBroadcastJoinThreshold; a larger one stays an ordinary join input with adaptive skew handling.
     """
-    stored = cut_lineage(df)
-    return F.broadcast(stored) if counted_bytes(stored) <= max_bytes else stored
+    return stored(df)
 
 
 def join_back(rows: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:

@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantmetrics.functions.expressions import epoch_seconds
-from plantmetrics.functions.sizing import join_back, small_side
-from plantmetrics.session import cut_lineage
+from plantmetrics.functions.sizing import join_back, small_side, stored
 
 START = Window.unboundedPreceding
 END = Window.unboundedFollowing
@@ -45,7 +44,7 @@ def global_prefix(
     df: DataFrame, order: Sequence[str], weight: Column | None = None, groups: Sequence[str] = (),
     out: str = "before", partitions: int | None = None,
 ) -> DataFrame:
-    """Sum of `weight` (default 1) over all earlier rows of the group, without a single-task window.
+    """Sum of `weight` (default 1) over all earlier rows of the group, and the group's total, without a single-task window.
 
     Rows are range-partitioned and stored; per-partition totals give each partition its offset. Storing is needed
     because range bounds are sampled: two evaluations of the same plan may cut at different rows. `order` has to be
@@ -54,14 +53,16 @@ def global_prefix(
     one = F.lit(1).cast("long") if weight is None else weight
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort = [*groups, *order]
-    placed = cut_lineage(
-        df.withColumn("_w", one).repartitionByRange(n, *sort).sortWithinPartitions(*sort)
-        .withColumn("_part", F.spark_partition_id())
+    placed = stored(
+        df.withColumn("_w", one).repartitionByRange(n, *sort).withColumn("_part", F.spark_partition_id()), "ranges"
     )
     totals = placed.groupBy(*groups, "_part").agg(F.sum("_w").alias("_sum"))
     earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(START, -1)
     # At most one row per partition and one more per group.
-    offsets = totals.select(*groups, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    offsets = totals.select(
+        *groups, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"),
+        F.sum("_sum").over(Window.partitionBy(*groups)).alias("total"),
+    )
     inside = Window.partitionBy(*groups, "_part").orderBy(*order).rowsBetween(START, -1)
     return (
         join_back(placed, F.broadcast(offsets), [*groups, "_part"])
@@ -78,18 +79,17 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("_n"))
     ranked = global_prefix(counted, [value], F.col("_n"), groups=[group])
-    totals = small_side(ranked.groupBy(group).agg(F.sum("_n").alias("_total")))
-    placed = join_back(ranked, totals, [group])
     picks, edges = [], []
     for i, p in enumerate(probs):
-        position = (F.col("_total") - 1) * F.lit(float(p))
+        position = (F.col("total") - 1) * F.lit(float(p))
         for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             here = (F.col("before") <= rank) & (rank < F.col("before") + F.col("_n"))
             picks.append(F.max(F.when(here, F.col(value))).alias(f"{side}{i}"))
-        share = (F.col("_total") - 1) * F.lit(float(p)) - F.floor((F.col("_total") - 1) * F.lit(float(p)))
+        at = (F.col("n") - 1) * F.lit(float(p))
+        share = at - F.floor(at)
         edges.append(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * share)
-    found = placed.groupBy(group).agg(F.max("_total").alias("_total"), *picks)
-    return found.select(group, F.col("_total").alias("n"), F.array(*edges).alias("quantiles"))
+    found = ranked.groupBy(group).agg(F.max("total").alias("n"), *picks)
+    return found.select(group, "n", F.array(*edges).alias("quantiles"))
 
 
 def rank_cuts(
@@ -101,7 +101,7 @@ def rank_cuts(
     each cut; only rows of those buckets are ranked. A cut at rank 0 is NULL.
     """
     keyed = df.select(*groups, *order, bucket.alias("_bucket"))
-    histogram = cut_lineage(keyed.groupBy(*groups, "_bucket").agg(F.count("*").alias("_n")))
+    histogram = stored(keyed.groupBy(*groups, "_bucket").agg(F.count("*").alias("_n")), "histogram")
     by_bucket = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(START, -1)
     total = F.sum("_n").over(Window.partitionBy(*groups))
     targets = F.array(*[F.floor(F.col("_total") * F.lit(float(f))) for f in fractions])

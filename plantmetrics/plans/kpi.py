@@ -32,7 +32,9 @@ def _inspection_totals(inspections: DataFrame) -> DataFrame:
     )
 
 
-def oee_from_logs(logs: DataFrame, inspections: DataFrame, as_of: str, days: int = 30) -> DataFrame:
+def oee_from_logs(
+    logs: DataFrame, inspections: DataFrame, as_of: str, days: int = 30, digits: int | None = 1
+) -> DataFrame:
     """OEE per equipment and day with a status: >= 0.85 on target, >= 0.75 improve, else urgent."""
     made = _log_totals(logs.filter(since(logs, "production_date", as_of, days)))
     judged = _inspection_totals(inspections.filter(since(inspections, "inspection_time", as_of, days)))
@@ -42,9 +44,9 @@ def oee_from_logs(logs: DataFrame, inspections: DataFrame, as_of: str, days: int
     )
     oee = F.col("a") * F.col("p") * F.col("q")
     return share.select(
-        "equipment_id", "production_date", pct(F.col("a"), 1).alias("availability_pct"),
-        pct(F.col("p"), 1).alias("performance_pct"), pct(F.col("q"), 1).alias("quality_pct"),
-        pct(oee, 1).alias("oee_pct"),
+        "equipment_id", "production_date", pct(F.col("a"), digits).alias("availability_pct"),
+        pct(F.col("p"), digits).alias("performance_pct"), pct(F.col("q"), digits).alias("quality_pct"),
+        pct(oee, digits).alias("oee_pct"),
         tiered(oee, [(0.85, "on target"), (0.75, "improve")], "urgent").alias("status"),
     ).orderBy(F.desc("production_date"), "oee_pct", "equipment_id")
 
@@ -82,7 +84,9 @@ def oee_from_sensors(hourly: DataFrame) -> DataFrame:
     )
 
 
-def gold_oee(logs: DataFrame, master: DataFrame, inspections: DataFrame, fanout: bool = False) -> DataFrame:
+def gold_oee(
+    logs: DataFrame, master: DataFrame, inspections: DataFrame, fanout: bool = False, digits: int | None = 2
+) -> DataFrame:
     """Ratios and percentages per equipment and day; quality is NULL where nothing was inspected.
 
     Both fact sides are reduced to (equipment, day) before they meet. With `fanout` the quantity is what joining raw
@@ -99,9 +103,9 @@ def gold_oee(logs: DataFrame, master: DataFrame, inspections: DataFrame, fanout:
         ratio(F.col("passed"), F.col("judged")).alias("quality"), (F.col("actual_qty") * times).alias("total_actual_qty"),
     )
     return shares.select(
-        "*", pct(F.col("availability") * F.col("performance") * F.col("quality"), 2).alias("oee_pct"),
-        pct(F.col("availability"), 2).alias("availability_pct"), pct(F.col("performance"), 2).alias("performance_pct"),
-        pct(F.col("quality"), 2).alias("quality_pct"),
+        "*", pct(F.col("availability") * F.col("performance") * F.col("quality"), digits).alias("oee_pct"),
+        pct(F.col("availability"), digits).alias("availability_pct"),
+        pct(F.col("performance"), digits).alias("performance_pct"), pct(F.col("quality"), digits).alias("quality_pct"),
     )
 
 

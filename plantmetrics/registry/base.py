@@ -15,6 +15,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+PERCENTAGES = ("oee_pct", "availability_pct", "performance_pct", "quality_pct")
+
+
 class Inputs:
     """Tables and views below one folder."""
 
@@ -37,7 +40,10 @@ class Inputs:
         return kpi.oee_from_sensors(kpi.equipment_hourly(self.silver()))
 
     def gold(self) -> DataFrame:
-        return kpi.gold_oee(self.view("production_logs"), self.view("equipment_master"), self.view("quality_inspections"))
+        gold = kpi.gold_oee(
+            self.view("production_logs"), self.view("equipment_master"), self.view("quality_inspections"), digits=None
+        )
+        return gold.withColumns({c: near(c, 2) for c in PERCENTAGES})
 
 
 def query(name: str, sql: str | None = None, views: list[str] | None = None):
@@ -90,9 +96,10 @@ _INSPECTION_DAY = """
     SELECT equipment_id, CAST(CAST(inspection_time AS DATE) AS STRING) AS production_date,
            CAST(sum(CASE WHEN passed THEN 1 ELSE 0 END) AS DOUBLE) AS passed, CAST(count(*) AS DOUBLE) AS inspections
     FROM quality_inspections GROUP BY 1, 2"""
-_GOLD = """
-    SELECT *, round(availability * performance * quality * 100, 2) AS oee_pct, round(availability * 100, 2) AS availability_pct,
-           round(performance * 100, 2) AS performance_pct, round(quality * 100, 2) AS quality_pct
+_GOLD = f"""
+    SELECT *, {sql_near('availability * performance * quality * 100', 2)} AS oee_pct,
+           {sql_near('availability * 100', 2)} AS availability_pct, {sql_near('performance * 100', 2)} AS performance_pct,
+           {sql_near('quality * 100', 2)} AS quality_pct
     FROM (SELECT l.equipment_id, l.production_date, m.equipment_type, m.line_id, op_min / plan_min AS availability,
                  actual_qty / nullif(planned_qty, 0) AS performance, passed / inspections AS quality,
                  actual_qty AS total_actual_qty

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from plantmetrics.operators import anomaly, governance, quality
 from plantmetrics.plans import kpi, medallion
-from plantmetrics.registry.base import Inputs, day_text, near, query, sql_near
+from plantmetrics.registry.base import PERCENTAGES, Inputs, day_text, near, query, sql_near
 from plantmetrics.sources.fixtures import AS_OF, AS_OF_PRODUCTION
 
 PREVIOUS_DAY = "2024-01-30"
@@ -26,15 +26,16 @@ def daily_equipment(t: Inputs):
     return daily.withColumns({c: near(c) for c in ("avg_temp", "avg_vib", "avg_quality")})
 
 
-@query("k2_oee_from_logs", """
-SELECT equipment_id, production_date, round(a * 100, 1) AS availability_pct, round(p * 100, 1) AS performance_pct,
-       round(q * 100, 1) AS quality_pct, round(a * p * q * 100, 1) AS oee_pct,
+@query("k2_oee_from_logs", f"""
+SELECT equipment_id, production_date, {sql_near('a * 100', 1)} AS availability_pct, {sql_near('p * 100', 1)} AS performance_pct,
+       {sql_near('q * 100', 1)} AS quality_pct, {sql_near('a * p * q * 100', 1)} AS oee_pct,
        CASE WHEN a * p * q >= 0.85 THEN 'on target' WHEN a * p * q >= 0.75 THEN 'improve' ELSE 'urgent' END AS status
 FROM (SELECT l.equipment_id, l.production_date, op_min / plan_min AS a, actual_qty / planned_qty AS p, passed / inspections AS q
       FROM log_day l JOIN inspection_day i ON l.equipment_id = i.equipment_id AND l.production_date = i.production_date
       WHERE l.production_date >= '1998-12-01')""", ["log_day", "inspection_day"])
 def oee_from_logs(t: Inputs):
-    return kpi.oee_from_logs(t.view("production_logs"), t.view("quality_inspections"), AS_OF_PRODUCTION)
+    made = kpi.oee_from_logs(t.view("production_logs"), t.view("quality_inspections"), AS_OF_PRODUCTION, digits=None)
+    return made.withColumns({c: near(c, 1) for c in PERCENTAGES})
 
 
 @query("k3_hourly", f"""

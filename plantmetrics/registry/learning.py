@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantmetrics.functions.sizing import stored
 from plantmetrics.operators import features, models
 from plantmetrics.operators.ordered import dedup
 from plantmetrics.registry.base import DERIVED, FEATURES, Inputs, day_text, near, query, sql_near
-from plantmetrics.session import cut_lineage
 from plantmetrics.sources.fixtures import AS_OF
 
 TIE = ["event_id"]
@@ -34,7 +34,7 @@ def _labels(t: Inputs) -> DataFrame:
 
 
 def _training(t: Inputs) -> DataFrame:
-    return features.training_set(_labels(t), _features(t))
+    return features.training_set(stored(_labels(t), "labels"), stored(_features(t), "features"))
 
 
 def _shown(names) -> list:
@@ -96,8 +96,8 @@ FROM pdm_labels l ASOF LEFT JOIN (SELECT * FROM features WHERE shift = 'DAY') f
 ON l.equipment_id = f.equipment_id AND l.event_time >= f.event_time""", ["pdm_labels", "features"])
 def training_set(t: Inputs):
     """Features are refreshed in the day shift only, so most labels reach back."""
-    day = _features(t).filter("shift = 'DAY'")
-    joined = features.training_set(_labels(t), day)
+    day = stored(_features(t).filter("shift = 'DAY'"), "features")
+    joined = features.training_set(stored(_labels(t), "labels"), day)
     return joined.select("equipment_id", "event_time", "failure_within_48h", *_shown(features.MODEL_FEATURES))
 
 
@@ -151,7 +151,7 @@ def impute(t: Inputs):
 @query("f11_train_and_score")
 def train_and_score(t: Inputs):
     """Metrics of a model trained on the earlier parts of the stratified split, on its test part."""
-    ready = cut_lineage(features.stratified_split(_training(t), "failure_within_48h", ["equipment_id", "event_time"]))
+    ready = stored(features.stratified_split(_training(t), "failure_within_48h", ["equipment_id", "event_time"]), "split")
     model = models.train_failure_model(ready.filter("part = 'train'"), "failure_within_48h", trees=10)
     scored = models.score(model, ready.filter("part = 'test'"))
     return models.classification_metrics(scored, "failure_within_48h", "failure_probability")

@@ -144,13 +144,13 @@ def _centroids(t: Inputs) -> DataFrame:
 
 
 @query("x8_best_match", f"""
-SELECT vec_id, CASE WHEN s > 0 THEN label END AS matched, {sql_near('greatest(s, 0)')} AS similarity_score FROM (
+SELECT vec_id, CASE WHEN s > 0 THEN CAST(label AS STRING) END AS matched, {sql_near('greatest(s, 0)')} AS similarity_score FROM (
     SELECT e.vec_id, c.label, {_COS.format(a='e.embedding', b='c.center')} AS s,
            row_number() OVER (PARTITION BY e.vec_id ORDER BY {_COS.format(a='e.embedding', b='c.center')} DESC, c.label) AS rn
     FROM embeddings e CROSS JOIN centroids c) WHERE rn = 1""", ["centroids"])
 def best_match(t: Inputs):
     matched = text.best_match(t.table("embeddings"), "embedding", _centroids(t), "label", "center")
-    return matched.select("vec_id", "matched", near("similarity_score").alias("similarity_score"))
+    return matched.select("vec_id", F.col("matched").cast("string").alias("matched"), near("similarity_score").alias("similarity_score"))
 
 
 ONE_WORD = {name: words[:1] for name, words in text.FAILURE_KEYWORDS.items()}
