@@ -101,8 +101,9 @@ def time_split(
     order = [ts, *tie]
     cuts = rank_cuts(df, order, fractions, F.date_trunc("minute", ts))
     key = F.struct(*order)
-    low, high = cuts.select("cut_0").scalar(), cuts.select("cut_1").scalar()
-    return df.withColumn(out, _parts(F.coalesce(key <= low, F.lit(False)), F.coalesce(key <= high, F.lit(False)), names))
+    both = cuts.select(F.struct("cut_0", "cut_1").alias("cuts")).scalar()
+    low, high = F.coalesce(key <= both["cut_0"], F.lit(False)), F.coalesce(key <= both["cut_1"], F.lit(False))
+    return df.withColumn(out, _parts(low, high, names))
 
 
 def stratified_split(

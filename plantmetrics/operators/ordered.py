@@ -233,19 +233,19 @@ def forward_max(df: DataFrame, key: str, ts: str, value: Column, seconds: int, o
     length = seconds + 1
     timed = df.withColumn("_sec", epoch_seconds(ts)).withColumn("_value", value)
     points = timed.groupBy(key, "_sec").agg(F.max("_value").alias("_value"))
-    data = points.select(
-        key, F.floor(F.col("_sec") / length).alias("_block"), F.col("_sec").alias("_at"), F.lit(0).alias("_probe"),
-        "_sec", "_value",
-    )
-    ahead = F.col("_sec") + seconds
-    probes = points.select(
-        key, F.floor(ahead / length).alias("_block"), ahead.alias("_at"), F.lit(1).alias("_probe"), "_sec",
-        F.lit(None).cast(points.schema["_value"].dataType).alias("_value"),
-    )
+
+    def mark(at: Column, probe: int, carried: Column) -> Column:
+        return F.struct(
+            F.floor(at / length).alias("_block"), at.alias("_at"), F.lit(probe).alias("_probe"), carried.alias("_value")
+        )
+
+    # Each point stands for itself and asks, as a probe, for the maximum up to the end of its frame.
+    nothing = F.lit(None).cast(points.schema["_value"].dataType)
+    marks = F.array(mark(F.col("_sec"), 0, F.col("_value")), mark(F.col("_sec") + seconds, 1, nothing))
     block = Window.partitionBy(key, "_block")
     head = F.max("_value").over(block.orderBy("_at", "_probe").rowsBetween(START, 0))
     rest = F.max("_value").over(block.orderBy(F.desc("_at"), F.desc("_probe")).rowsBetween(START, 0))
-    halves = data.unionByName(probes).select(
+    halves = points.select(key, "_sec", F.inline(marks)).select(
         key, "_sec", F.when(F.col("_probe") == 1, head).otherwise(rest).alias("_value")
     )
     reach = halves.groupBy(key, "_sec").agg(F.max("_value").alias(out))

@@ -113,7 +113,7 @@ def best_match(
     The references travel as one array value, its size checked in the plan. For larger sets use
     `retrieval.topk_similar(references, rows, k=1)`. Ties go to the smaller reference id.
     """
-    packed = references.agg(F.collect_list(F.struct(F.col(ref_id).alias("id"), F.col(ref_vector).alias("v"))).alias("r"))
+    packed = references.limit(max_references + 1).agg(F.collect_list(F.struct(F.col(ref_id).alias("id"), F.col(ref_vector).alias("v"))).alias("r"))
     problem = F.raise_error(F.lit(f"more than {max_references} references; use topk_similar")).cast(packed.schema["r"].dataType)
     checked = packed.select(F.when(F.size("r") > max_references, problem).otherwise(F.array_sort("r")).alias("r")).scalar()
     scored = F.transform(

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plantmetrics.operators.ordered import global_prefix
+
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A Parquet table by name below a folder."""
@@ -50,22 +52,42 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return union_by_name(counted)
 
 
-def _code(column: str, bounds: Sequence, width: int) -> Column:
+def _code(column: str, bounds: Sequence) -> Column:
     """Range-bucket number of a value: how many bounds lie below it."""
-    return F.least(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col(column))), F.lit(width - 1))
+    if not bounds:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col(column)))
+
+
+def _bounds(df: DataFrame, columns: Sequence[str], width: int) -> dict[str, list]:
+    """About `width` - 1 values per column that cut it into equal shares; the only numbers that reach the driver."""
+    probs = [i / width for i in range(1, width)]
+    texts = [c for c in columns if df.schema[c].dataType.typeName() in ("string", "boolean")]
+    others = [c for c in columns if c not in texts]
+    found = {}
+    if others:
+        found.update(df.agg(*[F.percentile_approx(c, probs, 10_000).alias(c) for c in others]).first().asDict())
+    for c in texts:
+        counted = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("_n"))
+        ranked = global_prefix(counted, [c], F.col("_n"))
+        picks = [
+            F.max(F.when((F.col("before") <= F.col("total") * p) & (F.col("total") * p < F.col("before") + F.col("_n")), F.col(c)))
+            for p in probs
+        ]
+        found[c] = ranked.agg(F.array(*picks).alias("b")).first()["b"]
+    return {c: sorted({b for b in found[c] or [] if b is not None}) for c in columns}
 
 
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
     """Bit-interleaved range-bucket numbers (2^bits buckets per column): near in all columns means near in value.
 
-    Bounds are approximate quantiles, at most 2^bits numbers per column.
+    Buckets are cut at quantiles, at most 2^bits numbers per column.
     """
     width = 2**bits
-    probs = [i / width for i in range(1, width)]
-    found = df.agg(*[F.percentile_approx(c, probs, 10_000).alias(c) for c in columns]).first()
+    found = _bounds(df, columns, width)
     z = F.lit(0)
     for place, column in enumerate(columns):
-        code = _code(column, found[column] or [], width)
+        code = _code(column, found[column])
         for bit in range(bits):
             taken = F.shiftright(code, bit).bitwiseAND(F.lit(1))
             z = z.bitwiseOR(F.shiftleft(taken, bit * len(columns) + place))
