@@ -73,7 +73,7 @@ def html_to_markdown(df: DataFrame, column: str, only_with: str | None = "<table
         out = F.regexp_replace(out, pattern, replacement)
     for entity, char in HTML_ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(char))
-    out = F.trim(F.regexp_replace(out, r"\n{3,}", "\n\n"))
+    out = F.btrim(F.regexp_replace(out, r"\n{3,}", "\n\n"), F.lit(" \n"))
     return df.withColumn(column, F.when(F.contains(text, F.lit(only_with)), out).otherwise(text) if only_with else out)
 
 

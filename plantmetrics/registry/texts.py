@@ -211,7 +211,7 @@ def _markdown_sql() -> str:
         quoted = char.replace("'", "''")
         out = f"replace({out}, '{entity}', '{quoted}')"
     line = "\n"
-    return f"trim(regexp_replace({out}, '{line}{{3,}}', '{line}{line}', 'g'))"
+    return f"trim(regexp_replace({out}, '{line}{{3,}}', '{line}{line}', 'g'), ' {line}')"
 
 
 @query("r2_html_to_markdown", f"SELECT page_id, {_markdown_sql()} AS markdown FROM pages")
