@@ -6,6 +6,7 @@ key's time line into bounded pieces first and carry the little that crosses a cu
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -160,8 +161,8 @@ def rolling(
     """Trailing row-frame statistics: {output: (avg | std | max | sum, input, rows incl. the current one)}.
 
     avg, std and sum come from differences of running sums (of values centred on the chunk mean), so their cost does
-    not grow with the frame; max uses a plain row frame. One shuffle and one sort serve all outputs. NaN readings
-    count as missing.
+    not grow with the frame; max combines maxima of short frames and grows with its root. One shuffle and one sort
+    serve all outputs. NaN readings count as missing.
     """
     inputs: dict[str, str] = {}
     columns: dict[str, Column] = {}
@@ -186,6 +187,10 @@ def rolling(
         running[f"{x}_s"] = F.sum(off).over(to_here)
         if x in squared:
             running[f"{x}_q"] = F.sum(off * off).over(to_here)
+    for fn, source, rows in frames.values():
+        if fn == "max":
+            step = math.isqrt(rows - 1) + 1
+            running[f"{inputs[str(source)]}_p{step}"] = F.max(inputs[str(source)]).over(w.rowsBetween(1 - step, 0))
     totals = centred.withColumns(running)
 
     def within(column: str, rows: int) -> Column:
@@ -195,7 +200,10 @@ def rolling(
     for fn, source, rows in frames.values():
         x = inputs[str(source)]
         if fn == "max":
-            moments[f"{x}_m{rows}"] = F.max(x).over(w.rowsBetween(1 - rows, 0))
+            step = math.isqrt(rows - 1) + 1
+            part = F.col(f"{x}_p{step}")
+            earlier = [F.lag(part, back).over(w) for back in [*range(step, rows - step, step), rows - step] if back > 0]
+            moments[f"{x}_m{rows}"] = F.greatest(part, *earlier) if earlier else part
             continue
         moments[f"{x}_n{rows}"] = within(f"{x}_n", rows)
         moments[f"{x}_s{rows}"] = within(f"{x}_s", rows)
