@@ -159,11 +159,11 @@ def version_counts(versions: dict[str, DataFrame]) -> DataFrame:
 
 def history_summary(log: DataFrame) -> DataFrame:
     """Per change type its first version, next to the newest version of the log."""
-    newest = log.agg(F.max("_commit_version").alias("v")).scalar()
-    return (
-        log.groupBy("_change_type").agg(F.min("_commit_version").alias("first_version"))
-        .withColumn("latest_version", newest)
+    per_type = log.groupBy("_change_type").agg(
+        F.min("_commit_version").alias("first_version"), F.max("_commit_version").alias("_last")
     )
+    # At most four rows by now.
+    return per_type.withColumn("latest_version", F.max("_last").over(Window.partitionBy())).drop("_last")
 
 
 def expire_changes(log: DataFrame, keys: Sequence[str], as_of: str, hours: int = 168) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantmetrics.functions.expressions import count_where, night, ratio
@@ -136,7 +136,8 @@ def class_weight(df: DataFrame, label: str) -> DataFrame:
 def label_distribution(df: DataFrame, label: str) -> DataFrame:
     """Rows and share per label."""
     counted = df.groupBy(label).agg(F.count("*").alias("row_count"))
-    total = counted.agg(F.sum("row_count").alias("n")).scalar()
+    # One row per label by now.
+    total = F.sum("row_count").over(Window.partitionBy())
     return counted.withColumn("share", ratio(F.col("row_count"), total))
 
 

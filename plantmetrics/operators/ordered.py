@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from plantmetrics.functions.expressions import epoch_seconds
 from plantmetrics.functions.sizing import join_back, small_side, stored
 
+MAX_GROUP_ROWS = 100_000
 START = Window.unboundedPreceding
 END = Window.unboundedFollowing
 
@@ -121,6 +122,19 @@ def rank_cuts(
     return ranked.groupBy(*groups).agg(*cuts)
 
 
+def long_keys(df: DataFrame, key: str, rows: int) -> DataFrame | None:
+    """Keys with more than `rows` rows (there are few by construction), or None when there are none.
+
+    Only such keys have to be cut; the count is aggregated map-side and reads one column.
+    """
+    found = stored(df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows).select(key), "long-keys")
+    return None if found.isEmpty() else found
+
+
+def _flag_long(df: DataFrame, long: DataFrame, key: str) -> DataFrame:
+    return join_back(df, long.withColumn("_long", F.lit(True)), [key])
+
+
 def _chunk_layout(df: DataFrame, key: str, halo: int, chunk_rows: int) -> DataFrame:
     """For each (key, bucket): its own chunk and the later chunks that need its rows as lead-in."""
     w = Window.partitionBy(key).orderBy("_bucket").rowsBetween(START, -1)
@@ -140,17 +154,23 @@ def in_chunks(
     """Cut each key's time line into chunks of about `chunk_rows` rows, each led in by at least `halo` earlier rows.
 
     Adds `_chunk` and `_lead` (TRUE for lead-in rows, to be dropped after the window). Trailing row frames of up to
-    halo + 1 rows over (key, _chunk) give the same values as over the whole key. A time bucket is the unit that is
-    never split, so `bucket_seconds` bounds the chunk size from below.
+    halo + 1 rows over (key, _chunk) give the same values as over the whole key. Keys of at most `chunk_rows` rows stay
+    whole. A time bucket is the unit that is never split, so `bucket_seconds` bounds the chunk size from below.
     """
-    size = max(chunk_rows or max(100_000, 8 * halo), halo, 1)
-    bucketed = df.withColumn("_bucket", F.floor(epoch_seconds(ts) / bucket_seconds))
-    layout = small_side(_chunk_layout(bucketed, key, halo, size))
+    size = max(chunk_rows or max(MAX_GROUP_ROWS, 8 * halo), halo, 1)
+    first = F.lit(0).cast("long")
+    long = long_keys(df, key, size)
+    if long is None:
+        return df.withColumns({"_chunk": first, "_lead": F.lit(False)})
+    bucketed = _flag_long(df, long, key).withColumn(
+        "_bucket", F.when(F.col("_long"), F.floor(epoch_seconds(ts) / bucket_seconds))
+    )
+    layout = small_side(_chunk_layout(bucketed.filter("_long"), key, halo, size))
     return (
         join_back(bucketed, layout, [key, "_bucket"])
-        .withColumn("_chunk", F.explode("_chunks"))
-        .withColumn("_lead", F.col("_chunk") != F.col("_own"))
-        .drop("_bucket", "_own", "_chunks")
+        .withColumn("_chunk", F.explode(F.coalesce("_chunks", F.array(first))))
+        .withColumn("_lead", F.col("_chunk") != F.coalesce("_own", first))
+        .drop("_bucket", "_own", "_chunks", "_long")
     )
 
 
@@ -261,43 +281,46 @@ def forward_max(df: DataFrame, key: str, ts: str, value: Column, seconds: int, o
 
 
 def as_of_join(
-    left: DataFrame, right: DataFrame, key: str, ts: str, columns: Sequence[str], bucket_seconds: int = 60
+    left: DataFrame, right: DataFrame, key: str, ts: str, columns: Sequence[str], bucket_seconds: int = 60,
+    whole_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Each left row with the right row of the same key that is newest at or before its time.
 
-    Both sides are united and walked in time order inside (key, time bucket). What a bucket inherits from earlier
-    ones - the last right row - is worked out on one row per bucket and enters as an extra first row, so neither a
-    range join nor a per-key sort is needed.
+    Both sides are united and walked in time order. Keys of more than `whole_rows` rows are walked per time bucket:
+    what a bucket inherits from earlier ones - the last right row - is worked out on one row per bucket and enters as
+    an extra first row, so neither a range join nor a sort of a long key is needed.
     """
-    bucket = F.floor(epoch_seconds(ts) / bucket_seconds).alias("_bucket")
     kept = [c for c in left.columns if c not in (key, ts)]
     nothing = F.lit(None)
     right_type = right.select(F.struct(*columns).alias("f")).schema["f"].dataType
     lefts = left.select(
-        key, ts, bucket, F.lit(2).alias("_kind"), nothing.cast(right_type).alias("_found"), F.struct(*kept).alias("_row")
+        key, ts, F.lit(2).alias("_kind"), nothing.cast(right_type).alias("_found"), F.struct(*kept).alias("_row")
         if kept else nothing.cast("int").alias("_row"),
     )
     row_type = lefts.schema["_row"].dataType
     rights = right.select(
-        key, ts, bucket, F.lit(1).alias("_kind"), F.struct(*columns).alias("_found"), nothing.cast(row_type).alias("_row")
+        key, ts, F.lit(1).alias("_kind"), F.struct(*columns).alias("_found"), nothing.cast(row_type).alias("_row")
     )
     both = lefts.unionByName(rights)
-    last = F.max_by("_found", F.when(F.col("_kind") == 1, F.col(ts))).alias("_found")
-    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(START, -1)
-    inherited = (
-        both.groupBy(key, "_bucket").agg(last)
-        .withColumn("_found", F.last("_found", ignorenulls=True).over(before))
-        .filter(F.col("_found").isNotNull())
-        .select(
-            key, nothing.cast(left.schema[ts].dataType).alias(ts), "_bucket", F.lit(0).alias("_kind"), "_found",
-            nothing.cast(row_type).alias("_row"),
+    long = long_keys(both, key, whole_rows)
+    if long is None:
+        walked = both.withColumn("_bucket", F.lit(0))
+    else:
+        time_bucket = F.when(F.col("_long"), F.floor(epoch_seconds(ts) / bucket_seconds))
+        walked = _flag_long(both, long, key).withColumn("_bucket", time_bucket)
+        last = F.max_by("_found", F.when(F.col("_kind") == 1, F.col(ts))).alias("_found")
+        before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(START, -1)
+        inherited = (
+            walked.filter("_long").groupBy(key, "_bucket").agg(last)
+            .withColumn("_found", F.last("_found", ignorenulls=True).over(before))
+            .filter(F.col("_found").isNotNull())
+            .select(
+                key, nothing.cast(left.schema[ts].dataType).alias(ts), F.lit(0).alias("_kind"), "_found",
+                nothing.cast(row_type).alias("_row"), "_bucket",
+            )
         )
-    )
+        walked = walked.drop("_long").unionByName(inherited)
     walk = Window.partitionBy(key, "_bucket").orderBy(F.asc_nulls_first(ts), "_kind").rowsBetween(START, 0)
-    matched = (
-        both.unionByName(inherited)
-        .withColumn("_found", F.last("_found", ignorenulls=True).over(walk))
-        .filter(F.col("_kind") == 2)
-    )
+    matched = walked.withColumn("_found", F.last("_found", ignorenulls=True).over(walk)).filter(F.col("_kind") == 2)
     parts = [F.col(f"_row.{c}").alias(c) for c in kept]
     return matched.select(key, ts, *parts, *[F.col(f"_found.{c}").alias(c) for c in columns])

@@ -6,7 +6,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -22,6 +21,7 @@ ELEMENTS = (
 )
 MAX_QUERIES = 4096
 BLOCK_ROWS = 50_000
+QUERY_SLICE = 256
 
 
 def page_chunks(df: DataFrame, elements: str, keys: Sequence[str]) -> DataFrame:
@@ -104,12 +104,9 @@ def chunk_counts(chunks: DataFrame, by: Sequence[str]) -> DataFrame:
 def embed_text(df: DataFrame, text: str, out: str = "embedding", dims: int = 256) -> DataFrame:
     """Unit-length hashed word-count vector. Stateless, so an incremental run gives the vectors of a full one."""
     named = df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    stages = Pipeline(stages=[
-        RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"[^\p{L}\p{N}]+", gaps=True),
-        HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dims),
-        Normalizer(inputCol="_counts", outputCol="_unit"),
-    ])
-    made = stages.fit(named).transform(named)
+    words = RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"[^\p{L}\p{N}]+", gaps=True)
+    counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dims)
+    made = Normalizer(inputCol="_counts", outputCol="_unit").transform(counts.transform(words.transform(named)))
     return made.withColumn(out, vector_to_array("_unit", "float32")).drop("_text", "_words", "_counts", "_unit")
 
 
@@ -146,17 +143,19 @@ def _unit(vectors: Sequence) -> np.ndarray:
 
 
 def _best(corpus: pd.DataFrame, queries: pd.DataFrame, unit_queries: np.ndarray, k: int, filters: Sequence[str]) -> pd.DataFrame:
-    """Top k of one batch per query, ties kept by smaller corpus id."""
+    """Top k of one batch per query, ties kept by smaller corpus id. Queries go in slices to bound the score matrix."""
     parts = []
-    if len(corpus) and len(queries):
-        ids = corpus["c_id"].to_numpy()
-        scores = _unit(corpus["c_vec"]) @ unit_queries.T
+    ids = corpus["c_id"].to_numpy()
+    unit_corpus = _unit(corpus["c_vec"]) if len(corpus) and len(queries) else None
+    for start in range(0, len(queries) if len(corpus) else 0, QUERY_SLICE):
+        asked = queries.iloc[start:start + QUERY_SLICE]
+        scores = unit_corpus @ unit_queries[start:start + QUERY_SLICE].T
         allowed = ~np.isnan(scores)
         for name in filters:
-            wanted = queries[name].to_numpy()[None, :]
+            wanted = asked[name].to_numpy()[None, :]
             allowed &= pd.isna(wanted) | (corpus[name].to_numpy()[:, None] == wanted)
         scores = np.where(allowed, scores, -np.inf)
-        for j, q_id in enumerate(queries["q_id"]):
+        for j, q_id in enumerate(asked["q_id"]):
             column = scores[:, j]
             if len(column) > k:
                 edge = np.partition(column, len(column) - k)[len(column) - k]

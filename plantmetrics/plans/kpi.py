@@ -274,9 +274,12 @@ def daily_report(
         F.round(F.avg("oee_pct"), 1).alias("avg_oee"), F.count("*").alias("days_tracked")
     )
     flagged = clean.filter(F.col("is_anomaly") & since(clean, "event_time", as_of, hours=hours))
-    total = flagged.agg(F.count("*").alias("n")).scalar()
-    affected = flagged.agg(F.countDistinct("equipment_id").alias("n")).scalar()
-    return per_line.withColumns({"total_anomalies": total, "affected_equipment": affected}).orderBy("avg_oee", "line_id")
+    per_equipment = flagged.groupBy("equipment_id").agg(F.count("*").alias("n"))
+    plant = per_equipment.agg(
+        F.struct(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("equipment_id").alias("affected")).alias("plant")
+    ).scalar()
+    counts = {"total_anomalies": plant["total"], "affected_equipment": plant["affected"]}
+    return per_line.withColumns(counts).orderBy("avg_oee", "line_id")
 
 
 def affected_equipment_estimate(clean: DataFrame) -> DataFrame:

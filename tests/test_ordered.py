@@ -67,10 +67,11 @@ def test_forward_max_equals_range_frame(spark):
     assert both.count() == 300
 
 
-def test_as_of_join_equals_merge_asof(spark):
+@pytest.mark.parametrize("whole_rows", [100_000, 150, 0])
+def test_as_of_join_equals_merge_asof(spark, whole_rows):
     right = readings(spark, n=200, seed=2).dropDuplicates(["key", "ts"])
     left = readings(spark, n=150, keys=("a", "b", "c"), seed=3).select("key", "ts", F.col("id").alias("row"))
-    got = ordered.as_of_join(left, right, "key", "ts", ["id", "v"]).toPandas().sort_values("row").reset_index(drop=True)
+    got = ordered.as_of_join(left, right, "key", "ts", ["id", "v"], whole_rows=whole_rows).toPandas().sort_values("row").reset_index(drop=True)
     want = pd.merge_asof(
         left.toPandas().sort_values("ts"), right.toPandas().sort_values("ts"), on="ts", by="key"
     ).sort_values("row").reset_index(drop=True)
