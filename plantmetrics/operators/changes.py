@@ -87,9 +87,17 @@ def initial_load(df: DataFrame, version: int, timestamp: str) -> DataFrame:
     return df.select("*", F.lit("insert").alias("_change_type"), *_stamp(version, timestamp))
 
 
-def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], version: int | Column, timestamp: str) -> DataFrame:
-    """Log rows that lead from one snapshot to the next; an update gives its row before and after."""
+def change_feed(
+    before: DataFrame, after: DataFrame, keys: Sequence[str], version: int | Column, timestamp: str,
+    check_keys: bool = True,
+) -> DataFrame:
+    """Log rows that lead from one snapshot to the next; an update gives its row before and after.
+
+    The job fails when a key repeats in a snapshot; `check_keys=False` leaves the check out where keys are known unique.
+    """
     values = [c for c in before.columns if c not in keys]
+    if check_keys:
+        before, after = unique_rows(before, keys), unique_rows(after, keys)
     left = before.select(*keys, F.struct(*values).alias("_b"))
     right = after.select(*keys, F.struct(*values).alias("_a"))
     b, a = F.col("_b"), F.col("_a")
@@ -146,7 +154,7 @@ def state_as_of(log: DataFrame, keys: Sequence[str], version: int | None = None,
 
 def restore(log: DataFrame, keys: Sequence[str], version: int, new_version: int, timestamp: str) -> DataFrame:
     """The log with a new version appended that leads back to the state of an old one."""
-    back = change_feed(state_as_of(log, keys), state_as_of(log, keys, version), keys, new_version, timestamp)
+    back = change_feed(state_as_of(log, keys), state_as_of(log, keys, version), keys, new_version, timestamp, False)
     return log.unionByName(back)
 
 

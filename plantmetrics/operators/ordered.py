@@ -60,14 +60,14 @@ def global_prefix(
     )
     totals = placed.groupBy(*groups, "_part").agg(F.sum("_w").alias("_sum"))
     earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(START, -1)
-    # At most one row per partition and one more per group.
+    # At most one row per partition and one more per group; with groups the stored size decides on the broadcast.
     offsets = totals.select(
         *groups, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"),
         F.sum("_sum").over(Window.partitionBy(*groups)).alias("total"),
     )
     inside = Window.partitionBy(*groups, "_part").orderBy(*order).rowsBetween(START, -1)
     return (
-        join_back(placed, F.broadcast(offsets), [*groups, "_part"])
+        join_back(placed, small_side(offsets) if groups else F.broadcast(offsets), [*groups, "_part"])
         .withColumn(out, F.col("_offset") + F.coalesce(F.sum("_w").over(inside), F.lit(0)))
         .drop("_w", "_part", "_offset")
     )
@@ -145,44 +145,61 @@ def _chunk_layout(df: DataFrame, key: str, halo: int, chunk_rows: int) -> DataFr
     first = F.greatest(own + 1, F.floor(end / chunk_rows))
     last = F.floor((end + halo - 1) / chunk_rows)
     later = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
-    return placed.select(key, "_bucket", own.alias("_own"), F.concat(F.array(own), later).alias("_chunks"))
+    chunks = F.concat(F.array(own), later).alias("_chunks")
+    return placed.select(key, "_bucket", "_n", "_base", own.alias("_own"), chunks)
+
+
+def _split_hot_buckets(rows: DataFrame, key: str, order: Sequence[str], halo: int, chunk_rows: int) -> DataFrame:
+    """Chunks by exact position for rows of buckets that are too large to stay whole."""
+    placed = global_prefix(rows, order, groups=[key, "_bucket"])
+    position = F.col("_base") + F.col("before")
+    own, reach = F.floor(position / chunk_rows), F.floor((position + halo) / chunk_rows)
+    chunks = F.when(reach > own, F.array(own, reach)).otherwise(F.array(own))
+    return placed.withColumns({"_own": own, "_chunks": chunks}).drop("before", "total")
 
 
 def in_chunks(
-    df: DataFrame, key: str, ts: str, halo: int, chunk_rows: int | None = None, bucket_seconds: int = 60
+    df: DataFrame, key: str, order: Sequence[str], halo: int, chunk_rows: int | None = None, bucket_seconds: int = 60,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Cut each key's time line into chunks of about `chunk_rows` rows, each led in by at least `halo` earlier rows.
 
     Adds `_chunk` and `_lead` (TRUE for lead-in rows, to be dropped after the window). Trailing row frames of up to
     halo + 1 rows over (key, _chunk) give the same values as over the whole key. Keys of at most `chunk_rows` rows stay
-    whole. A time bucket is the unit that is never split, so `bucket_seconds` bounds the chunk size from below.
+    whole; longer ones are cut between time buckets, from counts alone. A bucket of more than `hot_rows` rows is cut
+    inside, by exact positions, for which `order` (time first) has to be total.
     """
     size = max(chunk_rows or max(MAX_GROUP_ROWS, 8 * halo), halo, 1)
+    limit = hot_rows or 10 * size
     first = F.lit(0).cast("long")
     long = long_keys(df, key, size)
     if long is None:
         return df.withColumns({"_chunk": first, "_lead": F.lit(False)})
     bucketed = _flag_long(df, long, key).withColumn(
-        "_bucket", F.when(F.col("_long"), F.floor(epoch_seconds(ts) / bucket_seconds))
+        "_bucket", F.when(F.col("_long"), F.floor(epoch_seconds(order[0]) / bucket_seconds))
     )
     layout = small_side(_chunk_layout(bucketed.filter("_long"), key, halo, size))
+    placed = join_back(bucketed, layout, [key, "_bucket"])
+    if not layout.filter(F.col("_n") > limit).isEmpty():
+        hot = F.coalesce(F.col("_n") > limit, F.lit(False))
+        placed = placed.filter(~hot).unionByName(_split_hot_buckets(placed.filter(hot), key, order, halo, size))
     return (
-        join_back(bucketed, layout, [key, "_bucket"])
-        .withColumn("_chunk", F.explode(F.coalesce("_chunks", F.array(first))))
+        placed.withColumn("_chunk", F.explode(F.coalesce("_chunks", F.array(first))))
         .withColumn("_lead", F.col("_chunk") != F.coalesce("_own", first))
-        .drop("_bucket", "_own", "_chunks", "_long")
+        .drop("_bucket", "_n", "_base", "_own", "_chunks", "_long")
     )
 
 
 def rolling(
     df: DataFrame, key: str, ts: str, frames: Mapping[str, tuple[str, Column | str, int]], tie: Sequence[str] = (),
-    chunk_rows: int | None = None, bucket_seconds: int = 60,
+    chunk_rows: int | None = None, bucket_seconds: int = 60, hot_rows: int | None = None,
 ) -> DataFrame:
     """Trailing row-frame statistics: {output: (avg | std | max | sum, input, rows incl. the current one)}.
 
     avg, std and sum come from differences of running sums (of values centred on the chunk mean), so their cost does
     not grow with the frame; max combines maxima of short frames and grows with its root. One shuffle and one sort
-    serve all outputs. NaN readings count as missing.
+    serve all outputs. NaN readings count as missing. Without `tie`, rows of one time are ordered by their hash;
+    remove exact copies with `dedup` first where they may be many.
     """
     inputs: dict[str, str] = {}
     columns: dict[str, Column] = {}
@@ -193,9 +210,12 @@ def rolling(
             value = (F.col(source) if isinstance(source, str) else source).cast("double")
             columns[inputs[name]] = F.when(~F.isnan(value), value)
     widest = max(rows for _, _, rows in frames.values())
-    chunked = in_chunks(df, key, ts, widest - 1, chunk_rows, bucket_seconds).withColumns(columns)
+    order = [ts, *(tie or ["_tie"])]
+    total = df if tie else df.withColumn("_tie", F.xxhash64(*df.columns))
+    chunked = in_chunks(total, key, order, widest - 1, chunk_rows, bucket_seconds, hot_rows).withColumns(columns)
 
-    w = Window.partitionBy(key, "_chunk").orderBy(ts, *tie)
+    # Among exact copies the lead-in rows come first.
+    w = Window.partitionBy(key, "_chunk").orderBy(*order, F.desc("_lead"))
     to_here = w.rowsBetween(START, 0)
     squared = {inputs[str(s)] for fn, s, _ in frames.values() if fn == "std"}
     summed = {inputs[str(s)] for fn, s, _ in frames.values() if fn != "max"}
@@ -247,7 +267,7 @@ def rolling(
             # A gap below the rounding noise of the running sum is a window of equal values.
             spread = F.when(gap > 1e-13 * F.col(f"{x}_q"), gap).otherwise(0.0)
             results[name] = F.when(n > 1, F.sqrt(spread / F.when(n > 1, n - 1)))
-    helpers = ["_chunk", "_lead", *columns, *[f"{x}_c" for x in summed], *running, *moments]
+    helpers = ["_chunk", "_lead", "_tie", *columns, *[f"{x}_c" for x in summed], *running, *moments]
     return windowed.withColumns(results).drop(*helpers)
 
 
@@ -282,13 +302,14 @@ def forward_max(df: DataFrame, key: str, ts: str, value: Column, seconds: int, o
 
 def as_of_join(
     left: DataFrame, right: DataFrame, key: str, ts: str, columns: Sequence[str], bucket_seconds: int = 60,
-    whole_rows: int = MAX_GROUP_ROWS,
+    whole_rows: int = MAX_GROUP_ROWS, hot_rows: int = 10 * MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Each left row with the right row of the same key that is newest at or before its time.
 
     Both sides are united and walked in time order. Keys of more than `whole_rows` rows are walked per time bucket:
     what a bucket inherits from earlier ones - the last right row - is worked out on one row per bucket and enters as
-    an extra first row, so neither a range join nor a sort of a long key is needed.
+    an extra first row, so neither a range join nor a sort of a long key is needed. When some bucket holds more than
+    `hot_rows` rows, both sides are first reduced to one row per (key, time) and the matches joined back.
     """
     kept = [c for c in left.columns if c not in (key, ts)]
     nothing = F.lit(None)
@@ -308,6 +329,12 @@ def as_of_join(
     else:
         time_bucket = F.when(F.col("_long"), F.floor(epoch_seconds(ts) / bucket_seconds))
         walked = _flag_long(both, long, key).withColumn("_bucket", time_bucket)
+        crowded = walked.filter("_long").groupBy(key, "_bucket").agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+        if hot_rows and not crowded.isEmpty():
+            times = left.select(key, ts).distinct()
+            newest = right.groupBy(key, ts).agg(F.max(F.struct(*columns)).alias("_r")).select(key, ts, "_r.*")
+            matches = as_of_join(times, newest, key, ts, columns, bucket_seconds, whole_rows, hot_rows=0)
+            return join_back(left, matches, [key, ts]).select(key, ts, *kept, *columns)
         last = F.max_by("_found", F.when(F.col("_kind") == 1, F.col(ts))).alias("_found")
         before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(START, -1)
         inherited = (

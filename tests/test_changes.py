@@ -43,6 +43,12 @@ def test_feed_of_equal_snapshots_is_empty(spark):
     assert changes.change_feed(same, same, ["k"], 1, STAMP.format(1)).count() == 0
 
 
+def test_feed_fails_on_repeated_keys(spark):
+    twice = snapshot(spark, [(1, "a", 1), (1, "b", 2)])
+    with pytest.raises(Exception, match="repeats"):
+        changes.change_feed(twice, snapshot(spark, [(1, "a", 1)]), ["k"], 2, STAMP.format(2)).collect()
+
+
 def test_log_replays_every_version_and_restore_returns_to_it(spark):
     rng = random.Random(3)
     versions = [{k: (k, rng.choice("abc"), k) for k in range(40)}]

@@ -42,6 +42,37 @@ def test_rolling_equals_plain_row_frames(spark, chunk_rows, bucket_seconds):
         np.testing.assert_allclose(got[c].astype(float), want[c].astype(float), atol=1e-9)
 
 
+def test_rolling_splits_a_hot_bucket(spark):
+    df = readings(spark, n=300).withColumn("ts", F.when(F.col("id") % 2 == 0, F.lit("2024-01-01 02:00:00").cast("timestamp_ntz")).otherwise(F.col("ts")))
+    frames = {"a": ("avg", "v", 6), "m": ("max", "v", 11), "n": ("sum", F.lit(1), 11)}
+    got = ordered.rolling(df, "key", "ts", frames, ["id"], chunk_rows=20, hot_rows=25)
+    w = Window.partitionBy("key").orderBy("ts", "id")
+    want = df.select(
+        "id", F.avg("v").over(w.rowsBetween(-5, 0)).alias("a"), F.max("v").over(w.rowsBetween(-10, 0)).alias("m"),
+        F.sum(F.lit(1)).over(w.rowsBetween(-10, 0)).alias("n"),
+    )
+    got, want = (x.select("id", "a", "m", "n").orderBy("id").toPandas().astype(float) for x in (got, want))
+    np.testing.assert_allclose(got, want, atol=1e-9)
+    chunked = ordered.in_chunks(df, "key", ["ts", "id"], 10, 20, hot_rows=25)
+    assert chunked.groupBy("key", "_chunk").count().agg(F.max("count")).first()[0] <= 20 + 25 + 2 * 10
+
+
+def test_rolling_without_tie_handles_copies(spark):
+    df = spark.range(90).select(F.lit("k").alias("key"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"), F.lit(2.0).alias("v"))
+    got = ordered.rolling(df, "key", "ts", {"n": ("sum", F.lit(1), 7)}, chunk_rows=10, hot_rows=10)
+    assert got.columns == ["key", "ts", "v", "n"]
+    assert sorted(r.n for r in got.collect()) == [1, 2, 3, 4, 5, 6] + [7] * 84
+
+
+def test_as_of_join_with_a_hot_time(spark):
+    right = readings(spark, n=200, seed=2).dropDuplicates(["key", "ts"])
+    left = readings(spark, n=150, seed=3).select("key", "ts", F.col("id").alias("row"))
+    left = left.withColumn("ts", F.when(F.col("row") % 2 == 0, F.lit("2024-01-01 01:00:00").cast("timestamp_ntz")).otherwise(F.col("ts")))
+    plain = ordered.as_of_join(left, right, "key", "ts", ["id", "v"])
+    split = ordered.as_of_join(left, right, "key", "ts", ["id", "v"], whole_rows=10, hot_rows=20)
+    assert plain.exceptAll(split).count() == 0 and split.count() == 150
+
+
 def test_rolling_constant_series_has_zero_spread(spark):
     df = spark.range(50).select(
         F.col("id"), F.lit("k").alias("key"), F.timestamp_seconds(F.col("id") * 10).alias("ts"), F.lit(0.1).alias("v")
