@@ -139,20 +139,22 @@ def psi_report(
     sizes = [count_where(F.col("side") == s).alias(f"n_{s}") for s in ("ref", "cur")]
     counted = both.withColumn("bin", place).groupBy("feature").agg(*sizes, *tallies)
 
-    def share(side: str, i: int) -> Column:
-        raw = ratio(F.col(f"{side}{i}"), F.col(f"n_{side}"))
-        return F.when(raw == 0, 1e-6).otherwise(raw) if closed else raw + 1e-10
+    def shares(side: str) -> Column:
+        counts = F.array(*[F.col(f"{side}{i}") for i in range(bins)])
+        raw = F.transform(counts, lambda n: ratio(n, F.col(f"n_{side}")))
+        return F.transform(raw, lambda x: F.when(x == 0, 1e-6).otherwise(x) if closed else x + 1e-10)
 
-    terms = [(share("cur", i) - share("ref", i)) * F.log(share("cur", i) / share("ref", i)) for i in range(bins)]
-    psi = sum(terms[1:], terms[0])
+    terms = F.zip_with("ref_shares", "cur_shares", lambda r, c: (c - r) * F.log(c / r))
+    psi = F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
     if closed:
         psi = F.when((F.col("n_ref") >= min_rows) & (F.col("n_cur") >= min_rows), psi)
     status = (
         F.when(F.col("psi").isNull(), "too few rows").when(F.col("psi") < warning, "stable")
         .when(F.col("psi") < limit, "warning").otherwise("drift")
     )
+    shared = counted.select("feature", "n_ref", "n_cur", shares("ref").alias("ref_shares"), shares("cur").alias("cur_shares"))
     return (
-        counted.select("feature", "n_ref", "n_cur", psi.alias("psi")).withColumn("status", status)
+        shared.select("feature", "n_ref", "n_cur", psi.alias("psi")).withColumn("status", status)
         .orderBy(F.desc_nulls_last("psi"), "feature")
     )
 
