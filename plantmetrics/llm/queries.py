@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plantmetrics.llm import quality_rules
+from plantmetrics.llm import chat_format, quality_rules, warc
+from plantmetrics.session import scratch_path
 from plantmetrics.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +55,59 @@ QUALITY_RULES_SQL = rf"""
 @query("op6_quality_rules", QUALITY_RULES_SQL)
 def op6_quality_rules(spark: SparkSession, root: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, root, "documents"))
+
+
+WARC_SQL = """
+    WITH hashed AS (
+        SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+               sha256(coalesce(html, '')) AS payload_digest
+        FROM pages),
+    firsts AS (
+        SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS f
+        FROM hashed)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN f = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN f <> page_id THEN f END AS refers_to
+    FROM firsts"""
+
+
+@query("op5_warc", WARC_SQL)
+def op5_warc(spark: SparkSession, root: str) -> DataFrame:
+    records = warc.round_trip(read_table(spark, root, "pages"), scratch_path(spark, "warc"))
+    return records.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_CONTROLS = r"<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>"
+CHAT_SQL = rf"""
+    WITH every AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    joined AS (
+        SELECT conv_id, count(*) AS n_turns,
+               string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+               coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+               sum(24 + length(role) + length(text) + length(text) - length(replace(text, chr(92), ''))
+                   + len(regexp_extract_all(text, '{_CONTROLS}'))) AS chars
+        FROM every GROUP BY conv_id)
+    SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+           sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
+    FROM joined"""
+
+
+@query("op7_chat_formatting", CHAT_SQL)
+def op7_chat_formatting(spark: SparkSession, root: str) -> DataFrame:
+    ok = F.lit("</s>[INST] ok [/INST]").alias("text")
+    turn = F.col("id").alias("turn")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role")
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), turn, role, ok)
+    talks = read_table(spark, root, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    formatted = chat_format.format_conversations(talks)
+    read = formatted.select(
+        "conv_id", chat_format.training_text(F.col("segments")).alias("string"), chat_format.loss_text(F.col("segments")).alias("loss")
+    ).withColumn("turns", chat_format.parse(F.col("string")))
+    end = F.lit("\n")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], end, t["text"], end)), ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("string").cast("long").alias("formatted_chars"),
+    )
