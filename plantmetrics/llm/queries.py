@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantmetrics.llm import chat_format, quality_rules, warc
+from plantmetrics.llm import chat_format, quality_knn, quality_rules, url_markov, warc
 from plantmetrics.session import scratch_path
 from plantmetrics.sources.tables import read_table
 
@@ -111,3 +111,74 @@ def op7_chat_formatting(spark: SparkSession, root: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.length("string").cast("long").alias("formatted_chars"),
     )
+
+
+URL_SQL = r"""
+    WITH cut AS (
+        SELECT page_id,
+               coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+               coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+        FROM pages),
+    fitted AS (
+        SELECT *, CASE WHEN ('.' || host) LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
+                       WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/en/%' THEN 'example.com/en/'
+                       WHEN ('.' || host) LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
+                       WHEN ('.' || host) LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
+                       WHEN ('.' || host) LIKE '%.com' AND path LIKE '/%' THEN 'com/' END AS rule,
+               '^^^' || regexp_replace(translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^a-z0-9./_~%:$^-]', '*', 'g') || '$' AS signs
+        FROM cut),
+    ruled AS (SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS label
+              FROM fitted),
+    urls AS (SELECT signs, count(*) FILTER (WHERE label = 'allow') AS yes, count(*) FILTER (WHERE label = 'block') AS no,
+                    substr(md5(signs), 1, 1) BETWEEN '0' AND '3' AS held FROM ruled GROUP BY signs),
+    places AS (SELECT *, unnest(range(1, length(signs) - 2)) AS i FROM urls),
+    grams AS (SELECT signs, substr(signs, i, 4) AS g, CASE WHEN held THEN 0 ELSE yes END AS yes,
+                     CASE WHEN held THEN 0 ELSE no END AS no FROM places),
+    c4 AS (SELECT g, sum(yes) AS y4, sum(no) AS n4 FROM grams GROUP BY g),
+    c3 AS (SELECT substr(g, 2) AS g, sum(y4) AS y3, sum(n4) AS n3 FROM c4 GROUP BY 1),
+    c2 AS (SELECT substr(g, 2) AS g, sum(y3) AS y2, sum(n3) AS n2 FROM c3 GROUP BY 1),
+    c1 AS (SELECT substr(g, 2) AS g, sum(y2) AS y1, sum(n2) AS n1 FROM c2 GROUP BY 1),
+    t4 AS (SELECT substr(g, 1, 3) AS g, sum(y4) AS ty4, sum(n4) AS tn4 FROM c4 GROUP BY 1),
+    t3 AS (SELECT substr(g, 1, 2) AS g, sum(y3) AS ty3, sum(n3) AS tn3 FROM c3 GROUP BY 1),
+    t2 AS (SELECT substr(g, 1, 1) AS g, sum(y2) AS ty2, sum(n2) AS tn2 FROM c2 GROUP BY 1),
+    t1 AS (SELECT sum(y1) AS ty1, sum(n1) AS tn1 FROM c1),
+    parts AS (
+        SELECT c4.g, y4, n4, y3, n3, y2, n2, y1, n1, ty4, tn4, ty3, tn3, ty2, tn2, ty1, tn1
+        FROM c4 JOIN c3 ON c3.g = substr(c4.g, 2) JOIN c2 ON c2.g = substr(c4.g, 3) JOIN c1 ON c1.g = substr(c4.g, 4)
+        JOIN t4 ON t4.g = substr(c4.g, 1, 3) JOIN t3 ON t3.g = substr(c4.g, 2, 2) JOIN t2 ON t2.g = substr(c4.g, 3, 1), t1),
+    logs AS (
+        SELECT g, CAST(round((
+            ln((y4 + (y3 + (y2 + (y1 + CAST(1 AS DOUBLE) / 47) / (ty1 + 1)) / (ty2 + 1)) / (ty3 + 1)) / (ty4 + 1))
+            - ln((n4 + (n3 + (n2 + (n1 + CAST(1 AS DOUBLE) / 47) / (tn1 + 1)) / (tn2 + 1)) / (tn3 + 1)) / (tn4 + 1))) * 1000000) AS BIGINT) AS micro
+        FROM parts),
+    means AS (SELECT signs, least(greatest(floor(CAST(sum(micro) AS DOUBLE) / count(*) / 1000), -5000), 5000) AS bin
+              FROM grams JOIN logs USING (g) GROUP BY signs),
+    bins AS (SELECT bin, sum(yes) AS yes, sum(no) AS no FROM urls JOIN means USING (signs) WHERE held AND yes + no > 0 GROUP BY bin),
+    rated AS (SELECT bin, sum(yes) OVER (ORDER BY bin DESC) / nullif(CAST(sum(yes) OVER () AS DOUBLE), 0)
+                          - sum(no) OVER (ORDER BY bin DESC) / nullif(CAST(sum(no) OVER () AS DOUBLE), 0) AS gain FROM bins),
+    best AS (SELECT coalesce((SELECT bin FROM rated WHERE gain IS NOT NULL ORDER BY round(gain, 9) DESC, abs(bin), bin DESC LIMIT 1), 0) AS edge)
+    SELECT page_id, host, path, rule, coalesce(label, CASE WHEN bin >= edge THEN 'allow' ELSE 'block' END) AS verdict,
+           CAST(bin AS BIGINT) AS score_bin
+    FROM ruled JOIN means USING (signs), best"""
+
+
+@query("op2_url_filters", URL_SQL)
+def op2_url_filters(spark: SparkSession, root: str) -> DataFrame:
+    return url_markov.judge_urls(read_table(spark, root, "pages"))
+
+
+def held_out(key: str, parts: int, part: int) -> Column:
+    """Whether crc32 of the key as text leaves this remainder; a null key is never held out."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % parts == part, F.lit(False))
+
+
+@query("op10_quality_classifier")
+def op10_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
+    docs = read_table(spark, root, "documents")
+    labels = read_table(spark, root, "labels").filter(~held_out("doc_id", 3, 1))
+    scores = quality_knn.score(docs, quality_knn.fit(docs, labels))
+    return scores.select(
+        "doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
