@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantmetrics.llm import chat_format, quality_knn, quality_rules, url_markov, warc
+from plantmetrics.llm import chat_format, html_density, quality_knn, quality_rules, url_markov, warc
 from plantmetrics.session import scratch_path
 from plantmetrics.sources.tables import read_table
 
@@ -182,3 +182,9 @@ def op10_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
     return scores.select(
         "doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query("op8_html_extraction")
+def op8_html_extraction(spark: SparkSession, root: str) -> DataFrame:
+    texts = html_density.extract(read_table(spark, root, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
