@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantmetrics.llm import chat_format, html_density, quality_knn, quality_rules, url_markov, warc
+from plantmetrics.llm import chat_format, decontaminate, html_density, quality_knn, quality_rules, url_markov, warc
 from plantmetrics.session import scratch_path
 from plantmetrics.sources.tables import read_table
 
@@ -188,3 +188,8 @@ def op10_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
 def op8_html_extraction(spark: SparkSession, root: str) -> DataFrame:
     texts = html_density.extract(read_table(spark, root, "pages"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op4_benchmark_decontamination")
+def op4_benchmark_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    return decontaminate.matches(read_table(spark, root, "documents"), read_table(spark, root, "benchmark"))
