@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantmetrics.llm import chat_format, decontaminate, html_density, quality_knn, quality_rules, url_markov, warc
+from plantmetrics.llm import chat_format, decontaminate, html_density, mixing, quality_knn, quality_rules, url_markov, warc
 from plantmetrics.session import scratch_path
 from plantmetrics.sources.tables import read_table
 
@@ -193,3 +193,53 @@ def op8_html_extraction(spark: SparkSession, root: str) -> DataFrame:
 @query("op4_benchmark_decontamination")
 def op4_benchmark_decontamination(spark: SparkSession, root: str) -> DataFrame:
     return decontaminate.matches(read_table(spark, root, "documents"), read_table(spark, root, "benchmark"))
+
+
+def mixing_sql(documents: str) -> str:
+    """Rows (doc_id, domain, lang, source, epoch) of the production mix of a table."""
+    plan = mixing.Mix()
+
+    def case(values, column: str, default: str) -> str:
+        return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in values.items()) + f" ELSE {default} END"
+
+    def share(depth: int, weights: str, parent: str) -> str:
+        names = ["d", "l", "s"][:depth]
+        above = ", ".join(names[:-1])
+        part = f"PARTITION BY {above}" if above else ""
+        return f"""
+        n{depth} AS (
+            SELECT {", ".join("a." + n for n in names)}, sum(capacity) AS capacity, any_value({"total" if depth == 1 else "p.given"}) AS budget, any_value({weights}) AS w
+            FROM leaves a {"CROSS JOIN total" if depth == 1 else f"JOIN {parent} p USING ({above})"} GROUP BY {", ".join("a." + n for n in names)}),
+        v{depth} AS (
+            SELECT *, (budget - coalesce(sum(capacity) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                      / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM n{depth} WHERE w > 0 WINDOW o AS ({part} ORDER BY capacity / w, {names[-1]})),
+        g{depth} AS (SELECT {", ".join(names)}, least(capacity, w * max(level) OVER ({part})) AS given FROM v{depth})"""
+
+    return f"""
+    WITH light AS (
+        SELECT doc_id, lang, source, {case(plan.domains, "coalesce(source, '')", "'other'")} AS d, coalesce(lang, 'null') AS l,
+               coalesce(source, 'null') AS s, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n
+        FROM {documents}),
+        leaves AS (SELECT d, l, s, sum(n) AS tokens, CAST(sum(n) AS DOUBLE) * {plan.max_epochs} AS capacity FROM light GROUP BY d, l, s),
+        total AS (SELECT CAST(coalesce(sum(tokens), 0) AS DOUBLE) * {plan.budget_share} AS total FROM leaves),
+        {share(1, "CAST(" + case(plan.domain_weights, "a.d", "1.0") + " AS DOUBLE)", "")},
+        {share(2, "CAST(" + case(plan.lang_weights, "a.l", "1.0") + " AS DOUBLE)", "g1")},
+        {share(3, "CAST(1 AS DOUBLE)", "g2")},
+        spent AS (
+            SELECT d, l, s, tokens, CAST(floor(given + 1e-6) AS BIGINT) AS budget,
+                   CASE WHEN tokens > 0 THEN CAST(floor(given + 1e-6) AS BIGINT) // CAST(tokens AS BIGINT) ELSE 0 END AS epochs
+            FROM leaves JOIN g3 USING (d, l, s)),
+        placed AS (
+            SELECT light.*, epochs, budget - epochs * tokens AS rest,
+                   md5('{plan.seed}:' || (epochs + 1) || ':' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS place
+            FROM light JOIN spent USING (d, l, s)),
+        summed AS (SELECT *, sum(n) OVER (PARTITION BY d, l, s ORDER BY place) AS through FROM placed),
+        timed AS (SELECT *, epochs + CASE WHEN through <= rest THEN 1 ELSE 0 END AS times FROM summed)
+    SELECT doc_id, d AS domain, lang, source, CAST(unnest(range(1, times + 1)) AS INTEGER) AS epoch FROM timed"""
+
+
+@query("op3_source_mixing", mixing_sql("documents"))
+def op3_source_mixing(spark: SparkSession, root: str) -> DataFrame:
+    mixed = mixing.mix(read_table(spark, root, "documents").select("doc_id", "text", "lang", "source"))
+    return mixed.select("doc_id", F.col("mix_domain").alias("domain"), "lang", "source", F.col("mix_epoch").alias("epoch"))
