@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantmetrics.llm import chat_format, decontaminate, html_density, jaccard_groups, mixing, quality_knn, quality_rules, url_markov, warc
+from plantmetrics.llm import chat_format, decontaminate, html_density, jaccard_groups, mixing, quality_knn, quality_rules, recurrent_lm, url_markov, warc
 from plantmetrics.session import scratch_path
 from plantmetrics.sources.tables import read_table
 
@@ -254,9 +254,9 @@ JACCARD_SQL = r"""
         SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
         FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
     sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
-    both AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i
+    common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i
              FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-    links AS (SELECT x, y FROM both JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * i >= 90 * (p.n + q.n - i)),
+    links AS (SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * i >= 90 * (p.n + q.n - i)),
     reached AS (SELECT doc_id, doc_id AS c FROM w UNION SELECT y, c FROM reached JOIN links ON x = doc_id)
     SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(c) AS component_id
     FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
@@ -265,3 +265,12 @@ JACCARD_SQL = r"""
 @query("op1_ngram_jaccard_join", JACCARD_SQL)
 def op1_ngram_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
     return jaccard_groups.classes(read_table(spark, root, "documents"))
+
+
+@query("op9_lm_scoring")
+def op9_lm_scoring(spark: SparkSession, root: str) -> DataFrame:
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    scores = recurrent_lm.fit_and_score(docs, ~held_out("doc_id", 7, 2))
+    return scores.select(
+        "doc_id", held_out("doc_id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
