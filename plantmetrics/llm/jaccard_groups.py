@@ -260,3 +260,13 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", join: Join
     labelled = rows.select("id", "n", "f1", "f2").join(named, ["n", "f1", "f2"], "left")
     own = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component"))
     return labelled.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
+    """One row of each class, that with the smallest id, with all its columns; rows with a null id or without words all stay.
+
+    Of rows that repeat the smallest id, all stay. Only ids of rows to drop are joined with the rows.
+    """
+    found = classes(docs, key, text, join)
+    gone = found.filter((F.col("n_shingles") > 0) & (F.col(key) != F.col("component_id"))).select(F.col(key).alias("gone")).distinct()
+    return docs.join(stored(gone, "later-copies"), F.col(key) == F.col("gone"), "left_anti")
