@@ -30,6 +30,7 @@ _TOKEN = re.compile(
     |<(script|style|noscript|template|textarea|iframe|object|svg|math|select|button|title|head\b(?=.*</head))\b{_ATTRIBUTES}>.*?(?:</\1\s*>|\Z)
     |<(/?)([a-z][^\s/>]*)({_ATTRIBUTES})>
     |<[!?/][^>]*(?:>|\Z)
+    |<[a-z][^<>]*\Z
     |[^<]+
     |<""",
     re.X,

@@ -3,7 +3,8 @@
 Two texts link when the Jaccard similarity of their shingle sets is at least num / den. Equal sets are first made one node. Then
 
 1. Shingles get an order in which common ones come last: by the class (logarithm) of a count in a sketch of fixed size, then by
-   hash. Of sets of n shingles that link, the first n - ceil(t n) + l in this order share at least l, so only these are compared.
+   hash. If sets of n and m shingles must share a, the first n - a + l and m - a + l in this order share at least l, so only these
+   are compared; a bitmap of fixed size leaves out those that no other set has.
 2. Groups: nodes that share such tokens and are of like size are checked against one leader per token; verified links make groups
    of similar texts, stored in chunks of about `chunk` members.
 3. Matrix: (token, chunk of a group) says which tokens the union of a chunk's prefixes has, with its smallest and largest set. A
@@ -104,7 +105,7 @@ def _signed(docs: DataFrame, key: str, text: str, join: Join) -> DataFrame:
                     order = classes.value[(found >> np.uint64(64 - SLOT_BITS)).astype(np.int64)].astype(np.uint64)
                     tokens = (order << np.uint64(_CLASS_SHIFT)) | (found >> np.uint64(64 - _CLASS_SHIFT))
                     want = join.prefix(n)
-                    prefixes.append(np.partition(tokens, want - 1)[:want].view(np.int64) if 0 < want < n else tokens.view(np.int64))
+                    prefixes.append(np.sort(np.partition(tokens, want - 1)[:want] if 0 < want < n else tokens).view(np.int64))
                     sizes.append(n)
                     first.append(np.add.reduce(found, dtype=np.uint64).view(np.int64))
                     second.append(np.add.reduce(mixed(found + np.uint64(0x9E3779B97F4A7C15)), dtype=np.uint64).view(np.int64))
@@ -117,20 +118,52 @@ def _signed(docs: DataFrame, key: str, text: str, join: Join) -> DataFrame:
     return rows.mapInArrow(signed, f"id {dict(rows.dtypes)['id']}, n long, f1 long, f2 long, prefix array<long>")
 
 
-def _sets(docs: DataFrame, key: str, text: str, join: Join, wanted: DataFrame) -> DataFrame:
-    """(id, n, tokens) of at least the wanted ids: a bitmap of BITMAP / 8 bytes says which texts to read."""
-    slot = F.pmod(F.xxhash64("id"), F.lit(BITMAP)) + 1
-    bits = wanted.select(slot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
-    flat = np.zeros(BITMAP, bool)
+def _bitmap(numbers: DataFrame) -> np.ndarray:
+    """Packed bits, one per remainder of `number` by BITMAP; BITMAP / 8 bytes whatever the input."""
+    slot = F.pmod("number", F.lit(BITMAP)) + 1
+    bits = numbers.select(slot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
+    flat = np.zeros(BITMAP // 8, np.uint8)
     for row in bits.toLocalIterator():
-        flat[(row["bucket"] - 1) * 32768:row["bucket"] * 32768] = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(flat))
+        flat[(row["bucket"] - 1) * 4096:row["bucket"] * 4096] = np.frombuffer(row["bits"], np.uint8)
+    return flat
+
+
+def _named(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    slots = numbers & (BITMAP - 1)
+    return (bits[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _posted(nodes: DataFrame) -> DataFrame:
+    """(rep, n, token, at) for the prefix tokens that two nodes or more may have; `at` is the place in the prefix.
+
+    Tokens are counted by their last 30 bits, so one that stands alone may be kept, but none that is shared is lost.
+    """
+    counted = nodes.select(F.explode("prefix").alias("token")).groupBy(F.pmod("token", F.lit(1 << 30)).alias("number")).agg(F.count("*").alias("many"))
+    shared = nodes.sparkSession.sparkContext.broadcast(_bitmap(counted.filter("many > 1")))
+    id_kind = dict(nodes.dtypes)["rep"]
+
+    def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+            tokens = lists.flatten().to_numpy(zero_copy_only=False)
+            places = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            keep = np.flatnonzero(_named(shared.value, tokens))
+            rows = pa.array(np.repeat(np.arange(len(sizes)), sizes)[keep])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(tokens[keep]), pa.array(places[keep])], ["rep", "n", "token", "at"]
+            )
+
+    return nodes.select("rep", "n", "prefix").mapInArrow(posted, f"rep {id_kind}, n long, token long, at long")
+
+
+def _sets(docs: DataFrame, key: str, text: str, join: Join, wanted: DataFrame) -> DataFrame:
+    """(id, tokens) of at least the wanted ids: a bitmap says which texts to read."""
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted.select(F.xxhash64("id").alias("number"))))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots = batch.column(2).to_numpy(zero_copy_only=False)
-            named = (shared.value[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8) & 1).astype(bool)
-            batch = batch.filter(pa.array(named))
+            batch = batch.filter(pa.array(_named(shared.value, batch.column(2).to_numpy(zero_copy_only=False))))
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
                 sets = list(shingle_sets(part.column(1), join.size))
@@ -139,7 +172,7 @@ def _sets(docs: DataFrame, key: str, text: str, join: Join, wanted: DataFrame) -
                 )
 
     rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
-    rows = rows.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(BITMAP)))
+    rows = rows.withColumn("number", F.xxhash64("id"))
     return rows.mapInArrow(made, f"id {dict(rows.dtypes)['id']}, tokens binary")
 
 
@@ -201,8 +234,14 @@ def _opened(queries: DataFrame, members: DataFrame, sets: DataFrame, join: Join)
     return dealt.mapInArrow(linked, f"a {id_kind}, b {id_kind}")
 
 
-def _least_shared(n: Column, join: Join) -> Column:
-    return F.least(F.lit(join.shared), F.ceil(n * join.num / F.lit(join.den)))
+def _shared(n: Column, m: Column, join: Join) -> Column:
+    """Tokens that the prefixes of linked sets of n and m share at least."""
+    return F.least(F.lit(join.shared), F.ceil(F.least(n, m) * join.num / F.lit(join.den)))
+
+
+def _overlap(n: Column, m: Column, join: Join) -> Column:
+    """Overlap that linked sets of n and m have at least."""
+    return F.ceil((n + m) * join.num / F.lit(join.num + join.den))
 
 
 def _near_size(a: Column, b: Column, join: Join) -> Column:
@@ -217,13 +256,15 @@ def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, nodes: DataFrame, key: str, text: str, join: Join) -> DataFrame:
     """Links (a, b) between nodes (rep, n, prefix) that join exactly the nodes that the similarity joins, directly or not."""
-    posted = nodes.select("rep", "n", F.explode("prefix").alias("token"))
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(join.den / join.num))).cast("int")
-    by_token = posted.groupBy("token").agg(F.count("*").alias("many")).filter("many > 1").select("token")
-    posted = stored(posted.join(by_token, "token"), "postings")
-    leaders = posted.groupBy("token", band.alias("band")).agg(F.min(F.struct("rep", "n")).alias("lead"), F.count("*").alias("many")).filter("many > 1")
-    pairs = posted.withColumn("band", band).join(leaders, ["token", "band"]).filter((F.col("rep") != F.col("lead.rep")) & _near_size(F.col("n"), F.col("lead.n"), join))
-    near = pairs.groupBy("rep", F.col("lead.rep").alias("leader")).agg(F.count("*").alias("both"), F.first(_least_shared(F.least("n", F.col("lead.n")), join)).alias("need"))
+    posted = stored(_posted(nodes).withColumn("band", band), "postings")
+    leaders = posted.groupBy("token", "band").agg(F.min(F.struct("rep", "n", "at")).alias("lead"), F.count("*").alias("many")).filter("many > 1")
+    n, m = F.col("n"), F.col("lead.n")
+    # Past these places a token cannot be among the shared ones of sets of these sizes.
+    slack = _shared(n, m, join) - _overlap(n, m, join)
+    early = (F.col("at") - n < slack) & (F.col("lead.at") - m < slack)
+    pairs = posted.join(leaders, ["token", "band"]).filter((F.col("rep") != F.col("lead.rep")) & _near_size(n, m, join) & early)
+    near = pairs.groupBy("rep", F.col("lead.rep").alias("leader")).agg(F.count("*").alias("both"), F.first(_shared(n, m, join)).alias("need"))
     near = stored(near.filter("both >= need").select("rep", "leader"), "leaders")
     asking = near.select(F.col("rep").alias("id"), F.col("leader").alias("chunk"))
     asked = near.select(F.col("leader").alias("id"), F.col("leader").alias("chunk")).distinct()
@@ -234,14 +275,19 @@ def links(docs: DataFrame, nodes: DataFrame, key: str, text: str, join: Join) ->
     wide = sizes.groupBy("label").agg(F.ceil(F.count("*") / join.chunk).alias("chunks"))
     chunk = F.xxhash64("label", F.pmod(F.xxhash64("rep"), "chunks"))
     held = stored(sizes.join(wide, "label").select("rep", "n", "label", chunk.alias("chunk")), "chunks")
-    placed = posted.select("rep", "token").join(held, "rep")
+    placed = posted.select("rep", "token", "at").join(held, "rep")
     mixed_tokens = placed.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("token")
     placed = stored(placed.join(mixed_tokens, "token"), "matrix-rows")
-    matrix = placed.groupBy("token", "label", "chunk").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-    asks = placed.select("token", F.col("rep").alias("id"), F.col("n").alias("own_n"), F.col("label").alias("own"))
-    fits = (F.col("own") > F.col("label")) & (F.col("least_n") * join.num <= F.col("own_n") * join.den) & (F.col("own_n") * join.num <= F.col("most_n") * join.den)
-    bound = asks.join(matrix, "token").filter(fits).groupBy("id", "chunk").agg(
-        F.count("*").alias("both"), F.first(_least_shared(F.least("own_n", "least_n"), join)).alias("need")
+    matrix = placed.groupBy("token", "label", "chunk").agg(
+        F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.min(F.col("at") - F.col("n")).alias("first_at")
+    )
+    asks = placed.select("token", F.col("rep").alias("id"), F.col("n").alias("own_n"), F.col("label").alias("own"), "at")
+    n, m = F.col("own_n"), F.col("least_n")
+    slack = _shared(n, m, join) - _overlap(n, m, join)
+    fits = (F.col("own") > F.col("label")) & (m * join.num <= n * join.den) & (n * join.num <= F.col("most_n") * join.den)
+    early = (F.col("at") - n < slack) & (F.col("first_at") < slack)
+    bound = asks.join(matrix, "token").filter(fits & early).groupBy("id", "chunk").agg(
+        F.count("*").alias("both"), F.first(_shared(n, m, join)).alias("need")
     )
     opened = stored(bound.filter("both >= need").select("id", "chunk"), "opened")
     members = held.select(F.col("rep").alias("id"), "chunk").join(opened.select("chunk").distinct(), "chunk")
