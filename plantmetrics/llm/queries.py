@@ -156,9 +156,9 @@ URL_SQL = r"""
     means AS (SELECT signs, least(greatest(floor(CAST(sum(micro) AS DOUBLE) / count(*) / 1000), -5000), 5000) AS bin
               FROM grams JOIN logs USING (g) GROUP BY signs),
     bins AS (SELECT bin, sum(yes) AS yes, sum(no) AS no FROM urls JOIN means USING (signs) WHERE held AND yes + no > 0 GROUP BY bin),
-    rated AS (SELECT bin, sum(yes) OVER (ORDER BY bin DESC) / nullif(CAST(sum(yes) OVER () AS DOUBLE), 0)
+    rated AS (SELECT CAST(ceil((bin + coalesce(lead(bin) OVER (ORDER BY bin DESC), bin)) / 2) AS BIGINT) AS edge, sum(yes) OVER (ORDER BY bin DESC) / nullif(CAST(sum(yes) OVER () AS DOUBLE), 0)
                           - sum(no) OVER (ORDER BY bin DESC) / nullif(CAST(sum(no) OVER () AS DOUBLE), 0) AS gain FROM bins),
-    best AS (SELECT coalesce((SELECT bin FROM rated WHERE gain IS NOT NULL ORDER BY round(gain, 9) DESC, abs(bin), bin DESC LIMIT 1), 0) AS edge)
+    best AS (SELECT coalesce((SELECT edge FROM rated WHERE gain IS NOT NULL ORDER BY round(gain, 9) DESC, abs(edge), edge DESC LIMIT 1), 0) AS edge)
     SELECT page_id, host, path, rule, coalesce(label, CASE WHEN bin >= edge THEN 'allow' ELSE 'block' END) AS verdict,
            CAST(bin AS BIGINT) AS score_bin
     FROM ruled JOIN means USING (signs), best"""

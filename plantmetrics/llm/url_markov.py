@@ -109,18 +109,19 @@ def _log_ratio(grams: DataFrame) -> DataFrame:
 
 
 def _cut(scored: DataFrame) -> DataFrame:
-    """One row: the lowest accepted bin with the best sum of rates on the labelled URLs left out of the counts."""
+    """One row: the cut with the best sum of rates on the labelled URLs left out of the counts, halfway between two of their bins."""
     binned = scored.filter("held").groupBy("bin").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
     binned = binned.filter("yes + no > 0")
     # At most 2 * WIDEST + 1 bins.
     rated = binned.selectExpr(
         "bin", "sum(yes) OVER (ORDER BY bin DESC) / nullif(sum(yes) OVER (), 0) AS kept",
         "sum(no) OVER (ORDER BY bin DESC) / nullif(sum(no) OVER (), 0) AS leaked",
+        "CAST(ceil((bin + coalesce(lead(bin) OVER (ORDER BY bin DESC), bin)) / 2) AS bigint) AS edge",
     )
     best = rated.filter("kept IS NOT NULL AND leaked IS NOT NULL").selectExpr(
-        "struct(round(kept - leaked, 9) AS gain, -abs(bin) AS near, bin) AS x"
+        "struct(round(kept - leaked, 9) AS gain, -abs(edge) AS near, edge) AS x"
     )
-    return best.agg(F.coalesce(F.max("x")["bin"], F.lit(0)).alias("cut"))
+    return best.agg(F.coalesce(F.max("x")["edge"], F.lit(0)).alias("cut"))
 
 
 def judge_urls(
