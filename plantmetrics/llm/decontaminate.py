@@ -9,7 +9,7 @@ Words are runs without ASCII white space, A-Z lower-cased, with ASCII punctuatio
 count. Items go to the tasks in blocks of at most `block_bytes` of text, one pass over the documents each, so a larger benchmark
 costs passes, not memory.
 
-Defined cases: an item without words matches nothing; a null or empty text matches nothing; an item longer than a text matches if
+Defined cases: an item without words matches nothing; equal item rows count once; a null or empty text matches nothing; an item longer than a text matches if
 the missing words are within its errors; null ids are passed through; equal rows give equal rows; an empty table on either side
 gives no rows; other columns are never read.
 """
@@ -155,7 +155,7 @@ def item_blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text",
     texts: list[str] = []
     held = 0
     rows = benchmark.filter(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text")).distinct()
-    for row in rows.toLocalIterator():
+    for row in rows.coalesce(8).toLocalIterator(prefetchPartitions=True):
         size = len(row["text"].encode())
         if texts and held + size > block_bytes:
             yield ids, texts

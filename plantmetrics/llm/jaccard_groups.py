@@ -86,7 +86,7 @@ def _sketch(docs: DataFrame, text: str, join: Join) -> np.ndarray:
     partial = docs.select(F.col(text)).mapInArrow(counted, "part long, counts binary").withColumn("some", F.floor(F.spark_partition_id() / 256))
     once = partial.groupBy("part", "some").applyInPandas(lambda f: added(f), "part long, counts binary")
     total = np.zeros((_PARTS, width), np.int64)
-    for row in once.groupBy("part").applyInPandas(lambda f: added(f), "part long, counts binary").toLocalIterator():
+    for row in once.groupBy("part").applyInPandas(lambda f: added(f), "part long, counts binary").collect():
         total[row["part"]] = np.frombuffer(row["counts"], np.int64)
     return np.floor(np.log2(np.maximum(total.ravel(), 1))).astype(np.uint8)
 
@@ -123,7 +123,7 @@ def _bitmap(numbers: DataFrame) -> np.ndarray:
     slot = F.pmod("number", F.lit(BITMAP)) + 1
     bits = numbers.select(slot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
     flat = np.zeros(BITMAP // 8, np.uint8)
-    for row in bits.toLocalIterator():
+    for row in bits.collect():  # at most BITMAP / 32768 rows of 4 KB
         flat[(row["bucket"] - 1) * 4096:row["bucket"] * 4096] = np.frombuffer(row["bits"], np.uint8)
     return flat
 
