@@ -83,6 +83,16 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
+def _directions(rows: np.ndarray, rank: int, rounds: int = 12) -> np.ndarray:
+    """First right singular vectors, by subspace iteration from fixed random ones."""
+    rank = min(rank, *rows.shape)
+    found = np.random.default_rng(3).standard_normal((rows.shape[1], min(rank + 16, *rows.shape))).astype(np.float32)
+    for _ in range(rounds):
+        found, _ = np.linalg.qr(rows.T @ (rows @ found))
+    _, _, turned = np.linalg.svd(rows @ found, full_matrices=False)
+    return np.ascontiguousarray((found @ turned.T)[:, :rank]).astype(np.float32)
+
+
 def _labelled(labels: DataFrame, key: str, label: str, max_labelled: int) -> DataFrame:
     rows = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
     one = rows.groupBy(F.col(key).alias("key")).agg(F.avg(F.col(label).cast("double")).alias("label"))
@@ -115,8 +125,7 @@ def fit(
     marks = taught.column("label").to_numpy()
     weights = np.log((1 + len(found)) / (1 + np.count_nonzero(found, axis=0))).astype(np.float32) + 1
     weighted = _unit(found * weights)
-    _, directions = np.linalg.eigh(weighted.T @ weighted)
-    projection = np.ascontiguousarray(directions[:, ::-1][:, :rank]).astype(np.float32)
+    projection = _directions(weighted, rank)
     return Model(weights, projection, _unit(weighted @ projection), marks, float(marks.mean()), neighbours, sharpness)
 
 
