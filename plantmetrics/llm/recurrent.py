@@ -21,7 +21,7 @@ class Shape:
     classes: int
     head_classes: int
     hidden: int = 16
-    window: int = 16
+    window: int = 32
     slots: int = 256
 
     def parts(self) -> dict[str, tuple[int, ...]]:

@@ -35,9 +35,10 @@ END = np.uint64(0x0E4D0E4D0E4D0E4D)
 _LN10 = float(np.log(10))
 _CELL_BITS = 4
 _CELLS = 1 << _CELL_BITS
-_GROUPS = 8
+_GROUPS = 4
 _MARKERS = 64
 _TOKENS_AT_ONCE = 1 << 20
+_RANGE_BITS = 20
 
 
 @dataclass(frozen=True)
@@ -45,6 +46,7 @@ class Vocabulary:
     """Sorted hashes of the known words with count, class, place in the class and ln share of it, and the whole's totals."""
 
     hashes: np.ndarray
+    starts: np.ndarray
     counts: np.ndarray
     classes: np.ndarray
     members: np.ndarray
@@ -61,11 +63,15 @@ class Vocabulary:
         return self.shape.classes - 1
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, known) in the vocabulary of every token."""
+        """(place, known) in the vocabulary of every token: the first bits name a short range of places, which is walked."""
         if not len(self.hashes):
             return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.searchsorted(self.hashes, hashes)
-        at[at == len(self.hashes)] = 0
+        last = len(self.hashes) - 1
+        at = np.minimum(self.starts[hashes >> np.uint64(64 - _RANGE_BITS)], last)
+        behind = np.flatnonzero((self.hashes[at] < hashes) & (at < last))
+        while len(behind):
+            at[behind] += 1
+            behind = behind[(self.hashes[at[behind]] < hashes[behind]) & (at[behind] < last)]
         return at, self.hashes[at] == hashes
 
 
@@ -170,7 +176,7 @@ def _grouped(cells: np.ndarray) -> np.ndarray:
 
 
 def build_vocabulary(
-    docs: DataFrame, counts: DataFrame, text: str = "text", vocabulary: int = 1 << 18, grouped: int = 1 << 15, head: int = 1024
+    docs: DataFrame, counts: DataFrame, text: str = "text", vocabulary: int = 1 << 18, grouped: int = 1 << 15, head: int = 512
 ) -> tuple[Vocabulary, np.ndarray, np.ndarray]:
     """(vocabulary, class biases, word biases); at most `vocabulary` rows of two numbers reach the driver."""
     totals = counts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -196,8 +202,9 @@ def build_vocabulary(
     order = np.argsort(words)
     shape = Shape(inputs=head + n_classes, classes=n_classes, head_classes=max(head_classes, 0))
     inputs = np.where(np.arange(len(words)) < head, np.arange(len(words)), head + classes)
+    first_bits = np.arange(1 << _RANGE_BITS, dtype=np.uint64) << np.uint64(64 - _RANGE_BITS)
     made = Vocabulary(
-        words[order], many[order], classes[order], members[order], shares[order], inputs[order], shape,
+        words[order], np.searchsorted(words[order], first_bits).astype(np.int32), many[order], classes[order], members[order], shares[order], inputs[order], shape,
         int(totals["n"]), int(totals["v"]), tail_tokens, tail_words,
     )
     return made, np.log(np.maximum(per_class, 1)), word_bias[:shape.head_classes]
