@@ -6,7 +6,6 @@ key's time line into bounded pieces first and carry the little that crosses a cu
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -196,10 +195,10 @@ def rolling(
 ) -> DataFrame:
     """Trailing row-frame statistics: {output: (avg | std | max | sum, input, rows incl. the current one)}.
 
-    avg, std and sum come from differences of running sums (of values centred on the chunk mean), so their cost does
-    not grow with the frame; max combines maxima of short frames and grows with its root. One shuffle and one sort
-    serve all outputs. NaN readings count as missing. Without `tie`, rows of one time are ordered by their hash;
-    remove exact copies with `dedup` first where they may be many.
+    The state of the last 2^k rows is that of the last 2^(k-1) merged with the one 2^(k-1) rows back, and a frame is tiled by
+    such states without overlap. So a value touches only the frames that hold it, the result does not depend on the chunks, and
+    the cost grows with the logarithm of the frame. One shuffle and one sort serve all outputs. NaN readings count as missing.
+    Without `tie`, rows of one time are ordered by their hash; remove exact copies with `dedup` first where they may be many.
     """
     inputs: dict[str, str] = {}
     columns: dict[str, Column] = {}
@@ -212,63 +211,59 @@ def rolling(
     widest = max(rows for _, _, rows in frames.values())
     order = [ts, *(tie or ["_tie"])]
     total = df if tie else df.withColumn("_tie", F.xxhash64(*df.columns))
-    chunked = in_chunks(total, key, order, widest - 1, chunk_rows, bucket_seconds, hot_rows).withColumns(columns)
+    walked = in_chunks(total, key, order, widest - 1, chunk_rows, bucket_seconds, hot_rows).withColumns(columns)
 
     # Among exact copies the lead-in rows come first.
     w = Window.partitionBy(key, "_chunk").orderBy(*order, F.desc("_lead"))
-    to_here = w.rowsBetween(START, 0)
-    squared = {inputs[str(s)] for fn, s, _ in frames.values() if fn == "std"}
-    summed = {inputs[str(s)] for fn, s, _ in frames.values() if fn != "max"}
-    centred = chunked.withColumns({f"{x}_c": F.avg(x).over(w.rowsBetween(START, END)) for x in sorted(summed)})
-    running: dict[str, Column] = {}
-    for x in sorted(summed):
-        off = F.coalesce(F.col(x) - F.col(f"{x}_c"), F.lit(0.0))
-        running[f"{x}_n"] = F.count(x).over(to_here)
-        running[f"{x}_s"] = F.sum(off).over(to_here)
-        if x in squared:
-            running[f"{x}_q"] = F.sum(off * off).over(to_here)
-    for fn, source, rows in frames.values():
-        if fn == "max":
-            step = math.isqrt(rows - 1) + 1
-            running[f"{inputs[str(source)]}_p{step}"] = F.max(inputs[str(source)]).over(w.rowsBetween(1 - step, 0))
-    totals = centred.withColumns(running)
-
-    def within(column: str, rows: int) -> Column:
-        return F.col(column) - F.coalesce(F.lag(column, rows).over(w), F.lit(0))
-
-    moments: dict[str, Column] = {}
-    for fn, source, rows in frames.values():
-        x = inputs[str(source)]
-        if fn == "max":
-            step = math.isqrt(rows - 1) + 1
-            part = F.col(f"{x}_p{step}")
-            earlier = [F.lag(part, back).over(w) for back in [*range(step, rows - step, step), rows - step] if back > 0]
-            moments[f"{x}_m{rows}"] = F.greatest(part, *earlier) if earlier else part
-            continue
-        moments[f"{x}_n{rows}"] = within(f"{x}_n", rows)
-        moments[f"{x}_s{rows}"] = within(f"{x}_s", rows)
-        if fn == "std":
-            moments[f"{x}_q{rows}"] = within(f"{x}_q", rows)
-    windowed = totals.withColumns(moments).filter(~F.col("_lead"))
-
-    results: dict[str, Column] = {}
-    for name, (fn, source, rows) in frames.items():
-        x = inputs[str(source)]
-        if fn == "max":
-            results[name] = F.col(f"{x}_m{rows}")
-            continue
-        n, s, c = F.col(f"{x}_n{rows}"), F.col(f"{x}_s{rows}"), F.col(f"{x}_c")
-        if fn == "avg":
-            results[name] = F.when(n > 0, c + s / n)
-        elif fn == "sum":
-            results[name] = F.when(n > 0, c * n + s)
-        else:
-            gap = F.col(f"{x}_q{rows}") - s * s / F.when(n > 0, n)
-            # A gap below the rounding noise of the running sum is a window of equal values.
-            spread = F.when(gap > 1e-13 * F.col(f"{x}_q"), gap).otherwise(0.0)
-            results[name] = F.when(n > 1, F.sqrt(spread / F.when(n > 1, n - 1)))
-    helpers = ["_chunk", "_lead", "_tie", *columns, *[f"{x}_c" for x in summed], *running, *moments]
-    return windowed.withColumns(results).drop(*helpers)
+    needed = {inputs[str(s)]: sorted({r for _, other, r in frames.values() if str(other) == str(s)}) for _, s, _ in frames.values()}
+    frame_of = [(x, rows) for x, sizes in needed.items() for rows in sizes]
+    walked = walked.withColumns({f"{x}_0": _single(F.col(x)) for x in needed})
+    covered = dict.fromkeys(frame_of, 0)
+    # Every merge stands between two windows, so that no expression grows and none is pushed down whole.
+    for level in range(widest.bit_length()):
+        run = 1 << level
+        longer = [x for x, sizes in needed.items() if sizes[-1] >= 2 * run]
+        tiled = [(x, rows) for x, rows in frame_of if rows & run]
+        lagged = {f"{x}_e": F.lag(f"{x}_{level}", run).over(w) for x in longer}
+        lagged |= {f"{x}_r{rows}_e": F.lag(f"{x}_{level}", covered[x, rows]).over(w) for x, rows in tiled if covered[x, rows]}
+        merged = {f"{x}_{level + 1}": _merged(F.col(f"{x}_e"), F.col(f"{x}_{level}")) for x in longer}
+        for x, rows in tiled:
+            older, newer = F.col(f"{x}_r{rows}_e"), F.col(f"{x}_r{rows}")
+            merged[f"{x}_r{rows}"] = _merged(older, newer) if covered[x, rows] else F.col(f"{x}_{level}")
+            covered[x, rows] += run
+        walked = walked.withColumns(lagged).withColumns(merged).drop(*lagged, *[f"{x}_{level}" for x in needed])
+    results = {name: _figure(fn, F.col(f"{inputs[str(source)]}_r{rows}")) for name, (fn, source, rows) in frames.items()}
+    return walked.filter(~F.col("_lead")).withColumns(results).select(*df.columns, *[f for f in frames if f not in df.columns])
+
+
+def _single(value: Column) -> Column:
+    """State of one row: readings, sum, mean, squared deviations from the mean, greatest; NULL for a missing reading."""
+    state = F.struct(
+        F.lit(1).cast("long").alias("n"), value.alias("s"), value.alias("m"), (value - value).alias("q"), value.alias("top")
+    )
+    return F.when(value.isNotNull(), state)
+
+
+def _merged(a: Column, b: Column) -> Column:
+    """State of two neighbouring runs of rows, the earlier one first."""
+    n = a["n"] + b["n"]
+    gap = b["m"] - a["m"]
+    both = F.struct(
+        n.alias("n"), (a["s"] + b["s"]).alias("s"), (a["m"] + gap * b["n"] / n).alias("m"),
+        (a["q"] + b["q"] + gap * gap * a["n"] * b["n"] / n).alias("q"), F.greatest(a["top"], b["top"]).alias("top"),
+    )
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(both)
+
+
+def _figure(fn: str, state: Column) -> Column:
+    if fn == "max":
+        return state["top"]
+    if fn == "sum":
+        return state["s"]
+    if fn == "avg":
+        # With an infinity among the readings only the sum says on which side.
+        return F.when(F.isnan(state["m"]), state["s"] / state["n"]).otherwise(state["m"])
+    return F.when(state["n"] > 1, F.sqrt(state["q"] / (state["n"] - 1)))
 
 
 def forward_max(df: DataFrame, key: str, ts: str, value: Column, seconds: int, out: str) -> DataFrame:
@@ -302,17 +297,20 @@ def forward_max(df: DataFrame, key: str, ts: str, value: Column, seconds: int, o
 
 def as_of_join(
     left: DataFrame, right: DataFrame, key: str, ts: str, columns: Sequence[str], bucket_seconds: int = 60,
-    whole_rows: int = MAX_GROUP_ROWS, hot_rows: int = 10 * MAX_GROUP_ROWS,
+    whole_rows: int = MAX_GROUP_ROWS, hot_rows: int = 10 * MAX_GROUP_ROWS, tie: Sequence[str] = (),
 ) -> DataFrame:
     """Each left row with the right row of the same key that is newest at or before its time.
 
+    Of right rows of one key and time, the one with the greatest `tie` columns, then the greatest `columns`, stands for all:
+    the right side is reduced to it first, whatever its size.
     Both sides are united and walked in time order. Keys of more than `whole_rows` rows are walked per time bucket:
     what a bucket inherits from earlier ones - the last right row - is worked out on one row per bucket and enters as
     an extra first row, so neither a range join nor a sort of a long key is needed. When some bucket holds more than
-    `hot_rows` rows, both sides are first reduced to one row per (key, time) and the matches joined back.
+    `hot_rows` rows, the left side too is reduced to one row per (key, time) and the matches are joined back.
     """
     kept = [c for c in left.columns if c not in (key, ts)]
     nothing = F.lit(None)
+    right = right.groupBy(key, ts).agg(F.max(F.struct(F.struct(*tie, *columns).alias("t"), F.struct(*columns).alias("r")))["r"].alias("_r")).select(key, ts, "_r.*")
     right_type = right.select(F.struct(*columns).alias("f")).schema["f"].dataType
     lefts = left.select(
         key, ts, F.lit(2).alias("_kind"), nothing.cast(right_type).alias("_found"), F.struct(*kept).alias("_row")
@@ -332,8 +330,7 @@ def as_of_join(
         crowded = walked.filter("_long").groupBy(key, "_bucket").agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
         if hot_rows and not crowded.isEmpty():
             times = left.select(key, ts).distinct()
-            newest = right.groupBy(key, ts).agg(F.max(F.struct(*columns)).alias("_r")).select(key, ts, "_r.*")
-            matches = as_of_join(times, newest, key, ts, columns, bucket_seconds, whole_rows, hot_rows=0)
+            matches = as_of_join(times, right, key, ts, columns, bucket_seconds, whole_rows, hot_rows=0)
             return join_back(left, matches, [key, ts]).select(key, ts, *kept, *columns)
         last = F.max_by("_found", F.when(F.col("_kind") == 1, F.col(ts))).alias("_found")
         before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(START, -1)

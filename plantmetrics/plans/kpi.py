@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plantmetrics.functions.expressions import count_where, on_day, pct, ratio, since, tiered
 from plantmetrics.functions.sizing import small_side
 from plantmetrics.operators.ordered import latest_per_key
+from plantmetrics.plans.medallion import HOUR, hourly_partials, mean_of
 
 SHIFT_MINUTES = 480
 PLANNED_MINUTES = 960
@@ -53,14 +54,14 @@ def oee_from_logs(
 
 def equipment_hourly(clean: DataFrame) -> DataFrame:
     """Hourly view; `avg_current` is the pressure reading, a slot runs at pressure >= 2, is odd at vibration > 5."""
-    return clean.groupBy(
-        "equipment_id", "line_id", "equipment_type", F.to_date("event_time").alias("production_date"),
-        F.hour("event_time").alias("production_hour"),
-    ).agg(
-        F.count("*").alias("sensor_count"), F.avg("temperature_c").alias("avg_temp"),
-        F.max("vibration_ms2").alias("max_vib"), F.avg("pressure_bar").alias("avg_current"),
-        count_where(F.col("pressure_bar") >= 2.0).alias("running_minutes_10m"),
-        count_where(F.col("vibration_ms2") > 5.0).alias("anomaly_count"),
+    partials = hourly_partials(
+        clean, ["equipment_id", "line_id", "equipment_type"], means=["temperature_c", "pressure_bar"], peaks=["vibration_ms2"],
+        flags={"running_minutes_10m": F.col("pressure_bar") >= 2.0, "anomaly_count": F.col("vibration_ms2") > 5.0},
+    )
+    return partials.select(
+        "equipment_id", "line_id", "equipment_type", F.to_date(HOUR).alias("production_date"), F.hour(HOUR).alias("production_hour"),
+        F.col("rows").alias("sensor_count"), mean_of("temperature_c").alias("avg_temp"), F.col("peak_vibration_ms2").alias("max_vib"),
+        mean_of("pressure_bar").alias("avg_current"), "running_minutes_10m", "anomaly_count",
     )
 
 

@@ -92,12 +92,10 @@ def upsert_features(t: Inputs):
 @query("f5_training_set", f"""
 SELECT l.equipment_id, l.event_time, CAST(failure_within_48h AS INTEGER) AS failure_within_48h,
        {_shown_sql(features.MODEL_FEATURES, 'f.')}
-FROM pdm_labels l ASOF LEFT JOIN (SELECT * FROM features WHERE shift = 'DAY') f
+FROM pdm_labels l ASOF LEFT JOIN features f
 ON l.equipment_id = f.equipment_id AND l.event_time >= f.event_time""", ["pdm_labels", "features"])
 def training_set(t: Inputs):
-    """Features are refreshed in the day shift only, so most labels reach back."""
-    day = stored(_features(t).filter("shift = 'DAY'"), "features")
-    joined = features.training_set(stored(_labels(t), "labels"), day)
+    joined = features.training_set(stored(_labels(t), "labels"), _features(t))
     return joined.select("equipment_id", "event_time", "failure_within_48h", *_shown(features.MODEL_FEATURES))
 
 
@@ -152,7 +150,7 @@ def impute(t: Inputs):
 def train_and_score(t: Inputs):
     """Metrics of a model trained on the earlier parts of the stratified split, on its test part."""
     ready = stored(features.stratified_split(_training(t), "failure_within_48h", ["equipment_id", "event_time"]), "split")
-    model = models.train_failure_model(ready.filter("part = 'train'"), "failure_within_48h", trees=10)
+    model = models.train_failure_model(ready.filter("part = 'train'"), "failure_within_48h")
     scored = models.score(model, ready.filter("part = 'test'"))
     return models.classification_metrics(scored, "failure_within_48h", "failure_probability")
 

@@ -50,13 +50,14 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "quality_inspections": (("lineitem",), f"""
         SELECT concat_ws('_', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING),
                          CAST(l_suppkey AS STRING)) AS inspection_id,
-               {_equipment('l_suppkey')} AS equipment_id, {_line('l_suppkey')} AS line_id, l_shipdate AS inspection_time,
+               {_equipment('l_suppkey')} AS equipment_id, {_line('l_suppkey')} AS line_id,
+               l_shipdate + l_linenumber * INTERVAL '1' DAY AS inspection_time,
                CASE WHEN l_returnflag = 'R' THEN CASE l_partkey % 4 WHEN 0 THEN 'SCRATCH' WHEN 1 THEN 'DIMENSION'
                     WHEN 2 THEN 'ASSEMBLY' ELSE 'MATERIAL' END END AS defect_type,
                CASE WHEN l_returnflag = 'R' THEN CASE WHEN l_quantity < 17 THEN 'LOW' WHEN l_quantity < 34 THEN 'MEDIUM'
                     ELSE 'HIGH' END END AS severity,
                l_returnflag <> 'R' AS passed
-        FROM lineitem WHERE l_linestatus = 'F'"""),
+        FROM lineitem"""),
     "maintenance_records": (("orders",), f"""
         SELECT o_orderkey AS maintenance_id, {_equipment('o_custkey')} AS equipment_id, {_line('o_custkey')} AS line_id,
                CAST(o_orderdate AS DATE) AS maintenance_date, o_orderpriority AS failure_type,

@@ -149,3 +149,37 @@ def test_empty_input(spark):
     assert ordered.forward_max(df, "key", "ts", F.col("v"), 10, "m").count() == 0
     assert ordered.as_of_join(df.select("key", "ts", "id"), df, "key", "ts", ["v"]).count() == 0
     assert math.isclose(ordered.exact_quantiles(df, "key", "v", [0.5]).count(), 0)
+
+
+@pytest.mark.parametrize("odd", [1e9, -1e12, float("inf")])
+@pytest.mark.parametrize("chunk_rows", [None, 40, 97])
+def test_rolling_frames_hold_only_their_own_rows(spark, odd, chunk_rows):
+    """A spike or an infinity shows in the frames that contain it and in no other, however the key is cut."""
+    values = [float(20 + (k * 7919) % 13) for k in range(400)]
+    values[150], values[151] = odd, None
+    rows = [("a", k, k, v) for k, v in enumerate(values)] + [("b", k, k, 5.0) for k in range(60)]
+    df = spark.createDataFrame(rows, "key string, sec long, id long, v double").withColumn("ts", F.timestamp_seconds("sec"))
+    frames = {"mean": ("avg", "v", 36), "dev": ("std", "v", 36), "top": ("max", "v", 23), "total": ("sum", "v", 7)}
+    got = ordered.rolling(df, "key", "ts", frames, ["id"], chunk_rows=chunk_rows, bucket_seconds=10)
+    w = lambda n: Window.partitionBy("key").orderBy("ts", "id").rowsBetween(1 - n, 0)
+    want = df.withColumns({
+        "mean": F.avg("v").over(w(36)), "dev": F.stddev_samp("v").over(w(36)), "top": F.max("v").over(w(23)), "total": F.sum("v").over(w(7))
+    })
+    a, b = ({(r.key, r.id): r for r in x.collect()} for x in (got, want))
+    assert a.keys() == b.keys()
+    for at in a:
+        for name in frames:
+            if b[at][name] is None:
+                assert a[at][name] is None, (at, name)
+            else:
+                assert a[at][name] == pytest.approx(b[at][name], rel=1e-9, abs=1e-9, nan_ok=True), (at, name)
+
+
+@pytest.mark.parametrize("limits", [{}, {"whole_rows": 5}, {"whole_rows": 5, "hot_rows": 5}])
+def test_as_of_ties_do_not_depend_on_size(spark, limits):
+    left = spark.createDataFrame([("a", k, k) for k in range(40)], "key string, sec long, id int").withColumn("ts", F.timestamp_seconds("sec"))
+    right = spark.createDataFrame([("a", k, x, 9 - x) for k in range(0, 40, 2) for x in (1, 9, 4)], "key string, sec long, x int, rank int").withColumn("ts", F.timestamp_seconds("sec"))
+    found = ordered.as_of_join(left, right, "key", "ts", ["x"], tie=["rank"], **limits).collect()
+    assert len(found) == 40 and {r.x for r in found} == {1}
+    found = ordered.as_of_join(left, right, "key", "ts", ["x"], **limits).collect()
+    assert len(found) == 40 and {r.x for r in found} == {9}
