@@ -9,16 +9,13 @@ from pyspark.sql import functions as F
 
 from plantmetrics.operators.ordered import top_n_per_key
 
-PAGE_TURNS = 256
 
-
-def assemble_threads(messages: DataFrame, page_turns: int = PAGE_TURNS) -> DataFrame:
-    """Ordered messages per thread, as pages of at most `page_turns` turns, so that no thread has to fit one row."""
-    page = F.floor(F.col("turn") / page_turns)
+def assemble_threads(messages: DataFrame) -> DataFrame:
+    """Ordered messages per thread, one row each; a thread has to fit a row, as its reader takes it whole."""
     ordered = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
     return (
-        messages.groupBy("conv_id", page.alias("page")).agg(ordered.alias("m"))
-        .select("conv_id", "page", F.transform("m", lambda x: F.struct(x["role"], x["content"])).alias("messages"))
+        messages.groupBy("conv_id").agg(ordered.alias("m"))
+        .select("conv_id", F.transform("m", lambda x: F.struct(x["role"], x["content"])).alias("messages"))
     )
 
 

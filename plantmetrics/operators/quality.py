@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructType
 from plantmetrics.functions.expressions import count_where, on_day, ratio
 from plantmetrics.functions.sizing import join_back, small_side
 
+# Rule names, texts and bounds of the quality rules.
 VALID_EQUIPMENT = "equipment_id RLIKE '^EQ[0-9]{3}' AND LENGTH(equipment_id) = 5"
 WARN_RULES = {"valid_equipment": VALID_EQUIPMENT}
 DROP_RULES = {

@@ -19,7 +19,7 @@ ELEMENTS = (
     "array<struct<id:bigint,type:string,content:string,confidence:double,description:string,"
     "bbox:array<struct<coord:array<bigint>,page_id:bigint>>>>"
 )
-MAX_QUERIES = 4096
+BROADCAST_BYTES = 16 << 20
 BLOCK_ROWS = 50_000
 QUERY_SLICE = 256
 
@@ -42,7 +42,7 @@ def page_chunks(df: DataFrame, elements: str, keys: Sequence[str]) -> DataFrame:
     )
 
 
-# Rewrite rules from HTML to Markdown, in the order they apply.
+# Rewrite rules from HTML to Markdown, in the order they apply.
 HTML_RULES = (
     (r"(?is)<script\b[^>]*>.*?</script\s*>", ""),
     (r"(?is)<style\b[^>]*>.*?</style\s*>", ""),
@@ -137,6 +137,8 @@ def sync_embeddings(
 
 
 def _unit(vectors: Sequence) -> np.ndarray:
+    if len({len(v) for v in vectors}) > 1:
+        raise ValueError("the vectors have different lengths")
     rows = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
     return np.divide(rows, norms, out=np.full_like(rows, np.nan), where=norms > 0)
@@ -171,21 +173,23 @@ def _best(corpus: pd.DataFrame, queries: pd.DataFrame, unit_queries: np.ndarray,
 def topk_similar(
     corpus: DataFrame, queries: DataFrame, k: int = 3, filters: Sequence[str] = (), corpus_id: str = "id",
     corpus_vector: str = "embedding", query_id: str = "id", query_vector: str = "embedding",
-    max_queries: int = MAX_QUERIES, block_rows: int = BLOCK_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Exact top-k cosine search for a batch of queries: (query_id, corpus_id, score, rank).
 
     `filters` are equality conditions: corpus rows must equal the query's value, a NULL there means no condition.
     Each task scores Arrow batches against the query matrix and hands on k rows per query and batch, never the pairs.
-    Up to `max_queries` queries (counted first) are broadcast. More are handled in blocks: corpus shards and query
-    shards of bounded size are matched by shard number. Ties go to the smaller corpus id.
+    Query vectors of up to `broadcast_bytes` (measured first) are broadcast. More are handled in blocks: corpus shards and
+    query shards of bounded size are matched by shard number, with the same result. Ties go to the smaller corpus id. NULL and
+    zero vectors score nothing; vectors of different lengths are an error.
     """
-    c = corpus.select(F.col(corpus_id).alias("c_id"), F.col(corpus_vector).alias("c_vec"), *filters)
-    q = queries.select(F.col(query_id).alias("q_id"), F.col(query_vector).alias("q_vec"), *filters)
+    c = corpus.select(F.col(corpus_id).alias("c_id"), F.col(corpus_vector).alias("c_vec"), *filters).filter("c_vec IS NOT NULL")
+    q = queries.select(F.col(query_id).alias("q_id"), F.col(query_vector).alias("q_vec"), *filters).filter("q_vec IS NOT NULL")
     q_type, c_type = q.schema["q_id"].dataType, c.schema["c_id"].dataType
     schema = f"q_id {q_type.simpleString()}, c_id {c_type.simpleString()}, score double"
-    head = q.limit(max_queries + 1).toPandas()
-    if len(head) <= max_queries:
+    held = q.agg(F.coalesce(F.sum(F.size("q_vec") + 1), F.lit(0)).alias("numbers")).first()["numbers"] * 8
+    if held <= broadcast_bytes:
+        head = q.toPandas()
         shared = corpus.sparkSession.sparkContext.broadcast((head, _unit(head["q_vec"]) if len(head) else None))
 
         def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -195,17 +199,16 @@ def topk_similar(
 
         found = c.mapInPandas(score, schema)
     else:
-        found = _topk_blocked(c, q, k, filters, schema, max_queries, block_rows)
+        found = _topk_blocked(c, q, k, filters, schema, held // broadcast_bytes + 1, block_rows)
     top = top_n_per_key(found, ["q_id"], [F.desc("score"), F.asc("c_id")], k)
     return top.select(F.col("q_id").alias("query_id"), F.col("c_id").alias("corpus_id"), "score", "rank")
 
 
 def _topk_blocked(
-    c: DataFrame, q: DataFrame, k: int, filters: Sequence[str], schema: str, max_queries: int, block_rows: int
+    c: DataFrame, q: DataFrame, k: int, filters: Sequence[str], schema: str, q_shards: int, block_rows: int
 ) -> DataFrame:
     """Fragment-and-replicate form: every (corpus shard, query shard) is one group of bounded size."""
     c_shards = c.count() // block_rows + 1
-    q_shards = q.count() // max_queries + 1
 
     def shard(column: str, shards: int):
         return F.pmod(F.xxhash64(column), F.lit(shards)).cast(LongType())
@@ -226,7 +229,7 @@ def assemble_context(hits: DataFrame, chunks: DataFrame, chunk_key: str, describ
         F.lit("["), F.concat_ws(" | ", *[F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit("N/A"))) for c in described]),
         F.lit("]\n"),
     )
-    named = hits.withColumnRenamed("corpus_id", chunk_key).join(chunks, chunk_key)
+    named = hits.withColumnRenamed("corpus_id", chunk_key).join(chunks, chunk_key, "left")
     block = F.concat(header, F.coalesce(F.col(content).cast("string"), F.lit("")))
     ordered = F.array_sort(F.collect_list(F.struct("rank", block.alias("block"))))
     return named.groupBy("query_id").agg(F.concat_ws("\n\n", F.transform(ordered, lambda x: x["block"])).alias("context"))

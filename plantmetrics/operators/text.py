@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plantmetrics.functions.expressions import best_label, cosine, first_match, without_fences
 
-# Failure categories of maintenance notes and the words that mark them.
+# The names of the failure categories. The words that mark them are this library's own.
 FAILURE_KEYWORDS = {
     "electrical": ("breaker", "fuse", "relay", "short"),
     "mechanical": ("bearing", "belt", "worn", "gear"),
@@ -106,20 +108,59 @@ def pair_similarity(df: DataFrame, left: str, right: str, out: str = "similarity
 
 def best_match(
     df: DataFrame, vector: str, references: DataFrame, ref_id: str, ref_vector: str, floor: float = 0.0,
-    max_references: int = 1000,
+    block_bytes: int = 8 << 20,
 ) -> DataFrame:
-    """Most similar reference of a small set and its score; NULL and `floor` when none scores above `floor`.
+    """`matched` and `similarity_score`: the most similar reference of each row; NULL and `floor` when none scores above `floor`.
 
-    The references travel as one array value, its size checked in the plan. For larger sets use
-    `retrieval.topk_similar(references, rows, k=1)`. Ties go to the smaller reference id.
+    References are streamed in blocks of at most `block_bytes` of vectors, in the order of their ids; each block is broadcast
+    and compared with the Arrow batches of the rows by one matrix product, so any number of them is matched in bounded memory.
+    Ties go to the smaller reference id. A NULL or zero vector matches nothing; vectors of other lengths are an error.
     """
-    packed = references.limit(max_references + 1).agg(F.collect_list(F.struct(F.col(ref_id).alias("id"), F.col(ref_vector).alias("v"))).alias("r"))
-    problem = F.raise_error(F.lit(f"more than {max_references} references; use topk_similar")).cast(packed.schema["r"].dataType)
-    checked = packed.select(F.when(F.size("r") > max_references, problem).otherwise(F.array_sort("r")).alias("r")).scalar()
-    scored = F.transform(
-        "_refs", lambda r, i: F.struct(cosine(F.col(vector), r["v"]).alias("score"), (-i).alias("place"), r["id"].alias("id"))
-    )
-    top = F.array_max(F.filter(scored, lambda s: s["score"] > floor))
-    return df.withColumn("_refs", checked).withColumn("_top", top).withColumns(
-        {"matched": F.col("_top.id"), "similarity_score": F.coalesce(F.col("_top.score"), F.lit(float(floor)))}
-    ).drop("_top", "_refs")
+    id_type = references.schema[ref_id].dataType
+    matched = df.withColumns({"matched": F.lit(None).cast(id_type), "similarity_score": F.lit(float(floor))})
+    at = df.columns.index(vector)
+    rows = references.filter(F.col(ref_vector).isNotNull()).select(F.col(ref_id).alias("id"), F.col(ref_vector).alias("v"))
+    for ids, vectors in _reference_blocks(rows.orderBy("id"), block_bytes):
+        block = df.sparkSession.sparkContext.broadcast((ids, _units(vectors, ref_vector)))
+
+        def compared(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            names, known = block.value
+            for batch in batches:
+                own = batch.column(at)
+                present = np.flatnonzero(own.is_valid().to_numpy(zero_copy_only=False))
+                best, score = batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_numpy().copy()
+                if len(present):
+                    units = _units([own[k].as_py() for k in present.tolist()], vector)
+                    if units.shape[1] != known.shape[1]:
+                        raise ValueError(f"{vector} and {ref_vector} hold vectors of different lengths")
+                    cosine = np.nan_to_num(units @ known.T, nan=-np.inf)
+                    top = cosine.argmax(axis=1)
+                    for k, j, value in zip(present.tolist(), top.tolist(), cosine[np.arange(len(top)), top].tolist(), strict=True):
+                        if value > score[k]:
+                            best[k], score[k] = names[j], value
+                columns = [*batch.columns[:-2], pa.array(best, batch.column(batch.num_columns - 2).type), pa.array(score)]
+                yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+        matched = matched.mapInArrow(compared, matched.schema)
+    return matched
+
+
+def _units(vectors: Sequence, name: str) -> np.ndarray:
+    if len({len(v) for v in vectors}) > 1:
+        raise ValueError(f"{name} holds vectors of different lengths")
+    rows = np.array(vectors, np.float64)
+    norms = np.linalg.norm(rows, axis=1, keepdims=True)
+    return np.divide(rows, norms, out=np.full_like(rows, np.nan), where=norms > 0)
+
+
+def _reference_blocks(rows: DataFrame, block_bytes: int) -> Iterator[tuple[list, list]]:
+    ids: list = []
+    vectors: list = []
+    for row in rows.toLocalIterator():
+        if ids and (len(ids) + 1) * len(row["v"]) * 8 > block_bytes:
+            yield ids, vectors
+            ids, vectors = [], []
+        ids.append(row["id"])
+        vectors.append(row["v"])
+    if ids:
+        yield ids, vectors

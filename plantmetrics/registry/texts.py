@@ -344,12 +344,11 @@ def hybrid(t: Inputs):
 
 
 @query("t1_threads", """
-SELECT conv_id, CAST(turn // 256 AS BIGINT) AS page, string_agg(concat(role, ': ', text), chr(10) ORDER BY turn) AS messages
-FROM conversations GROUP BY 1, 2""")
+SELECT conv_id, string_agg(concat(role, ': ', text), chr(10) ORDER BY turn) AS messages FROM conversations GROUP BY 1""")
 def threads(t: Inputs):
-    pages = logs.assemble_threads(t.table("conversations"))
+    whole = logs.assemble_threads(t.table("conversations"))
     lines = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"]))
-    return pages.withColumn("messages", F.concat_ws("\n", lines))
+    return whole.withColumn("messages", F.concat_ws("\n", lines))
 
 
 @query("t1_session_keys", """

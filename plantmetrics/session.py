@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -29,7 +31,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only for a local master."""
+    """The folder named by spark.checkpoint.dir; only for a local master a temporary one, which goes with the process."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
@@ -37,7 +39,8 @@ def shared_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if context.applicationId not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="plantmetrics-")
+        _LOCAL_ROOTS[context.applicationId] = root = tempfile.mkdtemp(prefix="plantmetrics-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     return _LOCAL_ROOTS[context.applicationId]
 
 

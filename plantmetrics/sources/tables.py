@@ -81,15 +81,17 @@ def _bounds(df: DataFrame, columns: Sequence[str], width: int) -> dict[str, list
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
     """Bit-interleaved range-bucket numbers (2^bits buckets per column): near in all columns means near in value.
 
-    Buckets are cut at quantiles, at most 2^bits numbers per column.
+    Buckets are cut at quantiles, at most 2^bits numbers per column. The value is a long, so bits times columns is at most 63.
     """
+    if bits * len(columns) > 63:
+        raise ValueError(f"{bits} bits of {len(columns)} columns do not fit a long")
     width = 2**bits
     found = _bounds(df, columns, width)
-    z = F.lit(0)
+    z = F.lit(0).cast("long")
     for place, column in enumerate(columns):
         code = _code(column, found[column])
         for bit in range(bits):
-            taken = F.shiftright(code, bit).bitwiseAND(F.lit(1))
+            taken = F.shiftright(code, bit).bitwiseAND(F.lit(1)).cast("long")
             z = z.bitwiseOR(F.shiftleft(taken, bit * len(columns) + place))
     return z
 

@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from plantmetrics.sources import tables
@@ -74,3 +75,11 @@ def test_compact_writes_even_files(spark, tmp_path):
     files = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
     assert len(files) == 4 and sum(r["count"] for r in files) == 1000
     assert timedelta(0) < datetime.now() - T0
+
+
+def test_z_value_of_six_columns_stays_positive(spark):
+    df = spark.range(500).selectExpr(*[f"(id * {k + 3}) % 101 AS c{k}" for k in range(6)])
+    low, high = df.select(tables.z_value(df, [f"c{k}" for k in range(6)]).alias("z")).selectExpr("min(z)", "max(z)").first()
+    assert low >= 0 and high < 2**36 and high > 2**31
+    with pytest.raises(ValueError, match="fit"):
+        tables.z_value(df, [f"c{k}" for k in range(6)], bits=11)

@@ -28,11 +28,11 @@ def brute_topk(corpus, queries, k, same_kind):
 
 
 @pytest.mark.parametrize("filters", [(), ("kind",)])
-@pytest.mark.parametrize("max_queries", [100, 4])
-def test_topk_equals_brute_force_on_both_paths(spark, filters, max_queries):
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 200])
+def test_topk_equals_brute_force_on_both_paths(spark, filters, broadcast_bytes):
     corpus_rows, corpus = vectors(spark, 120)
     query_rows, queries = vectors(spark, 11, seed=1, offset=1000)
-    got = retrieval.topk_similar(corpus, queries, 3, filters, max_queries=max_queries, block_rows=30)
+    got = retrieval.topk_similar(corpus, queries, 3, filters, broadcast_bytes=broadcast_bytes, block_rows=30)
     found = {}
     for r in got.orderBy("query_id", "rank").collect():
         found.setdefault(r.query_id, []).append(r.corpus_id)
@@ -40,19 +40,21 @@ def test_topk_equals_brute_force_on_both_paths(spark, filters, max_queries):
 
 
 def test_topk_ties_nulls_and_zero_vectors(spark):
-    corpus = spark.createDataFrame([(3, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 0.0]), (4, [0.0, 1.0])], "id long, embedding array<float>")
-    queries = spark.createDataFrame([(9, [5.0, 0.0])], "id long, embedding array<float>")
+    corpus = spark.createDataFrame([(3, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 0.0]), (4, [0.0, 1.0]), (5, None)], "id long, embedding array<float>")
+    queries = spark.createDataFrame([(9, [5.0, 0.0]), (8, None)], "id long, embedding array<float>")
     got = [r.corpus_id for r in retrieval.topk_similar(corpus, queries, 4).orderBy("rank").collect()]
     assert got == [1, 3, 4]
 
 
-def test_best_match_floor_and_size_check(spark):
+def test_best_match_floor_and_blocks(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [-1.0, 0.0])], "id int, v array<double>")
     refs = spark.createDataFrame([("east", [2.0, 0.1]), ("north", [0.1, 1.0])], "name string, c array<double>")
     got = {r.id: (r.matched, r.similarity_score > 0) for r in text.best_match(df, "v", refs, "name", "c").collect()}
     assert got == {1: ("east", True), 2: (None, False)}
-    with pytest.raises(Exception, match="topk_similar"):
-        text.best_match(df, "v", refs, "name", "c", max_references=1).collect()
+    many = spark.range(3000).selectExpr("id AS name", "array(CAST(id AS double), 3000D - id) AS c")
+    whole, cut = (text.best_match(df, "v", many, "name", "c", block_bytes=b).collect() for b in (1 << 20, 900))
+    assert sorted(whole) == sorted(cut) and {r.id: r.matched for r in whole} == {1: 2999, 2: None}
+    assert text.best_match(df, "v", refs.limit(0), "name", "c").filter("matched IS NULL").count() == 2
 
 
 def test_similar_pairs_score_higher(spark):
@@ -134,8 +136,8 @@ def test_hybrid_context_says_when_data_is_missing(spark):
 def test_threads_stay_apart_and_in_order(spark):
     rows = [(1, 2, "assistant", ""), (1, 0, "system", "s"), (1, 1, "user", "hi"), (1, 3, "assistant", "a"), (2, 0, "user", "yo")]
     df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
-    got = {(r.conv_id, r.page): [tuple(m) for m in r.messages] for r in logs.assemble_threads(df, page_turns=3).collect()}
-    assert got == {(1, 0): [("system", "s"), ("user", "hi"), ("assistant", "")], (1, 1): [("assistant", "a")], (2, 0): [("user", "yo")]}
+    got = {r.conv_id: [tuple(m) for m in r.messages] for r in logs.assemble_threads(df).collect()}
+    assert got == {1: [("system", "s"), ("user", "hi"), ("assistant", ""), ("assistant", "a")], 2: [("user", "yo")]}
     assert {r.conv_id: r.session_key for r in logs.session_keys(df).collect()} == {1: "hi", 2: "yo"}
     assert {r.conv_id: r.answer for r in logs.last_answer(df).collect()} == {1: "a"}
     assert {r.conv_id: r.speakers for r in logs.speakers(df, "system").collect()} == {1: ["user", "assistant"], 2: ["user"]}
