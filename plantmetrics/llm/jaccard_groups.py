@@ -44,14 +44,14 @@ BITMAP = 1 << 26
 
 @dataclass(frozen=True)
 class Join:
-    """Words in a shingle, similarity num / den, tokens that prefixes share at least, members in a chunk."""
+    """Words in a shingle, similarity num / den, tokens that prefixes share at least, members and queries of a chunk per task."""
 
     size: int = 3
     num: int = 90
     den: int = 100
     shared: int = 3
     chunk: int = 256
-    queries: int = 4096
+    queries: int = 512
 
     def least(self, n: int) -> int:
         """Overlap that a set of n needs with any partner."""

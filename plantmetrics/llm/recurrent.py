@@ -110,25 +110,24 @@ class Network:
     def run(self, lengths: np.ndarray, inputs: np.ndarray, classes: np.ndarray, members: np.ndarray, learn: bool) -> np.ndarray:
         """ln p of every token, fixed shares inside classes left out; `members` is the place in a head class."""
         slot, first, load = laid_out(lengths, self.shape.slots)
-        begins = np.cumsum(lengths) - lengths
-        steps, slots = int(load[0]) if len(load) else 0, len(load)
-        where = np.full((steps, slots), -1, np.int64)
-        inner = np.arange(lengths.sum()) - np.repeat(begins, lengths)
-        where[np.repeat(first, lengths) + inner, np.repeat(slot, lengths)] = np.arange(lengths.sum())
-        fresh = np.zeros((steps, slots), bool)
-        fresh[first[lengths > 0], slot[lengths > 0]] = True
+        bottom = np.cumsum(load) - load
+        # A slot's tokens lie one behind another, so memory follows the tokens, not the longest text.
+        own = np.arange(int(lengths.sum())) + np.repeat(bottom[slot] + first - (np.cumsum(lengths) - lengths), lengths)
+        stacked = [np.empty_like(x) for x in (inputs, classes, members)]
+        for into, values in zip(stacked, (inputs, classes, members), strict=True):
+            into[own] = values
+        fresh = np.zeros(len(inputs), bool)
+        fresh[(bottom[slot] + first)[lengths > 0]] = True
         out = np.zeros(len(inputs), np.float64)
-        state = np.zeros((slots, self.shape.hidden), np.float32)
-        for begin in range(0, steps, self.shape.window):
+        state = np.zeros((len(load), self.shape.hidden), np.float32)
+        for begin in range(0, int(load[0]) if len(load) else 0, self.shape.window):
             active = int(np.searchsorted(-load, -begin, "left"))
-            here = where[begin:begin + self.shape.window, :active]
-            used = here >= 0
-            token = np.where(used, here, 0)
-            log_p, state = self._window(
-                state[:active], fresh[begin:begin + self.shape.window, :active], used, inputs[token], classes[token], members[token], learn
-            )
-            out[here[used]] = log_p[used]
-        return out
+            row = np.arange(begin, min(begin + self.shape.window, int(load[0])))[:, None]
+            used = row < load[:active]
+            token = np.where(used, bottom[:active] + row, 0)
+            log_p, state = self._window(state[:active], fresh[token], used, *[x[token] for x in stacked], learn)
+            out[token[used]] = log_p[used]
+        return out[own]
 
     def _window(self, state, fresh, used, inputs, classes, members, learn):
         w, h = self.w, self.shape.hidden
