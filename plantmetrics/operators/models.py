@@ -20,15 +20,18 @@ MIN_AUC, MIN_RECALL, MIN_GAIN = 0.90, 0.80, 0.01
 
 def train_failure_model(
     train: DataFrame, label: str, columns: Sequence[str] = MODEL_FEATURES, trees: int = 30, depth: int = 5,
-    step: float = 0.1, seed: int = 42,
+    step: float = 0.1, seed: int = 42, validation: str | None = None,
 ) -> GBTClassificationModel:
-    """Gradient-boosted trees with the positive class weighted by negatives / positives."""
+    """Gradient-boosted trees with the positive class weighted by negatives / positives.
+
+    `validation` names a boolean column: its rows teach nothing, boosting stops when they gain no more.
+    """
     weight = class_weight(train, label).select("scale_pos_weight").scalar()
     ready = assemble(train, columns).withColumn("_weight", F.when(F.col(label) == 1, weight).otherwise(1.0))
     gbt = GBTClassifier(
         featuresCol="features", labelCol=label, weightCol="_weight", maxIter=trees, maxDepth=depth, stepSize=step, seed=seed
     )
-    return gbt.fit(ready)
+    return (gbt.setValidationIndicatorCol(validation) if validation else gbt).fit(ready)
 
 
 def score(model: GBTClassificationModel, df: DataFrame, columns: Sequence[str] = MODEL_FEATURES) -> DataFrame:

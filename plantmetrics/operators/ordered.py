@@ -28,11 +28,9 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) ->
 def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str] = ()) -> DataFrame:
     """Row with the greatest `ts` per key; ties go to the greatest `tie` columns.
 
-    A hash aggregate finds the greatest timestamp, so only rows that carry it are ever sorted.
+    The rank limit runs before the shuffle, so a task hands on one row per key; no table is written and nothing is joined.
     """
-    peak = small_side(df.groupBy(*keys).agg(F.max(ts).alias("_peak")))
-    newest = join_back(df, peak, keys, "inner").filter(F.col(ts).eqNullSafe(F.col("_peak"))).drop("_peak")
-    return dedup(newest, keys, [F.desc(c) for c in (tie or [ts])])
+    return dedup(df, keys, [F.desc_nulls_last(ts), *[F.desc(c) for c in tie]])
 
 
 def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:

@@ -283,9 +283,9 @@ def daily_report(
     return per_line.withColumns(counts).orderBy("avg_oee", "line_id")
 
 
-def affected_equipment_estimate(clean: DataFrame) -> DataFrame:
-    """Approximate number of equipments with a flagged reading (sketch of fixed size)."""
-    return clean.filter("is_anomaly").agg(F.approx_count_distinct("equipment_id").alias("affected_equipment"))
+def affected_equipment_estimate(clean: DataFrame, error: float = 0.01) -> DataFrame:
+    """Approximate number of equipments with a flagged reading (sketch whose size follows from the relative error)."""
+    return clean.filter("is_anomaly").agg(F.approx_count_distinct("equipment_id", error).alias("affected_equipment"))
 
 
 def latest_reading(clean: DataFrame, anomalies_only: bool = False, tie: Sequence[str] = ("event_id",)) -> DataFrame:

@@ -209,9 +209,14 @@ def daily_report(t: Inputs):
     return kpi.daily_report(t.oee(), t.clean(), AS_OF, hours=720)
 
 
-@query("k20_affected_estimate")
+@query("k20_affected_estimate", """
+SELECT count(DISTINCT equipment_id) AS affected_exact, TRUE AS estimate_within_5_pct FROM sensor_clean WHERE is_anomaly""", ["sensor_clean"])
 def affected_estimate(t: Inputs):
-    return kpi.affected_equipment_estimate(t.clean())
+    """The sketch's estimate held against the exact count."""
+    clean = t.clean()
+    exact = clean.filter("is_anomaly").agg(F.countDistinct("equipment_id").alias("affected_exact"))
+    both = exact.withColumn("estimate", kpi.affected_equipment_estimate(clean).select("affected_equipment").scalar())
+    return both.select("affected_exact", (F.abs(F.col("estimate") - F.col("affected_exact")) * 20 <= F.col("affected_exact")).alias("estimate_within_5_pct"))
 
 
 _LATEST = """SELECT event_id, equipment_id, equipment_type, event_time, temperature_c FROM (

@@ -150,7 +150,8 @@ def impute(t: Inputs):
 def train_and_score(t: Inputs):
     """Metrics of a model trained on the earlier parts of the stratified split, on its test part."""
     ready = stored(features.stratified_split(_training(t), "failure_within_48h", ["equipment_id", "event_time"]), "split")
-    model = models.train_failure_model(ready.filter("part = 'train'"), "failure_within_48h")
+    taught = ready.filter("part <> 'test'").withColumn("held", F.col("part") == "val")
+    model = models.train_failure_model(taught, "failure_within_48h", validation="held")
     scored = models.score(model, ready.filter("part = 'test'"))
     return models.classification_metrics(scored, "failure_within_48h", "failure_probability")
 
