@@ -191,6 +191,30 @@ def expect_metrics(t: Inputs):
     return quality.expect(t.view("sensor_events"))[1]
 
 
+@query("i2_expect_stream", " UNION ALL ".join(
+    f"SELECT '{n}' AS rule, '{a}' AS action, count(*) FILTER (WHERE {r}) AS passed, count(*) - count(*) FILTER (WHERE {r}) AS failed "
+    "FROM sensor_events" for n, a, r in _RULES), ["sensor_events"])
+def expect_stream(t: Inputs):
+    good, metrics, mark = (scratch_path(t.spark, n) for n in ("expected", "expect-metrics", "expect-mark"))
+    ingest.expect_stream(_sensor_stream(t), good, metrics, mark).awaitTermination()
+    found = t.spark.read.parquet(metrics)
+    return found.groupBy("rule", "action").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
+@query("i1c_rescue_quarantine", "SELECT event_id, event_type = 'error' AS quarantined FROM events")
+def rescue_quarantine(t: Inputs):
+    """Raw text readings as they land, cast to a number; those that do not fit go to quarantine."""
+    landing, good, bad, mark = (scratch_path(t.spark, n) for n in ("raw-landing", "fitting", "rescued", "rescue-mark"))
+    k = F.regexp_extract("props", "([0-9]+)", 1)
+    raw = t.table("events").select("event_id", F.when(F.col("event_type") == "error", F.concat(F.lit("E"), k)).otherwise(k).alias("reading"))
+    raw.write.parquet(landing)
+    fitted = quality.rescue(ingest.file_stream(t.spark, landing), StructType([StructField("reading", LongType())]))
+    ingest.route_quarantine(fitted, F.col("_rescued_data").isNotNull(), good, bad, mark).awaitTermination()
+    return tables.union_by_name([
+        t.spark.read.parquet(p).select("event_id", F.lit(flag).alias("quarantined")) for p, flag in ((good, False), (bad, True))
+    ])
+
+
 CLEAN_EVENTS = """SELECT event_id, equipment_id, CAST(CAST(event_time AS DATE) AS STRING) AS event_date FROM sensor_events
 WHERE equipment_id IS NOT NULL"""
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from plantmetrics.operators.anomaly import alert_records, alert_rows
+from plantmetrics.operators.quality import DROP_RULES, WARN_RULES, keep_expected
 from plantmetrics.sources.tables import with_lineage
 
 
@@ -49,6 +52,28 @@ def route_quarantine(
     return stream.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start()
 
 
+def expect_stream(
+    stream: DataFrame, good: str, metrics: str, checkpoint: str, warn: Mapping[str, str] = WARN_RULES,
+    drop: Mapping[str, str] = DROP_RULES, interval: str | None = None,
+) -> StreamingQuery:
+    """Rows that pass the drop rules to `good`, and per batch how many rows passed each rule to `metrics`.
+
+    The counts are observed while the batch is written, so each batch is read once.
+    """
+    rules = [(name, kind, rule) for kind, held in (("warn", warn), ("drop", drop)) for name, rule in held.items()]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        counts = [F.count_if(F.coalesce(F.expr(rule), F.lit(False))).alias(name) for name, _, rule in rules]
+        keep_expected(batch.observe(seen, F.count("*").alias("_rows"), *counts), drop).write.mode("overwrite").parquet(f"{good}/batch_id={batch_id}")
+        got = seen.get
+        lines = [(name, kind, got[name], got["_rows"] - got[name]) for name, kind, _ in rules]
+        found = batch.sparkSession.createDataFrame(lines, "rule string, action string, passed long, failed long")
+        found.write.mode("overwrite").parquet(f"{metrics}/batch_id={batch_id}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start()
+
+
 def alert_stream(
     stream: DataFrame, out: str, checkpoint: str, interval: str | None = "60 seconds", key: tuple[str, ...] = ("event_id",)
 ) -> StreamingQuery:

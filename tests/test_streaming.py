@@ -66,3 +66,17 @@ def test_closed_hours_equal_the_batch_view(spark, tmp_path):
         if start + timedelta(hours=1) <= last - timedelta(hours=1):
             want[r.equipment_id, start] = (r.sensor_count, r.anomaly_count)
     assert got == want and want
+
+
+def test_interval_trigger_takes_what_comes_later(spark, tmp_path):
+    df, source = landing(spark, tmp_path, n=40)
+    out = str(tmp_path / "out")
+    running = ingest.ingest_files(spark, source, out, str(tmp_path / "mark"), schema=df.schema, interval="1 second")
+    try:
+        running.processAllAvailable()
+        assert spark.read.parquet(out).count() == 40 and running.isActive
+        df.limit(3).write.mode("append").parquet(source)
+        running.processAllAvailable()
+        assert spark.read.parquet(out).count() == 43
+    finally:
+        running.stop()
