@@ -75,86 +75,64 @@ def _is_boilerplate(tag: str, attributes: str) -> bool:
 
 
 class _Tree:
-    """Nodes in page order, each with its parent and counts; the text runs with the node that holds them."""
+    """Nodes in page order with their tags, parents and own characters; the text runs with their node and block.
+
+    Left-out elements have no node, but stay on the stack of open elements until they end.
+    """
 
     def __init__(self, page: str):
-        self.tags, self.parents, self.chars, self.link_chars, self.links = ["html"], [-1], [0], [0], [0]
+        self.tags, self.parents, self.chars = ["html"], [-1], [0]
         self.runs: list[tuple[int, int, str]] = []
-        self.block, open_nodes, dropped, in_link = 0, [0], None, 0
+        self.block = 0
+        self.open: list[tuple[str, int | None]] = [("html", 0)]
         for token in _TOKEN.finditer(page):
-            tag = token[3]
-            if tag is None:
-                text = token[0]
-                if dropped is None and text[0] != "<" or text == "<":
-                    if dropped is None and not text.isspace():
-                        text = html.unescape(text) if "&" in text else text
-                        at = open_nodes[-1]
-                        size = len(text.strip())
-                        self.chars[at] += size
-                        if in_link:
-                            self.link_chars[at] += size
-                        self.runs.append((at, self.block, text))
-                    elif dropped is None and self.runs and self.runs[-1][1] == self.block:
-                        self.runs.append((open_nodes[-1], self.block, " "))
-                continue
-            tag = tag.lower()
-            if not token[2]:
-                if tag in _BLOCKS:
-                    self.block += 1
-                    self._close(open_nodes, "p", _SCOPES)
-                if tag in _ENDS:
-                    for ended in _ENDS[tag]:
-                        self._close(open_nodes, ended, _SCOPES)
-                if dropped is not None and dropped >= len(open_nodes):
-                    dropped = None
-                if tag == "br" and dropped is None:
-                    self.runs.append((open_nodes[-1], self.block, " "))
-                if tag in ("html", "body") and tag in (self.tags[n] for n in open_nodes[1:]) or tag == "html":
-                    continue
-                if tag in _VOID or token[4].endswith("/") and tag not in _BLOCKS:
-                    if dropped is None:
-                        self._node(tag, open_nodes[-1])
-                    continue
-                if dropped is None and _is_boilerplate(tag, token[4]):
-                    dropped = len(open_nodes)
-                open_nodes.append(self._node(tag, open_nodes[-1]) if dropped is None else -1 - self._name(tag))
+            if token[3] is None:
+                if token[0][0] != "<" or token[0] == "<":
+                    self._text(token[0])
+            elif token[2]:
+                self._end(token[3].lower())
             else:
-                if tag in _BLOCKS:
-                    self.block += 1
-                self._close(open_nodes, tag, ())
-                if dropped is not None and dropped >= len(open_nodes):
-                    dropped = None
-            in_link = any(n > 0 and self.tags[n] == "a" for n in open_nodes[-4:])
-
-    _names: dict[str, int] = {}
-    _by_number: list[str] = []
-
-    def _name(self, tag: str) -> int:
-        """Left-out elements have no node, only a number for their name."""
-        if tag not in self._names:
-            if len(self._names) > 4096:
-                tag = "unknown"
-            self._names.setdefault(tag, len(self._by_number))
-            if len(self._by_number) < len(self._names):
-                self._by_number.append(tag)
-        return self._names[tag]
-
-    def _tag(self, node: int) -> str:
-        return self.tags[node] if node >= 0 else self._by_number[-1 - node]
-
-    def _node(self, tag: str, parent: int) -> int:
-        self.tags.append(tag)
-        self.parents.append(parent)
-        self.chars.append(0)
-        self.link_chars.append(0)
-        self.links.append(int(tag == "a"))
-        return len(self.tags) - 1
-
-    def _close(self, open_nodes: list[int], tag: str, scopes) -> None:
-        for at in range(len(open_nodes) - 1, 0, -1):
-            name = self._tag(open_nodes[at])
+                self._start(token[3].lower(), token[4])
+
+    def _text(self, text: str) -> None:
+        node = self.open[-1][1]
+        if node is not None:
+            text = html.unescape(text) if "&" in text else text
+            self.chars[node] += len(text.strip())
+            self.runs.append((node, self.block, text))
+
+    def _start(self, tag: str, attributes: str) -> None:
+        if tag in _BLOCKS:
+            self.block += 1
+            self._close("p", _SCOPES)
+        for ended in _ENDS.get(tag, ()):
+            self._close(ended, _SCOPES)
+        if tag == "html" or tag == "body" and "body" in self.tags:
+            return
+        node = self.open[-1][1]
+        if node is not None and tag == "br":
+            self.runs.append((node, self.block, " "))
+        if node is not None and not _is_boilerplate(tag, attributes):
+            self.tags.append(tag)
+            self.parents.append(node)
+            self.chars.append(0)
+            node = len(self.tags) - 1
+        else:
+            node = None
+        if tag not in _VOID and not (attributes.endswith("/") and tag not in _BLOCKS):
+            self.open.append((tag, node))
+
+    def _end(self, tag: str) -> None:
+        if tag in _BLOCKS:
+            self.block += 1
+        self._close(tag, ())
+
+    def _close(self, tag: str, scopes) -> None:
+        """End the innermost open element of this name, unless one of `scopes` lies between."""
+        for at in range(len(self.open) - 1, 0, -1):
+            name = self.open[at][0]
             if name == tag:
-                del open_nodes[at:]
+                del self.open[at:]
                 return
             if name in scopes:
                 return
@@ -162,21 +140,26 @@ class _Tree:
 
 def _densities(tree: _Tree) -> list[float]:
     n = len(tree.tags)
-    chars, link_chars, links, tags = tree.chars[:], tree.link_chars[:], tree.links[:], [0] * n
+    linked = [False] * n
+    for node in range(1, n):
+        linked[node] = tree.tags[node] == "a" or linked[tree.parents[node]]
+    chars, tags = tree.chars[:], [0] * n
+    link_chars, link_tags = [c if inside else 0 for c, inside in zip(chars, linked, strict=True)], [int(t == "a") for t in tree.tags]
     for node in range(n - 1, 0, -1):
         up = tree.parents[node]
         chars[up] += chars[node]
         link_chars[up] += link_chars[node]
-        links[up] += links[node]
+        link_tags[up] += link_tags[node]
         tags[up] += tags[node] + 1
     all_share = link_chars[0] / max(chars[0], 1)
     out = []
-    for c, lc, t, lt in zip(chars, link_chars, tags, links, strict=True):
+    for c, lc, t, lt in zip(chars, link_chars, tags, link_tags, strict=True):
         if not c:
             out.append(0.0)
             continue
         t = max(t, 1)
         base = math.log(c / max(c - lc, 1) * lc + all_share * c + math.e)
+        # The base is moved up by e - 1, so that short runs without links stay finite.
         out.append(c / t * max(math.log(c / max(lc, 1) * t / max(lt, 1)), 0.0) / math.log(max(base, 1.0) + math.e - 1))
     return out
 
