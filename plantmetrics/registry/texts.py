@@ -312,9 +312,9 @@ def sync(t: Inputs):
 
 
 @query("r8_context", """
-SELECT query_id, string_agg(concat('[doc_id: ', CAST(doc_id AS STRING), ' | lang: ', lang, ' | source: ', source, ']', chr(10), text),
+SELECT query_id, string_agg(concat('[doc_id: ', CAST(corpus_id AS STRING), ' | lang: ', coalesce(lang, 'N/A'), ' | source: ', coalesce(source, 'N/A'), ']', chr(10), text),
                             concat(chr(10), chr(10)) ORDER BY rank) AS context
-FROM hits JOIN documents ON corpus_id = doc_id GROUP BY 1""", ["hits"])
+FROM hits LEFT JOIN documents ON corpus_id = doc_id GROUP BY 1""", ["hits"])
 def context(t: Inputs):
     return retrieval.assemble_context(_hits(t), t.table("documents"), "doc_id", ["doc_id", "lang", "source"], "text")
 
@@ -327,9 +327,9 @@ _STATE = """concat('Equipment ', equipment_id, ' / ', equipment_type, ': tempera
 @query("r9_hybrid_context", f"""
 WITH newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY equipment_id ORDER BY event_time DESC, event_id DESC) AS rn
                                FROM sensor_clean WHERE is_anomaly) WHERE rn = 1),
-texts AS (SELECT query_id, string_agg(concat('[doc_id: ', CAST(doc_id AS STRING), ' | lang: ', lang, ']', chr(10), text),
+texts AS (SELECT query_id, string_agg(concat('[doc_id: ', CAST(corpus_id AS STRING), ' | lang: ', coalesce(lang, 'N/A'), ']', chr(10), text),
                                       concat(chr(10), chr(10)) ORDER BY rank) AS context
-          FROM hits JOIN documents ON corpus_id = doc_id GROUP BY 1),
+          FROM hits LEFT JOIN documents ON corpus_id = doc_id GROUP BY 1),
 asked AS (SELECT label AS query_id, concat('EQ', lpad(CAST(label + 1 AS STRING), 3, '0')) AS equipment_id FROM centroids)
 SELECT asked.query_id, asked.equipment_id, coalesce({_STATE.replace("'Equipment ', equipment_id", "'Equipment ', newest.equipment_id")}, 'no sensor data') AS sensor_context,
        context AS manual_context
