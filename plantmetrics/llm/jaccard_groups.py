@@ -40,6 +40,7 @@ SLOT_BITS = 20
 _PARTS = 64
 _CLASS_SHIFT = 58
 BITMAP = 1 << 26
+BROADCAST_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -211,7 +212,10 @@ def _opened(queries: DataFrame, members: DataFrame, sets: DataFrame, join: Join)
     load = queries.groupBy("chunk").agg(F.ceil(F.count("*") / join.queries).cast("int").alias("salts"))
     asking = queries.join(load, "chunk").select("id", "chunk", F.pmod(F.xxhash64("id"), "salts").cast("int").alias("salt"), F.lit(1).alias("asks"))
     asked = members.join(load, "chunk").select("id", "chunk", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("asks"))
-    rows = asked.unionByName(asking).join(sets, "id").select("chunk", "salt", "asks", "id", "tokens")
+    dealt_to = stored(asked.unionByName(asking), "dealt-to")
+    # Up to BROADCAST_ROWS rows of four numbers go to the sets, so that these are shuffled once; more are joined by a shuffle.
+    side = F.broadcast(dealt_to) if dealt_to.count() <= BROADCAST_ROWS else dealt_to
+    rows = sets.join(side, "id").select("chunk", "salt", "asks", "id", "tokens")
     dealt = rows.repartition("chunk", "salt").sortWithinPartitions("chunk", "salt", "asks")
     id_kind = dict(rows.dtypes)["id"]
 
