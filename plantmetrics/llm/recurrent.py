@@ -1,7 +1,9 @@
 """Gated recurrent network over word ids with a class-factored output, in numpy.
 
 Before each token the state gives a softmax over classes. Head classes hold at most HEAD_CLASS words each and give a second
-softmax over their members from the state; the words of the other classes have fixed shares. Texts are laid side by side in
+softmax over their members from the state. The words of every other class are the leaves of a binary tree: each of its nodes
+says from the state which way to go, so each word has a chance of its own. An input is a row of the table, and a hashed row too
+for words that share the first. Only the nodes and hashed rows met are learnt in a step. Texts are laid side by side in
 slots, one behind another; a slot's state is cleared where a text begins and carried across windows otherwise, so a text is
 scored as a whole however long it is. Gradients go back `window` steps.
 """
@@ -13,6 +15,9 @@ from dataclasses import dataclass
 import numpy as np
 
 HEAD_CLASS = 32
+#: Parts of which a step learns only the rows met.
+SPARSE = ("hashed", "tree")
+SPARSE_RATE = 0.02
 
 
 @dataclass(frozen=True)
@@ -23,22 +28,51 @@ class Shape:
     hidden: int = 16
     window: int = 32
     slots: int = 256
+    #: Words of each class behind the head classes; a class of m words has m - 1 nodes.
+    leaves: tuple[int, ...] = ()
+    #: An input is row + inputs * hashed row; hashed row 0 is none.
+    hashed: int = 0
+
+    def nodes(self) -> np.ndarray:
+        """First node of each class behind the head classes, and the number of all."""
+        return np.cumsum([0, *[max(m - 1, 0) for m in self.leaves]], dtype=np.int64)
 
     def parts(self) -> dict[str, tuple[int, ...]]:
         h = self.hidden
-        return {
+        out = {
             "table": (self.inputs, 3 * h), "state": (h, 3 * h), "class": (h, self.classes), "class_bias": (self.classes,),
             "word": (self.head_classes, h, HEAD_CLASS), "word_bias": (self.head_classes, HEAD_CLASS),
         }
+        if self.nodes()[-1]:
+            out["tree"] = (int(self.nodes()[-1]), h + 1)  # the last column is the bias
+        if self.hashed:
+            out["hashed"] = (self.hashed + 1, 3 * h)
+        return out
+
 
+def tree_bias(counts: np.ndarray) -> np.ndarray:
+    """Biases of the nodes 1 to m - 1 of a class, so that m words have their shares of `counts`; node i has the children 2i and 2i + 1."""
+    m = len(counts)
+    below = np.concatenate([np.zeros(m), counts.astype(np.float64)])
+    for level in range(m.bit_length(), -1, -1):
+        at = np.arange(1 << level, min(2 << level, m))
+        below[at] = below[2 * at] + below[2 * at + 1]
+    at = np.arange(1, m)
+    return np.log(below[2 * at + 1] / below[2 * at])
 
-def start(shape: Shape, class_bias: np.ndarray, word_bias: np.ndarray, seed: int = 11) -> dict[str, np.ndarray]:
+
+def start(shape: Shape, class_bias: np.ndarray, word_bias: np.ndarray, seed: int = 11, node_bias: np.ndarray | None = None) -> dict[str, np.ndarray]:
     """Small random weights; the biases make the first model the unigram one."""
     random = np.random.default_rng(seed)
-    out = {name: (random.standard_normal(size) * 0.1).astype(np.float32) for name, size in shape.parts().items()}
+    out = {
+        name: np.zeros(size, np.float32) if name in SPARSE else (random.standard_normal(size) * 0.1).astype(np.float32)
+        for name, size in shape.parts().items()
+    }
     out["class_bias"], out["word_bias"] = class_bias.astype(np.float32), word_bias.astype(np.float32)
     out["class"] *= 0.1
     out["word"] *= 0.1
+    if "tree" in out and node_bias is not None:
+        out["tree"][:, -1] = node_bias
     return out
 
 
@@ -91,13 +125,25 @@ def _softmax(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return chosen - np.log(total), x
 
 
+def _cuts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, id) of the runs of equal ids."""
+    cuts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    return cuts, ids[cuts]
+
+
 class Network:
     """Weights, and the two things to do with a block of texts: score it, or learn from it."""
 
     def __init__(self, shape: Shape, weights: dict[str, np.ndarray], rate: float = 0.004):
         self.shape, self.w, self.rate, self.steps = shape, weights, rate, 0
-        self.mean = {k: np.zeros_like(v) for k, v in weights.items()}
-        self.square = {k: np.zeros_like(v) for k, v in weights.items()}
+        self.mean = {k: np.zeros_like(v) for k, v in weights.items() if k not in SPARSE}
+        self.square = {k: np.zeros_like(v) if k not in SPARSE else np.zeros(len(v), v.dtype) for k, v in weights.items()}
+        #: Steps that met each row of a sparse part, and the last step's (rows, gradients).
+        self.met = {k: np.zeros(len(v), np.float32) for k, v in weights.items() if k in SPARSE}
+        self.rows: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        heads = np.zeros(shape.head_classes, np.int64)
+        self.leaves = np.concatenate([heads, np.array(shape.leaves, np.int64)])
+        self.nodes = np.concatenate([heads, shape.nodes()])
         self.held: dict[str, np.ndarray] = {}
 
     def _buffer(self, name: str, *size: int) -> np.ndarray:
@@ -108,7 +154,7 @@ class Network:
         return self.held[name][:need].reshape(size)
 
     def run(self, lengths: np.ndarray, inputs: np.ndarray, classes: np.ndarray, members: np.ndarray, learn: bool) -> np.ndarray:
-        """ln p of every token, fixed shares inside classes left out; `members` is the place in a head class."""
+        """ln p of every token; `members` is the place in its class, any number in a class without leaves."""
         slot, first, load = laid_out(lengths, self.shape.slots)
         bottom = np.cumsum(load) - load
         # A slot's tokens lie one behind another, so memory follows the tokens, not the longest text.
@@ -132,13 +178,16 @@ class Network:
     def _window(self, state, fresh, used, inputs, classes, members, learn):
         w, h = self.w, self.shape.hidden
         steps, slots = inputs.shape
+        self.rows = {}
         before = self._buffer("before", steps, slots, h)
         kept = []
         keep = (~fresh).astype(np.float32)[:, :, None]
         for t in range(steps):
             state = state * keep[t]
             before[t] = state
-            x, u = w["table"].take(inputs[t], axis=0), state @ w["state"]
+            x, u = w["table"].take(inputs[t] % self.shape.inputs, axis=0), state @ w["state"]
+            if self.shape.hashed:
+                x += w["hashed"].take(inputs[t] // self.shape.inputs, axis=0)
             gates = _sigmoid(x[:, :2 * h] + u[:, :2 * h])
             new = gates[:, h:] * u[:, 2 * h:]
             new += x[:, 2 * h:]
@@ -176,10 +225,51 @@ class Network:
                 d_word *= d_word.dtype.type(scale)
                 grads["word"][c], grads["word_bias"][c] = seen.T @ d_word, d_word.sum(0)
                 d_rows[own] += d_word @ w["word"][c].T
+        if "tree" in w:
+            self._tree(rows, target, member, used, log_p, d_rows if learn else None, scale if learn else 0)
         if learn:
             self._back(before, kept, keep, inputs, d_rows.reshape(steps, slots, h), grads)
         return log_p.reshape(steps, slots), state
 
+    def _tree(self, rows, target, member, used, log_p, d_rows, scale) -> None:
+        """Adds ln p inside the classes with leaves, from the leaf up; the gradients if `d_rows` is given."""
+        own = np.flatnonzero(used & (target >= self.shape.head_classes))
+        own = own[self.leaves[target[own]] > 1]
+        code, first = self.leaves[target[own]] + member[own], self.nodes[target[own]] - 1
+        tree, h = self.w["tree"], self.shape.hidden
+        seen = rows[own]
+        gain, d_seen = np.zeros(len(own), rows.dtype), np.zeros_like(seen)
+        met = []
+        while len(code):
+            right, code = code & 1, code >> 1
+            going = np.flatnonzero(code)
+            if len(going) < len(code):
+                log_p[own] += gain
+                if d_rows is not None:
+                    d_rows[own] += d_seen
+                if not len(going):
+                    break
+                own, code, first, right, seen = own[going], code[going], first[going], right[going], seen[going]
+                gain, d_seen = np.zeros(len(own), rows.dtype), np.zeros_like(seen)
+            node = first + code
+            at = tree.take(node, axis=0)
+            sign = (2 * right - 1).astype(rows.dtype)
+            x = np.einsum("ij,ij->i", seen, at[:, :h])
+            x += at[:, h]
+            x *= sign
+            p = _sigmoid(np.clip(x, -60, 60))
+            gain += np.log(p)
+            if d_rows is not None:
+                d = (p - 1) * sign * rows.dtype.type(scale)
+                d_seen += d[:, None] * at[:, :h]
+                met.append((node, own, d))
+        if met:
+            node, own, d = [np.concatenate(x) for x in zip(*met, strict=True)]
+            order = np.argsort(node, kind="stable")
+            cuts, node = _cuts(node[order])
+            d = d[order][:, None]
+            self.rows["tree"] = node, np.add.reduceat(np.hstack([d * rows.take(own[order], axis=0), d]), cuts, axis=0)
+
     def _back(self, before, kept, keep, inputs, d_before, grads) -> None:
         w, h = self.w, self.shape.hidden
         steps, slots = inputs.shape
@@ -196,18 +286,24 @@ class Network:
             d_u[t, :, 2 * h:] = d_new * reset
             d_state = (d_state * update + d_u[t] @ w["state"].T + d_before[t]) * keep[t]
         grads["state"] = before.reshape(-1, h).T @ d_u.reshape(-1, 3 * h)
-        ids = inputs.ravel()
+        d_x = d_x.reshape(-1, 3 * h)
+        ids = inputs.ravel() % self.shape.inputs
         order = np.argsort(ids, kind="stable")
-        ids = ids[order]
-        cuts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        cuts, ids = _cuts(ids[order])
         grads["table"] = np.zeros_like(w["table"])
-        grads["table"][ids[cuts]] = np.add.reduceat(d_x.reshape(-1, 3 * h).take(order, axis=0), cuts, axis=0)
+        grads["table"][ids] = np.add.reduceat(d_x.take(order, axis=0), cuts, axis=0)
+        if self.shape.hashed:
+            ids = inputs.ravel() // self.shape.inputs
+            order = np.argsort(ids, kind="stable")[np.count_nonzero(ids == 0):]
+            if len(order):
+                cuts, ids = _cuts(ids[order])
+                self.rows["hashed"] = ids, np.add.reduceat(d_x.take(order, axis=0), cuts, axis=0)
         self._step(grads)
 
     def _step(self, grads) -> None:
-        """One step of Adam, the whole gradient at most 1 long."""
+        """One step of Adam, of Adagrad by rows for the sparse parts, the whole gradient at most 1 long."""
         self.steps += 1
-        long = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        long = np.sqrt(sum(float((g * g).sum()) for g in [*grads.values(), *[g for _, g in self.rows.values()]]))
         cut = np.float32(min(1.0, 1.0 / max(long, 1e-12)))
         rate = np.float32(self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps))
         for name, g in grads.items():
@@ -216,3 +312,10 @@ class Network:
             mean += np.float32(0.1) * (g - mean)
             square += np.float32(0.01) * (g * g - square)
             self.w[name] -= rate * mean / (np.sqrt(square) + np.float32(1e-6))
+        for name, (ids, g) in self.rows.items():
+            g *= cut
+            square = self.square[name][ids] + np.einsum("ij,ij->i", g, g) / np.float32(g.shape[1])
+            self.square[name][ids] = square
+            self.met[name][ids] += 1
+            g *= (np.float32(SPARSE_RATE) / (np.sqrt(square) + np.float32(1e-6)))[:, None]
+            self.w[name][ids] -= g

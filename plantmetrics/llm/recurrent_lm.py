@@ -2,14 +2,15 @@
 
 1. Words of the training texts are counted over all of them (hashes, pre-aggregated per task).
 2. The `vocabulary` most frequent words get a class each: the `head` first ones in head classes of 32, the others by group of
-   texts they occur in and by frequency; all other words, unknown ones too, are one class. The groups come from the counts of
+   texts they occur in and by frequency, as leaves of the class's tree; all other words, unknown ones too, are one class. The
+   `head` words have an input vector each, all others the sum of their class's and a hashed one. The groups come from the counts of
    each word in 16 cells of texts, over all training texts.
 3. Every task trains a copy of the network on its own training texts, each used once, in `rounds` disjoint shares; after a round
    the copies are averaged by their tokens. Copies travel as rows and are averaged in two levels.
 4. Every text is scored whole with the last average. Words outside the vocabulary are not broadcast: their hashes go through a
    join with the counts, pre-aggregated per text.
 
-Inside a class of fixed shares a vocabulary word has count / class count; in the last class a word has (count + 1) / (tokens +
+The first model gives a vocabulary word its share of its class's count, and learns from there; in the last class a word has (count + 1) / (tokens +
 words + 1) of the class, so that the chances of all words and one unknown word add up to 1.
 
 Defined cases: a null or empty text is its end token alone; null keys count as training texts, equal rows get equal scores;
@@ -28,14 +29,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantmetrics.functions.sizing import stored
-from plantmetrics.llm.recurrent import HEAD_CLASS, Network, Shape, flat, shaped, start
+from plantmetrics.llm.recurrent import HEAD_CLASS, SPARSE, Network, Shape, flat, shaped, start, tree_bias
 from plantmetrics.llm.words import word_hashes
 
 END = np.uint64(0x0E4D0E4D0E4D0E4D)
 _LN10 = float(np.log(10))
 _CELL_BITS = 4
 _CELLS = 1 << _CELL_BITS
-_GROUPS = 4
+_GROUPS = 8
+_HASHED = 1 << 14
 _MARKERS = 64
 _TOKENS_AT_ONCE = 1 << 20
 _RANGE_BITS = 20
@@ -43,7 +45,7 @@ _RANGE_BITS = 20
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Sorted hashes of the known words with count, class, place in the class and ln share of it, and the whole's totals."""
+    """Sorted hashes of the known words with count, class, place in the class and ln share of it (0: the network says it), and the whole's totals."""
 
     hashes: np.ndarray
     starts: np.ndarray
@@ -176,7 +178,7 @@ def _grouped(cells: np.ndarray) -> np.ndarray:
 
 
 def build_vocabulary(
-    docs: DataFrame, counts: DataFrame, text: str = "text", vocabulary: int = 1 << 18, grouped: int = 1 << 15, head: int = 512
+    docs: DataFrame, counts: DataFrame, text: str = "text", vocabulary: int = 1 << 18, grouped: int = 1 << 15, head: int = 1024
 ) -> tuple[Vocabulary, np.ndarray, np.ndarray]:
     """(vocabulary, class biases, word biases); at most `vocabulary` rows of two numbers reach the driver."""
     totals = counts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -194,36 +196,55 @@ def build_vocabulary(
     classes[head:] = head_classes + other
     n_classes = (int(classes.max()) + 1 if len(words) else 0) + 1
     per_class = np.bincount(classes, many, minlength=n_classes)
-    shares = np.where(np.arange(len(words)) < head, 0.0, np.log(many / np.maximum(per_class[classes], 1)))
+    by_class = head + np.argsort(classes[head:], kind="stable")
+    leaves = np.bincount(classes[head:], minlength=n_classes)[head_classes:]
+    members[by_class] = np.arange(len(by_class)) - np.repeat(np.cumsum(leaves) - leaves, leaves)
     tail_tokens, tail_words = int(totals["n"] - many.sum()), int(totals["v"] - len(words))
     per_class[-1] = tail_tokens + tail_words + 1
     word_bias = np.full((max(head_classes, 1), HEAD_CLASS), -30.0)
     word_bias[classes[:head], members[:head]] = np.log(many[:head])
     order = np.argsort(words)
-    shape = Shape(inputs=head + n_classes, classes=n_classes, head_classes=max(head_classes, 0))
+    shape = Shape(inputs=head + n_classes, classes=n_classes, head_classes=max(head_classes, 0), leaves=tuple(leaves.tolist()), hashed=_HASHED)
     inputs = np.where(np.arange(len(words)) < head, np.arange(len(words)), head + classes)
     first_bits = np.arange(1 << _RANGE_BITS, dtype=np.uint64) << np.uint64(64 - _RANGE_BITS)
     made = Vocabulary(
-        words[order], np.searchsorted(words[order], first_bits).astype(np.int32), many[order], classes[order], members[order], shares[order], inputs[order], shape,
+        words[order], np.searchsorted(words[order], first_bits).astype(np.int32), many[order], classes[order], members[order], np.zeros(len(words)), inputs[order], shape,
         int(totals["n"]), int(totals["v"]), tail_tokens, tail_words,
     )
     return made, np.log(np.maximum(per_class, 1)), word_bias[:shape.head_classes]
 
 
+def first_weights(vocabulary: Vocabulary, class_bias: np.ndarray, word_bias: np.ndarray) -> np.ndarray:
+    """Weights of the untrained network, in which every word has the chance that its count gives it."""
+    shape = vocabulary.shape
+    order = np.lexsort((vocabulary.members, vocabulary.classes))
+    ends = np.cumsum(np.bincount(vocabulary.classes, minlength=shape.classes))
+    counts = np.split(vocabulary.counts[order], ends[:-1])[shape.head_classes:]
+    biases = [tree_bias(c) for c in counts if len(c) > 1]
+    return flat(start(shape, class_bias, word_bias, node_bias=np.concatenate([np.zeros(0), *biases])))
+
+
 def _ids(vocabulary: Vocabulary, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     at, known = vocabulary.find(hashes)
     if not len(vocabulary.hashes):
         zero = np.zeros(len(hashes), np.int64)
         return at, known, zero, zero, zero
     tail = vocabulary.tail
-    inputs = np.where(known, vocabulary.inputs[at], vocabulary.shape.inputs - 1)
+    inputs, own = np.where(known, vocabulary.inputs[at], vocabulary.shape.inputs - 1), vocabulary.shape.inputs - vocabulary.shape.classes
+    hashed = (hashes % np.uint64(vocabulary.shape.hashed)).astype(np.int64) + 1
+    inputs = np.where(inputs < own, inputs, inputs + vocabulary.shape.inputs * hashed)
     return at, known, inputs, np.where(known, vocabulary.classes[at], tail), np.where(known, vocabulary.members[at], 0)
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, share: Column, text: str = "text", rounds: int = 2) -> np.ndarray:
-    """Weights after `rounds` rounds; `share` (0 to rounds - 1) says in which round a text is learnt from."""
+    """Weights after `rounds` rounds; `share` (0 to rounds - 1) says in which round a text is learnt from.
+
+    Copies travel as their changes: dense parts count by tokens, the rows of sparse parts by the steps that met them.
+    """
     context = docs.sparkSession.sparkContext
     known = context.broadcast(vocabulary)
+    # A copy is some 20 MB whatever a task reads, so a task learns from four partitions where there are more than cores.
+    copies = max(context.defaultParallelism, -(-docs.rdd.getNumPartitions() // 4))
     for number in range(rounds):
         now = context.broadcast(weights)
 
@@ -236,12 +257,25 @@ def train(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, share: C
                     network.run(lengths, inputs, classes, members, learn=True)
                     seen += len(hashes)
             if seen:
-                yield _pieces(np.concatenate([flat(network.w).astype(np.float64) * seen, [seen]]))
-
-        rows = docs.filter(share == number).select(F.col(text)).mapInArrow(learnt, "part long, values binary")
-        total = _summed(rows, np.float64)
-        if len(total):
-            weights = (total[:-1] / total[-1]).astype(np.float32)
+                before, moved = shaped(now.value, words.shape), []
+                for name in sorted(network.w):
+                    times = network.met[name] if name in SPARSE else np.full(1, seen, np.float32)
+                    change = network.w[name] - before[name]
+                    change *= times[:, None] if name in SPARSE else seen
+                    moved += [change.ravel(), times]
+                yield _pieces(np.concatenate(moved), 1 << 16)
+
+        rows = docs.filter(share == number).select(F.col(text)).coalesce(copies).mapInArrow(learnt, "part long, values binary")
+        total, at = _summed(rows, np.float32), 0
+        after = shaped(weights, vocabulary.shape)
+        for name in sorted(after) if len(total) else ():
+            size, many = after[name].size, len(after[name]) if name in SPARSE else 1
+            times = np.maximum(total[at + size:at + size + many], 1)
+            after[name] += (total[at:at + size].reshape(many, -1) / times[:, None]).reshape(after[name].shape)
+            at += size + many
+        weights = flat(after)
+        now.destroy()
+    known.destroy()
     return weights
 
 
@@ -292,7 +326,7 @@ def fit_and_score(docs: DataFrame, is_training: Column, key: str = "doc_id", tex
     learning = docs.filter(is_training)
     counts = stored(count_words(learning, text), "word-counts")
     vocabulary, class_bias, word_bias = build_vocabulary(learning, counts, text)
-    first = flat(start(vocabulary.shape, class_bias, word_bias))
+    first = first_weights(vocabulary, class_bias, word_bias)
     share = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(rounds))
     weights = train(learning, vocabulary, first, share, text, rounds)
     return score(docs, vocabulary, weights, counts, key, text)

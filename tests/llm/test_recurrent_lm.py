@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +118,57 @@ def test_no_training_texts_and_no_rows(spark):
     row, = L.fit_and_score(docs, F.lit(False)).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (3, 0, 0, 0.0) and math.isfinite(row.score)
     assert L.fit_and_score(spark.createDataFrame([], SCHEMA), F.lit(True)).count() == 0
+
+
+def test_gradients_of_trees_and_hashed_rows():
+    shape = R.Shape(inputs=7, classes=4, head_classes=1, hidden=5, window=6, slots=3, leaves=(6, 1, 0), hashed=3)
+    random = np.random.default_rng(0)
+    net = R.Network(shape, {k: random.standard_normal(v) * 0.5 for k, v in shape.parts().items()})
+    classes = random.integers(0, 4, 17)
+    data = (np.array([6, 5, 6]), random.integers(0, 7 * 4, 17), classes, random.integers(0, np.array([R.HEAD_CLASS, 6, 1, 1])[classes]))
+    seen = {}
+    net._step = lambda grads: seen.update({name: (ids.copy(), g.copy()) for name, (ids, g) in net.rows.items()})
+    net.run(*data, learn=True)
+    assert set(seen) == set(R.SPARSE)
+    for name, (ids, g) in seen.items():
+        for row, own in zip(ids, g, strict=True):
+            for column in range(0, len(own), 2):
+                old, loss = net.w[name][row, column], []
+                for step in (1e-4, -1e-4):
+                    net.w[name][row, column] = old + step
+                    loss.append(-net.run(*data, learn=False).sum() / 17)
+                net.w[name][row, column] = old
+                assert own[column] == pytest.approx((loss[0] - loss[1]) / 2e-4, abs=1e-4)
+
+
+def test_first_weights_are_the_counts():
+    for counts in ([5], [3, 1], [9, 4, 4, 2, 1], list(range(40, 3, -1))):
+        m = len(counts)
+        shape = R.Shape(inputs=1, classes=2, head_classes=0, hidden=2, leaves=(m, 0))
+        bias = R.tree_bias(np.array(counts)) if m > 1 else None
+        net = R.Network(shape, R.start(shape, np.zeros(2), np.zeros((0, R.HEAD_CLASS)), node_bias=bias))
+        zero = np.zeros(m, np.int64)
+        net.w["class"][:] = 0
+        got = np.exp(net.run(np.ones(m, np.int64), zero, zero, np.arange(m), learn=False)) * 2
+        assert np.allclose(got, np.array(counts) / sum(counts), atol=1e-5)
+
+
+def test_words_behind_the_head_have_chances_and_inputs_of_their_own(spark):
+    """Each p is followed by its own s; words of one class are told apart by the word before them."""
+    random.seed(4)
+    texts = [" ".join(f"p{i} s{i}" for i in random.choices(range(24), k=20)) for _ in range(300)]
+    docs = spark.createDataFrame([(k, t, 0) for k, t in enumerate(texts)], SCHEMA)
+    made, class_bias, word_bias = L.build_vocabulary(docs, L.count_words(docs), head=4)
+    net = R.Network(made.shape, R.shaped(L.first_weights(made, class_bias, word_bias), made.shape))
+    hashes, lengths = L.tokens_of(pa.array(texts))
+    for _ in range(60):
+        net.run(lengths, *L._ids(made, hashes)[2:], learn=True)
+
+    def chance(i, j):
+        hashes, lengths = L.tokens_of(pa.array([f"p{i} s{j}"]))
+        at, _, inputs, classes, members = L._ids(made, hashes)
+        return net.run(lengths, inputs, classes, members, learn=False)[1] + made.shares[at[1]], classes[1]
+
+    same = [(i, j) for i in range(24) for j in range(i) if chance(i, i)[1] == chance(j, j)[1] >= made.shape.head_classes]
+    told = [chance(i, i)[0] - chance(i, j)[0] - chance(j, i)[0] + chance(j, j)[0] for i, j in same]
+    assert len(told) > 5 and sum(x > 0.1 for x in told) > 0.9 * len(told)
