@@ -4,7 +4,8 @@ The page is read into a tree in one pass. Elements that are boilerplate by their
 scripts and the like), by their role or by a word of their class or id are left out. Every node then has a density: characters
 per tag, lowered by the share of characters and tags in links. The container whose children have the largest sum of densities is
 the core; the smallest density on its way up to the body is the threshold, and beside the core every subtree on that way counts
-whose density reaches it. If the core lies inside an article, or the article inside it, the article alone is the result.
+whose density reaches it. If the core lies inside an article (else main), that whole element stands for the core; subtrees beside
+it count by the threshold as anywhere.
 
 Text is given as blocks: character references decoded, white space inside a block one space, blocks joined by one line end. A
 line break inside a block is white space.
@@ -178,24 +179,12 @@ def _chosen(tree: _Tree) -> set[int] | None:
     way = [core]
     while way[-1] > 0:
         way.append(tree.parents[way[-1]])
-    articles = [n for n in way if tree.tags[n] == "article"] or [n for n in way if tree.tags[n] == "main"]
-    if articles:
-        return {articles[-1]}
-    inside = [n for n in holders if tree.tags[n] == "article" and core in _ups(tree, n)]
-    if inside:
-        best = max(inside, key=lambda n: (sums[n] + density[n], -n))
-        return {best}
     body = [n for n in way if tree.tags[n] != "html"] or way
     threshold = min(density[n] for n in body)
-    return {core} | {n for up in way[1:] for n in below[up] if n not in way and density[n] >= threshold}
-
-
-def _ups(tree: _Tree, node: int) -> list[int]:
-    out = []
-    while tree.parents[node] >= 0:
-        node = tree.parents[node]
-        out.append(node)
-    return out
+    articles = [n for n in way if tree.tags[n] == "article"] or [n for n in way if tree.tags[n] == "main"]
+    whole = articles[-1] if articles else core
+    on_way = set(way)
+    return {whole} | {n for up in way[way.index(whole) + 1:] for n in below[up] if n not in on_way and density[n] >= threshold}
 
 
 def main_text(page: str | None) -> str:

@@ -25,6 +25,14 @@ def test_article_only(body):
     assert main_text(SHELL % body) == f"A & B\n{PARAGRAPH} {PARAGRAPH}\nLast <one>"
 
 
+def test_threshold_decides_beside_articles():
+    story = "".join(f"<p>{i} {PARAGRAPH}</p>" for i in range(4))
+    lines = "\n".join(f"{i} {PARAGRAPH}" for i in range(4))
+    assert main_text(f"<body><div>{story}<article class=teaser><p>Teaser.</p></article></div></body>") == f"{lines}\nTeaser."
+    assert main_text(f"<body><div><article>{story}</article><article>{story}</article></div></body>") == f"{lines}\n{lines}"
+    assert main_text(f"<body><article><h1>T</h1><div>{story}</div></article><div><p><a href=x>Other page</a></p></div></body>") == f"T\n{lines}"
+
+
 def test_short_article_beside_long_boilerplate():
     assert main_text(SHELL % "<article><p>Short.</article>") == "Short."
 
