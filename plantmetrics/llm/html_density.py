@@ -1,7 +1,8 @@
 """Main text of web pages by composite text density.
 
 The page is read into a tree in one pass. Elements that are boilerplate by their kind (menus, headers, footers, asides, forms,
-scripts and the like), by their role or by a word of their class or id are left out. Every node then has a density: characters
+scripts and the like) or by their role are left out, as are those whose whole class or id names boilerplate if they hold neither an
+article or main nor half of the page's text. Every node then has a density: characters
 per tag, lowered by the share of characters and tags in links. The container whose children have the largest sum of densities is
 the core; the smallest density on its way up to the body is the threshold, and beside the core every subtree on that way counts
 whose density reaches it. If the core lies inside an article (else main), that whole element stands for the core; subtrees beside
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 _ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _TOKEN = re.compile(
     rf"""(?is)<!--.*?(?:-->|\Z)
-    |<(script|style|noscript|template|textarea|iframe|object|svg|math|select|button|title|head\b(?=.*</head))\b{_ATTRIBUTES}>.*?(?:</\1\s*>|\Z)
+    |<(script|style|noscript|template|textarea|iframe|svg|select|button|title|head\b(?=.*</head))\b{_ATTRIBUTES}>.*?(?:</\1\s*>|\Z)
     |<(/?)([a-z][^\s/>]*)({_ATTRIBUTES})>
     |<[!?/][^>]*(?:>|\Z)
     |<[a-z][^<>]*\Z
@@ -44,7 +45,7 @@ _BLOCKS = frozenset(
     " header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 _CONTAINERS = frozenset("article body center dd details div dl fieldset figure html main ol section table tbody td tr ul blockquote".split())
-_LEFT_OUT = frozenset("nav header footer aside form menu dialog fieldset label input option datalist audio video canvas map".split())
+_LEFT_OUT = frozenset("nav header footer aside form menu dialog fieldset input option datalist audio video map".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 _BOILERPLATE = frozenset(
     "ad ads adslot advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice"
@@ -52,6 +53,8 @@ _BOILERPLATE = frozenset(
     " breadcrumbs pagination pager toolbar header masthead footer comment comments disqus respond replies share sharing social related"
     " recommended recommendations widget login signup".split()
 )
+#: Words beside those of _BOILERPLATE that leave a class name one of boilerplate.
+_PLACES = frozenset("site left right top bottom box bar block list links button buttons section area container wrapper slot unit".split())
 _KEPT_WHOLE = frozenset(("html", "body", "article", "main"))
 #: A start tag on the left ends an open element on the right, up to the nearest scope.
 _ENDS = {
@@ -68,10 +71,18 @@ def _is_boilerplate(tag: str, attributes: str) -> bool:
         return False
     if _HIDDEN.search(attributes):
         return True
+    return any(name.lower() == "role" and not _ROLES.isdisjoint("".join(values).lower().split()) for name, *values in _NAMED.findall(attributes))
+
+
+def _is_suspect(tag: str, attributes: str) -> bool:
+    """Whether a whole class or id names boilerplate: sidebar, site-footer or cookie-notice, not with-sidebar."""
+    if not attributes or tag in _KEPT_WHOLE:
+        return False
     for name, *values in _NAMED.findall(attributes):
-        words = re.split(r"[^a-z0-9]+", "".join(values).lower())
-        if not _BOILERPLATE.isdisjoint(words) if name.lower() != "role" else not _ROLES.isdisjoint(words):
-            return True
+        for token in "".join(values).lower().split() if name.lower() != "role" else ():
+            words = set(re.split(r"[^a-z0-9]+", token)) - {""}
+            if not _BOILERPLATE.isdisjoint(words) and words <= _BOILERPLATE | _PLACES:
+                return True
     return False
 
 
@@ -84,6 +95,7 @@ class _Tree:
     def __init__(self, page: str):
         self.tags, self.parents, self.chars = ["html"], [-1], [0]
         self.runs: list[tuple[int, int, str]] = []
+        self.suspects: list[int] = []
         self.block = 0
         self.open: list[tuple[str, int | None]] = [("html", 0)]
         for token in _TOKEN.finditer(page):
@@ -94,6 +106,7 @@ class _Tree:
                 self._end(token[3].lower())
             else:
                 self._start(token[3].lower(), token[4])
+        self._cut()
 
     def _text(self, text: str) -> None:
         node = self.open[-1][1]
@@ -118,6 +131,8 @@ class _Tree:
             self.parents.append(node)
             self.chars.append(0)
             node = len(self.tags) - 1
+            if _is_suspect(tag, attributes):
+                self.suspects.append(node)
         else:
             node = None
         if tag not in _VOID and not (attributes.endswith("/") and tag not in _BLOCKS):
@@ -139,6 +154,24 @@ class _Tree:
                 return
 
 
+    def _cut(self) -> None:
+        """Leave out the suspects that hold neither an article or main nor half of the page's text."""
+        if not self.suspects:
+            return
+        n = len(self.tags)
+        chars, whole = self.chars[:], [tag in ("article", "main") for tag in self.tags]
+        for node in range(n - 1, 0, -1):
+            chars[self.parents[node]] += chars[node]
+            whole[self.parents[node]] |= whole[node]
+        gone, suspects = [False] * n, {s for s in self.suspects if not whole[s] and 2 * chars[s] < chars[0]}
+        for node in range(1, n):
+            gone[node] = gone[self.parents[node]] or node in suspects
+        kept = [node for node in range(n) if not gone[node]]
+        new = {node: at for at, node in enumerate(kept)} | {-1: -1}
+        self.tags, self.chars, self.parents = [self.tags[x] for x in kept], [self.chars[x] for x in kept], [new[self.parents[x]] for x in kept]
+        self.runs = [(new[node], block, text) for node, block, text in self.runs if not gone[node]]
+
+
 def _densities(tree: _Tree) -> list[float]:
     n = len(tree.tags)
     linked = [False] * n

@@ -33,6 +33,20 @@ def test_threshold_decides_beside_articles():
     assert main_text(f"<body><article><h1>T</h1><div>{story}</div></article><div><p><a href=x>Other page</a></p></div></body>") == f"T\n{lines}"
 
 
+@pytest.mark.parametrize("wrapper", [
+    "class='layout with-sidebar'", "class='content-sidebar-wrap'", "class='page header-fixed'", "id='page' class='no-comments'",
+    "class='elementor-widget post-content'", "class=sidebar", "class='site-header'",
+])
+def test_wrappers_of_the_page_stay(wrapper):
+    for inside in (f"<article><p>{PARAGRAPH}</p></article>", f"<div><p>{PARAGRAPH}</p></div>"):
+        assert main_text(f"<body><div {wrapper}>{inside}</div></body>") == PARAGRAPH
+
+
+@pytest.mark.parametrize("tag", ["math", "object", "label", "canvas"])
+def test_text_of_the_article_stays(tag):
+    assert main_text(f"<article><p>{PARAGRAPH} <{tag}>x is 1</{tag}> {PARAGRAPH}</p></article>") == f"{PARAGRAPH} x is 1 {PARAGRAPH}"
+
+
 def test_short_article_beside_long_boilerplate():
     assert main_text(SHELL % "<article><p>Short.</article>") == "Short."
 
