@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantmetrics.llm import chat_format, decontaminate, html_density, jaccard_groups, mixing, quality_knn, quality_rules, recurrent_lm, url_markov, warc
+from plantmetrics.llm import chat_format, decontaminate, html_density, jaccard_groups, mixing, permuterm, quality_knn, quality_rules, recurrent_lm, url_markov, warc
 from plantmetrics.session import scratch_path
 from plantmetrics.sources.tables import read_table
 
@@ -274,3 +274,47 @@ def op9_lm_scoring(spark: SparkSession, root: str) -> DataFrame:
     return scores.select(
         "doc_id", held_out("doc_id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+_RUNS = "regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')"
+SPELLING_SQL = rf"""
+    WITH RECURSIVE places AS (
+        SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+                   CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+    runs AS (
+        SELECT translate(run, '{permuterm.UPPER}', '{permuterm.LOWER}') AS run, coalesce(CAST(doc_id AS VARCHAR), 'null') AS name, count(*) AS times
+        FROM (SELECT doc_id, unnest({_RUNS}) AS run FROM documents) GROUP BY ALL),
+    bytes AS (
+        SELECT run, times, list_transform(range(1, length(b), 2), lambda i: CAST('0x' || substr(b, i, 2) AS BIGINT)) AS b
+        FROM (SELECT *, hex(encode(name || ':' || run)) AS b FROM runs)),
+    hashed AS (
+        SELECT run, times, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda c, x:
+                   xor(c >> 8, t[xor(c, x) % 256 + 1]))) AS h
+        FROM bytes, places),
+    damaged AS (
+        SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times
+        FROM hashed),
+    words AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM damaged WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+    edits AS (SELECT word, substr(word, 1, i) AS u, substr(word, i + 2) AS v
+              FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+    near AS (
+        SELECT a.word, b.word AS other FROM edits a JOIN edits b ON a.u = b.u AND a.v = b.v AND a.word <> b.word
+        UNION SELECT e.word, w.word FROM edits e JOIN words w ON w.word = e.u || e.v
+        UNION SELECT w.word, e.word FROM edits e JOIN words w ON w.word = e.u || e.v),
+    judged AS (
+        SELECT near.word, count(*) AS n_near, arg_max(other, (o.n, -r)) AS best, max(o.n) AS best_n
+        FROM near JOIN (SELECT word, n, row_number() OVER (ORDER BY word) AS r FROM words) o ON o.word = other GROUP BY near.word),
+    formed AS (
+        SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * n THEN best END AS form,
+               CASE WHEN best_n >= 2 * n THEN best_n END AS form_n
+        FROM words LEFT JOIN judged USING (word)),
+    followed AS (
+        SELECT word, form AS reached, 1 AS step FROM formed WHERE form IS NOT NULL
+        UNION ALL SELECT f.word, g.form, step + 1 FROM followed f JOIN formed g ON g.word = f.reached WHERE g.form IS NOT NULL),
+    ends AS (SELECT word, arg_max(reached, step) AS root FROM followed GROUP BY word)
+    SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM formed LEFT JOIN ends USING (word)"""
+
+
+@query("op11_spelling_variants", SPELLING_SQL)
+def op11_spelling_variants(spark: SparkSession, root: str) -> DataFrame:
+    return permuterm.spelling_groups(read_table(spark, root, "documents"))
