@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantmetrics.llm import chat_format, decontaminate, html_density, jaccard_groups, mixing, permuterm, quality_knn, quality_rules, recurrent_lm, url_markov, warc
+from plantmetrics.llm import chat_format, decontaminate, html_density, jaccard_groups, mixing, permuterm, quality_knn, quality_rules, recurrent_lm, url_markov, warc, whitening
 from plantmetrics.session import scratch_path
 from plantmetrics.sources.tables import read_table
 
@@ -318,3 +318,8 @@ SPELLING_SQL = rf"""
 @query("op11_spelling_variants", SPELLING_SQL)
 def op11_spelling_variants(spark: SparkSession, root: str) -> DataFrame:
     return permuterm.spelling_groups(read_table(spark, root, "documents"))
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(spark: SparkSession, root: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, root, "embeddings"))
