@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantmetrics.llm import chat_format, decontaminate, html_density, jaccard_groups, mixing, permuterm, quality_knn, quality_rules, recurrent_lm, url_markov, warc, whitening
+from plantmetrics.llm import chat_format, decontaminate, html_density, jaccard_groups, mixing, permuterm, pii, quality_knn, quality_rules, recurrent_lm, url_markov, warc, whitening
 from plantmetrics.session import scratch_path
 from plantmetrics.sources.tables import read_table
 
@@ -323,3 +323,16 @@ def op11_spelling_variants(spark: SparkSession, root: str) -> DataFrame:
 @query("op13_embedding_whitening")
 def op13_embedding_whitening(spark: SparkSession, root: str) -> DataFrame:
     return whitening.whiten(read_table(spark, root, "embeddings"))
+
+
+@query("op12_pii")
+def op12_pii(spark: SparkSession, root: str) -> DataFrame:
+    docs = read_table(spark, root, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    named = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter("spans", lambda s, k=kind: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS[:4]]
+    return found.select(
+        "doc_id", *counts, F.sha2(F.array_join(F.transform(base, named), ","), 256).alias("base_sha256"),
+        F.array_join(F.transform("spans", named), ",").alias("spans"),
+    )
