@@ -144,30 +144,36 @@ def _unit(vectors: Sequence) -> np.ndarray:
     return np.divide(rows, norms, out=np.full_like(rows, np.nan), where=norms > 0)
 
 
+def best_rows(scores: np.ndarray, k: int) -> np.ndarray:
+    """Mask of the k best finite scores of every column; among equal ones the earlier rows."""
+    if not len(scores):
+        return np.zeros(scores.shape, bool)
+    at = max(len(scores) - k, 0)
+    edge = np.partition(scores, at, axis=0)[at]
+    above, tie = scores > edge, scores == edge
+    return (above | (tie & (np.cumsum(tie, axis=0) <= k - above.sum(axis=0)))) & np.isfinite(scores)
+
+
 def _best(corpus: pd.DataFrame, queries: pd.DataFrame, unit_queries: np.ndarray, k: int, filters: Sequence[str]) -> pd.DataFrame:
     """Top k of one batch per query, ties kept by smaller corpus id. Queries go in slices to bound the score matrix."""
-    parts = []
+    q, c, found = [], [], []
+    corpus = corpus.sort_values("c_id", kind="stable")
     ids = corpus["c_id"].to_numpy()
     unit_corpus = _unit(corpus["c_vec"]) if len(corpus) and len(queries) else None
     for start in range(0, len(queries) if len(corpus) else 0, QUERY_SLICE):
         asked = queries.iloc[start:start + QUERY_SLICE]
         scores = unit_corpus @ unit_queries[start:start + QUERY_SLICE].T
-        allowed = ~np.isnan(scores)
+        scores[np.isnan(scores)] = -np.inf
         for name in filters:
             wanted = asked[name].to_numpy()[None, :]
-            allowed &= pd.isna(wanted) | (corpus[name].to_numpy()[:, None] == wanted)
-        scores = np.where(allowed, scores, -np.inf)
-        for j, q_id in enumerate(asked["q_id"]):
-            column = scores[:, j]
-            if len(column) > k:
-                edge = np.partition(column, len(column) - k)[len(column) - k]
-                pick = np.flatnonzero(column >= edge)
-            else:
-                pick = np.arange(len(column))
-            pick = pick[np.lexsort((ids[pick], -column[pick]))][:k]
-            pick = pick[np.isfinite(column[pick])]
-            parts.append(pd.DataFrame({"q_id": q_id, "c_id": ids[pick], "score": column[pick]}))
-    return pd.concat(parts) if parts else pd.DataFrame({"q_id": [], "c_id": [], "score": []})
+            scores[~(pd.isna(wanted) | (corpus[name].to_numpy()[:, None] == wanted))] = -np.inf
+        column, row = np.nonzero(best_rows(scores, k).T)
+        q.append(asked["q_id"].to_numpy()[column])
+        c.append(ids[row])
+        found.append(scores[row, column])
+    if not q:
+        return pd.DataFrame({"q_id": [], "c_id": [], "score": []})
+    return pd.DataFrame({"q_id": np.concatenate(q), "c_id": np.concatenate(c), "score": np.concatenate(found)})
 
 
 def topk_similar(
@@ -254,10 +260,3 @@ def hybrid_context(requests: DataFrame, contexts: DataFrame, latest: DataFrame,
         "query_id", "equipment_id", F.coalesce("sensor_context", F.lit(missing)).alias("sensor_context"),
         F.col("context").alias("manual_context"),
     )
-
-
-def similarity_join_text(chunks: DataFrame, questions: DataFrame, k: int = 3, dims: int = 256) -> DataFrame:
-    """Top-k chunks per question, both embedded with `embed_text`."""
-    corpus = embed_text(chunks, "content", dims=dims)
-    asked = embed_text(questions, "text", dims=dims)
-    return topk_similar(corpus, asked, k, corpus_id="chunk_id", query_id="item_id")

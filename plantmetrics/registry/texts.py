@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantmetrics.operators import logs, retrieval, text
+from plantmetrics.operators import embeddings, logs, retrieval, search, text
 from plantmetrics.plans import kpi
 from plantmetrics.registry.base import DERIVED, Inputs, near, query, sql_near
 
@@ -283,10 +283,37 @@ def topk_filtered(t: Inputs):
     return _hits(t, ["label"]).withColumn("score", near("score"))
 
 
-@query("r6_text_search")
+def _cells_sql(name: str, rows: str) -> str:
+    """CTEs for (key, bucket, n) of the words of (key, text) rows; buckets as in `embeddings.with_cells`."""
+    return f"""
+    {name}_words AS (SELECT key, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+')) AS w FROM ({rows})),
+    {name} AS (SELECT key, CAST('0x' || substr(md5(w), 1, 7) AS BIGINT) % {embeddings.DIMS} AS bucket, count(*) AS n FROM {name}_words GROUP BY 1, 2)"""
+
+
+def _weights_sql(cells: str, rows: str) -> str:
+    return f"""
+    weight AS (SELECT b AS bucket, CAST(length(bin((all_texts + 1) // (coalesce(texts, 0) + 1))) AS BIGINT) AS w
+               FROM (SELECT unnest(range({embeddings.DIMS})) AS b), (SELECT count(*) AS all_texts FROM ({rows}))
+               LEFT JOIN (SELECT bucket, count(*) AS texts FROM {cells} GROUP BY 1) ON bucket = b)"""
+
+
+_CHUNK_ROWS = f"SELECT {_CHUNK_ID} AS key, content AS text FROM chunks"
+
+
+@query("r6_text_search", f"""
+WITH {_cells_sql('cells', _CHUNK_ROWS)}, {_cells_sql('asked', 'SELECT item_id AS key, text FROM benchmark')}, {_weights_sql('cells', _CHUNK_ROWS)},
+c AS (SELECT key, bucket, n * w AS v FROM cells JOIN weight USING (bucket)), q AS (SELECT key, bucket, n * w AS v FROM asked JOIN weight USING (bucket)),
+dots AS (SELECT q.key AS query_id, c.key AS corpus_id, sum(q.v * c.v) AS dot FROM q JOIN c USING (bucket) GROUP BY 1, 2),
+scored AS (SELECT query_id, corpus_id, round(dot / (sqrt(CAST(a.s AS DOUBLE)) * sqrt(CAST(b.s AS DOUBLE))), 12) AS score FROM dots
+           JOIN (SELECT key, sum(v * v) AS s FROM q GROUP BY 1) a ON a.key = query_id JOIN (SELECT key, sum(v * v) AS s FROM c GROUP BY 1) b ON b.key = corpus_id)
+SELECT query_id, corpus_id, {sql_near('score')} AS score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, corpus_id) AS INTEGER) AS rank
+FROM scored QUALIFY rank <= 3""", ["chunks"])
 def text_search(t: Inputs):
-    """Benchmark passages as questions against every document page."""
-    return retrieval.similarity_join_text(retrieval.with_chunk_id(_chunks(t)), t.table("benchmark"))
+    """Benchmark passages as questions against every document page, through cells of near vectors."""
+    made = embeddings.sync_index(retrieval.with_chunk_id(_chunks(t)))
+    asked = embeddings.with_vectors(embeddings.with_cells(t.table("benchmark"), "text"), embeddings.weights(made.counts))
+    cells = search.build_index(made.rows, "chunk_id")
+    return search.search(cells, asked, 3, query_id="item_id").withColumn("score", near("score"))
 
 
 def _versions(t: Inputs) -> tuple[DataFrame, DataFrame]:
@@ -304,11 +331,26 @@ def changed_chunks(t: Inputs):
     return retrieval.changed_chunks(now, old.select("chunk_id", F.md5("content").alias("content_hash")))
 
 
-@query("r7_sync", f"SELECT {_CHUNK_ID} AS chunk_id, md5(content) AS content_hash FROM chunks WHERE lang <> 'es'", ["chunks"])
+_NOW_ROWS = f"SELECT {_CHUNK_ID} AS key, content AS text FROM chunks WHERE lang <> 'es'"
+
+
+@query("r7_sync", f"""
+WITH {_cells_sql('cells', _NOW_ROWS)}, {_weights_sql('cells', _NOW_ROWS)},
+v AS (SELECT key, bucket, n, n * w AS v FROM cells JOIN weight USING (bucket)),
+texts AS (SELECT key, string_agg(concat(bucket, ':', n), ' ' ORDER BY bucket) AS cells, sum(v * v) AS square, sum(bucket * v) AS moment,
+                 sum(v * v) FILTER (WHERE bucket < 64) AS part FROM v GROUP BY 1)
+SELECT key AS chunk_id, md5(text) AS content_hash, coalesce(cells, '') AS cells,
+       {sql_near('coalesce(moment / sqrt(CAST(square AS DOUBLE)), 0)', 5)} AS moment, {sql_near('coalesce(part / CAST(square AS DOUBLE), 0)', 5)} AS part
+FROM ({_NOW_ROWS}) LEFT JOIN texts USING (key)""", ["chunks"])
 def sync(t: Inputs):
+    """Second sync of an index: Spanish pages gone, German ones changed, French ones new; vectors by two sums over their numbers."""
     now, old = _versions(t)
-    index = retrieval.sync_embeddings(old, None)
-    return retrieval.sync_embeddings(now, index).select("chunk_id", "content_hash")
+    made = embeddings.sync_index(now, embeddings.sync_index(old))
+    add = lambda total, x: total + x
+    moment = F.aggregate(F.transform("embedding", lambda x, i: x * i), F.lit(0.0), add)
+    part = F.aggregate(F.transform(F.slice("embedding", 1, 64), lambda x: x * x), F.lit(0.0), add)
+    cells = F.array_join(F.transform("cells", lambda c: F.concat_ws(":", c["bucket"].cast("string"), c["count"].cast("string"))), " ")
+    return made.rows.select("chunk_id", "content_hash", cells.alias("cells"), near(moment, 5).alias("moment"), near(part, 5).alias("part"))
 
 
 @query("r8_context", """
