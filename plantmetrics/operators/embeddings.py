@@ -8,13 +8,14 @@ ones that hold a word whose weight moved; every other row is passed on as stored
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from plantmetrics.functions.sizing import stored
 
@@ -53,18 +54,15 @@ def weights(counts: DataFrame, dims: int = DIMS) -> list[int]:
     return [((texts.get(_TOTAL, 0) + 1) // (texts.get(b, 0) + 1)).bit_length() for b in range(dims)]
 
 
-def _dense(dims: int):
-    @arrow_udf("array<double>")
-    def unit(cells: pa.Array) -> pa.Array:
-        lengths = np.diff(np.asarray(cells.offsets))
-        flat = cells.flatten()
-        rows = np.zeros((len(cells), dims))
-        rows[np.repeat(np.arange(len(cells)), lengths), flat.field("bucket").to_numpy()] = flat.field("weight").to_numpy()
-        norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-        rows = np.divide(rows, norms, out=rows, where=norms > 0)
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * dims, pa.int32()), pa.array(rows.ravel()))
-
-    return unit
+def _dense(cells: pa.Array, dims: int) -> pa.Array:
+    """Unit vector of every row's weighted cells."""
+    lengths = np.diff(np.asarray(cells.offsets))
+    flat = cells.flatten()
+    rows = np.zeros((len(cells), dims))
+    rows[np.repeat(np.arange(len(cells)), lengths), flat.field("bucket").to_numpy()] = flat.field("weight").to_numpy()
+    norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+    rows = np.divide(rows, norms, out=rows, where=norms > 0)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * dims, pa.int32()), pa.array(rows.ravel()))
 
 
 def weighted_cells(weight: list[int], cells: str = "cells") -> Column:
@@ -74,8 +72,16 @@ def weighted_cells(weight: list[int], cells: str = "cells") -> Column:
 
 
 def with_vectors(celled: DataFrame, weight: list[int], out: str = "embedding") -> DataFrame:
-    """Unit vector of every row's cells; a row without a word gets zeros."""
-    return celled.withColumn(out, _dense(len(weight))(weighted_cells(weight)))
+    """Unit vector of every row's cells; a row without a word gets zeros. All columns pass through Arrow, so leave long texts out."""
+    schema = StructType([*celled.schema.fields, StructField(out, ArrayType(DoubleType()))])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 1024):
+                part = batch.slice(at, 1024)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], _dense(part.column(part.num_columns - 1), len(weight))], schema.names)
+
+    return celled.withColumn("_weighted", weighted_cells(weight)).mapInArrow(added, schema)
 
 
 @dataclass(frozen=True)
@@ -94,7 +100,7 @@ def sync_index(chunks: DataFrame, index: Index | None = None, key: str = "chunk_
     if index is None:
         fresh = stored(with_cells(hashed, content, dims), "cells")
         counts = stored(frequencies(fresh), "frequencies")
-        made = with_vectors(fresh, weights(counts, dims)).withColumn("revision", F.lit(0))
+        made = with_vectors(fresh.select(key, "content_hash", "cells"), weights(counts, dims)).withColumn("revision", F.lit(0))
         return Index(stored(made.select(shown), "index"), counts)
     same = [key, "content_hash"]
     fresh = stored(with_cells(hashed.join(index.rows.select(same), same, "left_anti"), content, dims), "cells")

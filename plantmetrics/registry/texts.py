@@ -311,7 +311,7 @@ FROM scored QUALIFY rank <= 3""", ["chunks"])
 def text_search(t: Inputs):
     """Benchmark passages as questions against every document page, through cells of near vectors."""
     made = embeddings.sync_index(retrieval.with_chunk_id(_chunks(t)))
-    asked = embeddings.with_vectors(embeddings.with_cells(t.table("benchmark"), "text"), embeddings.weights(made.counts))
+    asked = embeddings.with_vectors(embeddings.with_cells(t.table("benchmark"), "text").select("item_id", "cells"), embeddings.weights(made.counts))
     cells = search.build_index(made.rows, "chunk_id")
     return search.search(cells, asked, 3, query_id="item_id").withColumn("score", near("score"))
 
