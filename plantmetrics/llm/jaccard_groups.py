@@ -291,7 +291,7 @@ def links(docs: DataFrame, nodes: DataFrame, key: str, text: str, join: Join) ->
     fits = (F.col("own") > F.col("label")) & (m * join.num <= n * join.den) & (n * join.num <= F.col("most_n") * join.den)
     early = (F.col("at") - n < slack) & (F.col("first_at") < slack)
     bound = asks.join(matrix, "token").filter(fits & early).groupBy("id", "chunk").agg(
-        F.count("*").alias("both"), F.first(_shared(n, m, join)).alias("need")
+        F.count("*").alias("both"), F.min(_shared(n, m, join)).alias("need")
     )
     opened = stored(bound.filter("both >= need").select("id", "chunk"), "opened")
     members = held.select(F.col("rep").alias("id"), "chunk").join(opened.select("chunk").distinct(), "chunk")
@@ -318,5 +318,5 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", join: J
     Of rows that repeat the smallest id, all stay. Only ids of rows to drop are joined with the rows.
     """
     found = classes(docs, key, text, join)
-    gone = found.filter((F.col("n_shingles") > 0) & (F.col(key) != F.col("component_id"))).select(F.col(key).alias("gone")).distinct()
-    return docs.join(stored(gone, "later-copies"), F.col(key) == F.col("gone"), "left_anti")
+    gone = found.filter((F.col("n_shingles") > 0) & (F.col(key) != F.col("component_id"))).select(key).distinct()
+    return docs.join(stored(gone, "later-copies"), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -3,6 +3,7 @@ from dataclasses import replace
 
 import pytest
 
+from plantmetrics.functions.sizing import stored
 from plantmetrics.llm import jaccard_groups as J
 
 SCHEMA = "doc_id long, text string, n_shingles int, component_id string"
@@ -89,3 +90,20 @@ def test_one_row_of_each_class_stays(frame):
 
 def test_empty_table(frame):
     assert J.classes(frame([], SCHEMA)).count() == 0 and J.keep_first(frame([], SCHEMA)).count() == 0
+
+
+def test_columns_of_any_name_stay(frame):
+    docs = frame([(1, "a b c", 5, "x"), (2, "a b c", 6, "y")], "doc_id long, text string, gone int, id string")
+    assert [tuple(r) for r in J.keep_first(docs).collect()] == [(1, "a b c", 5, "x")]
+    assert J.keep_first(docs.select("gone", "text", "doc_id")).columns == ["gone", "text", "doc_id"]
+
+
+def test_long_chains_take_few_rounds(frame, monkeypatch):
+    from plantmetrics.llm import components as C
+
+    written = []
+    monkeypatch.setattr(C, "stored", lambda df, label="side": written.append(label) or stored(df, label))
+    chain = [(i, i + 1) for i in range(1000)] + [(5000 + 2 * i, 5000 + 2 * i + 1) for i in range(5)] + [(7, 7)]
+    got = {r.node: r.component for r in C.components(frame(chain, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(1001), 0), **{5000 + i: 5000 + i - i % 2 for i in range(10)}}
+    assert written.count("points") <= 15
