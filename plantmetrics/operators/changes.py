@@ -17,6 +17,7 @@ from plantmetrics.operators.quality import incremental_bounds
 from plantmetrics.sources.tables import append_evolve, union_by_name
 
 LOG_COLUMNS = ("_change_type", "_commit_version", "_commit_timestamp")
+FILTER_BITS = 1 << 23
 
 
 def _stamp(version: int | Column, timestamp: str) -> list[Column]:
@@ -34,18 +35,42 @@ def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return one.filter(checked.cast("long") == 1).select(*df.columns)
 
 
+def _slot(keys: Sequence[str], bits: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(bits)) + 1
+
+
+def flag_possible(target: DataFrame, source: DataFrame, keys: Sequence[str], bits: int = FILTER_BITS, out: str = "_possible") -> DataFrame:
+    """Target rows with whether their key can be one of the source's; never false for one that is, nor true for a NULL in a key.
+
+    The source's key hashes are a bitmap of `bits` bits in pieces of 4 KB, whatever its size, so the broadcast is bounded (1 MB)
+    and the target stays where it is.
+    """
+    slots = source.select(_slot(keys, bits).alias("_slot"))
+    pieces = slots.groupBy(F.bitmap_bucket_number("_slot").alias("_piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+    placed = target.withColumn("_at", _slot(keys, bits)).withColumn("_piece", F.bitmap_bucket_number("_at"))
+    bit = F.bitmap_bit_position("_at")
+    byte = F.conv(F.hex(F.expr("substring(_bits, CAST(bitmap_bit_position(_at) DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    held = F.coalesce(F.bit_get(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    return placed.join(F.broadcast(pieces), "_piece", "left").withColumn(out, held & known).drop("_at", "_piece", "_bits")
+
+
 def merge_upsert(
     target: DataFrame, source: DataFrame, keys: Sequence[str],
-    update: Sequence[str] | None = None, insert: Sequence[str] | None = None,
+    update: Sequence[str] | None = None, insert: Sequence[str] | None = None, bits: int = FILTER_BITS,
 ) -> DataFrame:
     """Matched rows take the `update` columns of the source, other source rows come in with the `insert` columns.
 
-    Both default to all source columns. Columns not listed stay as they are on update and are NULL on insert.
+    Both default to all source columns. Columns not listed stay as they are on update and are NULL on insert. Target rows whose
+    key the source cannot hold pass as they are, without a shuffle; only the others meet the source in a join.
     """
     listed = [c for c in source.columns if c not in keys]
     updated = listed if update is None else [c for c in update if c not in keys]
     inserted = listed if insert is None else [c for c in insert if c not in keys]
-    left = target.select(*keys, F.struct(*[c for c in target.columns if c not in keys]).alias("_t"))
+    flagged = flag_possible(target, source, keys, bits)
+    left = flagged.filter("_possible").select(*keys, F.struct(*[c for c in target.columns if c not in keys]).alias("_t"))
     right = unique_rows(source, keys).select(*keys, F.struct(*listed).alias("_s"))
     both = left.join(right, list(keys), "full_outer")
     columns = []
@@ -62,7 +87,7 @@ def merge_upsert(
             F.when(F.col("_s").isNull(), F.col(f"_t.{name}")).when(F.col("_t").isNull(), on_insert).otherwise(on_match)
             .alias(name)
         )
-    return both.select(*columns)
+    return flagged.filter("NOT _possible").select(*target.columns).unionByName(both.select(*columns))
 
 
 def new_rows(source: DataFrame, target: DataFrame, ts: str, default: str = "2000-01-01 00:00:00") -> DataFrame:
@@ -100,21 +125,26 @@ def change_feed(
         before, after = unique_rows(before, keys), unique_rows(after, keys)
     left = before.select(*keys, F.struct(*values).alias("_b"))
     right = after.select(*keys, F.struct(*values).alias("_a"))
+    return _images(left.join(right, list(keys), "full_outer"), keys, before.columns, version, timestamp)
+
+
+def _images(pairs: DataFrame, keys: Sequence[str], columns: Sequence[str], version: int | Column, timestamp: str) -> DataFrame:
+    """Log rows of (keys, _b, _a): a row's other columns before and after, NULL where there is none."""
     b, a = F.col("_b"), F.col("_a")
 
     def image(kind: str, row: Column) -> Column:
         return F.struct(F.lit(kind).alias("_change_type"), row.alias("_row"))
 
     images = (
-        F.when(b.isNull(), F.array(image("insert", a)))
-        .when(a.isNull(), F.array(image("delete", b)))
+        F.when(b.isNull() & a.isNotNull(), F.array(image("insert", a)))
+        .when(b.isNotNull() & a.isNull(), F.array(image("delete", b)))
         .when(~b.eqNullSafe(a), F.array(image("update_preimage", b), image("update_postimage", a)))
     )
-    changed = left.join(right, list(keys), "full_outer").select(*keys, F.explode(images).alias("_c"))
+    changed = pairs.select(*keys, F.explode(images).alias("_c"))
     return changed.select(
-        *keys, *[F.col(f"_c._row.{c}").alias(c) for c in values], F.col("_c._change_type").alias("_change_type"),
+        *keys, *[F.col(f"_c._row.{c}").alias(c) for c in columns if c not in keys], F.col("_c._change_type").alias("_change_type"),
         *_stamp(version, timestamp),
-    ).select(*before.columns, *LOG_COLUMNS)
+    ).select(*columns, *LOG_COLUMNS)
 
 
 def changes_between(log: DataFrame, first: int, last: int | None = None, kinds: Sequence[str] = ()) -> DataFrame:
@@ -153,9 +183,22 @@ def state_as_of(log: DataFrame, keys: Sequence[str], version: int | None = None,
 
 
 def restore(log: DataFrame, keys: Sequence[str], version: int, new_version: int, timestamp: str) -> DataFrame:
-    """The log with a new version appended that leads back to the state of an old one."""
-    back = change_feed(state_as_of(log, keys), state_as_of(log, keys, version), keys, new_version, timestamp, False)
-    return log.unionByName(back)
+    """The log with a new version appended that leads back to the state of an old one.
+
+    Only the log behind that version is read: per key its first change there tells what the row was, its last one what it is, and
+    the inverse of both together is one change. Keys that were not touched since are never looked at.
+    """
+    values = [c for c in log.columns if c not in keys and c not in LOG_COLUMNS]
+    kind, row = F.col("_change_type"), F.struct(*values)
+    was = F.struct(F.when(kind != "insert", row).alias("row"))
+    now = F.struct(F.when(kind != "delete", row).alias("row"))
+    tail = log.filter(F.col("_commit_version") > version)
+    turned = tail.groupBy(*keys).agg(
+        F.min_by(was, F.when(kind != "update_postimage", F.col("_commit_version")))["row"].alias("_a"),
+        F.max_by(now, F.when(kind != "update_preimage", F.col("_commit_version")))["row"].alias("_b"),
+    )
+    columns = [c for c in log.columns if c not in LOG_COLUMNS]
+    return log.unionByName(_images(turned, keys, columns, new_version, timestamp))
 
 
 def version_counts(versions: dict[str, DataFrame]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantmetrics.operators import embeddings, logs, retrieval, search, text
+from plantmetrics.operators import embeddings, learned_text, logs, retrieval, search, text
 from plantmetrics.plans import kpi
 from plantmetrics.registry.base import DERIVED, Inputs, near, query, sql_near
 
@@ -38,6 +38,51 @@ def note_accuracy(t: Inputs):
     return text.label_accuracy(notes, "predicted", "failure_category")
 
 
+_HELD = "substr(md5(CAST(maintenance_id AS STRING)), 1, 1) < '4'"
+DERIVED["learned_notes"] = (("maintenance_clean",), f"""
+    WITH notes AS (SELECT *, {_HELD} AS held, regexp_extract_all(lower(work_description), '{learned_text.WORD}') AS words FROM maintenance_clean),
+    seen AS (SELECT failure_category AS label, word, count(*) AS n FROM (SELECT failure_category, unnest(words) AS word FROM notes WHERE NOT held) GROUP BY 1, 2),
+    classes AS (SELECT failure_category AS label, count(*) AS row_count, sum(len(words)) AS words FROM notes WHERE NOT held GROUP BY 1),
+    sizes AS (SELECT count(DISTINCT word) AS known FROM seen),
+    chances AS (
+        SELECT c.label, v.word, CAST(round(ln((coalesce(n, 0) + 1) / (c.words + known)) * 1000000) AS BIGINT) AS micro
+        FROM (SELECT DISTINCT word FROM seen) v CROSS JOIN classes c CROSS JOIN sizes LEFT JOIN seen s ON s.word = v.word AND s.label = c.label),
+    priors AS (SELECT label, CAST(round(ln((row_count + 1) / (sum(row_count) OVER () + count(*) OVER ())) * 1000000) AS BIGINT) AS micro FROM classes),
+    sums AS (SELECT maintenance_id, label, sum(micro) AS total FROM (
+                 SELECT maintenance_id, label, micro FROM (SELECT maintenance_id, unnest(words) AS word FROM notes) w JOIN chances USING (word)
+                 UNION ALL SELECT maintenance_id, label, micro FROM notes, priors) GROUP BY 1, 2)
+    SELECT maintenance_id, arg_min(label, (-total, label)) AS predicted FROM sums GROUP BY 1""")
+
+
+def _held(t: Inputs) -> DataFrame:
+    return t.view("maintenance_clean").withColumn("held", F.expr(_HELD))
+
+
+def _learned(notes: DataFrame) -> DataFrame:
+    model = learned_text.learn_classes(notes.filter("NOT held"), "work_description", "failure_category")
+    return learned_text.classify_learned(notes, "maintenance_id", "work_description", model)
+
+
+@query("x1_learned_classes", "SELECT maintenance_id, predicted FROM learned_notes", ["learned_notes"])
+def learned_classes(t: Inputs):
+    """Every note by a model of three quarters of them."""
+    return _learned(_held(t))
+
+
+@query("x1_learned_accuracy", f"""
+SELECT count(*) AS n, {sql_near("avg(CASE WHEN l.predicted = failure_category THEN 1.0 ELSE 0.0 END)")} AS learned,
+       {sql_near(f"avg(CASE WHEN {_label_sql('work_description', text.FAILURE_KEYWORDS)} = failure_category THEN 1.0 ELSE 0.0 END)")} AS word_lists
+FROM maintenance_clean m JOIN learned_notes l ON l.maintenance_id = m.maintenance_id WHERE substr(md5(CAST(m.maintenance_id AS STRING)), 1, 1) < '4'""",
+       ["maintenance_clean", "learned_notes"])
+def learned_accuracy(t: Inputs):
+    """On the quarter that the model has not seen, next to the word lists."""
+    notes = _held(t)
+    judged = text.classify_text(notes.filter("held"), "work_description", text.FAILURE_KEYWORDS, "word_lists")
+    judged = judged.join(_learned(notes), "maintenance_id")
+    share = lambda c: near(F.avg((F.col(c) == F.col("failure_category")).cast("double")))
+    return judged.agg(F.count("*").alias("n"), share("predicted").alias("learned"), share("word_lists").alias("word_lists"))
+
+
 DERIVED["defects"] = (("quality_inspections",), f"""
     SELECT inspection_id, equipment_id, severity, defect_type,
            {_label_sql("concat('defect: ', defect_type, ', severity: ', severity)", text.DEFECT_KEYWORDS)} AS defect_category
@@ -93,6 +138,21 @@ def extract_fields(t: Inputs):
     return found.select("maintenance_id", "equipment_id", "info.replaced_part", "info.work_minutes")
 
 
+@query("x3_learned_fields", """
+SELECT maintenance_id, regexp_extract(work_description, 'part: ([^,]+)', 1) AS replaced_part, regexp_extract(work_description, 'minutes: ([0-9]+)', 1) AS work_minutes,
+       regexp_extract(work_description, 'technician: ([A-Za-z0-9_]+)', 1) AS technician
+FROM maintenance_clean""", ["maintenance_clean"])
+def learned_fields(t: Inputs):
+    """Fields of every note by contexts learnt from the quarter whose values are marked."""
+    notes = _held(t)
+    marked = text.extract_fields(notes.filter("held"), "work_description")
+    found = notes.select("maintenance_id")
+    for name in text.NOTE_FIELDS:
+        contexts = learned_text.learn_contexts(marked.withColumn("value", F.col(f"info.{name}")), "maintenance_id", "work_description", "value")
+        found = found.join(learned_text.extract_learned(notes, "maintenance_id", "work_description", contexts, name), "maintenance_id")
+    return found
+
+
 @query("x4_prompts", """
 SELECT event_id, concat('Equipment ', equipment_id, ' shows an anomaly. Temperature: ', printf('%.1f', round(temperature_c, 1)),
        ' C, vibration: ', printf('%.2f', round(vibration_ms2, 2)), ' mm/s. Describe the state in one line.') AS prompt

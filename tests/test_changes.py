@@ -117,3 +117,64 @@ def test_history_and_summary(spark):
     assert got == {"insert": (1, 2), "delete": (2, 2), "update_preimage": (2, 2), "update_postimage": (2, 2)}
     assert changes.change_summary(log).agg(F.sum("row_count")).first()[0] == log.count() == 5
     assert changes.changes_between(log, 2, 2, ["delete"]).count() == 1
+
+
+def lines_above(plan: str, leaf: str) -> list[list[str]]:
+    """Operators above every scan whose line holds `leaf`, from the indented plan text."""
+    above, found = [], []
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*("))
+        above = [(d, n) for d, n in above if d < depth]
+        if leaf in line:
+            found.append([n for _, n in above])
+        above.append((depth, line.strip()))
+    return found
+
+
+def test_upsert_leaves_the_bulk_of_the_target_where_it_is(spark, tmp_path):
+    spark.range(5000).selectExpr("CAST(id AS INT) AS k", "'a' AS v", "1 AS n").write.parquet(f"{tmp_path}/bulk")
+    target = spark.read.parquet(f"{tmp_path}/bulk")
+    source = snapshot(spark, [(7, "x", 2), (9000, "y", 3)])
+    got = changes.merge_upsert(target, source, ["k"])
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert got.count() == 5001 and as_set(got.filter("n > 1")) == [(7, "x", 2), (9000, "y", 3)]
+    flagged = changes.flag_possible(target, source, ["k"])
+    assert flagged.filter("_possible").count() == 1
+    plan = flagged.filter("NOT _possible")._jdf.queryExecution().executedPlan().toString()
+    paths = lines_above(plan, "bulk")
+    assert paths and not any("Exchange" in n for p in paths for n in p)
+
+
+def test_upsert_with_few_bits_null_keys_and_many_rows(spark):
+    rng = random.Random(1)
+    target = {k: (k, rng.choice("ab"), k) for k in rng.sample(range(500), 200)}
+    source = {k: (k, "S", -k) for k in rng.sample(range(500), 90)}
+    with_null = snapshot(spark, [*target.values(), (None, "kept", 0)])
+    for bits in (64, 1 << 23):
+        got = changes.merge_upsert(with_null, snapshot(spark, [*source.values(), (None, "new", 1)]), ["k"], bits=bits)
+        want = [*{**target, **source}.values(), (None, "kept", 0), (None, "new", 1)]
+        assert sorted(map(str, as_rows(got))) == sorted(map(str, want))
+
+
+def as_rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_restore_reads_only_the_tail_and_no_key_twice(spark, tmp_path):
+    v1 = snapshot(spark, [(k, "a", k) for k in range(30)])
+    v2 = snapshot(spark, [(k, "b" if k == 3 else "a", k) for k in range(30) if k != 4])
+    v3 = snapshot(spark, [(k, "c" if k == 3 else "a", k) for k in range(31) if k not in (4, 5)])
+    v4 = snapshot(spark, [(k, "a", k) for k in range(30) if k != 4])
+    log = changes.initial_load(v1, 1, STAMP.format(1))
+    for i, (before, after) in enumerate(((v1, v2), (v2, v3), (v3, v4)), 2):
+        log = log.unionByName(changes.change_feed(before, after, ["k"], i, STAMP.format(i)))
+    log.write.parquet(f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    for version, want in ((1, v1), (2, v2), (3, v3), (4, v4)):
+        restored = changes.restore(log, ["k"], version, 5, STAMP.format(5))
+        assert as_set(changes.state_as_of(restored, ["k"])) == as_set(want), version
+        # Key 3 went b, c, a: back to version 1 it did not change at all.
+        assert restored.filter("_commit_version = 5 AND k = 3").count() == {1: 0, 2: 2, 3: 2, 4: 0}[version]
+    tail = changes.restore(log, ["k"], 2, 5, STAMP.format(5)).filter("_commit_version = 5")
+    plan = tail._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("FileScan") == 1 and "GreaterThan(_commit_version,2)" in plan
