@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plantmetrics.functions.expressions import count_where, ratio, tiered
 from plantmetrics.functions.sizing import join_back, small_side
 from plantmetrics.operators.features import MODEL_FEATURES, assemble, class_weight
-from plantmetrics.operators.ordered import exact_quantiles, global_prefix
+from plantmetrics.operators.ordered import bracketed_quantiles, global_prefix
 
 MIN_AUC, MIN_RECALL, MIN_GAIN = 0.90, 0.80, 0.01
 
@@ -123,12 +123,12 @@ def psi_report(
 
     Open form: outer bins reach to infinity, 1e-10 is added to every share, drift from 0.20. Closed form: outer edges
     move by 1e-6, empty shares become 1e-6, drift from 0.25, and a side under `min_rows` gives no index. All features
-    share one pass; bin edges are exact percentiles.
+    share one plan; bin edges are exact percentiles, found between the bounds of a sketch.
     """
     limit = drift if drift is not None else (0.25 if closed else 0.20)
     ref = _long(reference, columns, "ref")
     edges = small_side(
-        exact_quantiles(ref, "feature", "value", [i / bins for i in range(bins + 1)]).select("feature", "quantiles")
+        bracketed_quantiles(ref, "feature", "value", [i / bins for i in range(bins + 1)]).select("feature", "quantiles")
     )
     both = join_back(ref.unionByName(_long(current, columns, "cur")), edges, ["feature"], "inner")
     inner = F.slice("quantiles", 2, bins - 1)

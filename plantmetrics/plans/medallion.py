@@ -37,7 +37,9 @@ def hourly_partials(
 
 def rolled_up(partials: DataFrame, by: Sequence[Column | str]) -> DataFrame:
     """The same state for a coarser grouping: peaks of peaks, sums of everything else."""
-    held = [c for c, kind in partials.dtypes if c == "rows" or c.startswith(("sum_", "seen_", "peak_")) or kind == "bigint"]
+    keys = {c for c in by if isinstance(c, str)}
+    state = ("sum_", "seen_", "peak_")
+    held = [c for c, kind in partials.dtypes if c not in keys and (c == "rows" or c.startswith(state) or kind == "bigint")]
     merged = [(F.max(c) if c.startswith("peak_") else F.sum(c)).alias(c) for c in held]
     return partials.groupBy(*by).agg(*merged)
 
@@ -60,10 +62,22 @@ def equipment_daily(clean: DataFrame) -> DataFrame:
     return days.select("oee_date", "line_id", "equipment_id", *[c.alias(n) for n, c in shown.items()], "anomaly_count", F.col("rows").alias("record_count"))
 
 
-def sensor_daily(clean: DataFrame) -> DataFrame:
-    """Declared gold view over the cleaned stream table, by the table's own event date. The output names are fixed values."""
-    partials = hourly_partials(clean, ["equipment_id", "line_id", "event_date"], means=["temperature_c"], peaks=["vibration_ms2"])
-    return rolled_up(partials, ["equipment_id", "line_id", "event_date"]).select(
+DAILY_KEYS = ("equipment_id", "line_id", "event_date")
+
+
+def daily_partials(clean: DataFrame) -> DataFrame:
+    """Mergeable state of the daily view, one row per equipment, line and day."""
+    return rolled_up(hourly_partials(clean, DAILY_KEYS, means=["temperature_c"], peaks=["vibration_ms2"]), DAILY_KEYS)
+
+
+def daily_view(partials: DataFrame) -> DataFrame:
+    """The daily view of any partials of its keys. The output names are fixed values."""
+    return rolled_up(partials, DAILY_KEYS).select(
         "equipment_id", "line_id", "event_date", mean_of("temperature_c").alias("avg_temperature_c"),
         F.col("peak_vibration_ms2").alias("max_vibration_ms2"), F.col("rows").alias("event_count"),
     )
+
+
+def sensor_daily(clean: DataFrame) -> DataFrame:
+    """Declared gold view over the cleaned stream table, by the table's own event date."""
+    return daily_view(hourly_partials(clean, DAILY_KEYS, means=["temperature_c"], peaks=["vibration_ms2"]))

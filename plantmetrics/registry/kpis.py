@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plantmetrics.functions.sizing import stored
 from plantmetrics.operators import anomaly, governance, quality
 from plantmetrics.plans import kpi, medallion
 from plantmetrics.registry.base import PERCENTAGES, Inputs, day_text, near, query, sql_near
 from plantmetrics.sources.fixtures import AS_OF, AS_OF_PRODUCTION
+from plantmetrics.streaming import evolving
 
 PREVIOUS_DAY = "2024-01-30"
 LAST_30 = "production_date >= DATE '2024-01-01'"
@@ -219,6 +221,27 @@ def affected_estimate(t: Inputs):
     return both.select("affected_exact", (F.abs(F.col("estimate") - F.col("affected_exact")) * 20 <= F.col("affected_exact")).alias("estimate_within_5_pct"))
 
 
+_WINDOWS = {7: "2024-01-24", 14: "2024-01-17", 30: "2024-01-01"}
+
+
+@query("k20_affected_by_sketch", " UNION ALL ".join(f"""
+SELECT {days} AS days, count(DISTINCT equipment_id) AS affected_exact, TRUE AS estimate_within_5_pct
+FROM sensor_clean WHERE is_anomaly AND CAST(event_time AS DATE) BETWEEN DATE '{first}' AND DATE '2024-01-31'""" for days, first in _WINDOWS.items()),
+       ["sensor_clean"])
+def affected_by_sketch(t: Inputs):
+    """Equipments with a flagged reading in several windows, from one stored sketch per day, held against exact counts."""
+    flagged = stored(t.clean().filter("is_anomaly").select("equipment_id", "event_time"), "flagged")
+    sketches = stored(evolving.day_sketches(flagged, "event_time", "equipment_id"), "sketches")
+    out = None
+    for days, first in _WINDOWS.items():
+        exact = flagged.filter(F.to_date("event_time").between(F.lit(first).cast("date"), F.lit("2024-01-31").cast("date")))
+        both = exact.agg(F.countDistinct("equipment_id").alias("affected_exact")).crossJoin(evolving.distinct_in(sketches, first, "2024-01-31"))  # One row each.
+        fits = F.abs(F.col("estimate") - F.col("affected_exact")) * 20 <= F.col("affected_exact")
+        row = both.select(F.lit(days).alias("days"), "affected_exact", fits.alias("estimate_within_5_pct"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 _LATEST = """SELECT event_id, equipment_id, equipment_type, event_time, temperature_c FROM (
     SELECT *, row_number() OVER (PARTITION BY equipment_id ORDER BY event_time DESC, event_id DESC) AS rn
     FROM sensor_clean {where}) WHERE rn = 1"""

@@ -85,7 +85,7 @@ UPSERTED = ["temp_avg_1h", "vib_avg_1h", "composite_anomaly_score"]
 
 @query("f4_upsert_features", f"SELECT equipment_id, event_time, {_shown_sql(UPSERTED)} FROM features", ["features"])
 def upsert_features(t: Inputs):
-    fresh = _features(t).select("equipment_id", "event_time", *UPSERTED)
+    fresh = stored(_features(t).select("equipment_id", "event_time", *UPSERTED), "features")
     stale = fresh.filter("event_time < TIMESTAMP_NTZ '2024-01-16'").withColumn("temp_avg_1h", F.lit(0.0))
     return features.upsert_features(stale, fresh).select("equipment_id", "event_time", *_shown(UPSERTED))
 
@@ -290,7 +290,7 @@ DERIVED["shown_features"] = (("features",), f"SELECT event_time, {_shown_sql(fea
 @query("f15_drift_report", _psi_sql("shown_features", features.MODEL_FEATURES, BEFORE, AFTER, False), ["shown_features"])
 def drift_report(t: Inputs):
     """On rounded features: a mean that equals a bin edge has to fall on the same side in both engines."""
-    made = _features(t).select("event_time", *_shown(features.MODEL_FEATURES))
+    made = stored(_features(t).select("event_time", *_shown(features.MODEL_FEATURES)), "features")
     old = made.filter("event_time < TIMESTAMP_NTZ '2024-01-16'")
     new = made.filter("event_time >= TIMESTAMP_NTZ '2024-01-16'")
     return models.psi_report(old, new, features.MODEL_FEATURES).withColumn("psi", near("psi"))

@@ -12,7 +12,7 @@ from plantmetrics.plans import medallion
 from plantmetrics.registry.base import Inputs, day_text, near, query, sql_near
 from plantmetrics.session import scratch_path
 from plantmetrics.sources import tables
-from plantmetrics.streaming import ingest
+from plantmetrics.streaming import evolving, ingest
 
 EVENTS = "SELECT * FROM events"
 
@@ -240,6 +240,33 @@ def sensor_daily(t: Inputs):
     return day_text(daily, "event_date").withColumn("avg_temperature_c", near("avg_temperature_c"))
 
 
+@query("i4_live_view", f"""
+SELECT equipment_id, line_id, CAST(CAST(event_time AS DATE) AS STRING) AS event_date, {sql_near('avg(temperature_c)')} AS avg_temperature_c,
+       max(vibration_ms2) AS max_vibration_ms2, count(*) AS event_count
+FROM sensor_events GROUP BY 1, 2, 3""", ["sensor_events"])
+def live_view(t: Inputs):
+    """The daily view brought up to date by three batches of which the second comes twice."""
+    state, out = scratch_path(t.spark, "view-state"), scratch_path(t.spark, "view")
+    clean = quality.clean_events(t.view("sensor_events"))
+    for batch in (0, 1, 2, 1):
+        part = clean.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == batch)
+        evolving.merge_batch(part, batch, state, out, "event_date", medallion.daily_partials, medallion.daily_view)
+    return day_text(t.spark.read.parquet(out), "event_date").withColumn("avg_temperature_c", near("avg_temperature_c"))
+
+
+@query("a6_schema_log", """
+SELECT event_id, equipment_id, CASE WHEN event_id % 3 >= 1 THEN temperature_c END AS temperature_c,
+       CASE WHEN event_id % 3 = 2 THEN shift END AS shift FROM sensor_events""", ["sensor_events"])
+def schema_log(t: Inputs):
+    """Three deliveries, each with a column more, taken by one stream that goes on from its checkpoint."""
+    source, out, mark, log = (scratch_path(t.spark, n) for n in ("landing", "ingested", "mark", "schemas"))
+    columns = ["event_id", "equipment_id", "temperature_c", "shift"]
+    for i in range(3):
+        t.view("sensor_events").filter(F.col("event_id") % 3 == i).select(*columns[:2 + i]).write.mode("append").parquet(source)
+        evolving.ingest_evolving(t.spark, source, out, mark, log).awaitTermination()
+    return evolving.read_evolved(t.spark, out, log).select(*columns)
+
+
 @query("i5_alert_stream", """
 SELECT event_id, equipment_id, CASE WHEN vibration_ms2 > 5 THEN 'vibration' ELSE 'temperature' END AS alert_type,
        concat('alert-', left(md5(concat_ws('|', equipment_id, CASE WHEN vibration_ms2 > 5 THEN 'vibration' ELSE 'temperature' END,

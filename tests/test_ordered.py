@@ -183,3 +183,24 @@ def test_as_of_ties_do_not_depend_on_size(spark, limits):
     assert len(found) == 40 and {r.x for r in found} == {1}
     found = ordered.as_of_join(left, right, "key", "ts", ["x"], **limits).collect()
     assert len(found) == 40 and {r.x for r in found} == {9}
+
+
+@pytest.mark.parametrize("n,accuracy", [(1, 10_000), (2, 10_000), (11, 10_000), (997, 10_000), (5000, 100), (5000, 40)])
+def test_bracketed_quantiles_are_exact(spark, n, accuracy):
+    rng = np.random.default_rng(n)
+    groups = {"a": rng.normal(size=n), "b": np.round(rng.exponential(size=n) * 3), None: rng.integers(0, 2, n).astype(float)}
+    rows = [(g, float(v)) for g, values in groups.items() for v in values] + [("a", None)]
+    probs = [i / 10 for i in range(11)] + [0.123, 0.999]
+    got = ordered.bracketed_quantiles(spark.createDataFrame(rows, "g string, v double").repartition(6), "g", "v", probs, accuracy)
+    found = {r.g: (r.n, r.quantiles) for r in got.collect()}
+    assert found.keys() == groups.keys()
+    for g, values in groups.items():
+        assert found[g][0] == n and np.allclose(found[g][1], np.quantile(values, probs), rtol=1e-12, atol=1e-12)
+
+
+def test_bracketed_quantiles_rank_few_values_and_store_none(spark, tmp_path):
+    spark.range(200_000).selectExpr("'x' AS g", "CAST(hash(id) AS DOUBLE) AS v").write.parquet(f"{tmp_path}/v")
+    made = ordered.bracketed_quantiles(spark.read.parquet(f"{tmp_path}/v"), "g", "v", [0.1, 0.5, 0.9])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "ranges" not in plan  # Values are neither sorted as a whole nor stored.
+    assert made.count() == 1
