@@ -1,14 +1,16 @@
 """Conversations to one training string each, in column expressions only.
 
 A `Template` declares how a turn is marked, which roles carry loss, which strings are control strings, and which role may
-follow which. A finite-state machine walks the roles; the operator emits segments of text with a loss flag each.
+follow which. A finite-state machine walks the roles: its state is the role it came to, so a move depends on a turn and the one
+before it. Every move emits the turn's three segments with a loss flag each and says whether the machine accepts it; the first
+refused turn is `refused_at`, and a conversation is valid if there is none and its last turn leads to a final state.
 
 Control strings inside a text are escaped: a backslash is doubled, and a backslash goes behind the first character of every
 control string. So no control string is left inside a text, and taking away the escapes gives the text back.
 
 Defined cases: a null text or role is empty; turns are ordered by (turn, role, text) with nulls first, repeated rows are
 repeated turns; a null conversation id is one conversation; an order that the machine refuses gives valid = false and is
-formatted all the same; an empty table gives no rows; other columns are never read. A conversation is one output string, so it
+formatted all the same, with the loss flags of its roles; an empty table gives no rows; other columns are never read. A conversation is one output string, so it
 has to fit a Spark string (2 GB).
 """
 
@@ -48,20 +50,30 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def _accepted(roles: Column, template: Template) -> Column:
-    """Whether the machine goes from the empty state to a final one."""
-    moves = [f"{state}\n{role}" for state, after in template.machine.items() for role in after]
-    end = F.aggregate(
-        roles, F.lit(""),
-        lambda state, role: F.when(F.concat(state, F.lit("\n"), role).isin(moves), role).otherwise(F.lit("\nrefused")),
-    )
-    return end.isin(*template.final)
+def _moves(turns: Column, template: Template) -> Column:
+    """Array of struct(accepted, segments), one per turn."""
+    known = [f"{state}\n{role}" for state, after in template.machine.items() for role in after]
+
+    def move(t: Column, i: Column) -> Column:
+        state = F.when(i > 0, F.get(turns, i - 1)["role"]).otherwise("")
+        mark = F.concat(F.lit(template.open), F.url_encode(t["role"]), F.lit(template.middle))
+        segments = F.array(
+            F.struct(mark.alias("text"), F.lit(False).alias("loss")),
+            F.struct(escape(t["text"], template).alias("text"), t["role"].isin(*template.loss_roles).alias("loss")),
+            F.struct(F.lit(template.close).alias("text"), F.lit(False).alias("loss")),
+        )
+        return F.struct(F.concat(state, F.lit("\n"), t["role"]).isin(known).alias("accepted"), segments.alias("segments"))
+
+    return F.transform(turns, move)
 
 
 def format_conversations(
     df: DataFrame, template: Template = Template(), conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
-    """conv, n_turns, valid, segments (array of text and loss) per conversation; the segments joined are the training string."""
+    """conv, n_turns, valid, refused_at (turn from 1, else NULL) and segments (array of text and loss) per conversation.
+
+    The segments joined are the training string.
+    """
     rows = df.select(
         F.col(conv).alias("conv"),
         F.struct(
@@ -71,18 +83,12 @@ def format_conversations(
     )
     grouped = rows.groupBy("conv").agg(F.sort_array(F.collect_list("row")).alias("turns"))
 
-    def parts(t: Column) -> Column:
-        mark = F.concat(F.lit(template.open), F.url_encode(t["role"]), F.lit(template.middle))
-        return F.array(
-            F.struct(mark.alias("text"), F.lit(False).alias("loss")),
-            F.struct(escape(t["text"], template).alias("text"), t["role"].isin(*template.loss_roles).alias("loss")),
-            F.struct(F.lit(template.close).alias("text"), F.lit(False).alias("loss")),
-        )
-
-    return grouped.select(
+    walked = grouped.withColumn("moves", _moves(F.col("turns"), template))
+    refused = F.nullif(F.array_position(F.transform("moves", lambda m: m["accepted"]), F.lit(False)), F.lit(0).cast("long"))
+    return walked.select(
         F.col("conv").alias(conv), F.size("turns").cast("long").alias("n_turns"),
-        _accepted(F.transform("turns", lambda t: t["role"]), template).alias("valid"),
-        F.flatten(F.transform("turns", parts)).alias("segments"),
+        (refused.isNull() & F.element_at("turns", -1)["role"].isin(*template.final)).alias("valid"), refused.alias("refused_at"),
+        F.flatten(F.transform("moves", lambda m: m["segments"])).alias("segments"),
     )
 
 

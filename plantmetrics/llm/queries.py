@@ -81,14 +81,19 @@ CHAT_SQL = rf"""
     WITH every AS (
         SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
         UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    walked AS (
+        SELECT *, row_number() OVER o AS place, count(*) OVER (PARTITION BY conv_id) AS many,
+               coalesce(lag(role) OVER o, '') || '>' || role IN ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user') AS accepted
+        FROM every WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
     joined AS (
-        SELECT conv_id, count(*) AS n_turns,
+        SELECT conv_id, count(*) AS n_turns, min(place) FILTER (WHERE NOT accepted) AS refused_at,
+               bool_or(place = many AND role = 'assistant') AS ended,
                string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
                coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
                sum(24 + length(role) + length(text) + length(text) - length(replace(text, chr(92), ''))
                    + len(regexp_extract_all(text, '{_CONTROLS}'))) AS chars
-        FROM every GROUP BY conv_id)
-    SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+        FROM walked GROUP BY conv_id)
+    SELECT conv_id, n_turns, refused_at IS NULL AND ended AS valid, refused_at, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
            sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
     FROM joined"""
 
@@ -102,14 +107,14 @@ def op7_chat_formatting(spark: SparkSession, root: str) -> DataFrame:
     talks = read_table(spark, root, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
     formatted = chat_format.format_conversations(talks)
     read = formatted.select(
-        "conv_id", chat_format.training_text(F.col("segments")).alias("string"), chat_format.loss_text(F.col("segments")).alias("loss")
+        "conv_id", "valid", "refused_at", chat_format.training_text(F.col("segments")).alias("string"), chat_format.loss_text(F.col("segments")).alias("loss")
     ).withColumn("turns", chat_format.parse(F.col("string")))
     end = F.lit("\n")
     return read.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], end, t["text"], end)), ""), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
-        F.length("string").cast("long").alias("formatted_chars"),
+        F.length("string").cast("long").alias("formatted_chars"), "valid", "refused_at",
     )
 
 

@@ -13,7 +13,7 @@ PART = st.sampled_from(["<|im_end|>\n", "<|im_start|>", "\\", "</s>", "[INST]",
 def read_back(frame, rows):
     formatted = C.format_conversations(frame(rows, SCHEMA))
     return formatted.select(
-        "conv_id", "n_turns", "valid", C.training_text(F.col("segments")).alias("string"),
+        "conv_id", "n_turns", "valid", "refused_at", C.training_text(F.col("segments")).alias("string"),
         C.loss_text(F.col("segments")).alias("loss"), "segments",
     ).withColumn("turns", C.parse(F.col("string"))).collect()
 
@@ -39,6 +39,7 @@ def test_defined_cases(frame):
     ]
     got = {r.conv_id: r for r in read_back(frame, rows)}
     assert {k: r.valid for k, r in got.items()} == {1: True, 2: False, None: False, 3: False, 4: True, 5: False}
+    assert {k: r.refused_at for k, r in got.items()} == {1: None, 2: 1, None: 1, 3: 2, 4: None, 5: None}
     assert [(t.role, t.text) for t in got[1].turns] == [("user", ""), ("assistant", "yes")]
     assert got[3].n_turns == 3 and len(got[3].loss) == 200_000 and got[None].n_turns == 1
 
@@ -52,3 +53,10 @@ def test_the_given_conversation(frame):
 
 def test_empty_table(frame):
     assert C.format_conversations(frame([], SCHEMA)).count() == 0
+
+
+def test_the_query_holds_the_machine(spark):
+    from plantmetrics.llm.queries import QUERIES
+
+    plan = QUERIES["op7_chat_formatting"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "accepted" in plan and "refused_at" in plan
