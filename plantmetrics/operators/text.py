@@ -6,6 +6,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -126,25 +127,35 @@ def best_match(
         def compared(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             names, known = block.value
             for batch in batches:
-                own = batch.column(at)
+                own, best, score = batch.column(at), batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1).to_numpy().copy()
                 present = np.flatnonzero(own.is_valid().to_numpy(zero_copy_only=False))
-                best, score = batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_numpy().copy()
                 if len(present):
-                    units = _units([own[k].as_py() for k in present.tolist()], vector)
+                    units = _unit_rows(own.take(pa.array(present)), vector)
                     if units.shape[1] != known.shape[1]:
                         raise ValueError(f"{vector} and {ref_vector} hold vectors of different lengths")
                     cosine = np.nan_to_num(units @ known.T, nan=-np.inf)
                     top = cosine.argmax(axis=1)
-                    for k, j, value in zip(present.tolist(), top.tolist(), cosine[np.arange(len(top)), top].tolist(), strict=True):
-                        if value > score[k]:
-                            best[k], score[k] = names[j], value
-                columns = [*batch.columns[:-2], pa.array(best, batch.column(batch.num_columns - 2).type), pa.array(score)]
-                yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+                    value = cosine[np.arange(len(top)), top]
+                    better = value > score[present]
+                    chosen = np.full(len(batch), -1)
+                    chosen[present[better]] = top[better]
+                    score[present[better]] = value[better]
+                    taken = pa.array(names, best.type).take(pa.array(np.maximum(chosen, 0)))
+                    best = pc.if_else(pa.array(chosen >= 0), taken, best)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], best, pa.array(score)], batch.schema.names)
 
         matched = matched.mapInArrow(compared, matched.schema)
     return matched
 
 
+def _unit_rows(column: pa.Array, name: str) -> np.ndarray:
+    """Unit vectors of a list column without nulls, read as one flat array."""
+    lengths = np.diff(np.asarray(column.offsets))
+    if len(np.unique(lengths)) > 1:
+        raise ValueError(f"{name} holds vectors of different lengths")
+    return _units(column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1), name)
+
+
 def _units(vectors: Sequence, name: str) -> np.ndarray:
     if len({len(v) for v in vectors}) > 1:
         raise ValueError(f"{name} holds vectors of different lengths")
