@@ -320,6 +320,14 @@ def anomaly_summary(t: Inputs):
     return found.withColumns({c: near(c) for c in ("avg_temp", "avg_vib")})
 
 
+@query("n3_at_least_five", f"""
+SELECT equipment_id, equipment_type, line_id, {sql_near('avg(temperature_c)')} AS avg_temp, {sql_near('avg(vibration_ms2)')} AS avg_vib,
+       count(*) AS anomaly_count FROM sensor_clean WHERE is_anomaly GROUP BY 1, 2, 3 HAVING count(*) >= 5""", ["sensor_clean"])
+def anomalies_at_least_five(t: Inputs):
+    """With the default bound."""
+    return anomaly.anomaly_summary(t.clean()).withColumns({c: near(c) for c in ("avg_temp", "avg_vib")})
+
+
 _ALERT = "CASE WHEN vibration_ms2 > 5 THEN 'vibration' ELSE 'temperature' END"
 
 
@@ -378,6 +386,15 @@ def night_access(t: Inputs):
     return governance.night_access(t.view("audit_log"), AS_OF, days=30, more_than=2)
 
 
+@query("g3_night_access_week", """
+SELECT user_email, count(*) AS access_count, min(event_time) AS first_access, max(event_time) AS last_access FROM audit_log
+WHERE (hour(event_time) >= 22 OR hour(event_time) <= 6) AND event_date >= DATE '2024-01-24' AND action_name = 'executeQuery'
+GROUP BY 1 HAVING count(*) > 10""", ["audit_log"])
+def night_access_week(t: Inputs):
+    """With the default week and bound."""
+    return governance.night_access(t.view("audit_log"), AS_OF)
+
+
 @query("g4_table_access", """
 SELECT CAST(CAST(event_time AS DATE) AS STRING) AS access_date, user_email, count(*) AS query_count FROM audit_log
 WHERE table_name = 'ml.t1' AND event_date >= DATE '2024-01-01' GROUP BY 1, 2""", ["audit_log"])

@@ -147,7 +147,7 @@ def impute(t: Inputs):
     return features.impute(_features(t), GAPPED).select("event_id", *_shown(GAPPED))
 
 
-AUC_FLOOR = 0.7
+AUC_FLOOR = 0.6  # Above chance; with the 20 positives of the smallest test part an AUC is uncertain by some 0.07.
 _SPLIT = ["equipment_id", "event_time"]
 
 

@@ -67,12 +67,12 @@ def ingest_files(t: Inputs):
     return t.spark.read.parquet(out).drop("_ingestion_time", "_source_file")
 
 
-@query("a5_lineage", "SELECT event_id, TRUE AS has_time, TRUE AS has_source FROM events")
+@query("a5_lineage", "SELECT event_id, TRUE AS has_time, 'events.parquet' AS source_name FROM events")
 def lineage(t: Inputs):
     marked = tables.with_lineage(t.table("events"))
     return marked.select(
         "event_id", F.col("_ingestion_time").isNotNull().alias("has_time"),
-        F.col("_source_file").contains("events").alias("has_source"),
+        F.regexp_extract("_source_file", "([^/]+)$", 1).alias("source_name"),
     )
 
 
