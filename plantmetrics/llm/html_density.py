@@ -1,9 +1,9 @@
 """Main text of web pages by composite text density.
 
-The page is read into a tree in one pass. Elements that are boilerplate by their kind (menus, headers, footers, asides, forms,
-scripts and the like) or by their role are left out, as are those whose whole class or id names boilerplate if they hold neither an
-article or main nor half of the page's text. Every node then has a density: characters
-per tag, lowered by the share of characters and tags in links. The container whose children have the largest sum of densities is
+The page is read into a tree in one pass; scripts, styles, titles, text areas, templates and hidden elements never enter it.
+Suspects are elements that are boilerplate by their kind (menus, headers, footers, asides, forms, buttons and the like), by their
+role or by a whole class or id. They are cut, unless the text outside all suspects shows that the page itself lies in one: see
+`_restored`. Every node then has a density: characters per tag, lowered by the share of characters and tags in links. The container whose children have the largest sum of densities is
 the core; the smallest density on its way up to the body is the threshold, and beside the core every subtree on that way counts
 whose density reaches it. If the core lies inside an article (else main), that whole element stands for the core; subtrees beside
 it count by the threshold as anywhere.
@@ -12,7 +12,8 @@ Text is given as blocks: character references decoded, white space inside a bloc
 line break inside a block is white space.
 
 Defined cases: a null or empty page has an empty text, as has one without text outside boilerplate; tags that are never closed
-end with the page; ids and urls are passed through, null or repeated; an empty table gives no rows; other columns are never read.
+end with the element around them or the page, and such a suspect may be far wider than meant: of a button, list or drawing only
+its own text is cut, other kinds stay if they hold more text than lies outside; ids and urls are passed through, null or repeated; an empty table gives no rows; other columns are never read.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 _ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _TOKEN = re.compile(
     rf"""(?is)<!--.*?(?:-->|\Z)
-    |<(script|style|noscript|template|textarea|iframe|svg|select|button|title|head\b(?=.*</head))\b{_ATTRIBUTES}>.*?(?:</\1\s*>|\Z)
+    |<(script|style|textarea|title)(?=[\s/>]){_ATTRIBUTES}>.*?(?:</\1\s*>|\Z)
     |<(/?)([a-z][^\s/>]*)({_ATTRIBUTES})>
     |<[!?/][^>]*(?:>|\Z)
     |<[a-z][^<>]*\Z
@@ -37,15 +38,19 @@ _TOKEN = re.compile(
     |<""",
     re.X,
 )
-_NAMED = re.compile(r"""(?is)\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""")
-_HIDDEN = re.compile(r"""(?is)(?:\s|^)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""")
+_PAIR = re.compile(r"""(?s)([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+_UNSEEN = re.compile(r"(?i)display\s*:\s*none")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 _CONTAINERS = frozenset("article body center dd details div dl fieldset figure html main ol section table tbody td tr ul blockquote".split())
-_LEFT_OUT = frozenset("nav header footer aside form menu dialog fieldset input option datalist audio video map".split())
+_LEFT_OUT = frozenset("nav header footer aside form menu dialog fieldset".split())
+#: Kinds whose content is a label, a list of choices or a drawing: they cannot hold a page.
+_SMALL = frozenset("button select input option datalist audio video map svg iframe noscript".split())
+#: Kinds and roles that servers put around a whole page.
+_WRAPPERS = frozenset("form fieldset".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 _BOILERPLATE = frozenset(
     "ad ads adslot advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice"
@@ -53,6 +58,11 @@ _BOILERPLATE = frozenset(
     " breadcrumbs pagination pager toolbar header masthead footer comment comments disqus respond replies share sharing social related"
     " recommended recommendations widget login signup".split()
 )
+#: Those of _BOILERPLATE that name what is in the element, not where it stands on the page.
+_ADDED = frozenset(
+    "ad ads adslot advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr newsletter"
+    " subscribe subscription comment comments disqus respond replies share sharing social related recommended recommendations".split()
+)
 #: Words beside those of _BOILERPLATE that leave a class name one of boilerplate.
 _PLACES = frozenset("site left right top bottom box bar block list links button buttons section area container wrapper slot unit".split())
 _KEPT_WHOLE = frozenset(("html", "body", "article", "main"))
@@ -61,41 +71,58 @@ _ENDS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
     "tbody": ("tr", "td", "th", "thead", "tbody"), "tfoot": ("tr", "td", "th", "tbody"),
 }
+_OPTIONAL_ENDS = frozenset("p li dt dd tr td th thead tbody tfoot option html body".split())
+#: How many times the text outside all suspects a named suspect must hold to be the page itself.
+_ALL_BUT = 10
 _SCOPES = frozenset("ul ol dl table html body article main section div".split())
 
 
-def _is_boilerplate(tag: str, attributes: str) -> bool:
-    if tag in _LEFT_OUT:
-        return True
-    if not attributes or tag in _KEPT_WHOLE:
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    return any(name.lower() == "role" and not _ROLES.isdisjoint("".join(values).lower().split()) for name, *values in _NAMED.findall(attributes))
-
-
-def _is_suspect(tag: str, attributes: str) -> bool:
-    """Whether a whole class or id names boilerplate: sidebar, site-footer or cookie-notice, not with-sidebar."""
-    if not attributes or tag in _KEPT_WHOLE:
-        return False
-    for name, *values in _NAMED.findall(attributes):
-        for token in "".join(values).lower().split() if name.lower() != "role" else ():
+def _attributes(text: str) -> dict[str, str]:
+    """Lower-cased names with their values; the first of equal names counts."""
+    found: dict[str, str] = {}
+    for name, *values in _PAIR.findall(text):
+        found.setdefault(name.lower(), html.unescape("".join(values)))
+    return found
+
+
+def _is_hidden(tag: str, attributes: dict[str, str]) -> bool:
+    return tag == "template" or tag not in _KEPT_WHOLE and ("hidden" in attributes or _UNSEEN.search(attributes.get("style", "")) is not None)
+
+
+def _suspicion(tag: str, attributes: dict[str, str]) -> str | None:
+    """Why an element may be boilerplate: its kind (small, wrapper or kind), what its name says (added) or where it stands (place).
+
+    A class or id counts if it names boilerplate as a whole: sidebar, site-footer or cookie-notice, not with-sidebar.
+    """
+    if tag in _SMALL:
+        return "small"
+    named = None
+    if attributes and tag not in _KEPT_WHOLE:
+        for token in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
             words = set(re.split(r"[^a-z0-9]+", token)) - {""}
             if not _BOILERPLATE.isdisjoint(words) and words <= _BOILERPLATE | _PLACES:
-                return True
-    return False
+                if not _ADDED.isdisjoint(words):
+                    return "added"
+                named = "place"
+    if tag in _LEFT_OUT:
+        return "wrapper" if tag in _WRAPPERS else "kind"
+    roles = _ROLES.intersection(attributes.get("role", "").lower().split()) if tag not in _KEPT_WHOLE else ()
+    if roles:
+        return "wrapper" if _WRAPPERS.issuperset(roles) else "kind"
+    return named or ("place" if attributes.get("aria-hidden", "").lower() == "true" and tag not in _KEPT_WHOLE else None)
 
 
 class _Tree:
     """Nodes in page order with their tags, parents and own characters; the text runs with their node and block.
 
-    Left-out elements have no node, but stay on the stack of open elements until they end.
+    Hidden elements have no node, but stay on the stack of open elements until they end.
     """
 
     def __init__(self, page: str):
         self.tags, self.parents, self.chars = ["html"], [-1], [0]
         self.runs: list[tuple[int, int, str]] = []
-        self.suspects: list[int] = []
+        self.suspects: dict[int, str] = {}
+        self.endless: set[int] = set()
         self.block = 0
         self.open: list[tuple[str, int | None]] = [("html", 0)]
         for token in _TOKEN.finditer(page):
@@ -106,6 +133,7 @@ class _Tree:
                 self._end(token[3].lower())
             else:
                 self._start(token[3].lower(), token[4])
+        self._unended(1)
         self._cut()
 
     def _text(self, text: str) -> None:
@@ -121,18 +149,20 @@ class _Tree:
             self._close("p", _SCOPES)
         for ended in _ENDS.get(tag, ()):
             self._close(ended, _SCOPES)
-        if tag == "html" or tag == "body" and "body" in self.tags:
+        if tag in ("html", "head") or tag == "body" and "body" in self.tags:
             return
         node = self.open[-1][1]
         if node is not None and tag == "br":
             self.runs.append((node, self.block, " "))
-        if node is not None and not _is_boilerplate(tag, attributes):
+        pairs = _attributes(attributes) if attributes else {}
+        if node is not None and not _is_hidden(tag, pairs):
             self.tags.append(tag)
             self.parents.append(node)
             self.chars.append(0)
             node = len(self.tags) - 1
-            if _is_suspect(tag, attributes):
-                self.suspects.append(node)
+            why = _suspicion(tag, pairs)
+            if why:
+                self.suspects[node] = why
         else:
             node = None
         if tag not in _VOID and not (attributes.endswith("/") and tag not in _BLOCKS):
@@ -148,30 +178,87 @@ class _Tree:
         for at in range(len(self.open) - 1, 0, -1):
             name = self.open[at][0]
             if name == tag:
+                self._unended(at + 1)
                 del self.open[at:]
                 return
             if name in scopes:
                 return
 
+    def _unended(self, at: int) -> None:
+        """Note the suspects open from `at` on: they end without an end tag of their own."""
+        self.endless.update(node for tag, node in self.open[at:] if node in self.suspects and tag not in _OPTIONAL_ENDS)
 
     def _cut(self) -> None:
-        """Leave out the suspects that hold neither an article or main nor half of the page's text."""
+        """Leave out the suspects but those that hold the page itself."""
         if not self.suspects:
             return
         n = len(self.tags)
-        chars, whole = self.chars[:], [tag in ("article", "main") for tag in self.tags]
-        for node in range(n - 1, 0, -1):
-            chars[self.parents[node]] += chars[node]
-            whole[self.parents[node]] |= whole[node]
-        gone, suspects = [False] * n, {s for s in self.suspects if not whole[s] and 2 * chars[s] < chars[0]}
+        bare = {s for s in self.endless if self.suspects[s] == "small"}
+        for s in bare:
+            del self.suspects[s]
+        if bare:
+            self.runs = [run for run in self.runs if run[0] not in bare]
+            for s in bare:
+                self.chars[s] = 0
+        cut = _restored(self)
+        gone = [False] * n
         for node in range(1, n):
-            gone[node] = gone[self.parents[node]] or node in suspects
+            gone[node] = gone[self.parents[node]] or node in cut
         kept = [node for node in range(n) if not gone[node]]
         new = {node: at for at, node in enumerate(kept)} | {-1: -1}
         self.tags, self.chars, self.parents = [self.tags[x] for x in kept], [self.chars[x] for x in kept], [new[self.parents[x]] for x in kept]
         self.runs = [(new[node], block, text) for node, block, text in self.runs if not gone[node]]
 
 
+def _restored(tree: _Tree) -> set[int]:
+    """The suspects to be cut, after those that hold the page itself have been taken out, greatest first.
+
+    A suspect's own text is what lies in it, but in no suspect inside it and in no link. It is held against the text outside all
+    suspects. While no article or main with text lies outside, a form, a wrapper or an endless suspect stays with more text than that or
+    with an article or main, one named by its place with `_ALL_BUT` times that text or with an article or main, and one named by what is in
+    it with `_ALL_BUT` times that text. Beside such an article only a wrapper or an endless suspect of `_ALL_BUT` times the text stays.
+    Menus, headers, footers and asides that end where they should never stay. What a suspect that stays holds counts as outside.
+    """
+    n = len(tree.tags)
+    around, linked, inside = [-1] * n, [False] * n, [False] * n
+    own, story = {s: 0 for s in tree.suspects} | {-1: 0}, {-1: False}
+    for node in range(n):
+        up = tree.parents[node]
+        if node:
+            around[node] = node if node in tree.suspects else around[up]
+            linked[node] = linked[up] or tree.tags[node] == "a"
+            # An article counts where its text lies: in its own suspect, not in one further inside.
+            inside[node] = tree.tags[node] in ("article", "main") or inside[up] and around[node] == around[up]
+        if not linked[node]:
+            own[around[node]] += tree.chars[node]
+        if inside[node] and tree.chars[node]:
+            story[around[node]] = True
+    cut = set(tree.suspects)
+    while True:
+        outside, told = own[-1], story[-1]
+        stays = []
+        for s in cut:
+            why, size = tree.suspects[s], own[s]
+            if s in tree.endless or why == "wrapper":
+                times = _ALL_BUT if told else 1
+            elif why == "kind" or why == "small" or told:
+                continue
+            else:
+                times = _ALL_BUT
+            holds = not told and story.get(s, False) and why != "added"
+            if size and (holds or size > times * outside):
+                stays.append((holds, size, s))
+        if not stays:
+            return cut
+        at = max(stays)[2]
+        while at > 0:
+            if at in cut:
+                cut.discard(at)
+                own[-1] += own[at]
+                story[-1] = story[-1] or story.get(at, False)
+            at = tree.parents[at]
+
+
 def _densities(tree: _Tree) -> list[float]:
     n = len(tree.tags)
     linked = [False] * n

@@ -51,6 +51,34 @@ def test_short_article_beside_long_boilerplate():
     assert main_text(SHELL % "<article><p>Short.</article>") == "Short."
 
 
+LONG = " ".join([PARAGRAPH] * 5)
+OTHER = " ".join(["A reader has quite another view of all this and says so at length."] * 20)
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<html><head><meta charset=utf-8><title>t</title><body><header><p>Site</p></header><article><p>{LONG}</p></article>", LONG),
+    (f"<article><h1>T</h1><p>{LONG} <button>Share<p>{LONG}</p></article>", f"T\n{LONG}\n{LONG}"),
+    (f"<body><div><button>Menu<div><p>{LONG}</p><p>{LONG}</p></div></div>", f"{LONG}\n{LONG}"),
+    (f"<body><form action=x><nav><a href=y>One</a></nav><div><h1>T</h1><p>{LONG}</p></div><footer>Imprint</footer></form></body>", f"T\n{LONG}"),
+    (f"<body><form><div class=sidebar>Side text</div><article><p>{LONG}</p></article></form></body>", LONG),
+    (f"<body><nav><ul><li><a href=x>One</a><li><a href=y>Two</a></ul><article><p>{LONG}</p></article></body>", LONG),
+    (f"<body><nav><ul><li><a href=x>One</a><li><a href=y>Two</a></ul><div><p>{LONG}</p><p>{LONG}</p></div></body>", f"{LONG}\n{LONG}"),
+    (f"<article><p>{LONG}</p><p title='the hidden cost'>{LONG}</p></article>", f"{LONG}\n{LONG}"),
+    (f"<body class='no hidden thing' data-x='not hidden =1'><div class='no hidden thing' data-x='not hidden =1'><p>{LONG}</p></div></body>", LONG),
+    (f"<body><article><p>{LONG}</p><section id=comments><p>{OTHER}</p></section></article></body>", LONG),
+    (f"<body><article><p>{LONG}</p></article><div id=comments><article><p>{OTHER}</p></article></div></body>", LONG),
+    (f"<body><div><p>{LONG}</p></div><section class=comments><article><p>{OTHER}</p></article></section></body>", LONG),
+    (f"<body><div class=cookie-notice><p>{OTHER}</p></div><div><p>{LONG}</p></div></body>", LONG),
+    (f"<body><div class=widget><div><p>{LONG}</p></div></div><form><p>{PARAGRAPH}</p><input></form></body>", LONG),
+    (f"<article><p>{LONG}</p><p hidden>x</p><p style='color:red; display : none'>y</p><template><p>z</p></template></article>", LONG),
+    (f"<article><p>{LONG}</p><select><option>One<option>Two</select><svg><title>t</title><text>drawn</text></svg></article>", LONG),
+    (f"<article><p>{LONG}</p><title-bar>{LONG}</title-bar></article>", f"{LONG}\n{LONG}"),
+    ("<body><nav><p>menu</p></nav><footer>Imprint</footer></body>", ""),
+])
+def test_page_is_not_lost_to_boilerplate(page, text):
+    assert main_text(page) == text
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("plain text", "plain text"), ("<p>a<p>b", "a\nb"), ("<p>x < y", "x < y"), ("<script>never closed", ""),
     ("<div hidden>x</div>", ""), ("<article>cut &am", "cut &am"), ("<article><p>a</p></div></span><p>b", "a\nb"), ("<a href='x", ""),
