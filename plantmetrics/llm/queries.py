@@ -123,7 +123,8 @@ URL_SQL = r"""
         SELECT page_id,
                coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
-               coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+               coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path,
+               coalesce(translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS whole
         FROM pages),
     fitted AS (
         SELECT *, CASE WHEN ('.' || host) LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
@@ -131,8 +132,7 @@ URL_SQL = r"""
                        WHEN ('.' || host) LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
                        WHEN ('.' || host) LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
                        WHEN ('.' || host) LIKE '%.com' AND path LIKE '/%' THEN 'com/' END AS rule,
-               '^^^' || regexp_replace(translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                       '[^a-z0-9./_~%:$^-]', '*', 'g') || '$' AS signs
+               '^^^' || regexp_replace(whole, '[^a-z0-9./_~%:$^?#&=+-]', '*', 'g') || '$' AS signs
         FROM cut),
     ruled AS (SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS label
               FROM fitted),
@@ -155,8 +155,8 @@ URL_SQL = r"""
         JOIN t4 ON t4.g = substr(c4.g, 1, 3) JOIN t3 ON t3.g = substr(c4.g, 2, 2) JOIN t2 ON t2.g = substr(c4.g, 3, 1), t1),
     logs AS (
         SELECT g, CAST(round((
-            ln((y4 + (y3 + (y2 + (y1 + CAST(1 AS DOUBLE) / 47) / (ty1 + 1)) / (ty2 + 1)) / (ty3 + 1)) / (ty4 + 1))
-            - ln((n4 + (n3 + (n2 + (n1 + CAST(1 AS DOUBLE) / 47) / (tn1 + 1)) / (tn2 + 1)) / (tn3 + 1)) / (tn4 + 1))) * 1000000) AS BIGINT) AS micro
+            ln((y4 + (y3 + (y2 + (y1 + CAST(1 AS DOUBLE) / 52) / (ty1 + 1)) / (ty2 + 1)) / (ty3 + 1)) / (ty4 + 1))
+            - ln((n4 + (n3 + (n2 + (n1 + CAST(1 AS DOUBLE) / 52) / (tn1 + 1)) / (tn2 + 1)) / (tn3 + 1)) / (tn4 + 1))) * 1000000) AS BIGINT) AS micro
         FROM parts),
     means AS (SELECT signs, least(greatest(floor(CAST(sum(micro) AS DOUBLE) / count(*) / 1000), -5000), 5000) AS bin
               FROM grams JOIN logs USING (g) GROUP BY signs),

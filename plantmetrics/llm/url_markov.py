@@ -1,16 +1,16 @@
 """URL filter: host and path rules first, a character language-model ratio for the rest; column expressions only.
 
 Two smoothed variable-order Markov models over characters, one for accepted and one for rejected URLs, are counted from the
-URLs that the rules decide. The chance of a character mixes the counts behind its last 3, 2, 1 and 0 characters: a context of
+URLs that the rules decide. They read the whole URL, A-Z lower-cased: scheme, host, path, query and fragment. The chance of a character mixes the counts behind its last 3, 2, 1 and 0 characters: a context of
 n occurrences passes 1 / (n + 1) of its weight on to the next shorter one. A URL's score is the mean over its characters of
 ln p(accepted) - ln p(rejected); the cut is calibrated on labelled URLs that the counts leave out (those whose md5 begins with
 0 to 3), at the largest sum of true-positive and true-negative rate.
 
-The alphabet has 47 signs (other characters count as one), so at most 47^4 four-character strings exist whatever the input;
+The alphabet has 52 signs (other characters count as one), so at most 52^4 four-character strings exist whatever the input;
 their log ratios are whole millionths, so sums do not depend on row order. Equal URLs are scored once.
 
-Defined cases: a null url, or one without ://, has an empty host and path, fits no rule and is judged by the models as an empty
-string; ids are passed through, null or repeated; without labelled URLs every ratio is 0 and the verdict is allow; an empty table
+Defined cases: a null url, or one without ://, has an empty host and path and fits no rule; the models judge a null url as an empty
+string, one without :// by all its characters; ids are passed through, null or repeated; without labelled URLs every ratio is 0 and the verdict is allow; an empty table
 gives no rows; other columns are never read.
 """
 
@@ -26,8 +26,8 @@ from plantmetrics.functions.sizing import stored
 
 _UPPER, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _AFTER_SCHEME = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_OTHER = r"[^a-z0-9./_~%:$^-]"
-SIGNS = 47
+_OTHER = r"[^a-z0-9./_~%:$^?#&=+-]"
+SIGNS = 52
 MICRO = 1_000_000
 BIN = 1_000
 WIDEST = 5_000
@@ -70,11 +70,11 @@ def longest_rule(host: Column, path: Column, rules: Sequence[HostRule] = RULES)
 
 
 def _ruled(pages: DataFrame, key: str, url: str, rules: Sequence[HostRule]) -> DataFrame:
-    rows = pages.select(F.col(key), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    whole = F.coalesce(F.translate(F.col(url), _UPPER, _SMALL), F.lit(""))
+    rows = pages.select(F.col(key), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), whole.alias("whole"))
     fit = longest_rule(F.col("host"), F.col("path"), rules)
-    lowered = F.translate(F.concat("host", "path"), _UPPER, _SMALL)
-    signs = F.concat(F.lit("^^^"), F.regexp_replace(lowered, _OTHER, "*"), F.lit("$"))
-    return rows.withColumns({"fit": fit, "signs": signs})
+    signs = F.concat(F.lit("^^^"), F.regexp_replace("whole", _OTHER, "*"), F.lit("$"))
+    return rows.withColumns({"fit": fit, "signs": signs}).drop("whole")
 
 
 def _grams(urls: DataFrame, *columns: str) -> DataFrame:
@@ -91,7 +91,7 @@ def _log_ratio(grams: DataFrame) -> DataFrame:
     for n in (4, 3, 2, 1):
         context = shorter[n].groupBy(F.substring("gram", 1, n - 1).alias("context")).agg(*[F.sum(c).alias(f"{c}_of{n}") for c in names])
         counts = shorter[n].select(F.col("gram").alias("part"), *[F.col(c).alias(f"{c}{n}") for c in names])
-        # Tables of n - 1 and, below 4, of n signs have at most 47^3 rows of a few bytes.
+        # Tables of n - 1 and, below 4, of n signs have at most 52^3 rows of a few bytes.
         if n < 4:
             part = F.substring("gram", 5 - n, n)
             levels = levels.withColumn("part", part).join(F.broadcast(counts), "part").drop("part")
