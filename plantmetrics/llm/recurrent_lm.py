@@ -5,8 +5,10 @@
    texts they occur in and by frequency, as leaves of the class's tree; all other words, unknown ones too, are one class. The
    `head` words have an input vector each, all others the sum of their class's and a hashed one. The groups come from the counts of
    each word in 16 cells of texts, over all training texts.
-3. Every task trains a copy of the network on its own training texts, each used once, in `rounds` disjoint shares; after a round
-   the copies are averaged by their tokens. Copies travel as rows and are averaged in two levels.
+3. Copies of the network are trained side by side, on training texts dealt to them by a hash of key and text, each used once, in
+   `rounds` disjoint shares; after a round the copies are averaged by their tokens. The number of copies follows the training
+   tokens, the order of a copy's texts their hashes, so neither cores nor files change the model (but for the order in which
+   rounded sums are taken). Copies travel as rows and are averaged in two levels.
 4. Every text is scored whole with the last average. Words outside the vocabulary are not broadcast: their hashes go through a
    join with the counts, pre-aggregated per text.
 
@@ -41,6 +43,9 @@ _HASHED = 1 << 14
 _MARKERS = 64
 _TOKENS_AT_ONCE = 1 << 20
 _RANGE_BITS = 20
+#: Training tokens of a round for each copy of the network, and the least number of copies.
+COPY_TOKENS = 1 << 24
+LEAST_COPIES = 8
 
 
 @dataclass(frozen=True)
@@ -110,16 +115,17 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _summed(parts: DataFrame, kind: type) -> np.ndarray:
-    """Sum of binary arrays of one length, in two levels, so that no task adds up more than some hundred."""
+    """Sum of binary arrays of one length in the order of their partitions, in two levels, so that no task adds up more than some hundred."""
     def added(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("place", kind="stable")
         total = np.frombuffer(frame["values"].iloc[0], kind).copy()
         for other in frame["values"].iloc[1:]:
             total += np.frombuffer(other, kind)
-        return pd.DataFrame({"part": frame["part"].iloc[:1], "values": [total.tobytes()]})
+        return pd.DataFrame({"part": frame["part"].iloc[:1], "place": frame["place"].iloc[:1] // 64, "values": [total.tobytes()]})
 
-    some = parts.withColumn("some", F.floor(F.spark_partition_id() / 64))
-    once = some.groupBy("part", "some").applyInPandas(lambda f: added(f), "part long, values binary")
-    rows = once.groupBy("part").applyInPandas(lambda f: added(f), "part long, values binary").toArrow().sort_by("part")
+    kinds, some = "part long, place long, values binary", parts.withColumn("place", F.spark_partition_id().cast("long"))
+    once = some.groupBy("part", F.floor(F.col("place") / 64)).applyInPandas(lambda f: added(f), kinds)
+    rows = once.groupBy("part").applyInPandas(lambda f: added(f), kinds).toArrow().sort_by("part")
     return np.concatenate([np.zeros(0, kind), *[np.frombuffer(v.as_py(), kind) for v in rows.column("values")]])
 
 
@@ -236,15 +242,17 @@ def _ids(vocabulary: Vocabulary, hashes: np.ndarray) -> tuple[np.ndarray, np.nda
     return at, known, inputs, np.where(known, vocabulary.classes[at], tail), np.where(known, vocabulary.members[at], 0)
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, share: Column, text: str = "text", rounds: int = 2) -> np.ndarray:
+def train(
+    docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, share: Column, text: str = "text", rounds: int = 2, key: str = "doc_id"
+) -> np.ndarray:
     """Weights after `rounds` rounds; `share` (0 to rounds - 1) says in which round a text is learnt from.
 
-    Copies travel as their changes: dense parts count by tokens, the rows of sparse parts by the steps that met them.
+    There are as many copies as `COPY_TOKENS` go into a round's tokens, but `LEAST_COPIES` at least. Copies travel as their changes: dense parts count by tokens, the rows of sparse parts by the steps that met them.
     """
     context = docs.sparkSession.sparkContext
     known = context.broadcast(vocabulary)
-    # A copy is some 20 MB whatever a task reads, so a task learns from four partitions where there are more than cores.
-    copies = max(context.defaultParallelism, -(-docs.rdd.getNumPartitions() // 4))
+    copies = max(LEAST_COPIES, -(-vocabulary.tokens // (rounds * COPY_TOKENS)))
+    place = F.xxhash64(F.col(key).cast("string"), F.col(text), F.lit(1))
     for number in range(rounds):
         now = context.broadcast(weights)
 
@@ -252,7 +260,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, share: C
             words = known.value
             network, seen = Network(words.shape, shaped(now.value.copy(), words.shape)), 0
             for batch in batches:
-                for _, _, hashes, lengths in _blocks(batch.column(0)):
+                for _, _, hashes, lengths in _blocks(batch.column(1)):
                     _, _, inputs, classes, members = _ids(words, hashes)
                     network.run(lengths, inputs, classes, members, learn=True)
                     seen += len(hashes)
@@ -265,7 +273,10 @@ def train(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, share: C
                     moved += [change.ravel(), times]
                 yield _pieces(np.concatenate(moved), 1 << 16)
 
-        rows = docs.filter(share == number).select(F.col(text)).coalesce(copies).mapInArrow(learnt, "part long, values binary")
+        own = docs.filter(share == number).select(place.alias("place"), F.col(text).alias("text"))
+        # Dealt by the number of the copy, not by a hash of it, so that every copy has a partition of its own.
+        dealt = own.repartitionById(copies, F.pmod("place", F.lit(copies)).cast("int")).sortWithinPartitions("place", "text")
+        rows = dealt.mapInArrow(learnt, "part long, values binary")
         total, at = _summed(rows, np.float32), 0
         after = shaped(weights, vocabulary.shape)
         for name in sorted(after) if len(total) else ():
@@ -328,5 +339,5 @@ def fit_and_score(docs: DataFrame, is_training: Column, key: str = "doc_id", tex
     vocabulary, class_bias, word_bias = build_vocabulary(learning, counts, text)
     first = first_weights(vocabulary, class_bias, word_bias)
     share = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(rounds))
-    weights = train(learning, vocabulary, first, share, text, rounds)
+    weights = train(learning, vocabulary, first, share, text, rounds, key)
     return score(docs, vocabulary, weights, counts, key, text)

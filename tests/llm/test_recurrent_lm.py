@@ -172,3 +172,13 @@ def test_words_behind_the_head_have_chances_and_inputs_of_their_own(spark):
     same = [(i, j) for i in range(24) for j in range(i) if chance(i, i)[1] == chance(j, j)[1] >= made.shape.head_classes]
     told = [chance(i, i)[0] - chance(i, j)[0] - chance(j, i)[0] + chance(j, j)[0] for i, j in same]
     assert len(told) > 5 and sum(x > 0.1 for x in told) > 0.9 * len(told)
+
+
+def test_scores_do_not_follow_partitions(spark):
+    rows = [(k, t, 0) for k, t, _ in corpus(200, 5)]
+    scores = []
+    for parts in (1, 2, 7):
+        docs = spark.createDataFrame(rows[::-1] if parts == 2 else rows, SCHEMA).repartition(parts)
+        scores.append({r.doc_id: r.score for r in L.fit_and_score(docs, F.col("doc_id") % 7 != 2).collect()})
+    for other in scores[1:]:
+        assert other == pytest.approx(scores[0], rel=1e-6)
