@@ -16,8 +16,8 @@ Two texts link when the Jaccard similarity of their shingle sets is at least num
 So every link between different groups is found, pairs inside a group are never listed, and classes are exact. Hot tokens are
 pre-aggregated, a chunk's queries are dealt out by salt, and sets are made only for nodes that a fixed-size bitmap names.
 
-Defined cases: a text without words has an empty set, links with nothing and is its own class; rows with a null id take the
-class of their equal sets (null if no such row has an id); rows that repeat an id are one node; an empty table gives no rows;
+Defined cases: a text without words has an empty set, links with nothing and is its own class; rows with a null id link
+like any other (their class is null if none of it has an id); rows that repeat an id are one node; an empty table gives no rows;
 other columns are never read.
 """
 
@@ -299,24 +299,54 @@ def links(docs: DataFrame, nodes: DataFrame, key: str, text: str, join: Join) ->
     return star.unionByName(stored(_opened(opened, members, _sets(docs, key, text, join, named), join), "group-links"))
 
 
-def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
-    """(key, n_shingles, component_id) per row."""
+def _classes(docs: DataFrame, key: str, text: str, join: Join) -> DataFrame:
+    """(key, n_shingles, component_id) per row of a table without null keys."""
     rows = stored(_signed(docs, key, text, join), "signed")
     nodes = rows.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep"), F.first("prefix").alias("prefix"))
     nodes = stored(nodes, "nodes")
-    real = nodes.filter(F.col("rep").isNotNull())
-    found = components(links(docs, real.select("rep", "n", "prefix"), key, text, join)).select(F.col("node").alias("rep"), "component")
+    found = components(links(docs, nodes.select("rep", "n", "prefix"), key, text, join)).select(F.col("node").alias("rep"), "component")
     named = nodes.select("n", "f1", "f2", "rep").join(found, "rep", "left").select("n", "f1", "f2", F.coalesce("component", "rep").alias("component"))
     labelled = rows.select("id", "n", "f1", "f2").join(named, ["n", "f1", "f2"], "left")
     own = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component"))
     return labelled.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
+def _name(key: str, text: str) -> Column:
+    """Name of a row that is never null: its id, else its text's digest."""
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    return F.when(F.col(key).isNotNull(), F.concat(F.lit("i"), F.col(key).cast("string"))).otherwise(F.concat(F.lit("n"), digest))
+
+
+def _named_classes(docs: DataFrame, key: str, text: str, join: Join) -> DataFrame:
+    """(name, n_shingles, least, first) per row: the smallest id of its class (null without one) and the name of the row to keep."""
+    found = stored(_classes(docs.select(_name(key, text).alias("name"), F.col(text).alias("text")), "name", "text", join), "named")
+    own = F.when(F.col("name").startswith("i"), F.expr("substring(name, 2)").cast(docs.schema[key].dataType))
+    least = found.groupBy("component_id").agg(F.min(own).alias("least"), F.min("name").alias("low"))
+    first = F.coalesce(F.concat(F.lit("i"), F.col("least").cast("string")), "low")
+    return found.join(least.withColumn("first", first).drop("low"), "component_id").select("name", "n_shingles", "least", "first", own.alias("own"))
+
+
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
+    """(key, n_shingles, component_id) per row; rows with a null id link like any other, and are named inside by their text."""
+    if docs.filter(F.col(key).isNull()).isEmpty():
+        return _classes(docs, key, text, join)
+    return _named_classes(docs, key, text, join).select(F.col("own").alias(key), "n_shingles", F.col("least").alias("component_id"))
+
+
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
-    """One row of each class, that with the smallest id, with all its columns; rows with a null id or without words all stay.
+    """One row of each class, that with the smallest id, with all its columns; rows without words all stay.
 
-    Of rows that repeat the smallest id, all stay. Only ids of rows to drop are joined with the rows.
+    Of rows that repeat the smallest id, all stay; of a class without ids, the rows of one text. Only names of rows to drop are
+    joined with the rows.
     """
-    found = classes(docs, key, text, join)
-    gone = found.filter((F.col("n_shingles") > 0) & (F.col(key) != F.col("component_id"))).select(key).distinct()
-    return docs.join(stored(gone, "later-copies"), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    if docs.filter(F.col(key).isNull()).isEmpty():
+        found = _classes(docs, key, text, join)
+        gone = found.filter((F.col("n_shingles") > 0) & (F.col(key) != F.col("component_id"))).select(key).distinct()
+        return docs.join(stored(gone, "later-copies"), key, "left_anti").select(*own)
+    name = "name"
+    while name in docs.columns:
+        name = f"_{name}"
+    found = _named_classes(docs, key, text, join)
+    gone = found.filter((F.col("n_shingles") > 0) & (F.col("name") != F.col("first"))).select(F.col("name").alias(name)).distinct()
+    return docs.withColumn(name, _name(key, text)).join(stored(gone, "later-copies"), name, "left_anti").select(*own)

@@ -72,6 +72,25 @@ def test_like_brute_force(frame, join, seed):
         assert run(frame, rows, replace(join, chunk=2, queries=2, shared=1)) == want
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_rows_without_id_link_classes(frame, kind):
+    """Every second row has no id; some classes hang together through such rows only, some have no other."""
+    as_id = int if kind == "long" else "k{:04d}".format
+    rows = [(as_id(k) if k % 2 else None, t) for k, t in near_copies(1)]
+    rows += [(None, "only here and here"), (None, "Only here  and here"), (None, "quite alone in all")]
+    docs = frame([(k, t, "c") for k, t in rows], f"doc_id {kind}, text string, name string")
+    want = expected(rows, J.Join())
+    assert sorted((tuple(r) for r in J.classes(docs).collect()), key=repr) == want
+    kept = J.keep_first(docs).collect()
+    firsts = {c for _, _, c in want if c is not None}
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(firsts)
+    alone = [r.text for r in kept if r.doc_id is None]
+    assert kept[0].name == "c" and "quite alone in all" in alone and sum("only here" in t.lower() for t in alone) == 1
+    sets = {t: shingles(t, 3) for _, t in rows}
+    for k, a in enumerate(alone):
+        assert all(100 * len(sets[a] & sets[b]) < 90 * len(sets[a] | sets[b]) for b in alone[:k] + [r.text for r in kept if r.doc_id is not None])
+
+
 def test_defined_cases(frame):
     long = " ".join(f"x{k}" for k in range(30000))
     rows = [
@@ -85,7 +104,7 @@ def test_one_row_of_each_class_stays(frame):
     rows = [(5, "a b c d"), (3, "a b c d"), (3, "a b c d"), (None, "a b c d"), (6, ""), (7, None), (8, "else")]
     docs = frame([(k, t, 1, "c") for k, t in rows], SCHEMA)
     kept = J.keep_first(docs)
-    assert kept.columns == docs.columns and sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 3, 3, 6, 7, 8]
+    assert kept.columns == docs.columns and sorted((r.doc_id or -1) for r in kept.collect()) == [3, 3, 6, 7, 8]
 
 
 def test_empty_table(frame):
