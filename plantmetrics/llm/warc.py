@@ -1,50 +1,114 @@
-"""WARC archives as a table of record chunks.
+"""WARC archives from a table of record chunks.
 
-Writing: a page becomes one record, or, if its payload is longer than `chunk_chars`, a first segment and continuation records,
-one row (record id, chunk number) each, so that no row holds a whole formatted record. Spark's text writer puts the rows into
-gzip files on whatever file system the path names; every file holds whole records in order.
+Writing: every payload is cut once, from its start on, into rows (record, chunk number) of at most `chunk_chars` characters. A row
+carries the bytes and the SHA-256 digest of the payload up to its own end, so the last row of a record has the whole payload's.
+The rows are stored; equal payloads are found by the last rows' digests alone, without reading the blocks again. A payload of one
+chunk becomes one record, a longer one a first segment and continuation records, so that no row holds a whole formatted record.
+Only chunks of longer payloads are shuffled, to bring a record's segments together in order. Spark's text writer puts the rows
+into gzip files on whatever file system the path names; every file holds whole records in order.
 
 Reading: the lines of a file are streamed through a parser that follows Content-Length and holds one line at a time. It gives a
-row per chunk with the bytes and the digest of the payload up to there; the last chunk's row carries the whole payload's.
+row per chunk with the bytes and the digest of the payload up to there, and compares both with what the record states.
 
 Equal payloads of at least `least_bytes` bytes are stored once: the record with the smallest id is the response, the others are
 revisit records that name it. Rows that repeat the smallest id are responses too.
 
-Defined cases: a null payload is empty; a null id is written as such, is never the response that others refer to unless every id
-of the group is null, in which case all are responses; a null url has no target line; line ends in a url are percent-encoded;
-an empty table writes an archive without records; other columns are never read.
+Defined cases: ids are of any type that casts to a string and back (percent-encoded in the archive); a null payload is empty; a
+null id is written as such, is never the response that others refer to unless every id of the group is null, in which case all
+are responses; a null url has no target line; line ends in a url are percent-encoded; an empty table writes an archive without
+records; other columns are never read.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from urllib.parse import unquote_plus
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plantmetrics.functions.sizing import small_side, stored
+
 CHUNK_CHARS = 1 << 16
 LEAST_BYTES = 100
+_HELD = 1 << 23
+#: Columns of the parser's rows; ids are still text.
 CHUNKS = T.StructType([
-    T.StructField("record_id", T.LongType()), T.StructField("chunk_no", T.IntegerType()), T.StructField("last", T.BooleanType()),
-    T.StructField("record_type", T.StringType()), T.StructField("refers_to", T.LongType()), T.StructField("url", T.StringType()),
+    T.StructField("record_id", T.StringType()), T.StructField("chunk_no", T.IntegerType()), T.StructField("last", T.BooleanType()),
+    T.StructField("record_type", T.StringType()), T.StructField("refers_to", T.StringType()), T.StructField("url", T.StringType()),
     T.StructField("payload_bytes", T.LongType()), T.StructField("payload_digest", T.StringType()), T.StructField("data", T.BinaryType()),
 ])
 
 
-def revisits(pages: DataFrame, key: str, payload: str, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """(key, digest, refers_to) of the rows that repeat the payload of a smaller key; only keys and digests are shuffled."""
-    light = pages.select(
-        F.col(key).alias("key"), F.sha2(F.coalesce(F.col(payload), F.lit("")), 256).alias("digest"),
-        F.octet_length(F.coalesce(F.col(payload), F.lit(""))).alias("bytes"),
-    ).filter(F.col("bytes") >= least_bytes)
-    first = light.groupBy("digest").agg(F.min("key").alias("refers_to"), F.count("*").alias("n")).filter("n > 1 AND refers_to IS NOT NULL")
-    return (
-        light.join(first, "digest").filter(~F.col("key").eqNullSafe(F.col("refers_to")))
-        .select("key", "digest", "refers_to").distinct()
+def _chunk_end(text: np.ndarray, begin: int, chars: int) -> int:
+    """The place behind the `chars` code points of UTF-8 `text` that start at `begin`; only these bytes are looked at."""
+    end = begin
+    while chars and end < len(text):
+        window = text[end:end + chars]
+        end += len(window)
+        chars -= np.count_nonzero((window & 0xC0) != 0x80)
+    while end < len(text) and text[end] & 0xC0 == 0x80:
+        end += 1
+    return end
+
+
+def _pieces(payload: pa.Buffer, chunk_chars: int) -> Iterator[tuple[int, bool, int, str, bytes]]:
+    """(chunk number, last, bytes so far, digest so far, block) of one payload; an empty one has one empty chunk."""
+    text = np.frombuffer(payload, np.uint8)
+    digest, begin, number, last = hashlib.sha256(), 0, 0, False
+    while not last:
+        end = _chunk_end(text, begin, chunk_chars)
+        number, last, block = number + 1, end == len(text), text[begin:end].tobytes()
+        digest.update(block)
+        yield number, last, end, digest.hexdigest(), block
+        begin = end
+
+
+def chunk_table(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+    """The stored chunks: row (names the input row), key, url, chunk_no, last, cut (of several chunks), bytes and digest so far, block."""
+    rows = pages.select(
+        F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(url).cast("string").alias("url"),
+        F.coalesce(F.col(payload), F.lit("")).alias("payload"),
     )
+    own = T.StructType([f for f in rows.schema if f.name != "payload"])
+    schema = T.StructType([
+        *own, T.StructField("chunk_no", T.IntegerType()), T.StructField("last", T.BooleanType()), T.StructField("cut", T.BooleanType()),
+        T.StructField("bytes", T.LongType()), T.StructField("digest", T.StringType()), T.StructField("block", T.StringType()),
+    ])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(batch: pa.RecordBatch, at: list[int], made: list[tuple]) -> pa.RecordBatch:
+            number, last, several, size, digest, block = zip(*made, strict=True)
+            columns = [batch.column(n).take(pa.array(at)) for n in own.names]
+            columns += [pa.array(number, pa.int32()), pa.array(last), pa.array(several), pa.array(size, pa.int64()), pa.array(digest)]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(block, pa.binary()).view(pa.string())], schema.names)
+
+        for batch in batches:
+            at, made, held = [], [], 0
+            for k, value in enumerate(batch.column("payload").cast(pa.binary())):
+                for number, last, size, digest, block in _pieces(value.as_buffer(), chunk_chars):
+                    at.append(k)
+                    made.append((number, last, number > 1 or not last, size, digest, block))
+                    held += len(block)
+                    if held > _HELD:
+                        yield batch_of(batch, at, made)
+                        at, made, held = [], [], 0
+            if made:
+                yield batch_of(batch, at, made)
+
+    return stored(rows.mapInArrow(cut, schema), "warc-chunks")
+
+
+def revisits(chunks: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
+    """(row, refers_to, whole_digest, whole_bytes) of the records that repeat the payload of a smaller key, from last chunks alone."""
+    ends = chunks.filter(F.col("last") & (F.col("bytes") >= least_bytes)).select("row", "key", "digest", "bytes")
+    first = ends.groupBy("digest").agg(F.min("key").alias("refers_to"), F.count("*").alias("n")).filter("n > 1 AND refers_to IS NOT NULL")
+    again = ends.join(first, "digest").filter(~F.col("key").eqNullSafe(F.col("refers_to")))
+    return again.select("row", "refers_to", F.col("digest").alias("whole_digest"), F.col("bytes").alias("whole_bytes"))
 
 
 def _line(name: str, value: Column) -> Column:
@@ -52,7 +116,7 @@ def _line(name: str, value: Column) -> Column:
 
 
 def _urn(key: Column, chunk: Column | None = None) -> Column:
-    page = F.concat(F.lit("<urn:page:"), F.coalesce(key.cast("string"), F.lit("null")))
+    page = F.coalesce(F.concat(F.lit("<urn:page:"), F.url_encode(key.cast("string"))), F.lit("<urn:unnamed"))
     return F.concat(page, F.lit(">")) if chunk is None else F.concat(page, F.lit(":chunk:"), chunk.cast("string"), F.lit(">"))
 
 
@@ -60,41 +124,34 @@ def record_chunks(
     pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html",
     chunk_chars: int = CHUNK_CHARS, least_bytes: int = LEAST_BYTES,
 ) -> DataFrame:
-    """Rows (record_id, chunk_no, value): the text of one WARC record each, chunks of a page next to each other."""
-    again = revisits(pages, key, payload, least_bytes)
-    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("payload"))
-    rows = rows.withColumn("digest", F.sha2("payload", 256))
-    joined = rows.alias("p").join(
-        again.alias("r"),
-        F.col("p.key").eqNullSafe(F.col("r.key")) & (F.col("p.digest") == F.col("r.digest")), "left",
-    ).select("p.key", "p.url", "p.payload", "p.digest", "r.refers_to")
-    body = F.when(F.col("refers_to").isNull(), F.col("payload")).otherwise(F.lit(""))
-    sized = joined.withColumns({"body": body, "bytes": F.octet_length("payload")}).drop("payload")
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.length("body") / chunk_chars)).cast("int")
-    chunked = sized.withColumn("n_chunks", n_chunks).select("*", F.explode(F.sequence(F.lit(1), F.col("n_chunks"))).alias("chunk_no"))
-    block = F.substr(F.col("body"), (F.col("chunk_no") - 1) * chunk_chars + 1, F.lit(chunk_chars))
-    cut = F.col("n_chunks") > 1
+    """Rows (record_id, chunk_no, value): the text of one WARC record each, segments of a page next to each other and in order."""
+    chunks = chunk_table(pages, key, url, payload, chunk_chars)
+    again = small_side(revisits(chunks, least_bytes))
+    whole = chunks.filter(~F.col("cut")).join(again, "row", "left")
+    long = chunks.filter("cut").join(again, "row", "left").filter("refers_to IS NULL OR chunk_no = 1")
+    rows = whole.unionByName(long.repartition("row").sortWithinPartitions("row", "chunk_no"))
+    repeats = F.col("refers_to").isNotNull()
+    segment = F.col("cut") & ~repeats
     later = F.col("chunk_no") > 1
-    kind = F.when(later, "continuation").when(F.col("refers_to").isNotNull(), "revisit").otherwise("response")
+    block = F.when(repeats, F.lit("")).otherwise(F.col("block"))
+    kind = F.when(later, "continuation").when(repeats, "revisit").otherwise("response")
     target = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    through = F.coalesce("whole_bytes", "bytes").cast("string")
     head = F.concat(
         F.lit("WARC/1.1\r\n"), _line("WARC-Type", kind),
         _line("WARC-Record-ID", F.when(later, _urn(F.col("key"), F.col("chunk_no"))).otherwise(_urn(F.col("key")))),
         F.lit("WARC-Date: 1970-01-01T00:00:00Z\r\n"),
         F.coalesce(_line("WARC-Target-URI", target), F.lit("")),
-        _line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
-        _line("X-Payload-Length", F.col("bytes").cast("string")),
-        F.coalesce(_line("WARC-Refers-To", F.when(F.col("refers_to").isNotNull(), _urn(F.col("refers_to")))), F.lit("")),
-        F.when(cut, _line("WARC-Segment-Number", F.col("chunk_no").cast("string"))).otherwise(F.lit("")),
+        # Of a segment that is not the last one, digest and length are those of the payload up to its end.
+        _line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.coalesce("whole_digest", "digest"))),
+        _line("X-Payload-Length", through),
+        F.coalesce(_line("WARC-Refers-To", F.when(repeats, _urn(F.col("refers_to")))), F.lit("")),
+        F.when(segment, _line("WARC-Segment-Number", F.col("chunk_no").cast("string"))).otherwise(F.lit("")),
         F.when(later, _line("WARC-Segment-Origin-ID", _urn(F.col("key")))).otherwise(F.lit("")),
-        F.when(cut & (F.col("chunk_no") == F.col("n_chunks")), _line("WARC-Segment-Total-Length", F.col("bytes").cast("string")))
-        .otherwise(F.lit("")),
-        _line("Content-Length", F.octet_length(F.col("block")).cast("string")), F.lit("\r\n"),
-    )
-    with_block = chunked.withColumn("block", block)
-    return with_block.select(
-        F.col("key").alias("record_id"), "chunk_no", F.concat(head, F.col("block"), F.lit("\r\n")).alias("value")
+        F.when(segment & F.col("last"), _line("WARC-Segment-Total-Length", through)).otherwise(F.lit("")),
+        _line("Content-Length", F.octet_length(block).cast("string")), F.lit("\r\n"),
     )
+    return rows.select(F.col("key").alias("record_id"), "chunk_no", F.concat(head, block, F.lit("\r\n")).alias("value"))
 
 
 def write_archives(chunks: DataFrame, path: str) -> None:
@@ -102,11 +159,11 @@ def write_archives(chunks: DataFrame, path: str) -> None:
     chunks.select("value").write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
 
 
-def _page(urn: str | None) -> int | None:
-    if urn is None:
+def _page(urn: str | None) -> str | None:
+    """The id that a record's name holds, as text."""
+    if urn is None or urn.startswith("<urn:unnamed"):
         return None
-    name = urn.removeprefix("<urn:page:").removesuffix(">").split(":")[0]
-    return None if name == "null" else int(name)
+    return unquote_plus(urn.removeprefix("<urn:page:").removesuffix(">").split(":")[0])
 
 
 class _Parser:
@@ -156,7 +213,7 @@ class _Parser:
         kind = "revisit" if revisit else "response"
         last = revisit or "WARC-Segment-Number" not in fields or "WARC-Segment-Total-Length" in fields
         size, digest = (whole, stated) if revisit else (self.seen, self.digest.hexdigest())
-        if last and (size, digest) != (whole, stated):
+        if (size, digest) != (whole, stated):
             raise ValueError(f"{origin}: payload and stated digest differ")
         return (
             _page(origin), int(fields.get("WARC-Segment-Number", 1)), last, kind, _page(fields.get("WARC-Refers-To")),
@@ -164,12 +221,12 @@ class _Parser:
         )
 
 
-def read_chunks(spark: SparkSession, path: str, with_data: bool = True) -> DataFrame:
-    """A row per chunk: record_id, chunk_no, last, record_type, refers_to, url, bytes and digest so far, data."""
+def read_chunks(spark: SparkSession, path: str, with_data: bool = True, key_type: str = "bigint") -> DataFrame:
+    """A row per chunk: record_id and refers_to (as `key_type`), chunk_no, last, record_type, url, bytes and digest so far, data."""
     lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"))
     schema = pa.schema([
-        ("record_id", pa.int64()), ("chunk_no", pa.int32()), ("last", pa.bool_()), ("record_type", pa.string()),
-        ("refers_to", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
+        ("record_id", pa.string()), ("chunk_no", pa.int32()), ("last", pa.bool_()), ("record_type", pa.string()),
+        ("refers_to", pa.string()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
         ("data", pa.binary()),
     ])
 
@@ -185,16 +242,19 @@ def read_chunks(spark: SparkSession, path: str, with_data: bool = True) -> DataF
                 if row is not None:
                     rows.append(row)
                     held += len(row[-1] or b"")
-                if held > 1 << 23:
+                if held > _HELD:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
                     rows, held = [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return lines.mapInArrow(parsed, CHUNKS)
+    rows = lines.mapInArrow(parsed, CHUNKS)
+    return rows.withColumns({c: F.col(c).cast(key_type) for c in ("record_id", "refers_to")})
 
 
-def round_trip(pages: DataFrame, path: str, **options) -> DataFrame:
+def round_trip(pages: DataFrame, path: str, key: str = "page_id", **options) -> DataFrame:
     """Archives written to `path` and read back: a row per record."""
-    write_archives(record_chunks(pages, **options), path)
-    return read_chunks(pages.sparkSession, path, with_data=False).filter("last").drop("chunk_no", "last", "data")
+    write_archives(record_chunks(pages, key, **options), path)
+    key_type = pages.schema[key].dataType.simpleString()
+    chunks = read_chunks(pages.sparkSession, path, with_data=False, key_type=key_type)
+    return chunks.filter("last").drop("chunk_no", "last", "data")

@@ -53,3 +53,38 @@ def test_damage_is_found(spark, frame, shared):
 
 def test_empty_table(frame, shared):
     assert warc.round_trip(frame([], SCHEMA), f"{shared}/e").count() == 0
+
+
+def test_ids_of_other_types(spark, frame, shared):
+    ids = ["a b", "a:b>\r\n", "é%2F+", "null", "", None]
+    rows = warc.round_trip(frame([(k, "u", "same text " * 20) for k in ids], "page_id string, url string, html string"), f"{shared}/t").collect()
+    assert sorted((r.record_id, r.record_type, r.refers_to) for r in rows if r.record_id is not None) == sorted(
+        (k, "response" if k == "" else "revisit", None if k == "" else "") for k in ids if k is not None)
+    assert [(r.record_type, r.refers_to) for r in rows if r.record_id is None] == [("revisit", "")]
+
+
+def test_payloads_are_cut_once_by_code_points():
+    import pyarrow as pa
+
+    for text in ("", "a", "é" * 7, "a€😀" * 50, "x" * 999 + "😀"):
+        for chars in (1, 3, 7, 1000):
+            pieces = list(warc._pieces(pa.py_buffer(text.encode()), chars))
+            assert [p[4].decode() for p in pieces] == ([text[k:k + chars] for k in range(0, len(text), chars)] or [""])
+            for k, (number, last, size, digest, _) in enumerate(pieces):
+                so_far = text[:(k + 1) * chars].encode()
+                assert (number, last, size, digest) == (k + 1, k + 1 == len(pieces), len(so_far), hashlib.sha256(so_far).hexdigest())
+
+
+def test_only_long_payloads_are_shuffled(frame, shared):
+    plan = warc.record_chunks(frame([(*p, "") for p in PAGES], SCHEMA), chunk_chars=1000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") >= 1 and "SortMergeJoin" not in plan
+
+
+def test_a_middle_segment_states_its_own_digest(spark, frame, shared):
+    from pyspark.sql import functions as F
+
+    chunks = warc.record_chunks(frame([(7, "u", LONG, "")], SCHEMA), chunk_chars=1000)
+    hurt = F.when(F.col("chunk_no") == 3, F.replace("value", F.lit("<p>"), F.lit("<q>"))).otherwise(F.col("value"))
+    warc.write_archives(chunks.withColumn("value", hurt), f"{shared}/m")
+    with pytest.raises(Exception, match="digest"):
+        warc.read_chunks(spark, f"{shared}/m").filter("chunk_no <= 3").collect()
