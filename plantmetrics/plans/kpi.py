@@ -26,8 +26,9 @@ def _log_totals(logs: DataFrame) -> DataFrame:
     )
 
 
-def _inspection_totals(inspections: DataFrame) -> DataFrame:
-    day = F.col("inspection_time").cast("date").cast("string").alias("production_date")
+def _inspection_totals(inspections: DataFrame, logs: DataFrame) -> DataFrame:
+    """Per equipment and day; the day has the type it has in the logs, so that no cast hides the logs' column from the scan."""
+    day = F.col("inspection_time").cast("date").cast(logs.schema["production_date"].dataType).alias("production_date")
     return inspections.groupBy("equipment_id", day).agg(
         count_where(F.col("passed")).alias("passed"), F.count("passed").alias("judged"), F.count("*").alias("inspections")
     )
@@ -38,7 +39,7 @@ def oee_from_logs(
 ) -> DataFrame:
     """OEE per equipment and day with a status: >= 0.85 on target, >= 0.75 improve, else urgent."""
     made = _log_totals(logs.filter(since(logs, "production_date", as_of, days)))
-    judged = _inspection_totals(inspections.filter(since(inspections, "inspection_time", as_of, days)))
+    judged = _inspection_totals(inspections.filter(since(inspections, "inspection_time", as_of, days)), logs)
     share = made.join(judged, ["equipment_id", "production_date"]).select(
         "equipment_id", "production_date", ratio(F.col("op_min"), F.col("plan_min")).alias("a"),
         ratio(F.col("actual_qty"), F.col("planned_qty")).alias("p"), ratio(F.col("passed"), F.col("inspections")).alias("q"),
@@ -96,7 +97,7 @@ def gold_oee(
     keys = ["equipment_id", "production_date"]
     known = small_side(master.select("equipment_id", "equipment_type", "line_id"))
     made = _log_totals(logs).join(known, "equipment_id")
-    base = made.join(_inspection_totals(inspections), keys, "left")
+    base = made.join(_inspection_totals(inspections, logs), keys, "left")
     times = F.greatest(F.coalesce(F.col("inspections"), F.lit(1)), F.lit(1)) if fanout else F.lit(1)
     shares = base.select(
         *keys, "equipment_type", "line_id", ratio(F.col("op_min"), F.col("plan_min")).alias("availability"),

@@ -93,7 +93,7 @@ _LOG_DAY = """
            CAST(sum(planned_qty) AS DOUBLE) AS planned_qty
     FROM production_logs GROUP BY 1, 2"""
 _INSPECTION_DAY = """
-    SELECT equipment_id, CAST(CAST(inspection_time AS DATE) AS STRING) AS production_date,
+    SELECT equipment_id, CAST(inspection_time AS DATE) AS production_date,
            CAST(sum(CASE WHEN passed THEN 1 ELSE 0 END) AS DOUBLE) AS passed, CAST(count(*) AS DOUBLE) AS inspections
     FROM quality_inspections GROUP BY 1, 2"""
 _GOLD = f"""

@@ -13,8 +13,8 @@ from plantmetrics.streaming import evolving
 
 PREVIOUS_DAY = "2024-01-30"
 LAST_30 = "production_date >= DATE '2024-01-01'"
-LAST_30_PRODUCTION = "production_date >= '1998-12-01'"
-LAST_7_PRODUCTION = "production_date >= '1998-12-24'"
+LAST_30_PRODUCTION = "production_date >= DATE '1998-12-01'"
+LAST_7_PRODUCTION = "production_date >= DATE '1998-12-24'"
 
 
 @query("k1_daily_equipment", f"""
@@ -29,15 +29,15 @@ def daily_equipment(t: Inputs):
 
 
 @query("k2_oee_from_logs", f"""
-SELECT equipment_id, production_date, {sql_near('a * 100', 1)} AS availability_pct, {sql_near('p * 100', 1)} AS performance_pct,
+SELECT equipment_id, CAST(production_date AS STRING) AS production_date, {sql_near('a * 100', 1)} AS availability_pct, {sql_near('p * 100', 1)} AS performance_pct,
        {sql_near('q * 100', 1)} AS quality_pct, {sql_near('a * p * q * 100', 1)} AS oee_pct,
        CASE WHEN a * p * q >= 0.85 THEN 'on target' WHEN a * p * q >= 0.75 THEN 'improve' ELSE 'urgent' END AS status
 FROM (SELECT l.equipment_id, l.production_date, op_min / plan_min AS a, actual_qty / planned_qty AS p, passed / inspections AS q
       FROM log_day l JOIN inspection_day i ON l.equipment_id = i.equipment_id AND l.production_date = i.production_date
-      WHERE l.production_date >= '1998-12-01')""", ["log_day", "inspection_day"])
+      WHERE l.production_date >= DATE '1998-12-01')""", ["log_day", "inspection_day"])
 def oee_from_logs(t: Inputs):
     made = kpi.oee_from_logs(t.view("production_logs"), t.view("quality_inspections"), AS_OF_PRODUCTION, digits=None)
-    return made.withColumns({c: near(c, 1) for c in PERCENTAGES})
+    return day_text(made, "production_date").withColumns({c: near(c, 1) for c in PERCENTAGES})
 
 
 @query("k3_hourly", f"""
@@ -102,34 +102,36 @@ def day_counters(t: Inputs):
 
 
 @query("k11a_gold_fanout", f"""
-SELECT p.equipment_id, p.production_date, e.equipment_type, e.line_id,
+SELECT p.equipment_id, CAST(p.production_date AS STRING) AS production_date, e.equipment_type, e.line_id,
        {sql_near('CAST(sum(480 - p.downtime_min) AS DOUBLE) / CAST(count(*) * 480 AS DOUBLE)')} AS availability,
        {sql_near('CAST(sum(p.actual_qty) AS DOUBLE) / nullif(CAST(sum(p.planned_qty) AS DOUBLE), 0)')} AS performance,
        {sql_near('CAST(sum(CASE WHEN q.passed THEN 1 ELSE 0 END) AS DOUBLE) / nullif(CAST(count(q.passed) AS DOUBLE), 0)')} AS quality,
        CAST(sum(p.actual_qty) AS BIGINT) AS total_actual_qty
 FROM production_logs p JOIN equipment_master e ON p.equipment_id = e.equipment_id
-LEFT JOIN quality_inspections q ON p.equipment_id = q.equipment_id AND CAST(CAST(q.inspection_time AS DATE) AS STRING) = p.production_date
+LEFT JOIN quality_inspections q ON p.equipment_id = q.equipment_id AND CAST(q.inspection_time AS DATE) = p.production_date
 GROUP BY 1, 2, 3, 4""", ["production_logs", "equipment_master", "quality_inspections"])
 def gold_fanout(t: Inputs):
     gold = kpi.gold_oee(
         t.view("production_logs"), t.view("equipment_master"), t.view("quality_inspections"), fanout=True
     )
     shares = [near(c).alias(c) for c in ("availability", "performance", "quality")]
-    return gold.select("equipment_id", "production_date", "equipment_type", "line_id", *shares, "total_actual_qty")
+    return day_text(gold, "production_date").select(
+        "equipment_id", "production_date", "equipment_type", "line_id", *shares, "total_actual_qty"
+    )
 
 
 @query("k11b_gold", f"""
 SELECT * REPLACE ({sql_near('availability')} AS availability, {sql_near('performance')} AS performance,
-                  {sql_near('quality')} AS quality) FROM gold""", ["gold"])
+                  {sql_near('quality')} AS quality, CAST(production_date AS STRING) AS production_date) FROM gold""", ["gold"])
 def gold(t: Inputs):
-    return t.gold().withColumns({c: near(c) for c in ("availability", "performance", "quality")})
+    return day_text(t.gold(), "production_date").withColumns({c: near(c) for c in ("availability", "performance", "quality")})
 
 
 @query("k12_panel_trend", f"""
-SELECT equipment_id, production_date, oee_pct FROM gold WHERE {LAST_30_PRODUCTION} AND equipment_id IN (
+SELECT equipment_id, CAST(production_date AS STRING) AS production_date, oee_pct FROM gold WHERE {LAST_30_PRODUCTION} AND equipment_id IN (
     SELECT DISTINCT equipment_id FROM gold WHERE {LAST_30_PRODUCTION} ORDER BY 1 LIMIT 5)""", ["gold"])
 def panel_trend(t: Inputs):
-    return kpi.panel_first_equipments(t.gold(), AS_OF_PRODUCTION)
+    return day_text(kpi.panel_first_equipments(t.gold(), AS_OF_PRODUCTION), "production_date")
 
 
 @query("k12_panel_mean", f"""
@@ -139,18 +141,18 @@ def panel_mean(t: Inputs):
 
 
 @query("k12_panel_components", f"""
-SELECT production_date, {sql_near('avg(availability_pct)')} AS availability_pct, {sql_near('avg(performance_pct)')} AS performance_pct,
+SELECT CAST(production_date AS STRING) AS production_date, {sql_near('avg(availability_pct)')} AS availability_pct, {sql_near('avg(performance_pct)')} AS performance_pct,
        {sql_near('avg(quality_pct)')} AS quality_pct FROM gold WHERE {LAST_30_PRODUCTION} GROUP BY 1""", ["gold"])
 def panel_components(t: Inputs):
-    panel = kpi.panel_components(t.gold(), AS_OF_PRODUCTION)
+    panel = day_text(kpi.panel_components(t.gold(), AS_OF_PRODUCTION), "production_date")
     return panel.withColumns({c: near(c) for c in ("availability_pct", "performance_pct", "quality_pct")})
 
 
 @query("k12_panel_quantity", f"""
-SELECT production_date, CAST(sum(total_actual_qty) AS BIGINT) AS total_actual_qty FROM gold WHERE {LAST_30_PRODUCTION} GROUP BY 1""",
+SELECT CAST(production_date AS STRING) AS production_date, CAST(sum(total_actual_qty) AS BIGINT) AS total_actual_qty FROM gold WHERE {LAST_30_PRODUCTION} GROUP BY 1""",
        ["gold"])
 def panel_quantity(t: Inputs):
-    return kpi.panel_quantity(t.gold(), AS_OF_PRODUCTION)
+    return day_text(kpi.panel_quantity(t.gold(), AS_OF_PRODUCTION), "production_date")
 
 
 @query("k14_day_count", "SELECT count(*) AS row_count FROM sensor_events WHERE CAST(event_time AS DATE) = DATE '2024-01-30'",
@@ -403,7 +405,7 @@ def table_access(t: Inputs):
 
 
 @query("g5_contract", """
-WITH c AS (SELECT count(*) AS total, count(*) FILTER (WHERE production_date = '1998-12-31') AS today,
+WITH c AS (SELECT count(*) AS total, count(*) FILTER (WHERE production_date = DATE '1998-12-31') AS today,
                   count(*) FILTER (WHERE quality IS NULL) AS nulls FROM gold)
 SELECT 'data present' AS check_name, CASE WHEN today > 0 THEN 'PASS' ELSE 'FAIL' END AS status,
        concat(CAST(today AS STRING), ' rows today') AS detail FROM c

@@ -45,7 +45,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                CASE l_linenumber % 3 WHEN 0 THEN 'DAY' WHEN 1 THEN 'EVENING' ELSE 'NIGHT' END AS shift,
                CAST(l_quantity + 10 AS BIGINT) AS planned_qty, CAST(l_quantity AS BIGINT) AS actual_qty,
                CAST(round(l_tax * 100) AS BIGINT) AS defect_qty, CAST(round(l_discount * 100) * 6 AS BIGINT) AS downtime_min,
-               CAST(CAST(l_shipdate AS DATE) AS STRING) AS production_date
+               CAST(l_shipdate AS DATE) AS production_date
         FROM lineitem"""),
     "quality_inspections": (("lineitem",), f"""
         SELECT concat_ws('_', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING),
