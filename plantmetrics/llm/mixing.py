@@ -6,13 +6,14 @@ all siblings are full does a shortage show further up, where the parent's siblin
 of its leaves'. The shares of one set of siblings are least(capacity, weight * level) with the level that uses the budget up.
 
 A leaf's budget is spent on whole epochs first; of the last, begun epoch it takes the token prefix in the order of
-md5(seed:epoch:id). The cut is found from sums of 4,096 ranges of that order, then inside one range, so no task sees a whole leaf
-and no text is shuffled.
+md5(seed:epoch:id). The cut is found from sums of 4,096 ranges of that order, then of 4,096 ranges inside the one that is cut, then
+of the places in one of these. Sums are built before the shuffle, also of rows of one place (equal or null ids), so no task sees
+a whole leaf and no text is shuffled.
 
 Defined cases: null domain, language or source are a child named 'null'; a null text has no tokens, and documents without tokens
 belong to every epoch their leaf reaches in order; a source without a domain is in domain 'other'; equal ids (or null ones) share a
 place in the order and are taken together; a leaf never exceeds its budget; an empty table gives no rows; extra columns are kept by
-`mix` as they are.
+`mix` as they are, and if one is named like an added column, the added one gets an underscore behind its name.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from plantmetrics.functions.sizing import stored
 from plantmetrics.llm.words import WORD
 
 _LEVELS = ("m_domain", "m_lang", "m_source")
+#: Digits of the ranges that a cut is narrowed down to, one after the other; 0 stands for whole places.
+_DIGITS = (3, 6, 0)
 
 
 @dataclass(frozen=True)
@@ -94,23 +97,35 @@ def leaf_budgets(light: DataFrame, mix: Mix) -> DataFrame:
 def leaf_cuts(light: DataFrame, mix: Mix) -> DataFrame:
     """leaf_budgets with `last`: the last place of the begun epoch that the rest pays for (empty if none)."""
     budgets = stored(leaf_budgets(light, mix), "budgets")
-    placed = light.join(budgets.drop("tokens", "budget"), list(_LEVELS)).withColumn("place", _place(mix, F.col("epochs") + 1, F.col("id")))
-    placed = placed.withColumn("range", F.substring("place", 1, 3))
-    sums = placed.groupBy(*_LEVELS, "range", "rest").agg(F.sum("n_tokens").alias("n"), F.max("place").alias("end"))
-    up_to = Window.partitionBy(*_LEVELS).orderBy("range")
-    summed = sums.withColumn("through", F.sum("n").over(up_to))  # at most 4,096 rows a leaf
-    whole = summed.filter("through <= rest").groupBy(*_LEVELS).agg(F.max("end").alias("last_range"))
-    cut = summed.filter("through > rest AND through - n <= rest").select(*_LEVELS, "range", (F.col("rest") - F.col("through") + F.col("n")).alias("left"))
-    inside = placed.drop("rest", "epochs").join(cut, [*_LEVELS, "range"])
-    taken = inside.withColumn("sum", F.sum("n_tokens").over(Window.partitionBy(*_LEVELS).orderBy("place"))).filter("sum <= left")
-    last = taken.groupBy(*_LEVELS).agg(F.max("place").alias("last_row"))
-    both = budgets.join(whole, list(_LEVELS), "left").join(last, list(_LEVELS), "left")
-    end = F.greatest(F.coalesce("last_range", F.lit("")), F.coalesce("last_row", F.lit("")))
-    return both.withColumn("last", end).drop("last_range", "last_row")
+    placed = light.join(budgets.drop("tokens", "budget", "rest"), list(_LEVELS)).withColumn("place", _place(mix, F.col("epochs") + 1, F.col("id")))
+    both = budgets
+    cut = budgets.select(*_LEVELS, F.lit("").alias("within"), F.col("rest").alias("left"))
+    ends = []
+    for digits in _DIGITS:
+        here = placed.join(cut, list(_LEVELS)).filter(F.col("within") == F.substring("place", F.lit(1), F.length("within")))
+        part = F.substring("place", 1, digits) if digits else F.col("place")
+        sums = here.groupBy(*_LEVELS, part.alias("part"), "left").agg(F.sum("n_tokens").alias("n"), F.max("place").alias("end"))
+        up_to = Window.partitionBy(*_LEVELS).orderBy("part")
+        summed = stored(sums.withColumn("through", F.sum("n").over(up_to)), "ranges")
+        end = f"last_{digits}"
+        both = both.join(summed.filter("through <= left").groupBy(*_LEVELS).agg(F.max("end").alias(end)), list(_LEVELS), "left")
+        cut = summed.filter("through > left AND through - n <= left").select(
+            *_LEVELS, F.col("part").alias("within"), (F.col("left") - F.col("through") + F.col("n")).alias("left"))
+        ends.append(end)
+    last = F.greatest(F.lit(""), *[F.coalesce(e, F.lit("")) for e in ends])
+    return both.withColumn("last", last).drop(*ends)
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """`name`, with underscores behind it as long as a column has that name."""
+    lower = {c.lower() for c in taken}
+    while name in lower:
+        name += "_"
+    return name
 
 
 def mix(docs: DataFrame, plan: Mix = Mix(), key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """Every document once per epoch it is taken in, with its columns and `mix_domain`, `mix_epoch` (from 1)."""
+    """Every document once per epoch it is taken in, with its columns and `mix_domain`, `mix_epoch` (from 1), named as `_free` has it."""
     tokens = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
     light = stored(docs.select(F.col(key).alias("id"), tokens.alias("n_tokens"), *[c.alias(n) for n, c in _leaf_columns(plan, lang, source).items()]), "tokens")
     cuts = stored(leaf_cuts(light, plan).select(*_LEVELS, "epochs", "last"), "cuts")
@@ -118,4 +133,6 @@ def mix(docs: DataFrame, plan: Mix = Mix(), key: str = "doc_id", text: str = "te
     times = F.col("epochs") + (_place(plan, F.col("epochs") + 1, F.col("id")) <= F.col("last")).cast("int")
     taken = own.join(cuts, list(_LEVELS)).withColumn("times", times).filter("times > 0")
     repeated = taken.withColumn("mix_epoch", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    return repeated.select(*[F.col("own")[c].alias(c) for c in docs.columns], F.col("m_domain").alias("mix_domain"), "mix_epoch")
+    added = {"m_domain": "mix_domain", "mix_epoch": "mix_epoch"}
+    named = [F.col(c).alias(_free(n, docs.columns)) for c, n in added.items()]
+    return repeated.select(*[F.col("own")[c].alias(c) for c in docs.columns], *named)

@@ -83,3 +83,30 @@ def test_columns_nulls_repeats_and_empty(frame):
     assert mixed.columns == ["doc_id", "text", "lang", "source", "own", "mix_domain", "mix_epoch"]
     assert sum(r.doc_id == 1 for r in mixed.collect()) == 2
     assert M.mix(frame([], SCHEMA).drop("mix_epoch")).count() == 0
+
+
+def test_added_columns_never_share_a_name(frame):
+    docs = frame([(1, "a b", "en", "src0", 5, "x")], SCHEMA).withColumnRenamed("own", "MIX_DOMAIN")
+    mixed = M.mix(docs, M.Mix(budget_share=1.0, max_epochs=1))
+    assert mixed.columns == [*docs.columns, "mix_domain_", "mix_epoch_"]
+    (row,) = mixed.collect()
+    assert (row["mix_epoch"], row["MIX_DOMAIN"], row["mix_domain_"], row["mix_epoch_"]) == (5, "x", "web", 1)
+
+
+@pytest.mark.parametrize("share", [0.2, 0.7, 1.3])
+def test_a_third_of_all_rows_without_id(frame, share):
+    rows = rows_of({("en", "src0"): [3] * 600, ("de", "src6"): [2] * 50})
+    rows = [(None if k % 3 == 0 else k, *r) for k, *r in rows]
+    docs = frame(rows, SCHEMA).drop("mix_epoch")
+    got = M.mix(docs, M.Mix(budget_share=share, max_epochs=2)).collect()
+    named = sorted((r.doc_id, r.mix_epoch) for r in got if r.doc_id is not None)
+    assert len(named) == len(set(named))
+    for lang, source in (("en", "src0"), ("de", "src6")):
+        for epoch in (1, 2):
+            taken = sum(r.doc_id is None and r.lang == lang and r.mix_epoch == epoch for r in got)
+            assert taken in (0, sum(r[0] is None and r[2] == lang for r in rows))  # Rows of one place go together.
+    budgets = {tuple(r[:3]): r for r in M.leaf_budgets(docs.selectExpr(
+        "doc_id AS id", "CAST(regexp_count(text, 'w') AS BIGINT) AS n_tokens", "CASE source WHEN 'src0' THEN 'web' ELSE 'news' END AS m_domain",
+        "lang AS m_lang", "source AS m_source"), M.Mix(budget_share=share, max_epochs=2)).collect()}
+    for (domain, lang, source), leaf in budgets.items():
+        assert sum(len(r.text.split()) for r in got if r.source == source) <= leaf["budget"]
