@@ -97,11 +97,12 @@ def bracketed_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[f
     A mergeable sketch per group brackets each percentile; rows below a bracket are counted, and only values inside the brackets,
     some 8 / accuracy of the rows each, are ranked. The ranks next to a bracket are known from its neighbours. Groups are few
     enough for one row each to be broadcast. A sketch that missed its rank would fail the job, not change the result.
+    The sketch is stored, as it is used twice and depends on the order in which its parts are merged: two evaluations may differ.
     """
     slack, k = 4 / accuracy, len(probs)
     rows = df.filter(F.col(value).isNotNull()).select(F.col(group).alias("_g"), F.col(value).alias("_v"))
     bounds = [F.percentile_approx("_v", F.array(*[F.lit(min(max(p + s, 0.0), 1.0)) for p in probs]), accuracy).alias(n) for s, n in ((-slack, "_lo"), (slack, "_hi"))]
-    sketch = rows.groupBy("_g").agg(F.count("*").alias("n"), *bounds)
+    sketch = stored(rows.groupBy("_g").agg(F.count("*").alias("n"), *bounds), "sketch")
     known = rows.join(F.broadcast(sketch), rows["_g"].eqNullSafe(sketch["_g"])).drop(sketch["_g"])
     lo, hi = [F.get("_lo", F.lit(i)) for i in range(k)], [F.get("_hi", F.lit(i)) for i in range(k)]
     around = known.groupBy("_g").agg(

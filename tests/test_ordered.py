@@ -204,3 +204,10 @@ def test_bracketed_quantiles_rank_few_values_and_store_none(spark, tmp_path):
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan and "ranges" not in plan  # Values are neither sorted as a whole nor stored.
     assert made.count() == 1
+
+
+def test_bracketed_quantiles_evaluate_their_sketch_once(spark):
+    # Which brackets a sketch gives depends on the order its parts arrive in, so both uses have to read one stored result.
+    df = spark.range(0, 20_000, 1, 4).selectExpr("'x' AS g", "CAST(hash(id) AS DOUBLE) AS v")
+    made = ordered.bracketed_quantiles(df, "g", "v", [0.1, 0.5, 0.9])
+    assert "percentile_approx" not in made._jdf.queryExecution().executedPlan().toString()
