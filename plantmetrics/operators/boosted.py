@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from plantmetrics.functions.sizing import stored
 from plantmetrics.operators.features import MODEL_FEATURES, assemble, class_weight, impute
+from plantmetrics.session import scratch_path
 
 ROUNDS, PATIENCE = 300, 30
 NODES = "tree int, weight double, node long, feature string, threshold double, value double"
@@ -128,10 +129,14 @@ def fit_with_patience(
 ) -> Fit:
     """Gradient-boosted trees until the validation loss has not fallen for `patience` rounds, then cut back to the best round.
 
-    The positive class is weighted by negatives / positives of `train`. Spark cannot go on with a fit, so the number of rounds
-    is doubled from `first` (4 * patience) until the loss curve has turned or `rounds` is reached; a fit of more rounds begins
-    with the same trees, so the result is that of one fit with a look after every round, at most twice as dear.
+    The positive class is weighted by negatives / positives of `train`. Spark cannot go on with a fit, so `first` rounds
+    (4 * patience) are fitted and, where their loss curve has not turned, all `rounds` at once; a fit of more rounds begins
+    with the same trees, so the result is that of one fit with a look after every round, and at most two fits are made.
+    A fit's lineage grows by every round; it is cut through the session's checkpoint folder, or one below the shared folder.
     """
+    context = train.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_path(train.sparkSession, "checkpoints"))
     ready = stored(train.select(F.col(label), *columns), "train")
     weight = class_weight(ready, label).select("scale_pos_weight").first()[0]
 
@@ -148,4 +153,4 @@ def fit_with_patience(
         if turned or size >= rounds:
             seen = best + patience if turned else len(losses)
             return Fit(from_spark(fitted, columns).first(best), best, tuple(losses[:seen]))
-        size = min(2 * size, rounds)
+        size = rounds

@@ -62,3 +62,17 @@ def test_scores_stay_in_the_scan_and_rank_well(spark, fit):
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan and plan.count("FileScan") == 1
     assert scored.columns == ["y", "a", "b", "c", "failure_probability"]
+
+
+def test_a_curve_that_does_not_turn_costs_two_fits(spark, monkeypatch):
+    asked = []
+
+    def counted(**settings):
+        asked.append(settings["maxIter"])
+        return GBTClassifier(**settings)
+
+    monkeypatch.setattr(boosted, "GBTClassifier", counted)
+    train = rows(spark, 300, 5, noise=0.0)
+    found = boosted.fit_with_patience(train, train, "y", COLUMNS, rounds=12, patience=5, depth=2, step=0.1, first=2)
+    assert asked == [2, 12] and len(found.losses) == 12
+    assert spark.sparkContext.getCheckpointDir() is not None
