@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from plantmetrics.functions.expressions import epoch_seconds
 from plantmetrics.functions.sizing import join_back, small_side, stored
@@ -239,7 +242,8 @@ def rolling(
 
     The state of the last 2^k rows is that of the last 2^(k-1) merged with the one 2^(k-1) rows back, and a frame is tiled by
     such states without overlap. So a value touches only the frames that hold it, the result does not depend on the chunks, and
-    the cost grows with the logarithm of the frame. One shuffle and one sort serve all outputs. NaN readings count as missing.
+    the cost grows with the logarithm of the frame. One shuffle and one sort serve all outputs; the states of a chunk are arrays
+    that are merged whole, as a window per doubling made rows of a hundred columns. NaN readings count as missing.
     Without `tie`, rows of one time are ordered by their hash; remove exact copies with `dedup` first where they may be many.
     """
     inputs: dict[str, str] = {}
@@ -257,55 +261,77 @@ def rolling(
 
     # Among exact copies the lead-in rows come first.
     w = Window.partitionBy(key, "_chunk").orderBy(*order, F.desc("_lead"))
-    needed = {inputs[str(s)]: sorted({r for _, other, r in frames.values() if str(other) == str(s)}) for _, s, _ in frames.values()}
-    frame_of = [(x, rows) for x, sizes in needed.items() for rows in sizes]
-    walked = walked.withColumns({f"{x}_0": _single(F.col(x)) for x in needed})
-    covered = dict.fromkeys(frame_of, 0)
-    # Every merge stands between two windows, so that no expression grows and none is pushed down whole.
-    for level in range(widest.bit_length()):
-        run = 1 << level
-        longer = [x for x, sizes in needed.items() if sizes[-1] >= 2 * run]
-        tiled = [(x, rows) for x, rows in frame_of if rows & run]
-        lagged = {f"{x}_e": F.lag(f"{x}_{level}", run).over(w) for x in longer}
-        lagged |= {f"{x}_r{rows}_e": F.lag(f"{x}_{level}", covered[x, rows]).over(w) for x, rows in tiled if covered[x, rows]}
-        merged = {f"{x}_{level + 1}": _merged(F.col(f"{x}_e"), F.col(f"{x}_{level}")) for x in longer}
-        for x, rows in tiled:
-            older, newer = F.col(f"{x}_r{rows}_e"), F.col(f"{x}_r{rows}")
-            merged[f"{x}_r{rows}"] = _merged(older, newer) if covered[x, rows] else F.col(f"{x}_{level}")
-            covered[x, rows] += run
-        walked = walked.withColumns(lagged).withColumns(merged).drop(*lagged, *[f"{x}_{level}" for x in needed])
-    results = {name: _figure(fn, F.col(f"{inputs[str(source)]}_r{rows}")) for name, (fn, source, rows) in frames.items()}
-    return walked.filter(~F.col("_lead")).withColumns(results).select(*df.columns, *[f for f in frames if f not in df.columns])
-
-
-def _single(value: Column) -> Column:
-    """State of one row: readings, sum, mean, squared deviations from the mean, greatest; NULL for a missing reading."""
-    state = F.struct(
-        F.lit(1).cast("long").alias("n"), value.alias("s"), value.alias("m"), (value - value).alias("q"), value.alias("top")
-    )
-    return F.when(value.isNotNull(), state)
-
-
-def _merged(a: Column, b: Column) -> Column:
-    """State of two neighbouring runs of rows, the earlier one first."""
-    n = a["n"] + b["n"]
-    gap = b["m"] - a["m"]
-    both = F.struct(
-        n.alias("n"), (a["s"] + b["s"]).alias("s"), (a["m"] + gap * b["n"] / n).alias("m"),
-        (a["q"] + b["q"] + gap * gap * a["n"] * b["n"] / n).alias("q"), F.greatest(a["top"], b["top"]).alias("top"),
-    )
-    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(both)
-
-
-def _figure(fn: str, state: Column) -> Column:
-    if fn == "max":
-        return state["top"]
-    if fn == "sum":
-        return state["s"]
-    if fn == "avg":
-        # With an infinity among the readings only the sum says on which side.
-        return F.when(F.isnan(state["m"]), state["s"] / state["n"]).otherwise(state["m"])
-    return F.when(state["n"] > 1, F.sqrt(state["q"] / (state["n"] - 1)))
+    needed = {x: [(name, fn, rows) for name, (fn, source, rows) in frames.items() if inputs[str(source)] == x] for x in columns}
+    kept = [StructField(f.name, DoubleType()) if f.name in frames else f for f in df.schema.fields]
+    schema = StructType([*kept, *[StructField(f, DoubleType()) for f in frames if f not in df.columns]])
+
+    def chunk_figures(table: pa.Table) -> pa.Table:
+        at = table.column("_at").to_numpy()
+        table = table if (at[1:] > at[:-1]).all() else table.take(pa.array(np.argsort(at)))
+        own = np.flatnonzero(~table.column("_lead").to_numpy())
+        found = {name: figure for x, wanted in needed.items() for name, figure in _frame_figures(table.column(x).to_numpy(), wanted, own).items()}
+        shown = table.take(pa.array(own))
+        return pa.table([found[f.name] if f.name in found else shown.column(f.name) for f in schema.fields], names=schema.names)
+
+    carried = [*[c for c in df.columns if c not in frames], *columns]
+    # A frame's name may be a column's too; then its figures stand in that column's place.
+    ranked = walked.withColumn("_at", F.row_number().over(w)).withColumns({"_key": F.col(key)})
+    return ranked.select("_key", "_chunk", "_at", "_lead", *carried).groupBy("_key", "_chunk").applyInArrow(chunk_figures, schema)
+
+
+_State = dict[str, np.ndarray]
+
+
+def _merged(a: _State, b: _State, back: int) -> _State:
+    """State of two neighbouring runs of rows, the earlier one that of `back` rows before; a run without readings has n = 0."""
+    older, newer = ({k: v[:len(v) - back] for k, v in a.items()}, {k: v[back:] for k, v in b.items()})
+    na, nb = older["n"], newer["n"]
+    n = na + nb
+    both = {"n": n}
+    if "m" in a:
+        gap = newer["m"] - older["m"]
+        both["m"] = older["m"] + gap * nb / n
+    if "q" in a:
+        both["q"] = older["q"] + newer["q"] + gap * gap * na * nb / n
+    if "s" in a:
+        both["s"] = older["s"] + newer["s"]
+    if "top" in a:
+        both["top"] = np.maximum(older["top"], newer["top"])
+    if not (na.all() and nb.all()):
+        both = {k: v if k == "n" else np.where(na == 0, newer[k], np.where(nb == 0, older[k], v)) for k, v in both.items()}
+    return {k: np.concatenate([b[k][:back], v]) for k, v in both.items()}
+
+
+def _frame_figures(value: np.ndarray, wanted: Sequence[tuple[str, str, int]], own: np.ndarray) -> dict[str, pa.Array]:
+    """{output: figures of the rows at `own`} for (output, avg | std | max | sum, rows) over the values in order, NaN where missing.
+
+    The state of a run is its readings, sum, mean, squared deviations from the mean and greatest, as far as they are wanted.
+    """
+    parts = {part for _, fn, _ in wanted for part in {"avg": "sm", "std": "mq", "sum": "s", "max": ("top",)}[fn]}
+    with np.errstate(all="ignore"):
+        level = {"n": (~np.isnan(value)).astype(np.float64)}
+        level |= {part: value - value if part == "q" else value for part in ("s", "m", "q", "top") if part in parts}
+        sizes = sorted({rows for _, _, rows in wanted})
+        tiles: dict[int, tuple[_State, int]] = {}
+        for power in range(sizes[-1].bit_length()):
+            run = 1 << power
+            for rows in sizes:
+                if rows & run:
+                    newer, covered = tiles.get(rows, (None, 0))
+                    tiles[rows] = (level if newer is None else _merged(level, newer, min(covered, len(value))), covered + run)
+            if sizes[-1] >= 2 * run:
+                level = _merged(level, level, min(run, len(value)))
+        out = {}
+        for name, fn, rows in wanted:
+            state = {k: v[own] for k, v in tiles[rows][0].items()}
+            if fn == "avg":  # With an infinity among the readings only the sum says on which side.
+                figure = np.where(np.isnan(state["m"]), state["s"] / state["n"], state["m"])
+            elif fn == "std":
+                figure = np.sqrt(state["q"] / (state["n"] - 1))
+            else:
+                figure = state["top" if fn == "max" else "s"]
+            out[name] = pa.array(figure, mask=state["n"] < (2 if fn == "std" else 1), from_pandas=False)
+    return out
 
 
 def forward_max(df: DataFrame, key: str, ts: str, value: Column, seconds: int, out: str) -> DataFrame:

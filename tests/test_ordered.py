@@ -211,3 +211,9 @@ def test_bracketed_quantiles_evaluate_their_sketch_once(spark):
     df = spark.range(0, 20_000, 1, 4).selectExpr("'x' AS g", "CAST(hash(id) AS DOUBLE) AS v")
     made = ordered.bracketed_quantiles(df, "g", "v", [0.1, 0.5, 0.9])
     assert "percentile_approx" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rolling_sorts_a_chunk_once(spark):
+    frames = {"a": ("avg", "v", 360), "s": ("std", "v", 1440), "m": ("max", "v", 8640)}
+    plan = ordered.rolling(readings(spark), "key", "ts", frames, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window ") == 1 and plan.count("Exchange hashpartitioning") == 1
