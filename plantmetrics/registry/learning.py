@@ -35,7 +35,8 @@ def _labels(t: Inputs) -> DataFrame:
 
 
 def _training(t: Inputs) -> DataFrame:
-    return features.training_set(stored(_labels(t), "labels"), stored(_features(t), "features"))
+    made = _features(t).select("equipment_id", "event_time", *features.MODEL_FEATURES)
+    return features.training_set(stored(_labels(t), "labels"), stored(made, "features"))
 
 
 def _shown(names) -> list:
@@ -96,8 +97,7 @@ SELECT l.equipment_id, l.event_time, CAST(failure_within_48h AS INTEGER) AS fail
 FROM pdm_labels l ASOF LEFT JOIN features f
 ON l.equipment_id = f.equipment_id AND l.event_time >= f.event_time""", ["pdm_labels", "features"])
 def training_set(t: Inputs):
-    joined = features.training_set(stored(_labels(t), "labels"), _features(t))
-    return joined.select("equipment_id", "event_time", "failure_within_48h", *_shown(features.MODEL_FEATURES))
+    return _training(t).select("equipment_id", "event_time", "failure_within_48h", *_shown(features.MODEL_FEATURES))
 
 
 @query("f6_time_split", """

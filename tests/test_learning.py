@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from plantmetrics.functions.sizing import stored
 from plantmetrics.operators import features, models
 
 T0 = datetime(2024, 1, 1)
@@ -158,3 +159,13 @@ def test_best_run_needs_a_version(spark):
     runs = spark.createDataFrame([(1, 0.9), (2, 0.95), (3, 0.95)], "run_id int, test_auc double")
     versions = spark.createDataFrame([(1, 1), (3, 2)], "run_id int, version int")
     assert models.best_registered_run(runs, versions).first().run_id == 3
+
+
+def test_training_set_works_out_its_features_once(spark, monkeypatch):
+    from plantmetrics.registry import learning
+    from plantmetrics.registry.load import QUERIES
+
+    kept = []
+    monkeypatch.setattr(learning, "stored", lambda df, label="side": kept.append(label) or stored(df, label))
+    plan = QUERIES["f5_training_set"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "features" in kept and "FlatMapGroups" not in plan  # The join reads its right side more than once.
