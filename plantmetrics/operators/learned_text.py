@@ -68,13 +68,20 @@ def _tokens(text: Column) -> Column:
     return F.concat(F.array(*[F.lit(_START)] * 3), found, F.array(F.lit(_END)))
 
 
-def _contexts(df: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
-    """(keep, tokens, at, left): every place of a text with the one, two and three tokens before it. `at` counts from 1."""
-    rows = df.select(*keep, _tokens(F.col(text)).alias("tokens"))
-    places = rows.select(*keep, "tokens", F.explode(F.sequence(F.lit(4), F.size("tokens"))).alias("at"))
-    return places.select(*keep, "tokens", "at", F.explode(F.transform(
-        F.array(F.lit(1), F.lit(2), F.lit(3)), lambda k: F.concat_ws(" ", F.slice("tokens", F.col("at") - k, k))
-    )).alias("left"))
+def _lefts(at: Column) -> Column:
+    """The one, two and three tokens before a place."""
+    return F.array(*[F.concat_ws(" ", F.slice("tokens", at - k, F.lit(k))) for k in (1, 2, 3)])
+
+
+def _places(rows: DataFrame, contexts: DataFrame) -> DataFrame:
+    """Places of the rows' tokens with the contexts (left, right, ...) they stand in. `at` counts from 1.
+
+    Places without a context's last token before them are dropped first, so few are spelled out with their longer contexts.
+    """
+    lasts = small_side(contexts.select(F.substring_index("left", " ", -1).alias("_last")).distinct())
+    every = rows.withColumn("at", F.explode(F.sequence(F.lit(4), F.size("tokens"))))
+    near = every.withColumn("_last", F.get("tokens", F.col("at") - 2)).join(lasts, "_last", "left_semi").drop("_last")
+    return near.withColumn("left", F.explode(_lefts(F.col("at")))).join(contexts, "left")
 
 
 def _reach(right: str) -> Column:
@@ -95,13 +102,14 @@ def learn_contexts(
     """
     normal = F.concat_ws(" ", F.regexp_extract_all(F.col(value), F.lit(TOKEN), F.lit(0)))
     rows = marked.select(key, F.col(text).alias("text"), F.when(F.col(value).isNotNull(), normal).alias("want"))
-    places = stored(_contexts(rows, [key, "want"], "text"), "places")
+    texts = stored(rows.select(key, "want", _tokens(F.col("text")).alias("tokens")), "tokens")  # A row per text, not per place.
     size = F.size(F.split("want", " "))
-    at_value = F.concat_ws(" ", F.slice("tokens", F.col("at"), size)) == F.col("want")
+    begins = F.filter(F.sequence(F.lit(4), F.size("tokens")), lambda i: F.concat_ws(" ", F.slice("tokens", i, size)) == F.col("want"))
+    values = texts.filter(size <= LONGEST_VALUE).select(key, "want", "tokens", F.explode(begins).alias("at"))
     behind = F.get("tokens", F.col("at") + size - 1).alias("right")
-    seen = places.filter(at_value & (size <= LONGEST_VALUE)).select(key, "left", behind).distinct()
+    seen = values.select(key, F.explode(_lefts(F.col("at"))).alias("left"), behind).distinct()
     contexts = small_side(seen.groupBy("left", "right").agg(F.count("*").alias("n")).filter(F.col("n") >= least).drop("n"))
-    tried = places.join(contexts, "left").withColumn("found", _reach("right")).filter("found IS NOT NULL")
+    tried = _places(texts, contexts).withColumn("found", _reach("right")).filter("found IS NOT NULL")
     hit = F.coalesce(F.col("found") == F.col("want"), F.lit(False)).cast("long")
     judged = tried.groupBy("left", "right").agg(F.count("*").alias("taken"), F.sum(hit).alias("right_ones"))
     share = judged.withColumn("precision", F.col("right_ones") / F.col("taken")).filter(F.col("precision") >= precision)
@@ -112,7 +120,7 @@ def learn_contexts(
 
 def extract_learned(df: DataFrame, key: str, text: str, contexts: DataFrame, out: str) -> DataFrame:
     """(key, out): the value in the surest context of each text, the earliest place among equals; NULL where none fits. Keys are unique."""
-    places = _contexts(df, [key], text).join(small_side(contexts.select("left", "right", "rank")), "left")
-    found = places.withColumn("value", _reach("right")).filter("value IS NOT NULL")
+    texts = df.select(key, _tokens(F.col(text)).alias("tokens"))
+    found = _places(texts, small_side(contexts.select("left", "right", "rank"))).withColumn("value", _reach("right")).filter("value IS NOT NULL")
     first = found.groupBy(key).agg(F.min(F.struct("rank", "at", "value"))["value"].alias(out))
     return df.select(key).join(first, key, "left")

@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+from plantmetrics.functions.sizing import stored
 from plantmetrics.operators import learned_text as L
 from plantmetrics.operators import text
 
@@ -106,3 +107,22 @@ def test_texts_without_a_field_or_text(spark):
     contexts = L.learn_contexts(spark.createDataFrame(reports(60, 3, WORDINGS[1]), "k long, note string, v string, m string"), "k", "note", "v")
     df = spark.createDataFrame([(1, None), (2, ""), (3, "replaced part pump 7 ; work took 5 min"), (4, "replaced part " + "x " * 50 + ";")], "k long, note string")
     assert {r.k: r.v for r in L.extract_learned(df, "k", "note", contexts, "v").collect()} == {1: None, 2: None, 3: "pump 7", 4: None}
+
+
+def test_contexts_are_learnt_from_a_stored_row_per_text(spark, monkeypatch):
+    from plantmetrics.operators import learned_text
+
+    rows = [(i, f"unit {i % 3} , part : ring {i % 4} , minutes : {i % 9} , all done", f"ring {i % 4}") for i in range(60)]
+    sizes = []
+
+    def counted(df, label="side"):
+        kept = stored(df, label)
+        sizes.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(learned_text, "stored", counted)
+    marked = spark.createDataFrame(rows, "id long, text string, value string")
+    contexts = learned_text.learn_contexts(marked, "id", "text", "value")
+    assert max(sizes) == 60  # Not a row for every place and context.
+    found = learned_text.extract_learned(marked.drop("value"), "id", "text", contexts, "value").collect()
+    assert {r.id: r.value for r in found} == {i: value for i, _, value in rows}
