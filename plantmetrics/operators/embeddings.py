@@ -8,14 +8,15 @@ ones that hold a word whose weight moved; every other row is passed on as stored
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from plantmetrics.functions.sizing import stored
 
@@ -23,23 +24,40 @@ DIMS = 256
 _TOTAL = -1  # The frequency table's row for the number of texts.
 
 
+CELLS = ArrayType(StructType([StructField("bucket", IntegerType()), StructField("count", IntegerType())]))
+
+
 def with_cells(df: DataFrame, text: str, dims: int = DIMS, out: str = "cells") -> DataFrame:
-    """Array of struct(bucket, count) by bucket: lower-cased runs of letters and digits, hashed by md5. A null text has none."""
+    """Array of struct(bucket, count) by bucket: lower-cased runs of letters and digits, hashed by md5. A null text has none.
+
+    All columns pass through Arrow.
+    """
+    return _celled(df, df.columns, text, dims, out)
+
+
+def _celled(df: DataFrame, keep: Sequence[str], text: str, dims: int, out: str = "cells") -> DataFrame:
+    """The kept columns with the text's cells; every distinct word of a batch is hashed once."""
     words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    hashed = F.transform(words, lambda w: (F.conv(F.substring(F.md5(w), 1, 7), 16, 10).cast("long") % dims).cast("int"))
+    schema = StructType([*[df.schema[c] for c in keep], StructField(out, CELLS)])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 1024):
+                part = batch.slice(at, 1024)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], _counted(part.column(part.num_columns - 1), dims)], schema.names)
+
+    return df.select(*keep, words.alias("_words")).mapInArrow(added, schema)
 
-    def runs(buckets: Column) -> Column:
-        """Sorted buckets to cells; the places where a run begins are bound once, as an array of one array."""
-        size = F.size(buckets)
-        begins = lambda i: (i == 0) | (F.get(buckets, i) != F.get(buckets, i - 1))
-        starts = F.when(size > 0, F.filter(F.sequence(F.lit(0), size - 1), begins)).otherwise(F.array().cast("array<int>"))
-        cell = lambda found, a, k: F.struct(
-            F.get(buckets, a).alias("bucket"), (F.coalesce(F.get(found, k + 1), size) - a).alias("count")
-        )
-        return F.get(F.transform(F.array(starts), lambda found: F.transform(found, lambda a, k: cell(found, a, k))), F.lit(0))
 
-    # One expression: a filter that is pushed below a chain of columns would work out the sorted words again at every place.
-    return df.withColumn(out, F.get(F.transform(F.array(F.array_sort(hashed)), runs), F.lit(0)))
+def _counted(words: pa.Array, dims: int) -> pa.Array:
+    """Cells of every row's words, by bucket."""
+    coded = words.flatten().dictionary_encode()
+    hashed = np.array([int(hashlib.md5(w.encode()).hexdigest()[:7], 16) % dims for w in coded.dictionary.to_pylist()], np.int64)
+    row = np.repeat(np.arange(len(words)), np.diff(np.asarray(words.offsets)))
+    held, counts = np.unique(row * dims + hashed[coded.indices.to_numpy()], return_counts=True)
+    ends = np.searchsorted(held, np.arange(len(words) + 1) * dims)
+    cells = pa.StructArray.from_arrays([pa.array(held % dims, pa.int32()), pa.array(counts, pa.int32())], ["bucket", "count"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), cells)
 
 
 def frequencies(celled: DataFrame) -> DataFrame:
@@ -98,12 +116,12 @@ def sync_index(chunks: DataFrame, index: Index | None = None, key: str = "chunk_
     hashed = chunks.select(key, content, F.md5(F.coalesce(content, F.lit(""))).alias("content_hash"))
     shown = [key, "content_hash", "cells", "embedding", "revision"]
     if index is None:
-        fresh = stored(with_cells(hashed, content, dims), "cells")
+        fresh = stored(_celled(hashed, [key, "content_hash"], content, dims), "cells")
         counts = stored(frequencies(fresh), "frequencies")
         made = with_vectors(fresh.select(key, "content_hash", "cells"), weights(counts, dims)).withColumn("revision", F.lit(0))
         return Index(stored(made.select(shown), "index"), counts)
     same = [key, "content_hash"]
-    fresh = stored(with_cells(hashed.join(index.rows.select(same), same, "left_anti"), content, dims), "cells")
+    fresh = stored(_celled(hashed.join(index.rows.select(same), same, "left_anti"), same, content, dims), "cells")
     kept = index.rows.join(hashed.select(same), same, "left_semi")
     gone = index.rows.join(hashed.select(same), same, "left_anti")
     change = frequencies(fresh).unionByName(frequencies(gone).withColumn("texts", -F.col("texts")))

@@ -146,3 +146,14 @@ def test_many_texts_more_move_the_weights(spark):
         assert np.allclose(vectors[key], want, atol=1e-12)
     emptied, _ = made(E.sync_index(frame(spark, TEXTS).limit(0), index))
     assert emptied == {}
+
+
+def test_a_sync_stores_cells_without_the_texts(spark, monkeypatch):
+    kept = {}
+    plain = E.stored
+    monkeypatch.setattr(E, "stored", lambda df, label="side": kept.setdefault(label, plain(df, label)))
+    rows = [("a", "Ring ring, bolt 7"), ("b", None), ("c", ""), ("d", "Ärger über 7 Ringe")]
+    made = E.sync_index(spark.createDataFrame(rows, "chunk_id string, content string"))
+    assert kept["cells"].columns == ["chunk_id", "content_hash", "cells"]
+    found = {r.chunk_id: [c["count"] for c in r.cells] for r in made.rows.collect()}
+    assert sorted(found["a"]) == [1, 1, 2] and found["b"] == found["c"] == [] and sum(found["d"]) == 4
