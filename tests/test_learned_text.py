@@ -110,8 +110,6 @@ def test_texts_without_a_field_or_text(spark):
 
 
 def test_contexts_are_learnt_from_a_stored_row_per_text(spark, monkeypatch):
-    from plantmetrics.operators import learned_text
-
     rows = [(i, f"unit {i % 3} , part : ring {i % 4} , minutes : {i % 9} , all done", f"ring {i % 4}") for i in range(60)]
     sizes = []
 
@@ -120,9 +118,9 @@ def test_contexts_are_learnt_from_a_stored_row_per_text(spark, monkeypatch):
         sizes.append(kept.count())
         return kept
 
-    monkeypatch.setattr(learned_text, "stored", counted)
+    monkeypatch.setattr(L, "stored", counted)
     marked = spark.createDataFrame(rows, "id long, text string, value string")
-    contexts = learned_text.learn_contexts(marked, "id", "text", "value")
+    contexts = L.learn_contexts(marked, "id", "text", "value")
     assert max(sizes) == 60  # Not a row for every place and context.
-    found = learned_text.extract_learned(marked.drop("value"), "id", "text", contexts, "value").collect()
+    found = L.extract_learned(marked.drop("value"), "id", "text", contexts, "value").collect()
     assert {r.id: r.value for r in found} == {i: value for i, _, value in rows}
