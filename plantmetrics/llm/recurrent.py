@@ -5,11 +5,13 @@ softmax over their members from the state. The words of every other class are th
 says from the state which way to go, so each word has a chance of its own. An input is a row of the table, and a hashed row too
 for words that share the first. Only the nodes and hashed rows met are learnt in a step. Texts are laid side by side in
 slots, one behind another; a slot's state is cleared where a text begins and carried across windows otherwise, so a text is
-scored as a whole however long it is. Gradients go back `window` steps.
+scored as a whole however long it is. Gradients go back `window` steps. Inside a window numbers of the state lie first and
+tokens last, so that numpy works on long rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +20,8 @@ HEAD_CLASS = 32
 #: Parts of which a step learns only the rows met.
 SPARSE = ("hashed", "tree")
 SPARSE_RATE = 0.02
+#: Tokens of which the chances of all classes are held at once: few enough to stay in a core's own memory.
+_AT_ONCE = 512
 
 
 @dataclass(frozen=True)
@@ -28,6 +32,8 @@ class Shape:
     hidden: int = 16
     window: int = 32
     slots: int = 256
+    #: Slots of a step of learning: fewer, so that as many steps are made as before slots were kept full.
+    learn_slots: int = 128
     #: Words of each class behind the head classes; a class of m words has m - 1 nodes.
     leaves: tuple[int, ...] = ()
     #: An input is row + inputs * hashed row; hashed row 0 is none.
@@ -89,10 +95,15 @@ def shaped(values: np.ndarray, shape: Shape) -> dict[str, np.ndarray]:
     return out
 
 
-def laid_out(lengths: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(slot, first row, rows per slot, most first) of texts dealt to slots, the longest first to the shortest slot."""
-    slots = max(1, min(slots, len(lengths)))
-    load = np.zeros(slots, np.int64)
+def laid_out(lengths: np.ndarray, slots: int, before: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(slot, first row, rows per slot, most first, place of each slot) of texts dealt to slots, the longest first to the shortest slot.
+
+    `before` has the rows that already lie in each of `slots` slots.
+    """
+    if before is None:
+        slots = max(1, min(slots, len(lengths)))
+        before = np.zeros(slots, np.int64)
+    load = before.copy()
     slot, row = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
     order = np.argsort(-lengths, kind="stable")
     for begin in range(0, len(order), slots):
@@ -103,7 +114,7 @@ def laid_out(lengths: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray, n
     rank = np.argsort(-load, kind="stable")
     place = np.empty(slots, np.int64)
     place[rank] = np.arange(slots)
-    return place[slot], row, load[rank]
+    return place[slot], row, load[rank], place
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -114,15 +125,15 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _softmax(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(ln p of the targets, softmax in place of x)."""
-    x -= x.max(axis=1, keepdims=True)
-    at = np.arange(len(x))
-    chosen = x[at, target]
+def _softmax(x: np.ndarray, target: np.ndarray, learn: bool) -> np.ndarray:
+    """ln p of the targets; every column of x becomes its softmax if it is wanted."""
+    x -= x.max(axis=0)
+    chosen = x[target, np.arange(x.shape[1])]
     np.exp(x, out=x)
-    total = x.sum(axis=1)
-    x *= (1 / total)[:, None]
-    return chosen - np.log(total), x
+    total = x.sum(axis=0)
+    if learn:
+        x *= 1 / total
+    return chosen - np.log(total)
 
 
 def _order(ids: np.ndarray) -> np.ndarray:
@@ -163,7 +174,7 @@ class Network:
 
     def run(self, lengths: np.ndarray, inputs: np.ndarray, classes: np.ndarray, members: np.ndarray, learn: bool) -> np.ndarray:
         """ln p of every token; `members` is the place in its class, any number in a class without leaves."""
-        slot, first, load = laid_out(lengths, self.shape.slots)
+        slot, first, load, _ = laid_out(lengths, self.shape.slots)
         bottom = np.cumsum(load) - load
         # A slot's tokens lie one behind another, so memory follows the tokens, not the longest text.
         own = np.arange(int(lengths.sum())) + np.repeat(bottom[slot] + first - (np.cumsum(lengths) - lengths), lengths)
@@ -173,138 +184,218 @@ class Network:
         fresh = np.zeros(len(inputs), bool)
         fresh[(bottom[slot] + first)[lengths > 0]] = True
         out = np.zeros(len(inputs), np.float64)
-        state = np.zeros((len(load), self.shape.hidden), np.float32)
-        for begin in range(0, int(load[0]) if len(load) else 0, self.shape.window):
+        self._windows(load, fresh, stacked, np.zeros((self.shape.hidden, len(load)), np.float32), learn, 1, out)
+        return out[own]
+
+    def learn(self, blocks: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> int:
+        """Learns from blocks of (lengths, inputs, classes, members); the number of their tokens.
+
+        Where more than a quarter of the slots has run out of texts, what lies in the others waits for the next block with its
+        states, so that steps are made from full windows; no token is left out.
+        """
+        slots, seen = min(self.shape.slots, self.shape.learn_slots), 0
+        left, state = np.zeros(slots, np.int64), np.zeros((self.shape.hidden, slots), np.float32)
+        waiting, waiting_fresh = [np.zeros(0, np.int64)] * 3, np.zeros(0, bool)
+        for lengths, *values in blocks:
+            seen += int(lengths.sum())
+            slot, first, load, place = laid_out(lengths, slots, left)
+            bottom = np.cumsum(load) - load
+            old = np.arange(len(waiting_fresh)) + np.repeat(bottom[place] - (np.cumsum(left) - left), left)
+            own = np.arange(int(lengths.sum())) + np.repeat(bottom[slot] + first - (np.cumsum(lengths) - lengths), lengths)
+            fresh = np.zeros(int(load.sum()), bool)
+            fresh[old] = waiting_fresh
+            fresh[(bottom[slot] + first)[lengths > 0]] = True
+            stacked = [np.empty(len(fresh), np.int64) for _ in values]
+            for into, waits, new in zip(stacked, waiting, values, strict=True):
+                into[old], into[own] = waits, new
+            moved = np.empty_like(state)
+            moved[:, place] = state
+            done, state = self._windows(load, fresh, stacked, moved, True, -(-3 * slots // 4))
+            left = np.maximum(load - done, 0)
+            stay = np.arange(int(left.sum())) + np.repeat(bottom + load - left - (np.cumsum(left) - left), left)
+            waiting, waiting_fresh = [x[stay] for x in stacked], fresh[stay]
+        self._windows(left, waiting_fresh, waiting, state, True, 1)
+        return seen
+
+    def _windows(self, load, fresh, stacked, state, learn, least, out=None) -> tuple[int, np.ndarray]:
+        """Runs the windows, as long as `least` slots hold a token, over slots with `load` tokens one behind another; the most first."""
+        bottom, begin, top = np.cumsum(load) - load, 0, int(load[0]) if len(load) else 0
+        while begin < top:
             active = int(np.searchsorted(-load, -begin, "left"))
-            row = np.arange(begin, min(begin + self.shape.window, int(load[0])))[:, None]
+            if active < least:
+                break
+            row = np.arange(begin, min(begin + self.shape.window, top))[:, None]
             used = row < load[:active]
             token = np.where(used, bottom[:active] + row, 0)
-            log_p, state = self._window(state[:active], fresh[token], used, *[x[token] for x in stacked], learn)
-            out[token[used]] = log_p[used]
-        return out[own]
+            log_p, after = self._window(state[:, :active], fresh[token], used, *[x[token] for x in stacked], learn)
+            state = np.hstack([after, state[:, active:]]) if active < state.shape[1] else after
+            if out is not None:
+                out[token[used]] = log_p[used]
+            begin += self.shape.window
+        return begin, state
 
     def _window(self, state, fresh, used, inputs, classes, members, learn):
         w, h = self.w, self.shape.hidden
         steps, slots = inputs.shape
+        size, kind = steps * slots, w["state"].dtype
         self.rows = {}
-        before = self._buffer("before", steps, slots, h)
+        known = np.remainder(inputs, self.shape.inputs).ravel()
+        x = np.take(w["table"], known, axis=0, out=self._buffer("x", size, 3 * h), mode="clip")
+        if self.shape.hashed:
+            hashed = inputs.ravel() // self.shape.inputs
+            some = np.flatnonzero(hashed)
+            x[some] += w["hashed"].take(hashed[some], axis=0)
+        x = x.reshape(steps, slots, 3 * h)
+        before = self._buffer("before", h, steps, slots)
+        weights = np.ascontiguousarray(w["state"].T)
         kept = []
-        keep = (~fresh).astype(np.float32)[:, :, None]
+        keep = (~fresh).astype(np.float32)
         for t in range(steps):
-            state = state * keep[t]
-            before[t] = state
-            x, u = w["table"].take(inputs[t] % self.shape.inputs, axis=0), state @ w["state"]
-            if self.shape.hashed:
-                x += w["hashed"].take(inputs[t] // self.shape.inputs, axis=0)
-            gates = _sigmoid(x[:, :2 * h] + u[:, :2 * h])
-            new = gates[:, h:] * u[:, 2 * h:]
-            new += x[:, 2 * h:]
+            now = np.multiply(state, keep[t], out=before[:, t])
+            own, u = x[t].T, weights @ now
+            gates = u[:2 * h]
+            gates += own[:2 * h]
+            _sigmoid(gates)
+            new = gates[h:] * u[2 * h:]
+            new += own[2 * h:]
             np.tanh(new, out=new)
-            kept.append((gates, new, u[:, 2 * h:]))
-            state = new + gates[:, :h] * (state - new)
-        rows = before.reshape(-1, h)
+            kept.append((gates, new, u[2 * h:]))
+            state = now - new
+            state *= gates[:h]
+            state += new
+        states = before.reshape(h, size)
         target, member, used = classes.ravel(), members.ravel(), used.ravel()
-        logits = np.matmul(rows, w["class"], out=self._buffer("class", len(rows), self.shape.classes))
-        logits += w["class_bias"]
-        log_p, d_class = _softmax(logits, target)
-        log_p = log_p.astype(np.float64)
-        grads = {}
-        if learn:
-            scale = 1 / max(np.count_nonzero(used), 1)
-            d_class[np.arange(len(rows)), target] -= 1
-            d_class *= (used * scale).astype(d_class.dtype)[:, None]
-            grads["class"], grads["class_bias"] = rows.T @ d_class, d_class.sum(0)
-            d_rows = np.matmul(d_class, w["class"].T, out=self._buffer("d_rows", len(rows), h))
-            grads["word"], grads["word_bias"] = np.zeros_like(w["word"]), np.zeros_like(w["word_bias"])
-        head = np.flatnonzero(used & (target < self.shape.head_classes))
-        head = head[_order(target[head])]
-        cuts = np.searchsorted(target[head], np.arange(self.shape.head_classes + 1))
-        for c in range(self.shape.head_classes):
-            own = head[cuts[c]:cuts[c + 1]]
-            if not len(own):
-                continue
-            seen = rows[own]
-            logits = seen @ w["word"][c]
-            logits += w["word_bias"][c]
-            log_word, d_word = _softmax(logits, member[own])
-            log_p[own] += log_word
+        scale = kind.type(1 / max(np.count_nonzero(used), 1)) if learn else 0
+        log_p = np.empty(size, np.float64)
+        grads = {name: np.zeros_like(w[name]) for name in ("class", "class_bias", "word", "word_bias")} if learn else {}
+        d_states = self._buffer("d_states", h, size) if learn else None
+        weights, bias = np.ascontiguousarray(w["class"].T), w["class_bias"][:, None]
+        for begin in range(0, size, _AT_ONCE):
+            part = slice(begin, min(begin + _AT_ONCE, size))
+            seen = states[:, part]
+            logits = weights @ seen
+            logits += bias
+            log_p[part] = _softmax(logits, target[part], learn)
             if learn:
-                d_word[np.arange(len(own)), member[own]] -= 1
-                d_word *= d_word.dtype.type(scale)
-                grads["word"][c], grads["word_bias"][c] = seen.T @ d_word, d_word.sum(0)
-                d_rows[own] += d_word @ w["word"][c].T
+                logits[target[part], np.arange(logits.shape[1])] -= 1
+                logits *= used[part] * scale
+                grads["class"] += seen @ logits.T
+                grads["class_bias"] += logits.sum(axis=1)
+                np.matmul(w["class"], logits, out=d_states[:, part])
+        self._heads(states, target, member, used, log_p, d_states, scale, grads)
         if "tree" in w:
-            self._tree(rows, target, member, used, log_p, d_rows if learn else None, scale if learn else 0)
+            self._tree(states, target, member, used, log_p, d_states, scale)
         if learn:
-            self._back(before, kept, keep, inputs, d_rows.reshape(steps, slots, h), grads)
+            self._back(before, kept, keep, known, hashed if self.shape.hashed else None, d_states.reshape(h, steps, slots), grads)
         return log_p.reshape(steps, slots), state
 
-    def _tree(self, rows, target, member, used, log_p, d_rows, scale) -> None:
-        """Adds ln p inside the classes with leaves, from the leaf up; the gradients if `d_rows` is given."""
+    def _heads(self, states, target, member, used, log_p, d_states, scale, grads) -> None:
+        """Adds ln p inside the head classes; the gradients if `d_states` is given."""
+        w = self.w
+        head = np.flatnonzero(used & (target < self.shape.head_classes))
+        head = head[_order(target[head])]
+        cuts = np.searchsorted(target[head], np.arange(self.shape.head_classes + 1)).tolist()
+        met = [(c, slice(cuts[c], cuts[c + 1])) for c in range(self.shape.head_classes) if cuts[c] < cuts[c + 1]]
+        seen = states.take(head, axis=1)
+        logits = np.empty((HEAD_CLASS, len(head)), states.dtype)
+        logits[:] = w["word_bias"].T.take(target[head], axis=1)
+        for c, own in met:
+            logits[:, own] += w["word"][c].T @ seen[:, own]
+        log_p[head] += _softmax(logits, member[head], d_states is not None)
+        if d_states is None:
+            return
+        logits[member[head], np.arange(len(head))] -= 1
+        logits *= scale
+        d_seen = np.empty_like(seen)
+        for c, own in met:
+            grads["word"][c] = seen[:, own] @ logits[:, own].T
+            grads["word_bias"][c] = logits[:, own].sum(axis=1)
+            d_seen[:, own] = w["word"][c] @ logits[:, own]
+        d_states[:, head] += d_seen
+
+    def _tree(self, states, target, member, used, log_p, d_states, scale) -> None:
+        """Adds ln p inside the classes with leaves, from the leaf up; the gradients if `d_states` is given."""
         own = np.flatnonzero(used & (target >= self.shape.head_classes))
         own = own[self.leaves[target[own]] > 1]
+        if not len(own):
+            return
+        # The shallowest leaves last, so that those still on their way up are the first.
         code, first = self.leaves[target[own]] + member[own], self.nodes[target[own]] - 1
+        order = _order(64 - np.frexp(code.astype(np.float64))[1])
+        own, code, first = own[order], code[order], first[order]
         tree, h = self.w["tree"], self.shape.hidden
-        seen = rows[own]
-        gain, d_seen = np.zeros(len(own), rows.dtype), np.zeros_like(seen)
-        met = []
-        while len(code):
+        seen = np.ones((len(own), h + 1), states.dtype)
+        seen[:, :h] = states.take(own, axis=1).T
+        gain, d_seen = np.zeros(len(own), states.dtype), np.zeros_like(seen) if d_states is not None else None
+        met, many = [], len(own)
+        while True:
             right, code = code & 1, code >> 1
-            going = np.flatnonzero(code)
-            if len(going) < len(code):
-                log_p[own] += gain
-                if d_rows is not None:
-                    d_rows[own] += d_seen
-                if not len(going):
-                    break
-                own, code, first, right, seen = own[going], code[going], first[going], right[going], seen[going]
-                gain, d_seen = np.zeros(len(own), rows.dtype), np.zeros_like(seen)
+            many = np.count_nonzero(code)
+            if not many:
+                break
+            right, code, first = right[:many], code[:many], first[:many]
             node = first + code
             at = tree.take(node, axis=0)
-            sign = (2 * right - 1).astype(rows.dtype)
-            x = np.einsum("ij,ij->i", seen, at[:, :h])
-            x += at[:, h]
+            sign = (1 - 2 * right).astype(states.dtype)
+            x = np.einsum("ij,ij->i", seen[:many], at)
             x *= sign
-            p = _sigmoid(np.clip(x, -60, 60))
-            gain += np.log(p)
-            if d_rows is not None:
-                d = (p - 1) * sign * rows.dtype.type(scale)
-                d_seen += d[:, None] * at[:, :h]
-                met.append((node, own, d))
-        if met:
-            node, own, d = [np.concatenate(x) for x in zip(*met, strict=True)]
+            np.clip(x, -60, 60, out=x)
+            np.exp(x, out=x)
+            x += 1
+            gain[:many] -= np.log(x)
+            if d_states is not None:
+                np.reciprocal(x, out=x)
+                x = (1 - x) * sign
+                x *= scale
+                at *= x[:, None]
+                d_seen[:many] += at
+                met.append((node, x))
+        log_p[own] += gain
+        if d_states is not None:
+            d_states[:, own] += d_seen[:, :h].T
+            place = np.concatenate([np.arange(len(d)) for _, d in met])
+            node, d = [np.concatenate(x) for x in zip(*met, strict=True)]
             order = _order(node)
             cuts, node = _cuts(node[order])
-            d = d[order][:, None]
-            self.rows["tree"] = node, np.add.reduceat(np.hstack([d * rows.take(own[order], axis=0), d]), cuts, axis=0)
+            moved = seen.take(place[order], axis=0)
+            moved *= d[order][:, None]
+            self.rows["tree"] = node, np.add.reduceat(moved, cuts, axis=0)
 
-    def _back(self, before, kept, keep, inputs, d_before, grads) -> None:
+    def _back(self, before, kept, keep, known, hashed, d_before, grads) -> None:
         w, h = self.w, self.shape.hidden
-        steps, slots = inputs.shape
-        d_state = np.zeros((slots, h), np.float32)
-        d_u, d_x = self._buffer("d_u", steps, slots, 3 * h), self._buffer("d_x", steps, slots, 3 * h)
+        _, steps, slots = before.shape
+        d_state = np.zeros((h, slots), before.dtype)
+        d_u, d_x = self._buffer("d_u", 3 * h, steps, slots), self._buffer("d_x", steps * slots, 3 * h)
         for t in range(steps - 1, -1, -1):
             gates, new, u_new = kept[t]
-            update, reset = gates[:, :h], gates[:, h:]
-            d_new = d_state * (1 - update) * (1 - new * new)
-            d_x[t, :, :h] = d_state * (before[t] - new) * update * (1 - update)
-            d_x[t, :, h:2 * h] = d_new * u_new * reset * (1 - reset)
-            d_x[t, :, 2 * h:] = d_new
-            d_u[t, :, :2 * h] = d_x[t, :, :2 * h]
-            d_u[t, :, 2 * h:] = d_new * reset
-            d_state = (d_state * update + d_u[t] @ w["state"].T + d_before[t]) * keep[t]
-        grads["state"] = before.reshape(-1, h).T @ d_u.reshape(-1, 3 * h)
-        d_x = d_x.reshape(-1, 3 * h)
-        ids = inputs.ravel() % self.shape.inputs
-        order = _order(ids)
-        cuts, ids = _cuts(ids[order])
+            update, reset = gates[:h], gates[h:]
+            d = d_u[:, t]
+            stay = d_state * update
+            d_new = 1 - new * new
+            d_new *= d_state - stay
+            d_update, d_reset = d[:h], d[h:2 * h]
+            np.subtract(before[:, t], new, out=d_update)
+            d_update *= stay
+            d_update *= 1 - update
+            np.multiply(d_new, reset, out=d[2 * h:])
+            np.multiply(d[2 * h:], u_new, out=d_reset)
+            d_reset *= 1 - reset
+            rows = d_x[t * slots:(t + 1) * slots]
+            rows[:, :2 * h] = d[:2 * h].T
+            rows[:, 2 * h:] = d_new.T
+            stay += w["state"] @ d
+            stay += d_before[:, t]
+            stay *= keep[t]
+            d_state = stay
+        grads["state"] = before.reshape(h, -1) @ d_u.reshape(3 * h, -1).T
+        order = _order(known)
+        cuts, ids = _cuts(known[order])
         grads["table"] = np.zeros_like(w["table"])
         grads["table"][ids] = np.add.reduceat(d_x.take(order, axis=0), cuts, axis=0)
-        if self.shape.hashed:
-            ids = inputs.ravel() // self.shape.inputs
-            order = _order(ids)[np.count_nonzero(ids == 0):]
+        if hashed is not None:
+            order = _order(hashed)[np.count_nonzero(hashed == 0):]
             if len(order):
-                cuts, ids = _cuts(ids[order])
+                cuts, ids = _cuts(hashed[order])
                 self.rows["hashed"] = ids, np.add.reduceat(d_x.take(order, axis=0), cuts, axis=0)
         self._step(grads)
 

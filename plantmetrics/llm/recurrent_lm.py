@@ -27,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,16 +91,27 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(begin, end, hashes, lengths) of runs of texts with about a million tokens or one text."""
-    size = 256
-    for begin in range(0, len(texts), size * 8):
-        parts = [tokens_of(texts.slice(at, min(size, begin + size * 8 - at))) for at in range(begin, min(begin + size * 8, len(texts)), size)]
-        hashes, lengths = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        ends, at = np.cumsum(lengths), 0
-        while at < len(lengths):
-            done = ends[at - 1] if at else 0
-            stop = max(at + 1, int(np.searchsorted(ends, done + _TOKENS_AT_ONCE, "right")))
-            yield begin + at, begin + stop, hashes[done:ends[stop - 1]], lengths[at:stop]
-            at = stop
+    size, begin, held, many = 256, 0, [], 0
+
+    def block(stop: int) -> tuple[int, int, np.ndarray, np.ndarray]:
+        return begin, stop, np.concatenate([h for h, _ in held]), np.concatenate([n for _, n in held])
+
+    for at in range(0, len(texts), size):
+        hashes, lengths = tokens_of(texts.slice(at, min(size, len(texts) - at)))
+        ends, done = np.cumsum(lengths), 0
+        while done < len(lengths):
+            past = ends[done - 1] if done else 0
+            stop = int(np.searchsorted(ends, past + _TOKENS_AT_ONCE - many, "right"))
+            if stop <= done and held:
+                yield block(at + done)
+                begin, held, many = at + done, [], 0
+                continue
+            stop = max(stop, done + 1)
+            held.append((hashes[past:ends[stop - 1]], lengths[done:stop]))
+            many += int(ends[stop - 1] - past)
+            done = stop
+    if held:
+        yield block(len(texts))
 
 
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -256,14 +268,15 @@ def train(
     for number in range(rounds):
         now = context.broadcast(weights)
 
-        def learnt(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            words = known.value
-            network, seen = Network(words.shape, shaped(now.value.copy(), words.shape)), 0
+        def blocks(batches: Iterator[pa.RecordBatch], words: Vocabulary) -> Iterator[tuple[np.ndarray, ...]]:
             for batch in batches:
                 for _, _, hashes, lengths in _blocks(batch.column(1)):
-                    _, _, inputs, classes, members = _ids(words, hashes)
-                    network.run(lengths, inputs, classes, members, learn=True)
-                    seen += len(hashes)
+                    yield (lengths, *_ids(words, hashes)[2:])
+
+        def learnt(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
+            words = known.value
+            network = Network(words.shape, shaped(now.value.copy(), words.shape))
+            seen = network.learn(blocks(batches, words))
             if seen:
                 before, moved = shaped(now.value, words.shape), []
                 for name in sorted(network.w):
@@ -300,6 +313,8 @@ def score(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, counts:
         network = Network(words.shape, shaped(values, words.shape))
         empty, whole = np.log(words.tail_tokens + words.tail_words + 1), np.log(words.tokens + words.words + 1)
         for batch in batches:
+            # Texts of like length end together, so few slots are left empty.
+            batch = batch.take(pc.sort_indices(pc.fill_null(pc.binary_length(batch.column(1)), 0)))
             for begin, end, hashes, lengths in _blocks(batch.column(1)):
                 at, inside, inputs, classes, members = _ids(words, hashes)
                 log_p = network.run(lengths, inputs, classes, members, learn=False)

@@ -182,3 +182,38 @@ def test_scores_do_not_follow_partitions(spark):
         scores.append({r.doc_id: r.score for r in L.fit_and_score(docs, F.col("doc_id") % 7 != 2).collect()})
     for other in scores[1:]:
         assert other == pytest.approx(scores[0], rel=1e-6)
+
+
+def test_learning_keeps_slots_full_and_leaves_no_token_out():
+    """What lies in long slots waits for the next block, with its state: steps are full, and texts are read as a whole."""
+    shape = R.Shape(inputs=7, classes=4, head_classes=2, hidden=5, window=6, slots=8)
+    random = np.random.default_rng(0)
+    weights = {k: random.standard_normal(v) * 0.5 for k, v in shape.parts().items()}
+    lengths = np.array([200, 3, 0, 5, 4, 6, 2, 3, 150, 4, *[9] * 60, 90, 1, 1, 2, 0, 3, *[7] * 70])
+    data = (random.integers(0, 7, lengths.sum()), random.integers(0, 4, lengths.sum()), random.integers(0, R.HEAD_CLASS, lengths.sum()))
+    at = np.cumsum([0, *lengths])
+    blocks = [(lengths[a:b], *[x[at[a]:at[b]] for x in data]) for a, b in ((0, 10), (10, 70), (70, 76), (76, len(lengths)))]
+    net, found, window = R.Network(shape, weights), [], R.Network._window
+
+    def seen(self, state, fresh, used, *rest):
+        log_p, after = window(self, state, fresh, used, *rest)
+        found.append(log_p[used])
+        return log_p, after
+
+    net._window, net._step = seen.__get__(net), lambda grads: None
+    assert net.learn(blocks) == lengths.sum() == sum(map(len, found))
+    whole = R.Network(shape, weights).run(lengths, *data, learn=False)
+    assert np.allclose(np.sort(np.concatenate(found)), np.sort(whole), atol=1e-5)
+    alone = sum(-(-int(R.laid_out(block[0], 8)[2][0]) // 6) for block in blocks)
+    assert len(found) < 0.8 * alone  # Windows where every block ends for itself.
+
+
+def test_blocks_hold_all_texts_in_order(monkeypatch):
+    monkeypatch.setattr(L, "_TOKENS_AT_ONCE", 50)
+    texts = pa.array([None, "", "a b c", *["x " * n for n in (300, 3, 49, 48, 1, 200)], *["y z"] * 700])
+    blocks = list(L._blocks(texts))
+    hashes, lengths = L.tokens_of(texts)
+    assert [b[0] for b in blocks] + [len(texts)] == [0] + [b[1] for b in blocks]
+    assert np.array_equal(np.concatenate([b[2] for b in blocks]), hashes) and np.array_equal(np.concatenate([b[3] for b in blocks]), lengths)
+    assert all(b[1] - b[0] == len(b[3]) and (len(b[3]) == 1 or b[3].sum() <= 50) for b in blocks)
+    assert list(L._blocks(pa.array([], pa.string()))) == []
