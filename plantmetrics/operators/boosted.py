@@ -18,6 +18,8 @@ from plantmetrics.operators.features import MODEL_FEATURES, assemble, class_weig
 from plantmetrics.session import scratch_path
 
 ROUNDS, PATIENCE = 300, 30
+#: The JVM interprets methods of more bytes than this, however often they run.
+METHOD_BYTES = 8000
 NODES = "tree int, weight double, node long, feature string, threshold double, value double"
 
 
@@ -97,7 +99,11 @@ def load_model(spark: SparkSession, path: str) -> BoostedModel:
 
 
 def score_rows(model: BoostedModel, df: DataFrame, out: str = "failure_probability") -> DataFrame:
-    """All rows with their failure probability."""
+    """All rows with their failure probability.
+
+    Trees in one generated method are more than the JVM compiles, so the session is told to generate many small ones there.
+    """
+    df.sparkSession.conf.set("spark.sql.codegen.hugeMethodLimit", str(METHOD_BYTES))
     inputs = {f"_{c}": F.col(c).cast("double") for c in model.columns}
     filled = impute(df.withColumns(inputs), list(inputs))
     return filled.withColumn(out, model.probability("_")).drop(*inputs)

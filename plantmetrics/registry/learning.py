@@ -15,6 +15,7 @@ from plantmetrics.sources.fixtures import AS_OF
 TIE = ["event_id"]
 WHOLE = {"anomaly_count_1h", "anomaly_count_4h"}
 THRESHOLD = 0.9
+RAW = ["temperature_c", "vibration_ms2", "pressure_bar", "rpm", "quality_score"]
 
 
 def digits(name: str) -> int:
@@ -25,18 +26,20 @@ def _unique(t: Inputs) -> DataFrame:
     return dedup(t.silver(), ["equipment_id", "event_time"], TIE)
 
 
-def _features(t: Inputs) -> DataFrame:
-    return features.rolling_features(_unique(t), TIE)
+def _features(t: Inputs, unique: DataFrame | None = None) -> DataFrame:
+    return features.rolling_features(_unique(t) if unique is None else unique, TIE)
 
 
-def _labels(t: Inputs) -> DataFrame:
-    scored = _unique(t).withColumn("composite_anomaly_score", features.composite_score())
+def _labels(t: Inputs, unique: DataFrame | None = None) -> DataFrame:
+    scored = (_unique(t) if unique is None else unique).withColumn("composite_anomaly_score", features.composite_score())
     return features.failure_labels(scored, THRESHOLD)
 
 
 def _training(t: Inputs) -> DataFrame:
-    made = _features(t).select("equipment_id", "event_time", *features.MODEL_FEATURES)
-    return features.training_set(stored(_labels(t), "labels"), stored(made, "features"))
+    # Labels and features read the unique readings several times: parsed, filtered and shuffled once.
+    unique = stored(_unique(t).select(*TIE, "equipment_id", "event_time", *RAW), "unique")
+    made = _features(t, unique).select("equipment_id", "event_time", *features.MODEL_FEATURES)
+    return features.training_set(stored(_labels(t, unique), "labels"), stored(made, "features"))
 
 
 def _shown(names) -> list:
@@ -232,9 +235,6 @@ def promotion(t: Inputs):
     return found.withColumns({**shown, "auc_gain": F.round("auc_gain", 5)})
 
 
-RAW = ["temperature_c", "vibration_ms2", "pressure_bar", "rpm", "quality_score"]
-
-
 def _long_sql(table: str, columns, where: str, side: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value, '{side}' AS side FROM {table} WHERE {where} AND {c} IS NOT NULL"

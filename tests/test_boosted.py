@@ -76,3 +76,24 @@ def test_a_curve_that_does_not_turn_costs_two_fits(spark, monkeypatch):
     found = boosted.fit_with_patience(train, train, "y", COLUMNS, rounds=12, patience=5, depth=2, step=0.1, first=2)
     assert asked == [2, 12] and len(found.losses) == 12
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_many_trees_are_not_one_huge_method(spark):
+    """40 trees of depth 5: one method of them is left to the interpreter, 50 microseconds a row."""
+    def tree(level, at):
+        if level == 5:
+            return boosted.Node(float(at))
+        return boosted.Node(0.0, COLUMNS[at % 3], at / 16 - 1.0, tree(level + 1, 2 * at), tree(level + 1, 2 * at + 1))
+
+    def value(node, row):
+        while node.feature is not None:
+            node = node.left if row[node.feature] <= node.threshold else node.right
+        return node.value
+
+    model = boosted.BoostedModel(tuple(COLUMNS), (1e-3,) * 40, tuple(tree(0, 1 + k) for k in range(40)))
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    scored = boosted.score_rows(model, stored(rows(spark, 100, 7).na.fill(0)), "p")
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+    for r in scored.collect():
+        margin = sum(1e-3 * value(t, r) for t in model.trees)
+        assert r.p == pytest.approx(1 / (1 + np.exp(-2 * margin)), rel=1e-9)

@@ -169,3 +169,13 @@ def test_training_set_works_out_its_features_once(spark, monkeypatch):
     monkeypatch.setattr(learning, "stored", lambda df, label="side": kept.append(label) or stored(df, label))
     plan = QUERIES["f5_training_set"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "features" in kept and "FlatMapGroups" not in plan  # The join reads its right side more than once.
+
+
+def test_a_training_set_makes_the_unique_readings_once(spark, monkeypatch):
+    from plantmetrics.registry import learning
+    from plantmetrics.registry.base import Inputs
+
+    made, unique = [], learning._unique
+    monkeypatch.setattr(learning, "_unique", lambda t: made.append(1) or unique(t))
+    learning._training(Inputs(spark, "/root/testdata/sf0.001"))
+    assert made == [1]
