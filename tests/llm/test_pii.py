@@ -156,3 +156,26 @@ def test_defined_cases(frame):
     assert got == {1: [], 2: [], None: [], 3: [("ip", 2, 9, True)]}
     empty = frame([], DOCS)
     assert P.find(empty, P.fit(empty)).count() == 0
+
+
+def test_every_candidate_is_learnt_from(spark):
+    """At least 1,500 numbers of one kind and label: all are counted."""
+    docs = spark.createDataFrame([(k, f"call {k} +1 ({200 + k % 700}) 555-{1000 + k} now, order {10**7 + 31 * k}", "", "") for k in range(1500)], DOCS)
+    counted = P.counted_rows(P.training_rows(docs))
+    many = {r.label: r.many for r in counted.groupBy("label").agg({"many": "sum"}).withColumnRenamed("sum(many)", "many").collect()}
+    assert many[True] >= 1500 and many[False] >= 1500 and sum(many.values()) == P.training_rows(docs).count()
+
+
+def test_trees_of_counted_rows_are_those_of_plain_rows(spark):
+    random_ = np.random.default_rng(3)
+    rows = random_.integers(0, 6, (400, 5)).astype(np.float32)
+    labels = ((rows[:, 1] > 2) ^ (rows[:, 4] > 3)) | (random_.random(400) < 0.05)
+    edges = np.tile(np.arange(5) + 0.5, (5, 1))
+    bins = B.binned(rows, edges)
+    counted = spark.createDataFrame(
+        [(bool(y), int(k % 2), bytearray(b.tobytes()), 1) for k, (b, y) in enumerate(zip(bins, labels))], "label boolean, fold int, bins binary, many long"
+    )
+    first, _, whole = B.boost_counted(counted, edges, 2, rounds=5, depth=3)
+    assert np.allclose(whole.margins(rows), B.boost(rows, labels.astype(float), rounds=5, depth=3).margins(rows), atol=1e-3)
+    odd = np.arange(400) % 2 == 1
+    assert np.allclose(first.margins(rows), B.boost(rows[odd], labels[odd].astype(float), rounds=5, depth=3).margins(rows), atol=1e-3)
