@@ -6,12 +6,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantmetrics.functions.sizing import stored
+
 BINS = 32
+#: Counted rows of a task in a pass, and the parts whose sums the driver adds up itself.
+PACKED_ROWS = 1 << 14
+_DRIVER_PARTS = 8
 #: Slopes are whole numbers of these parts, so that their sums do not depend on the order of rows.
 _PARTS = 1 << 20
 
@@ -101,13 +105,32 @@ def _walk(cells: np.ndarray, features: np.ndarray, cuts: np.ndarray, levels: int
     return node
 
 
+def packed(counted: DataFrame) -> DataFrame:
+    """The rows stored in as few files as their number asks for, since every pass starts a task for each."""
+    return stored(counted.repartition(max(1, -(-counted.count() // PACKED_ROWS))), "packed")
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums per model of the parts that meet in a task."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for model, sums in zip(batch.column("model").to_pylist(), batch.column("sums"), strict=True):
+            part = np.frombuffer(sums.as_buffer())
+            total[model] = total[model] + part if model in total else part.copy()
+    if total:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(total, pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], ["model", "sums"]
+        )
+
+
 def boost_counted(
     counted: DataFrame, edges: np.ndarray, folds: int, rounds: int = 60, depth: int = 4, rate: float = 0.2, ridge: float = 1.0
 ) -> list[Trees]:
     """Trees of all rows but a fold's, for each fold, and behind them those of all rows.
 
-    `counted` has (label, fold, bins, many): every row counts `many` times, whatever their number. A level of a tree is one pass,
-    which sums slopes by node, column and bin in each task; only these sums leave the tasks. The same rows give the same trees.
+    `counted` has (label, fold, bins, many): every row counts `many` times, whatever their number. A level of a tree is one pass and
+    one job, which sums slopes by node, column and bin in each task; only these sums leave the tasks, and those of many tasks are
+    added up in _DRIVER_PARTS others first. The same rows give the same trees. `packed` rows take the fewest tasks.
     """
     width, models, inner, ends = len(edges), folds + 1, 2**depth - 1, 2**depth
     totals = {(r.fold, r.label): r.many for r in counted.groupBy("fold", "label").agg(F.sum("many").alias("many")).collect()}
@@ -118,7 +141,7 @@ def boost_counted(
         starts.append(float(np.log(share / (1 - share))))
     features = np.zeros((models, rounds, inner), np.int64)
     cuts, leaves = np.full((models, rounds, inner), BINS), np.zeros((models, rounds, ends))
-    many_tasks = counted.rdd.getNumPartitions() > 8
+    many_tasks = counted.rdd.getNumPartitions() > _DRIVER_PARTS
 
     def slopes(r: int, level: int) -> np.ndarray:
         wide = 2**level
@@ -144,16 +167,14 @@ def boost_counted(
                 [pa.array(range(models), pa.int32()), pa.array([t.tobytes() for t in total], pa.binary())], ["model", "sums"]
             )
 
-        def added(frame: pd.DataFrame) -> pd.DataFrame:
-            total = sum(np.frombuffer(v) for v in frame["sums"])
-            return pd.DataFrame({"model": frame["model"].iloc[:1], "sums": [total.tobytes()]})
-
         parts = counted.mapInArrow(summed, "model int, sums binary")
         if many_tasks:
-            parts = parts.groupBy("model").applyInPandas(added, "model int, sums binary")
+            # Dealt in turn, not by key: a key would spread five rows over all shuffle partitions.
+            parts = parts.repartition(_DRIVER_PARTS).mapInArrow(_added, "model int, sums binary")
         out = np.zeros((models, 2 * wide * width * BINS))
-        for part in parts.toLocalIterator():
-            out[part.model] += np.frombuffer(part.sums)
+        found = parts.toArrow()
+        for model, sums in zip(found.column("model").to_pylist(), found.column("sums"), strict=True):
+            out[model] += np.frombuffer(sums.as_buffer())
         return out.reshape(models, 2, wide, width, BINS) / _PARTS
 
     for r in range(rounds):

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantmetrics.functions.sizing import stored
-from plantmetrics.llm.boosting import Trees, binned, boost_counted, sigmoid
+from plantmetrics.llm.boosting import Trees, binned, boost_counted, packed, sigmoid
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 EMAIL, IP, CARD, PHONE, SECRET = range(5)
@@ -330,7 +330,7 @@ def _held(counted: DataFrame, models: list[Trees]) -> pa.Table:
 
 def fit(docs: DataFrame, text: str = "text", per_class: int | None = None, precision: float = 0.95) -> Model:
     """Model from the candidates of all texts; only sums by bin and counts by score reach the driver."""
-    counted = stored(counted_rows(training_rows(docs, text, per_class)), "candidates")
+    counted = packed(stored(counted_rows(training_rows(docs, text, per_class)), "candidates"))
     models = boost_counted(counted, _EDGES, _FOLDS)
     held = _held(counted, models)
     kinds, many = held.column("kind").to_numpy(), held.column("many").to_numpy()

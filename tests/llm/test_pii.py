@@ -179,3 +179,25 @@ def test_trees_of_counted_rows_are_those_of_plain_rows(spark):
     assert np.allclose(whole.margins(rows), B.boost(rows, labels.astype(float), rounds=5, depth=3).margins(rows), atol=1e-3)
     odd = np.arange(400) % 2 == 1
     assert np.allclose(first.margins(rows), B.boost(rows[odd], labels[odd].astype(float), rounds=5, depth=3).margins(rows), atol=1e-3)
+
+
+def test_a_level_is_one_job_however_the_rows_are_cut(spark):
+    """Before, a job was started for each part of the rows, or for each shuffle partition, at every level."""
+    random_ = np.random.default_rng(4)
+    rows = [(bool(k % 3 == 0), k % 2, bytearray(random_.integers(0, 6, 5).astype(np.uint8).tobytes()), 1 + k % 4) for k in range(300)]
+    whole = spark.createDataFrame(rows, "label boolean, fold int, bins binary, many long")
+    edges, context, margins = np.tile(np.arange(5) + 0.5, (5, 1)), spark.sparkContext, []
+    some = random_.integers(0, 6, (50, 5)).astype(np.float32)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for parts, most in ((7, 2 + 4), (20, 2 + 2 * 4)):
+            counted = whole.repartition(parts).localCheckpoint()
+            context.setJobGroup(f"levels-{parts}", "")
+            margins += [m.margins(some) for m in B.boost_counted(counted, edges, 2, rounds=2, depth=2)]
+            assert len(context.statusTracker().getJobIdsForGroup(f"levels-{parts}")) <= most
+            context.setJobGroup("other", "")
+            assert len(spark.read.parquet(*B.packed(counted).inputFiles()).inputFiles()) == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert np.array_equal(margins[:3], margins[3:])
