@@ -125,14 +125,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _softmax(x: np.ndarray, target: np.ndarray, learn: bool) -> np.ndarray:
-    """ln p of the targets; every column of x becomes its softmax if it is wanted."""
+def _softmax(x: np.ndarray, target: np.ndarray, weight: np.ndarray | np.floating | None) -> np.ndarray:
+    """ln p of the targets; with a weight every column of x becomes its gradient, so many times."""
     x -= x.max(axis=0)
-    chosen = x[target, np.arange(x.shape[1])]
+    every = np.arange(x.shape[1])
+    chosen = x[target, every]
     np.exp(x, out=x)
     total = x.sum(axis=0)
-    if learn:
-        x *= 1 / total
+    if weight is not None:
+        x *= weight / total
+        x[target, every] -= weight
     return chosen - np.log(total)
 
 
@@ -150,6 +152,25 @@ def _cuts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return cuts, ids[cuts]
 
 
+def _whole(rows: np.ndarray) -> np.ndarray:
+    """Every row as one item, which numpy moves in one piece."""
+    return rows.view(f"V{rows.itemsize * rows.shape[1]}")[:, 0]
+
+
+def _add_to(into: np.ndarray, ids: np.ndarray, change: np.ndarray) -> None:
+    """Adds to rows of `into`, each named once."""
+    now = into.take(ids, axis=0)
+    now += change
+    _whole(into)[ids] = _whole(now)
+
+
+def _run_sums(rows: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Sum of the rows of each run; of an even number of columns two are added at once, as a complex number."""
+    if rows.shape[1] % 2:
+        return np.add.reduceat(rows, cuts, axis=0)
+    return np.add.reduceat(rows.view(f"c{2 * rows.itemsize}"), cuts, axis=0).view(rows.dtype)
+
+
 class Network:
     """Weights, and the two things to do with a block of texts: score it, or learn from it."""
 
@@ -172,6 +193,10 @@ class Network:
             self.held[name] = np.empty(need, self.w["state"].dtype)
         return self.held[name][:need].reshape(size)
 
+    def _spaced(self, name: str, rows: int, steps: int, slots: int) -> np.ndarray:
+        """(rows, steps, slots) with a step's gap behind each row: rows a power of two apart would share the same few places of the cache."""
+        return self._buffer(name, rows, steps + 1, slots)[:, :steps]
+
     def run(self, lengths: np.ndarray, inputs: np.ndarray, classes: np.ndarray, members: np.ndarray, learn: bool) -> np.ndarray:
         """ln p of every token; `members` is the place in its class, any number in a class without leaves."""
         slot, first, load, _ = laid_out(lengths, self.shape.slots)
@@ -244,9 +269,9 @@ class Network:
         if self.shape.hashed:
             hashed = inputs.ravel() // self.shape.inputs
             some = np.flatnonzero(hashed)
-            x[some] += w["hashed"].take(hashed[some], axis=0)
+            _add_to(x, some, w["hashed"].take(hashed[some], axis=0))
         x = x.reshape(steps, slots, 3 * h)
-        before = self._buffer("before", h, steps, slots)
+        before = self._spaced("before", h, steps, slots)
         weights = np.ascontiguousarray(w["state"].T)
         kept = []
         keep = (~fresh).astype(np.float32)
@@ -268,17 +293,15 @@ class Network:
         scale = kind.type(1 / max(np.count_nonzero(used), 1)) if learn else 0
         log_p = np.empty(size, np.float64)
         grads = {name: np.zeros_like(w[name]) for name in ("class", "class_bias", "word", "word_bias")} if learn else {}
-        d_states = self._buffer("d_states", h, size) if learn else None
+        d_states = self._spaced("d_states", h, steps, slots).reshape(h, size) if learn else None
         weights, bias = np.ascontiguousarray(w["class"].T), w["class_bias"][:, None]
         for begin in range(0, size, _AT_ONCE):
             part = slice(begin, min(begin + _AT_ONCE, size))
             seen = states[:, part]
             logits = weights @ seen
             logits += bias
-            log_p[part] = _softmax(logits, target[part], learn)
+            log_p[part] = _softmax(logits, target[part], used[part] * scale if learn else None)
             if learn:
-                logits[target[part], np.arange(logits.shape[1])] -= 1
-                logits *= used[part] * scale
                 grads["class"] += seen @ logits.T
                 grads["class_bias"] += logits.sum(axis=1)
                 np.matmul(w["class"], logits, out=d_states[:, part])
@@ -301,11 +324,9 @@ class Network:
         logits[:] = w["word_bias"].T.take(target[head], axis=1)
         for c, own in met:
             logits[:, own] += w["word"][c].T @ seen[:, own]
-        log_p[head] += _softmax(logits, member[head], d_states is not None)
+        log_p[head] += _softmax(logits, member[head], None if d_states is None else scale)
         if d_states is None:
             return
-        logits[member[head], np.arange(len(head))] -= 1
-        logits *= scale
         d_seen = np.empty_like(seen)
         for c, own in met:
             grads["word"][c] = seen[:, own] @ logits[:, own].T
@@ -324,9 +345,11 @@ class Network:
         order = _order(64 - np.frexp(code.astype(np.float64))[1])
         own, code, first = own[order], code[order], first[order]
         tree, h = self.w["tree"], self.shape.hidden
-        seen = np.ones((len(own), h + 1), states.dtype)
-        seen[:, :h] = states.take(own, axis=1).T
-        gain, d_seen = np.zeros(len(own), states.dtype), np.zeros_like(seen) if d_states is not None else None
+        # One more column where their number is odd, so that sums of rows are added in pairs.
+        padded = np.zeros((len(own), h + 1 + (h + 1) % 2), states.dtype)
+        padded[:, :h], padded[:, h] = states.take(own, axis=1).T, 1
+        seen = padded[:, :h + 1]
+        gain, d_seen = np.zeros(len(own), states.dtype), np.zeros((len(own), h + 1), states.dtype) if d_states is not None else None
         met, many = [], len(own)
         while True:
             right, code = code & 1, code >> 1
@@ -357,15 +380,15 @@ class Network:
             node, d = [np.concatenate(x) for x in zip(*met, strict=True)]
             order = _order(node)
             cuts, node = _cuts(node[order])
-            moved = seen.take(place[order], axis=0)
+            moved = padded.take(place[order], axis=0)
             moved *= d[order][:, None]
-            self.rows["tree"] = node, np.add.reduceat(moved, cuts, axis=0)
+            self.rows["tree"] = node, _run_sums(moved, cuts)[:, :h + 1]
 
     def _back(self, before, kept, keep, known, hashed, d_before, grads) -> None:
         w, h = self.w, self.shape.hidden
         _, steps, slots = before.shape
         d_state = np.zeros((h, slots), before.dtype)
-        d_u, d_x = self._buffer("d_u", 3 * h, steps, slots), self._buffer("d_x", steps * slots, 3 * h)
+        d_u, d_x = self._spaced("d_u", 3 * h, steps, slots), self._buffer("d_x", steps * slots, 3 * h)
         for t in range(steps - 1, -1, -1):
             gates, new, u_new = kept[t]
             update, reset = gates[:h], gates[h:]
@@ -391,30 +414,39 @@ class Network:
         order = _order(known)
         cuts, ids = _cuts(known[order])
         grads["table"] = np.zeros_like(w["table"])
-        grads["table"][ids] = np.add.reduceat(d_x.take(order, axis=0), cuts, axis=0)
+        grads["table"][ids] = _run_sums(d_x.take(order, axis=0), cuts)
         if hashed is not None:
             order = _order(hashed)[np.count_nonzero(hashed == 0):]
             if len(order):
                 cuts, ids = _cuts(hashed[order])
-                self.rows["hashed"] = ids, np.add.reduceat(d_x.take(order, axis=0), cuts, axis=0)
+                self.rows["hashed"] = ids, _run_sums(d_x.take(order, axis=0), cuts)
         self._step(grads)
 
     def _step(self, grads) -> None:
         """One step of Adam, of Adagrad by rows for the sparse parts, the whole gradient at most 1 long."""
         self.steps += 1
-        long = np.sqrt(sum(float((g * g).sum()) for g in [*grads.values(), *[g for _, g in self.rows.values()]]))
+        long = np.sqrt(sum(float(np.vdot(g, g)) for g in [*grads.values(), *[g for _, g in self.rows.values()]]))
         cut = np.float32(min(1.0, 1.0 / max(long, 1e-12)))
         rate = np.float32(self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps))
         for name, g in grads.items():
             g *= cut
-            mean, square = self.mean[name], self.square[name]
-            mean += np.float32(0.1) * (g - mean)
-            square += np.float32(0.01) * (g * g - square)
-            self.w[name] -= rate * mean / (np.sqrt(square) + np.float32(1e-6))
+            mean, square, part = self.mean[name], self.square[name], self._buffer("step", *g.shape)
+            np.subtract(g, mean, out=part)
+            part *= np.float32(0.1)
+            mean += part
+            np.multiply(g, g, out=part)
+            part -= square
+            part *= np.float32(0.01)
+            square += part
+            np.sqrt(square, out=part)
+            part += np.float32(1e-6)
+            np.multiply(mean, rate, out=g)
+            g /= part
+            self.w[name] -= g
         for name, (ids, g) in self.rows.items():
             g *= cut
             square = self.square[name][ids] + np.einsum("ij,ij->i", g, g) / np.float32(g.shape[1])
             self.square[name][ids] = square
             self.met[name][ids] += 1
-            g *= (np.float32(SPARSE_RATE) / (np.sqrt(square) + np.float32(1e-6)))[:, None]
-            self.w[name][ids] -= g
+            g *= (np.float32(-SPARSE_RATE) / (np.sqrt(square) + np.float32(1e-6)))[:, None]
+            _add_to(self.w[name], ids, g)

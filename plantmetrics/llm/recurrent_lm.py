@@ -44,11 +44,30 @@ _HASHED = 1 << 14
 _MARKERS = 64
 _TOKENS_AT_ONCE = 1 << 20
 _RANGE_BITS = 20
+_CELL_RANGE_BITS = 17
 #: Training tokens of a round for each copy of the network, and the least number of copies.
 COPY_TOKENS = 1 << 24
 LEAST_COPIES = 8
 
 
+def _starts(known: np.ndarray, bits: int) -> np.ndarray:
+    """Place of the first of the sorted hashes with each value of the first bits."""
+    return np.searchsorted(known, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).astype(np.int32)
+
+
+def _found(known: np.ndarray, starts: np.ndarray, bits: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, whether it is there) of every hash among the sorted ones."""
+    if not len(known):
+        return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+    last = len(known) - 1
+    at = np.minimum(starts[hashes >> np.uint64(64 - bits)], last)
+    behind = np.flatnonzero((known[at] < hashes) & (at < last))
+    while len(behind):
+        at[behind] += 1
+        behind = behind[(known[at[behind]] < hashes[behind]) & (at[behind] < last)]
+    return at, known[at] == hashes
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Sorted hashes of the known words with count, class, place in the class and ln share of it (0: the network says it), and the whole's totals."""
@@ -72,15 +91,7 @@ class Vocabulary:
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, known) in the vocabulary of every token: the first bits name a short range of places, which is walked."""
-        if not len(self.hashes):
-            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        last = len(self.hashes) - 1
-        at = np.minimum(self.starts[hashes >> np.uint64(64 - _RANGE_BITS)], last)
-        behind = np.flatnonzero((self.hashes[at] < hashes) & (at < last))
-        while len(behind):
-            at[behind] += 1
-            behind = behind[(self.hashes[at[behind]] < hashes[behind]) & (at[behind] < last)]
-        return at, self.hashes[at] == hashes
+        return _found(self.hashes, self.starts, _RANGE_BITS, hashes)
 
 
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -156,13 +167,13 @@ def _cells(docs: DataFrame, text: str, words: np.ndarray, counts: np.ndarray, to
     directions = np.random.default_rng(5).standard_normal((markers, _CELL_BITS))
     order = np.argsort(words)
     in_order = words[order]
+    starts = _starts(in_order, _CELL_RANGE_BITS)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(words) * _CELLS, np.int64)
         for batch in batches:
             for _, _, hashes, lengths in _blocks(batch.column(0)):
-                at = np.minimum(np.searchsorted(in_order, hashes), len(order) - 1)
-                known = in_order[at] == hashes
+                at, known = _found(in_order, starts, _CELL_RANGE_BITS, hashes)
                 rank, text_of = order[at[known]], np.repeat(np.arange(len(lengths)), lengths)[known]
                 frequent = rank < markers
                 shares = np.bincount(text_of[frequent] * markers + rank[frequent], minlength=len(lengths) * markers).reshape(-1, markers)
@@ -224,9 +235,8 @@ def build_vocabulary(
     order = np.argsort(words)
     shape = Shape(inputs=head + n_classes, classes=n_classes, head_classes=max(head_classes, 0), leaves=tuple(leaves.tolist()), hashed=_HASHED)
     inputs = np.where(np.arange(len(words)) < head, np.arange(len(words)), head + classes)
-    first_bits = np.arange(1 << _RANGE_BITS, dtype=np.uint64) << np.uint64(64 - _RANGE_BITS)
     made = Vocabulary(
-        words[order], np.searchsorted(words[order], first_bits).astype(np.int32), many[order], classes[order], members[order], np.zeros(len(words)), inputs[order], shape,
+        words[order], _starts(words[order], _RANGE_BITS), many[order], classes[order], members[order], np.zeros(len(words)), inputs[order], shape,
         int(totals["n"]), int(totals["v"]), tail_tokens, tail_words,
     )
     return made, np.log(np.maximum(per_class, 1)), word_bias[:shape.head_classes]

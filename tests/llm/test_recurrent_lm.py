@@ -217,3 +217,34 @@ def test_blocks_hold_all_texts_in_order(monkeypatch):
     assert np.array_equal(np.concatenate([b[2] for b in blocks]), hashes) and np.array_equal(np.concatenate([b[3] for b in blocks]), lengths)
     assert all(b[1] - b[0] == len(b[3]) and (len(b[3]) == 1 or b[3].sum() <= 50) for b in blocks)
     assert list(L._blocks(pa.array([], pa.string()))) == []
+
+
+def test_sums_and_changes_of_rows_are_the_plain_ones():
+    random_ = np.random.default_rng(8)
+    for kind in (np.float32, np.float64):
+        for width in (5, 6):
+            rows = random_.standard_normal((400, width)).astype(kind)
+            cuts = np.unique(np.concatenate([[0], random_.integers(0, 400, 90)]))
+            assert np.allclose(R._run_sums(rows, cuts), np.add.reduceat(rows, cuts, axis=0), rtol=1e-4, atol=1e-5)
+            ids = random_.permutation(400)[:60]
+            want = rows.copy()
+            want[ids] += rows[:60]
+            got = rows.copy()
+            R._add_to(got, ids, rows[:60])
+            assert np.array_equal(got, want)
+
+
+def test_rows_of_states_do_not_lie_a_power_of_two_apart():
+    network = R.Network(R.Shape(inputs=3, classes=2, head_classes=1), {"state": np.zeros((16, 48), np.float32)})
+    states = network._spaced("states", 16, 32, 128)
+    apart = states.strides[0]
+    assert apart & (apart - 1) and np.shares_memory(states, states.reshape(16, -1))
+
+
+def test_places_of_hashes_are_those_of_a_sorted_search():
+    random_ = np.random.default_rng(9)
+    known = np.unique(random_.integers(0, 2**64, 500, dtype=np.uint64))
+    asked = np.concatenate([known[::3], random_.integers(0, 2**64, 900, dtype=np.uint64)])
+    for bits in (4, 17):
+        at, found = L._found(known, L._starts(known, bits), bits, asked)
+        assert np.array_equal(found, np.isin(asked, known)) and np.array_equal(known[at[found]], asked[found])
