@@ -11,6 +11,7 @@ tokens last, so that numpy works on long rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -87,10 +88,11 @@ def flat(weights: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def shaped(values: np.ndarray, shape: Shape) -> dict[str, np.ndarray]:
+    """Views of `values`, which has to be copied before it is learnt from."""
     out, at = {}, 0
     for name, size in sorted(shape.parts().items()):
         n = int(np.prod(size))
-        out[name] = values[at:at + n].reshape(size).astype(np.float32)
+        out[name] = values[at:at + n].reshape(size).astype(np.float32, copy=False)
         at += n
     return out
 
@@ -181,14 +183,14 @@ class Network:
         #: Steps that met each row of a sparse part, and the last step's (rows, gradients).
         self.met = {k: np.zeros(len(v), np.float32) for k, v in weights.items() if k in SPARSE}
         self.rows: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        heads = np.zeros(shape.head_classes, np.int64)
-        self.leaves = np.concatenate([heads, np.array(shape.leaves, np.int64)])
-        self.nodes = np.concatenate([heads, shape.nodes()])
+        heads = np.zeros(shape.head_classes, np.int32)
+        self.leaves = np.concatenate([heads, np.array(shape.leaves, np.int32)])
+        self.nodes = np.concatenate([heads, shape.nodes().astype(np.int32)])
         self.held: dict[str, np.ndarray] = {}
 
     def _buffer(self, name: str, *size: int) -> np.ndarray:
         """Array of this size in memory that is used again and again."""
-        need = int(np.prod(size))
+        need = math.prod(size)
         if name not in self.held or self.held[name].size < need:
             self.held[name] = np.empty(need, self.w["state"].dtype)
         return self.held[name][:need].reshape(size)
@@ -220,7 +222,7 @@ class Network:
         """
         slots, seen = min(self.shape.slots, self.shape.learn_slots), 0
         left, state = np.zeros(slots, np.int64), np.zeros((self.shape.hidden, slots), np.float32)
-        waiting, waiting_fresh = [np.zeros(0, np.int64)] * 3, np.zeros(0, bool)
+        waiting, waiting_fresh = [np.zeros(0, np.int32)] * 3, np.zeros(0, bool)
         for lengths, *values in blocks:
             seen += int(lengths.sum())
             slot, first, load, place = laid_out(lengths, slots, left)
@@ -230,7 +232,7 @@ class Network:
             fresh = np.zeros(int(load.sum()), bool)
             fresh[old] = waiting_fresh
             fresh[(bottom[slot] + first)[lengths > 0]] = True
-            stacked = [np.empty(len(fresh), np.int64) for _ in values]
+            stacked = [np.empty(len(fresh), np.int32) for _ in values]
             for into, waits, new in zip(stacked, waiting, values, strict=True):
                 into[old], into[own] = waits, new
             moved = np.empty_like(state)
@@ -264,10 +266,10 @@ class Network:
         steps, slots = inputs.shape
         size, kind = steps * slots, w["state"].dtype
         self.rows = {}
-        known = np.remainder(inputs, self.shape.inputs).ravel()
+        hashed = inputs.ravel() // self.shape.inputs
+        known = inputs.ravel() - hashed * self.shape.inputs
         x = np.take(w["table"], known, axis=0, out=self._buffer("x", size, 3 * h), mode="clip")
         if self.shape.hashed:
-            hashed = inputs.ravel() // self.shape.inputs
             some = np.flatnonzero(hashed)
             _add_to(x, some, w["hashed"].take(hashed[some], axis=0))
         x = x.reshape(steps, slots, 3 * h)
@@ -340,15 +342,15 @@ class Network:
         own = own[self.leaves[target[own]] > 1]
         if not len(own):
             return
-        # The shallowest leaves last, so that those still on their way up are the first.
+        # The shallowest leaves last, so that those still on their way up are the first; of one depth by place, so that rows of
+        # the tree that lie side by side are read one after another.
         code, first = self.leaves[target[own]] + member[own], self.nodes[target[own]] - 1
-        order = _order(64 - np.frexp(code.astype(np.float64))[1])
+        order = _order(first + code)
+        order = order[np.argsort((64 - np.frexp(code[order].astype(np.float64))[1]).astype(np.uint8), kind="stable")]
         own, code, first = own[order], code[order], first[order]
         tree, h = self.w["tree"], self.shape.hidden
-        # One more column where their number is odd, so that sums of rows are added in pairs.
-        padded = np.zeros((len(own), h + 1 + (h + 1) % 2), states.dtype)
-        padded[:, :h], padded[:, h] = states.take(own, axis=1).T, 1
-        seen = padded[:, :h + 1]
+        seen, ones = np.ones((len(own), h + 1), states.dtype), np.ones(h + 1, states.dtype)
+        seen[:, :h] = states.take(own, axis=1).T
         gain, d_seen = np.zeros(len(own), states.dtype), np.zeros((len(own), h + 1), states.dtype) if d_states is not None else None
         met, many = [], len(own)
         while True:
@@ -358,11 +360,11 @@ class Network:
                 break
             right, code, first = right[:many], code[:many], first[:many]
             node = first + code
-            at = tree.take(node, axis=0)
-            sign = (1 - 2 * right).astype(states.dtype)
-            x = np.einsum("ij,ij->i", seen[:many], at)
+            at = np.take(tree, node, axis=0, out=self._buffer("at", many, h + 1), mode="clip")
+            sign = np.subtract(1, 2 * right, dtype=states.dtype)
+            x = np.multiply(seen[:many], at, out=self._buffer("products", many, h + 1)) @ ones
             x *= sign
-            np.clip(x, -60, 60, out=x)
+            np.minimum(x, 60, out=x)
             np.exp(x, out=x)
             x += 1
             gain[:many] -= np.log(x)
@@ -380,6 +382,9 @@ class Network:
             node, d = [np.concatenate(x) for x in zip(*met, strict=True)]
             order = _order(node)
             cuts, node = _cuts(node[order])
+            # One more column where their number is odd, so that sums of rows are added in pairs.
+            padded = np.zeros((len(own), h + 1 + (h + 1) % 2), states.dtype)
+            padded[:, :h + 1] = seen
             moved = padded.take(place[order], axis=0)
             moved *= d[order][:, None]
             self.rows["tree"] = node, _run_sums(moved, cuts)[:, :h + 1]
@@ -387,30 +392,32 @@ class Network:
     def _back(self, before, kept, keep, known, hashed, d_before, grads) -> None:
         w, h = self.w, self.shape.hidden
         _, steps, slots = before.shape
+        # All that does not need the gradients of later steps is worked out for all steps at once.
+        update, reset = np.split(np.stack([gates for gates, _, _ in kept]), 2, axis=1)
+        new, states = np.stack([new for _, new, _ in kept]), before.transpose(1, 0, 2)
+        d_u, d_x = self._buffer("d_u", steps, 3, h, slots), self._buffer("d_x", steps * slots, 3 * h)
+        stays = 1 - update
+        d_new = 1 - new * new
+        d_new *= stays
+        stays *= update
+        np.subtract(states, new, out=new)
+        np.multiply(new, stays, out=d_u[:, 0])
+        np.multiply(d_new, reset, out=d_u[:, 2])
+        np.multiply(d_u[:, 2], np.stack([u_new for _, _, u_new in kept]), out=d_u[:, 1])
+        d_u[:, 1] *= 1 - reset
         d_state = np.zeros((h, slots), before.dtype)
-        d_u, d_x = self._spaced("d_u", 3 * h, steps, slots), self._buffer("d_x", steps * slots, 3 * h)
         for t in range(steps - 1, -1, -1):
-            gates, new, u_new = kept[t]
-            update, reset = gates[:h], gates[h:]
-            d = d_u[:, t]
-            stay = d_state * update
-            d_new = 1 - new * new
-            d_new *= d_state - stay
-            d_update, d_reset = d[:h], d[h:2 * h]
-            np.subtract(before[:, t], new, out=d_update)
-            d_update *= stay
-            d_update *= 1 - update
-            np.multiply(d_new, reset, out=d[2 * h:])
-            np.multiply(d[2 * h:], u_new, out=d_reset)
-            d_reset *= 1 - reset
-            rows = d_x[t * slots:(t + 1) * slots]
-            rows[:, :2 * h] = d[:2 * h].T
-            rows[:, 2 * h:] = d_new.T
-            stay += w["state"] @ d
+            d_u[t] *= d_state
+            d_new[t] *= d_state
+            stay = d_state * update[t]
+            stay += w["state"] @ d_u[t].reshape(3 * h, slots)
             stay += d_before[:, t]
             stay *= keep[t]
             d_state = stay
-        grads["state"] = before.reshape(h, -1) @ d_u.reshape(3 * h, -1).T
+        d_u, rows = d_u.reshape(steps, 3 * h, slots), d_x.reshape(steps, slots, 3 * h)
+        rows[:, :, :2 * h] = d_u[:, :2 * h].transpose(0, 2, 1)
+        rows[:, :, 2 * h:] = d_new.transpose(0, 2, 1)
+        grads["state"] = (states @ d_u.transpose(0, 2, 1)).sum(axis=0)
         order = _order(known)
         cuts, ids = _cuts(known[order])
         grads["table"] = np.zeros_like(w["table"])
@@ -425,7 +432,8 @@ class Network:
     def _step(self, grads) -> None:
         """One step of Adam, of Adagrad by rows for the sparse parts, the whole gradient at most 1 long."""
         self.steps += 1
-        long = np.sqrt(sum(float(np.vdot(g, g)) for g in [*grads.values(), *[g for _, g in self.rows.values()]]))
+        squares = {name: np.einsum("ij,ij->i", g, g) for name, (_, g) in self.rows.items()}
+        long = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()) + sum(float(x.sum()) for x in squares.values()))
         cut = np.float32(min(1.0, 1.0 / max(long, 1e-12)))
         rate = np.float32(self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps))
         for name, g in grads.items():
@@ -444,9 +452,9 @@ class Network:
             g /= part
             self.w[name] -= g
         for name, (ids, g) in self.rows.items():
-            g *= cut
-            square = self.square[name][ids] + np.einsum("ij,ij->i", g, g) / np.float32(g.shape[1])
+            square = self.square[name].take(ids)
+            square += squares[name] * (cut * cut / np.float32(g.shape[1]))
             self.square[name][ids] = square
             self.met[name][ids] += 1
-            g *= (np.float32(-SPARSE_RATE) / (np.sqrt(square) + np.float32(1e-6)))[:, None]
+            g *= (cut * np.float32(-SPARSE_RATE) / (np.sqrt(square) + np.float32(1e-6)))[:, None]
             _add_to(self.w[name], ids, g)

@@ -100,15 +100,15 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(words, offsets[1:], END), np.diff(offsets) + 1
 
 
-def _blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(begin, end, hashes, lengths) of runs of texts with about a million tokens or one text."""
-    size, begin, held, many = 256, 0, [], 0
+def _blocks(texts: pa.Array, order: pa.Array | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(begin, end, hashes, lengths) of runs of texts, taken in `order`, with about a million tokens or one text."""
+    size, begin, held, many = 64, 0, [], 0
 
     def block(stop: int) -> tuple[int, int, np.ndarray, np.ndarray]:
         return begin, stop, np.concatenate([h for h, _ in held]), np.concatenate([n for _, n in held])
 
     for at in range(0, len(texts), size):
-        hashes, lengths = tokens_of(texts.slice(at, min(size, len(texts) - at)))
+        hashes, lengths = tokens_of(texts.slice(at, size) if order is None else texts.take(order.slice(at, size)))
         ends, done = np.cumsum(lengths), 0
         while done < len(lengths):
             past = ends[done - 1] if done else 0
@@ -153,8 +153,10 @@ def _summed(parts: DataFrame, kind: type) -> np.ndarray:
 
 
 def _pieces(values: np.ndarray, size: int = 1 << 14) -> pa.RecordBatch:
-    parts = [values[at:at + size] for at in range(0, len(values), size)]
-    return pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())], ["part", "values"])
+    """(part, values) rows over the memory of `values`, which is not copied."""
+    cuts = np.append(np.arange(0, len(values), size), len(values)) * values.itemsize
+    parts = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(values)])
+    return pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int64()), parts], ["part", "values"])
 
 
 def _cells(docs: DataFrame, text: str, words: np.ndarray, counts: np.ndarray, tokens: int) -> np.ndarray:
@@ -236,7 +238,8 @@ def build_vocabulary(
     shape = Shape(inputs=head + n_classes, classes=n_classes, head_classes=max(head_classes, 0), leaves=tuple(leaves.tolist()), hashed=_HASHED)
     inputs = np.where(np.arange(len(words)) < head, np.arange(len(words)), head + classes)
     made = Vocabulary(
-        words[order], _starts(words[order], _RANGE_BITS), many[order], classes[order], members[order], np.zeros(len(words)), inputs[order], shape,
+        words[order], _starts(words[order], _RANGE_BITS), many[order], classes[order].astype(np.int32), members[order].astype(np.int32),
+        np.zeros(len(words)), inputs[order].astype(np.int32), shape,
         int(totals["n"]), int(totals["v"]), tail_tokens, tail_words,
     )
     return made, np.log(np.maximum(per_class, 1)), word_bias[:shape.head_classes]
@@ -255,13 +258,14 @@ def first_weights(vocabulary: Vocabulary, class_bias: np.ndarray, word_bias: np.
 def _ids(vocabulary: Vocabulary, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     at, known = vocabulary.find(hashes)
     if not len(vocabulary.hashes):
-        zero = np.zeros(len(hashes), np.int64)
+        zero = np.zeros(len(hashes), np.int32)
         return at, known, zero, zero, zero
-    tail = vocabulary.tail
-    inputs, own = np.where(known, vocabulary.inputs[at], vocabulary.shape.inputs - 1), vocabulary.shape.inputs - vocabulary.shape.classes
-    hashed = (hashes % np.uint64(vocabulary.shape.hashed)).astype(np.int64) + 1
-    inputs = np.where(inputs < own, inputs, inputs + vocabulary.shape.inputs * hashed)
-    return at, known, inputs, np.where(known, vocabulary.classes[at], tail), np.where(known, vocabulary.members[at], 0)
+    out = np.flatnonzero(~known)
+    inputs, classes, members = vocabulary.inputs.take(at), vocabulary.classes.take(at), vocabulary.members.take(at)
+    inputs[out], classes[out], members[out] = vocabulary.shape.inputs - 1, vocabulary.tail, 0
+    own = np.flatnonzero(inputs >= vocabulary.shape.inputs - vocabulary.shape.classes)
+    inputs[own] += np.int32(vocabulary.shape.inputs) * ((hashes[own] % np.uint64(vocabulary.shape.hashed)).astype(np.int32) + 1)
+    return at, known, inputs, classes, members
 
 
 def train(
@@ -291,7 +295,8 @@ def train(
                 before, moved = shaped(now.value, words.shape), []
                 for name in sorted(network.w):
                     times = network.met[name] if name in SPARSE else np.full(1, seen, np.float32)
-                    change = network.w[name] - before[name]
+                    change = network.w.pop(name)
+                    change -= before[name]
                     change *= times[:, None] if name in SPARSE else seen
                     moved += [change.ravel(), times]
                 yield _pieces(np.concatenate(moved), 1 << 16)
@@ -301,7 +306,7 @@ def train(
         dealt = own.repartitionById(copies, F.pmod("place", F.lit(copies)).cast("int")).sortWithinPartitions("place", "text")
         rows = dealt.mapInArrow(learnt, "part long, values binary")
         total, at = _summed(rows, np.float32), 0
-        after = shaped(weights, vocabulary.shape)
+        after = shaped(weights.copy(), vocabulary.shape)
         for name in sorted(after) if len(total) else ():
             size, many = after[name].size, len(after[name]) if name in SPARSE else 1
             times = np.maximum(total[at + size:at + size + many], 1)
@@ -322,25 +327,31 @@ def score(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, counts:
         words, values = known.value
         network = Network(words.shape, shaped(values, words.shape))
         empty, whole = np.log(words.tail_tokens + words.tail_words + 1), np.log(words.tokens + words.words + 1)
+        counted = np.log(words.counts + 1)
         for batch in batches:
             # Texts of like length end together, so few slots are left empty.
-            batch = batch.take(pc.sort_indices(pc.fill_null(pc.binary_length(batch.column(1)), 0)))
-            for begin, end, hashes, lengths in _blocks(batch.column(1)):
+            order = pc.sort_indices(pc.fill_null(pc.binary_length(batch.column(1)), 0))
+            for begin, end, hashes, lengths in _blocks(batch.column(1), order):
                 at, inside, inputs, classes, members = _ids(words, hashes)
+                others = np.flatnonzero(~inside)
+                starts, ends = np.cumsum(lengths) - lengths, np.cumsum(lengths)
+                base = np.zeros(len(hashes))
+                if len(words.hashes):
+                    counted.take(at, out=base, mode="clip")
+                    base[others] = 0
+                base -= whole
+                base = np.add.reduceat(base, starts)
                 log_p = network.run(lengths, inputs, classes, members, learn=False)
-                base = np.full(len(hashes), -whole)
-                log_p[~inside] -= empty
+                log_p[others] -= empty
                 if len(words.hashes):
-                    log_p += np.where(inside, words.shares[at], 0)
-                    base += np.where(inside, np.log(words.counts[at] + 1), 0)
-                starts = np.cumsum(lengths) - lengths
-                own = np.repeat(np.arange(len(lengths)), lengths)[~inside]
-                offsets = np.searchsorted(own, np.arange(len(lengths) + 1)).astype(np.int32)
+                    shares = words.shares.take(at)
+                    shares[others] = 0
+                    log_p += shares
+                offsets = np.searchsorted(others, np.append(0, ends)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(begin, end - begin), pa.array(lengths.astype(np.int64)),
-                    pa.array(np.add.reduceat(inside.astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)),
-                    pa.array(np.add.reduceat(log_p, starts)),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[~inside].view(np.int64))),
+                    batch.column(0).take(order.slice(begin, end - begin)), pa.array(lengths.astype(np.int64)),
+                    pa.array(lengths - np.diff(offsets)), pa.array(base), pa.array(np.add.reduceat(log_p, starts)),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[others].view(np.int64))),
                 ], ["key", "n_tokens", "inside", "base", "log_p", "others"])
 
     kind = f"key {dict(rows.dtypes)['key']}, n_tokens long, inside long, base double, log_p double, others array<long>"

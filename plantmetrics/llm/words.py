@@ -10,7 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-_SEGMENT = 1 << 22
+#: Bytes hashed at once: few enough that what is made of them stays in a core's own memory.
+_SEGMENT = 1 << 17
 _MULTIPLIERS = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
 
 _random = np.random.default_rng(20240229)
@@ -50,7 +51,7 @@ def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Pieces of a few MB that end where a text or a word does, so that very long texts need little memory."""
+    """Pieces that end where a text or a word does, so that very long texts need little memory."""
     begin = 0
     while begin < len(data):
         end = min(begin + _SEGMENT, len(data))
@@ -75,8 +76,10 @@ def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.nda
         at = np.flatnonzero(first)
         if not len(at):
             continue
-        place = np.arange(at[0], len(piece)) - np.repeat(at, np.diff(at, append=len(piece)))
-        weighted = table[piece[at[0]:]] * _PLACE[place & 0xFFFF]
+        place = np.arange(at[0], len(piece), dtype=np.int32) - np.repeat(at.astype(np.int32), np.diff(at, append=len(piece)))
+        place &= 0xFFFF
+        weighted = table.take(piece[at[0]:])
+        weighted *= _PLACE.take(place)
         hashes.append(mixed(np.add.reduceat(weighted, at - at[0])))
         starts.append(at + begin)
     if not hashes:

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from plantmetrics.llm import recurrent as R
 from plantmetrics.llm import recurrent_lm as L
+from plantmetrics.llm import words as W
 
 SCHEMA = "doc_id long, text string, score int"
 
@@ -248,3 +250,55 @@ def test_places_of_hashes_are_those_of_a_sorted_search():
     for bits in (4, 17):
         at, found = L._found(known, L._starts(known, bits), bits, asked)
         assert np.array_equal(found, np.isin(asked, known)) and np.array_equal(known[at[found]], asked[found])
+
+
+def peak_mb(f):
+    tracemalloc.start()
+    f()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 1e6
+
+
+def test_hashing_a_long_text_needs_little_memory():
+    texts = pa.array(["w" * 99 + " "]).take(pa.array([0] * 40_000))
+    text = pa.array(["".join(texts.to_pylist())])
+    hashes, offsets = W.word_hashes(text)
+    assert len(set(hashes.tolist())) == 1 and offsets.tolist() == [0, 40_000]
+    assert peak_mb(lambda: W.word_hashes(text)) < 20
+
+
+def test_weights_and_pieces_are_not_copied_and_ids_are_narrow():
+    shape = R.Shape(inputs=7, classes=4, head_classes=2, hidden=5, leaves=(6, 1), hashed=3)
+    weights = R.flat(R.start(shape, np.zeros(4), np.zeros((2, R.HEAD_CLASS))))
+    assert all(np.shares_memory(weights, part) for part in R.shaped(weights, shape).values())
+    values = np.arange(100_000, dtype=np.float32)
+    pieces = L._pieces(values)
+    assert np.array_equal(np.concatenate([np.frombuffer(x, np.float32) for x in pieces.column(1).to_pylist()]), values)
+    assert pieces.column(0).to_pylist() == list(range(7)) and pieces.column(1).buffers()[2].address == values.ctypes.data
+    assert L._pieces(values[:0]).num_rows == 0
+
+
+def test_blocks_in_an_order_are_those_of_the_ordered_texts():
+    random.seed(6)
+    texts = pa.array([None, "", *[" ".join(random.choices("pqrs", k=random.randint(0, 40))) for _ in range(300)]])
+    order = pa.array(random.sample(range(302), 302))
+    (begin, end, hashes, lengths), = L._blocks(texts, order)
+    want = L.tokens_of(texts.take(order))
+    assert (begin, end) == (0, 302) and np.array_equal(hashes, want[0]) and np.array_equal(lengths, want[1])
+
+
+def test_scoring_memory_a_token(spark):
+    """The tool's executors have some hundred MB for each task's Python, whose blocks hold a million tokens."""
+    texts = [" ".join(f"w{(i * j) % 997}" for j in range(1, 400)) for i in range(1, 200)]
+    docs = spark.createDataFrame([(k, t, 0) for k, t in enumerate(texts)], SCHEMA)
+    made, class_bias, word_bias = L.build_vocabulary(docs, L.count_words(docs), head=40)
+    net = R.Network(made.shape, R.shaped(L.first_weights(made, class_bias, word_bias), made.shape))
+    hashes, lengths = L.tokens_of(pa.array(texts))
+    inputs, classes, members = L._ids(made, hashes)[2:]
+    assert inputs.dtype == classes.dtype == members.dtype == np.int32
+    net.run(lengths, inputs, classes, members, learn=False)
+    many, size = np.tile(lengths, 10), len(hashes) * 10
+    wide = [np.tile(x, 10) for x in (inputs, classes, members)]
+    used = peak_mb(lambda: net.run(many, *wide, learn=False)) * 1e6
+    assert used < 64 * size
