@@ -186,19 +186,24 @@ def restore(log: DataFrame, keys: Sequence[str], version: int, new_version: int,
     """The log with a new version appended that leads back to the state of an old one.
 
     Only the log behind that version is read: per key its first change there tells what the row was, its last one what it is, and
-    the inverse of both together is one change. Keys that were not touched since are never looked at.
+    the inverse of both together is one change. Keys that were not touched since are never looked at. The new version has to be the
+    greatest; where the log has one as great, the job fails. So whoever reads the new version alone need not read the log for it.
     """
     values = [c for c in log.columns if c not in keys and c not in LOG_COLUMNS]
     kind, row = F.col("_change_type"), F.struct(*values)
     was = F.struct(F.when(kind != "insert", row).alias("row"))
     now = F.struct(F.when(kind != "delete", row).alias("row"))
-    tail = log.filter(F.col("_commit_version") > version)
+    number = F.col("_commit_version")
+    late = F.raise_error(F.concat(F.lit("the log has version "), number.cast("string"), F.lit(f", not before {new_version}")))
+    tail = log.filter(number > version).filter(F.when(number >= new_version, late.cast("boolean")).otherwise(True))
     turned = tail.groupBy(*keys).agg(
         F.min_by(was, F.when(kind != "update_postimage", F.col("_commit_version")))["row"].alias("_a"),
         F.max_by(now, F.when(kind != "update_preimage", F.col("_commit_version")))["row"].alias("_b"),
     )
     columns = [c for c in log.columns if c not in LOG_COLUMNS]
-    return log.unionByName(_images(turned, keys, columns, new_version, timestamp))
+    # The condition holds for every row, or the tail fails; by it a filter on the new version leaves the log out.
+    old = log.filter(F.coalesce(number < new_version, F.lit(True)))
+    return old.unionByName(_images(turned, keys, columns, new_version, timestamp))
 
 
 def version_counts(versions: dict[str, DataFrame]) -> DataFrame:

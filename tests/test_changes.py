@@ -178,3 +178,16 @@ def test_restore_reads_only_the_tail_and_no_key_twice(spark, tmp_path):
     tail = changes.restore(log, ["k"], 2, 5, STAMP.format(5)).filter("_commit_version = 5")
     plan = tail._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("FileScan") == 1 and "GreaterThan(_commit_version,2)" in plan
+
+
+def test_restore_fails_on_a_version_that_is_not_the_greatest_and_keeps_rows_without_one(spark):
+    before, after = snapshot(spark, [(1, "a", 1), (2, "a", 2)]), snapshot(spark, [(1, "b", 1)])
+    log = changes.initial_load(before, 1, STAMP.format(1)).unionByName(changes.change_feed(before, after, ["k"], 3, STAMP.format(3)))
+    for taken in (2, 3):
+        with pytest.raises(Exception, match=f"the log has version 3, not before {taken}"):
+            changes.restore(log, ["k"], 1, taken, STAMP.format(4)).collect()
+    loose = log.unionByName(log.limit(1).withColumn("_commit_version", F.lit(None).cast("long")))
+    restored = changes.restore(loose, ["k"], 1, 4, STAMP.format(4))
+    assert restored.filter("_commit_version IS NULL").count() == 1
+    assert as_set(restored.filter("_commit_version < 4")) == as_set(log)
+    assert as_set(changes.state_as_of(restored.filter("_commit_version IS NOT NULL"), ["k"])) == as_set(before)
