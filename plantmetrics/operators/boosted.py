@@ -1,20 +1,23 @@
 """Boosted failure model with patience: trees as plain values, stored as a table, scored as column expressions.
 
-Spark fits the trees; what is kept of a fit is their splits. A tree becomes one nested CASE over the feature columns, so a row is
-scored inside the scan's own stage: no vector, no Python, no model service. The stored form is one row per node.
+Spark fits the trees; what is kept of a fit is their splits. To score, they are built again as Spark's own trees, which walk a row
+inside the scan's own stage: no Python, no model service, and a plan of the same size for any number of trees. The stored form is
+one row per node.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantmetrics.functions.sizing import stored
-from plantmetrics.operators.features import MODEL_FEATURES, assemble, class_weight, impute
+from plantmetrics.operators.features import MODEL_FEATURES, assemble, class_weight
 from plantmetrics.session import scratch_path
 
 ROUNDS, PATIENCE = 300, 30
@@ -46,16 +49,6 @@ class BoostedModel:
         """The model as it was after so many rounds."""
         return BoostedModel(self.columns, self.weights[:rounds], self.trees[:rounds])
 
-    def probability(self, prefix: str = "") -> Column:
-        """Chance of the positive class, 1 / (1 + exp(-2 * margin)), over columns of the model's names behind the prefix."""
-        def answer(node: Node) -> str:
-            if node.feature is None:
-                return f"{node.value!r}D"
-            return f"CASE WHEN `{prefix}{node.feature}` <= {node.threshold!r}D THEN {answer(node.left)} ELSE {answer(node.right)} END"
-
-        margin = " + ".join(f"{w!r}D * ({answer(t)})" for w, t in zip(self.weights, self.trees, strict=True)) or "0.0D"
-        return F.expr(f"1 / (1 + exp(-2 * ({margin})))")
-
 
 def from_spark(model: GBTClassificationModel, columns: Sequence[str]) -> BoostedModel:
     """The splits of a fitted classifier."""
@@ -68,6 +61,25 @@ def from_spark(model: GBTClassificationModel, columns: Sequence[str]) -> Boosted
     return BoostedModel(tuple(columns), tuple(model.treeWeights), tuple(walk(t._call_java("rootNode")) for t in model.trees))
 
 
+def to_spark(model: BoostedModel, spark: SparkSession) -> GBTClassificationModel:
+    """A classifier of the same splits over vectors in the order of the columns; the opposite of `from_spark`."""
+    ml, at = spark._jvm.org.apache.spark.ml, {c: i for i, c in enumerate(model.columns)}
+    # Looked up once: each name on such a path is a call to the JVM.
+    leaf, inner, split, whole = ml.tree.LeafNode, ml.tree.InternalNode, ml.tree.ContinuousSplit, ml.regression.DecisionTreeRegressionModel
+
+    def build(node: Node):
+        if node.feature is None:
+            return leaf(float(node.value), 0.0, None)
+        return inner(float(node.value), 0.0, 0.0, build(node.left), build(node.right), split(at[node.feature], float(node.threshold)), None)
+
+    gateway = spark.sparkContext._gateway
+    trees, weights = gateway.new_array(whole, len(model.trees)), gateway.new_array(spark._jvm.double, len(model.trees))
+    for i, (weight, root) in enumerate(zip(model.weights, model.trees, strict=True)):
+        trees[i] = whole(build(root), len(model.columns))
+        weights[i] = float(weight)
+    return GBTClassificationModel(ml.classification.GBTClassificationModel(f"boosted_{uuid.uuid4().hex}", trees, weights))
+
+
 def save_model(model: BoostedModel, spark: SparkSession, path: str) -> None:
     """One row per node, numbered 1 for the root and 2n, 2n + 1 below n; a weightless row per column keeps the inputs."""
     rows = [(-1 - i, 0.0, 0, c, 0.0, 0.0) for i, c in enumerate(model.columns)]
@@ -99,14 +111,21 @@ def load_model(spark: SparkSession, path: str) -> BoostedModel:
 
 
 def score_rows(model: BoostedModel, df: DataFrame, out: str = "failure_probability") -> DataFrame:
-    """All rows with their failure probability.
+    """All rows with their failure probability, 1 / (1 + exp(-2 * margin)).
 
-    Trees in one generated method are more than the JVM compiles, so the session is told to generate many small ones there.
+    The trees are no part of the plan: as an expression, 300 of them fill a driver of 750 MB with generated code. What is
+    generated around them is still kept to methods that the JVM compiles.
     """
     df.sparkSession.conf.set("spark.sql.codegen.hugeMethodLimit", str(METHOD_BYTES))
+    if not model.trees:
+        return df.withColumn(out, F.lit(0.5))
     inputs = {f"_{c}": F.col(c).cast("double") for c in model.columns}
-    filled = impute(df.withColumns(inputs), list(inputs))
-    return filled.withColumn(out, model.probability("_")).drop(*inputs)
+    ready = assemble(df.withColumns(inputs), list(inputs), "_features").drop(*inputs)
+    spark_model = to_spark(model, df.sparkSession).setFeaturesCol("_features").setRawPredictionCol("_margins")
+    # Of the class probabilities only the margin is taken: 1 less the other class's chance is 0 where the margin is very low.
+    margins = spark_model.setProbabilityCol("").setPredictionCol("").transform(ready)
+    margin = vector_to_array("_margins")[1]
+    return margins.withColumn(out, 1 / (1 + F.exp(-2 * margin))).drop("_features", "_margins")
 
 
 def stop_after(losses: Sequence[float], patience: int) -> tuple[int, bool]:

@@ -97,3 +97,26 @@ def test_many_trees_are_not_one_huge_method(spark):
     for r in scored.collect():
         margin = sum(1e-3 * value(t, r) for t in model.trees)
         assert r.p == pytest.approx(1 / (1 + np.exp(-2 * margin)), rel=1e-9)
+
+
+def test_the_plan_does_not_grow_with_the_trees(spark):
+    """An expression of 300 trees took all memory of a driver; the trees are no part of the plan."""
+    split = boosted.Node(0.0, "a", 0.5, boosted.Node(-1.0), boosted.Node(0.0, "b", -0.25, boosted.Node(2.0), boosted.Node(0.5)))
+    data = stored(rows(spark, 50, 8))
+
+    def plan(n):
+        scored = boosted.score_rows(boosted.BoostedModel(tuple(COLUMNS), (0.1,) * n, (split,) * n), data)
+        return scored._jdf.queryExecution().optimizedPlan().toString()
+
+    assert len(plan(80)) < 1.1 * len(plan(1))
+
+
+def test_scores_of_gaps_and_of_far_margins(spark):
+    """Missing values count as 0; a margin of -30 is a chance above 0, as 1 / (1 + exp(60)) is."""
+    root = boosted.Node(0.0, "b", 0.0, boosted.Node(-30.0), boosted.Node(0.0, "a", -1.0, boosted.Node(1.0), boosted.Node(2.0)))
+    data = spark.createDataFrame([(1, None, None), (2, float("nan"), 1.0), (3, -1.0, 0.5), (4, 5.0, -0.0)], "y int, a double, b double")
+    found = {r.y: r.p for r in boosted.score_rows(boosted.BoostedModel(("b", "a"), (1.0,), (root,)), data, "p").collect()}
+    for y, margin in {1: -30, 2: 2, 3: 1, 4: -30}.items():
+        assert found[y] == pytest.approx(1 / (1 + np.exp(-2 * margin)), rel=1e-12)
+    empty = boosted.score_rows(boosted.BoostedModel(("a",), (), ()), data, "p")
+    assert [r.p for r in empty.collect()] == [0.5] * 4 and empty.columns == ["y", "a", "b", "p"]
